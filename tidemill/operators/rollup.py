@@ -39,16 +39,21 @@ class Output:
         return result.alias(self.name)
 
 
-def rollup(df: DataFrame, outputs: list[Output], keys: list[str], ts: str = "ts") -> DataFrame:
+def rollup(
+    df: DataFrame, outputs: list[Output], keys: list[str], ts: str = "ts",
+    minute: Column | None = None,
+) -> DataFrame:
     """One row per key combination and minute of ``ts``.
 
-    The minute is a grouping key that is not emitted. Keys appear in the output
+    The minute is a grouping key that is not emitted (``minute`` replaces it, e.g.
+    by an event-time window on a stream). Keys appear in the output
     only where ``outputs`` lists them, once each. Every aggregate merges, so each
     task sends one row per group and a heavy group costs no more than a light one.
     """
     aggregates = [o for o in outputs if o.how not in ("key", "value")]
     grouped = df.groupBy(
-        *[F.col(k).alias(f"_key_{k}") for k in keys], minute_slice(F.col(ts)).alias("_minute")
+        *[F.col(k).alias(f"_key_{k}") for k in keys],
+        (minute_slice(F.col(ts)) if minute is None else minute).alias("_minute"),
     ).agg(*[o.column() for o in aggregates])
     columns = []
     for o in outputs:
