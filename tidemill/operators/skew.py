@@ -39,5 +39,5 @@ def salted_distinct(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
     Pairs (key, value) are made unique first, which spreads a key over its values.
     """
-    pairs = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg()
+    pairs = df.filter(F.col(value).isNotNull()).select(*keys, value).distinct()
     return pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("distinct_values"))
