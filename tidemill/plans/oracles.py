@@ -335,6 +335,11 @@ ORACLES: dict[str, str] = {
           window w as (partition by alias, doc_id order by "offset"))
         select alias, doc_id, max("offset") as "offset" from c
         where i = 1 or body is distinct from p group by alias, doc_id""",
+    "stream_change_only": """
+        select event_id, user_id, ts, event_type from (
+          select *, lag(event_type) over w as p, row_number() over w as i from events
+          window w as (partition by user_id order by ts, event_id)) t
+        where i = 1 or event_type is distinct from p""",
     "stream_minute_rollup": f"""
         with e as (select * from events
           where not exists (select 1 from ({LISTED}) l where l.id = coalesce(user_id, 0)))

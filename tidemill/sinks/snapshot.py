@@ -86,16 +86,19 @@ class SnapshotTable:
     def read(self) -> DataFrame:
         return self._read(self.last_commit(), None)
 
-    def _read(self, commit: dict, buckets: set[int] | None) -> DataFrame:
+    def _read(
+        self, commit: dict, buckets: set[int] | None, spark: SparkSession | None = None
+    ) -> DataFrame:
         """Rows of the given buckets (default all) as of a commit."""
+        spark = spark or self.spark
         paths = [
             f"{self.path}/data/version={version}/bucket={bucket}"
             for bucket, version in commit["buckets"].items()
             if version and (buckets is None or int(bucket) in buckets)
         ]
         if not paths:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
+            return spark.createDataFrame([], self.schema)
+        return spark.read.schema(self.schema).parquet(*paths)
 
     def lookup(self, keys: DataFrame) -> DataFrame:
         """Rows of the given keys; only their buckets are read."""
@@ -143,7 +146,8 @@ class SnapshotTable:
         merged, versions = 0, {}
         if touched:
             counted = Observation()
-            base = self._read(previous, touched)
+            # A streaming batch has a session of its own, and the count arrives there.
+            base = self._read(previous, touched, changes.sparkSession)
             kept = base.join(new.select(*self.keys), self.keys, "left_anti")
             kept = kept.select(*self.schema.names)
             added = new.observe(counted, F.count(F.lit(1)).alias("n"))
