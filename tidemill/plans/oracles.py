@@ -286,7 +286,7 @@ ORACLES: dict[str, str] = {
         select l_suppkey, cast(sum(l_orderkey + l_linenumber + l_partkey) as bigint) as total,
           count(*) * 3 as n from lineitem group by l_suppkey""",
     "bulk_load": f"""
-        select event_id, 167772161 + (user_id % 300) * 65536 as ip, value,
+        select event_id, case when user_id % 300 <= 255 then 167772161 + (user_id % 300) * 65536 end as ip, value,
           case when event_type <> 'view' then event_type end as event_type,
           event_type <> 'click' as has_user
         from ({_LINES}) t where event_type <> 'error'""",
@@ -423,7 +423,7 @@ ORACLES: dict[str, str] = {
     "hot_keys": """
         select l_suppkey, n, round(share, 9) as share from (
           select l_suppkey, count(*) as n, count(*) / cast((select count(*) from lineitem) as double) as share
-          from lineitem group by l_suppkey) t where share >= 0.005""",
+          from lineitem group by l_suppkey) t where share >= 0.0005""",
     "salted_totals": """
         select l_returnflag, count(*) as n,
           cast(sum(cast(l_extendedprice as decimal(18,2))) as double) as price

@@ -582,7 +582,7 @@ def scenario_ratio(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def hot_keys(spark: SparkSession, folder: str) -> DataFrame:
-    shares = skew.key_shares(table(spark, folder, "lineitem"), "l_suppkey", 0.005)
+    shares = skew.key_shares(table(spark, folder, "lineitem"), "l_suppkey", 0.0005)
     return shares.withColumn("share", F.round("share", 9))
 
 
