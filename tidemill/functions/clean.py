@@ -52,14 +52,10 @@ def money_to_decimal(text: Column, scale: int = 2) -> Column:
 
 
 def list_literal_to_array(text: Column) -> Column:
-    """List text such as ``['a', 'b']`` (either quote) as array<string>, else NULL.
-
-    Strict JSON is tried first, so apostrophes inside double-quoted items survive.
-    """
-    as_json = F.from_json(text, "array<string>", {"mode": "PERMISSIVE"})
-    swapped = F.from_json(F.regexp_replace(text, "'", '"'), "array<string>")
+    """List text such as ``['a', 'b']`` (either quote) as array<string>, else NULL."""
     looks_like_list = F.trim(text).rlike(r"^\[[\s\S]*\]$")
-    return F.when(looks_like_list, F.coalesce(as_json, swapped))
+    items = F.from_json(text, "array<string>", {"allowSingleQuotes": "true"})
+    return F.when(looks_like_list, items)
 
 
 def int_list(text: Column) -> Column:

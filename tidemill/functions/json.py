@@ -16,9 +16,13 @@ def documents(message: Column) -> Column:
 
     NULL if the text is not JSON. Explode it to get one row per document.
     """
-    parsed = F.try_parse_json(message)
-    elements = F.try_variant_get(parsed, "$", "array<variant>")
-    return F.when(parsed.isNotNull(), F.coalesce(elements, F.array(parsed)))
+    return elements(F.try_parse_json(message))
+
+
+def elements(parsed: Column) -> Column:
+    """array<variant> of a parsed message; NULL for NULL."""
+    inside = F.try_variant_get(parsed, "$", "array<variant>")
+    return F.when(parsed.isNotNull(), F.coalesce(inside, F.array(parsed)))
 
 
 def document_type(document: Column, field: str = TYPE_FIELD) -> Column:

@@ -252,20 +252,25 @@ def build_cells(
     path: str | None = None,
     seed: int = 1,
     iterations: int = 10,
+    training_rows: int = 2_000_000,
 ) -> CellIndex:
     """Cluster the unit vectors and write the corpus partitioned by cell.
 
-    Euclidean and cosine order agree on unit vectors. The rebalance before the
-    write lets adaptive execution cut a cell with very many rows into files.
+    Euclidean and cosine order agree on unit vectors. Cell centres are fitted to
+    about ``training_rows`` rows, as more do not move them; every row is then
+    placed in a cell. The rebalance before the write lets adaptive execution cut
+    a cell with very many rows into files.
     """
     spark = corpus.sparkSession
     path = path or shared_folder(spark, "cells")
     unit = usable(corpus, vector, dim).select(
         id, vector, array_to_vector(l2_normalise(F.col(vector))).alias("_unit")
     )
+    share = training_rows / max(1, corpus.count())
+    training = unit if share >= 1 else unit.sample(share, seed)
     means = KMeans(
         k=cells, featuresCol="_unit", predictionCol="cell", seed=seed, maxIter=iterations
-    ).fit(unit)
+    ).fit(training)
     placed = means.transform(unit).select(id, vector, "cell")
     placed.hint("rebalance", "cell").write.mode("overwrite").partitionBy("cell").parquet(path)
     counts = spark.read.parquet(path).groupBy("cell").count().collect()  # at most `cells` rows

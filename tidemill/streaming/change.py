@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -24,14 +25,15 @@ class _LastValue(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
         # One key's rows of one batch, so at most what the trigger admits.
-        batch = pd.concat(list(rows)).sort_values(self.order, kind="stable")
-        values = batch[self.value].astype(object).where(batch[self.value].notna(), None)
-        before = values.shift(1)
-        changed = values.ne(before) & ~(values.isna() & before.isna())
-        known = self.last.exists()
-        held = self.last.get()[0] if known else None
-        changed.iloc[0] = not known or values.iloc[0] != held
-        self.last.update((values.iloc[-1],))
+        batch = pd.concat(list(rows))
+        batch = batch.iloc[np.lexsort([batch[c].to_numpy() for c in reversed(self.order)])]
+        values = batch[self.value].to_numpy(dtype=object)
+        values = np.where(pd.isna(values), None, values)
+        changed = np.ones(len(values), dtype=bool)
+        changed[1:] = values[1:] != values[:-1]
+        if self.last.exists():
+            changed[0] = values[0] != self.last.get()[0]
+        self.last.update((values[-1],))
         yield batch[changed]
 
     def close(self) -> None:

@@ -11,7 +11,7 @@ from tidemill.functions.json import (
     TYPE_FIELD,
     dead_letter_body,
     document_type,
-    documents,
+    elements,
     is_valid_type,
 )
 from tidemill.operators.dedupe import keep_changes, latest_per_key
@@ -25,10 +25,20 @@ DOCUMENT_SCHEMA = (
 )
 
 
+def _evaluated(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is computed once per row.
+
+    Predicates on a plain computed column are pushed below it and repeat the
+    computation; they cannot pass a generator.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def parsed(records: DataFrame, field_name: str = TYPE_FIELD) -> DataFrame:
     """Add ``docs`` (structs {kind, document}) and ``error`` (NULL if all is well)."""
+    read = _evaluated(records, "_json", F.try_parse_json("value"))
     split = F.transform(
-        documents(F.col("value")),
+        elements(F.col("_json")),
         lambda d: F.struct(
             document_type(d, field_name).alias("kind"), F.to_json(d).alias("document")
         ),
@@ -37,7 +47,7 @@ def parsed(records: DataFrame, field_name: str = TYPE_FIELD) -> DataFrame:
     error = F.when(F.col("docs").isNull(), F.lit(NOT_JSON)).when(
         F.size(bad) > 0, F.concat(F.lit(f"{BAD_TYPE}: "), F.get(bad, 0).kind)
     )
-    return records.withColumn("docs", split).withColumn("error", error)
+    return _evaluated(read, "docs", split).withColumn("error", error).drop("_json")
 
 
 def good_documents(split: DataFrame, prefix: str) -> DataFrame:
