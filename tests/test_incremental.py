@@ -148,6 +148,21 @@ def test_merge_rewrites_only_touched_buckets(spark, folder):
     assert table.delete(F.col("k") < 10) == 0
 
 
+def test_bucket_by_key_range_localises_changes(spark, folder):
+    def open_table(by):
+        return SnapshotTable(spark, folder, "k long, v string", ["k"], bucket_by=by)
+
+    table = open_table("k div 100")
+    table.merge(spark.range(1000).selectExpr("id as k", "'a' as v"))
+    new = spark.range(950, 1100).selectExpr("id as k", "'b' as v")
+    commit = table.merge(new.union(spark.createDataFrame([(None, "n")], "k long, v string")))
+    assert {b: v for b, v in commit["buckets"].items() if v == 2} == {"-1": 2, "9": 2, "10": 2}
+    counts = {r.v: r["count"] for r in table.read().groupBy("v").count().collect()}
+    assert counts == {"a": 950, "b": 150, "n": 1}
+    with pytest.raises(ValueError, match="buckets by"):
+        open_table("k div 7").read()
+
+
 def test_concurrent_commit_is_refused(spark, folder):
     a, b = (SnapshotTable(spark, folder, "k long", ["k"], buckets=2) for _ in range(2))
     previous = a.last_commit()

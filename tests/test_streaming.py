@@ -111,6 +111,14 @@ def test_upsert(spark, folder):
     assert plain.documents().count() == 3
 
 
+def test_upsert_inside_a_stream(spark, folder):
+    sink = UpsertSink(spark, f"{folder}/out", "x_", buckets=4, changes_only=True)
+    frames = [records(spark, [{"n": 1}, {"n": 2}], 0, ["a", "b"]), records(spark, [{"n": 1}, {"n": 5}], 2, ["a", "b"])]
+    topic.run_to_end(stream(spark, folder, frames), f"{folder}/cp", sink)
+    held = {(r.doc_id, json.loads(r.document)["n"], r.offset) for r in sink.documents().collect()}
+    assert held == {("a", 1, 0), ("b", 5, 3)}
+
+
 def test_change_only_across_batches(spark, folder):
     first = records(spark, ["A", "A", "B", "A", None, None], 0, ["k"] * 6)
     second = records(spark, [None, "A", "A", "X"], 6, ["k", "k", "k", "other"])

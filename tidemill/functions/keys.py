@@ -23,13 +23,13 @@ def hash_tag(key: Column) -> Column:
 def crc16(text: Column) -> Column:
     """CRC-16/XMODEM (polynomial 0x1021, start 0) of the UTF-8 bytes.
 
-    One fold over the bytes; each step handles the eight bits at once.
+    The bytes are read back as Latin-1, which gives one character per byte. One
+    fold over them; each step handles the eight bits at once.
     """
-    digits = F.hex(F.encode(text, "UTF-8"))
-    pairs = F.regexp_extract_all(digits, F.lit("(..)"), F.lit(1))
+    characters = F.split(F.decode(F.encode(text, "UTF-8"), "ISO-8859-1"), "")
 
-    def step(crc: Column, pair: Column) -> Column:
-        mixed = F.shiftright(crc, 8).bitwiseXOR(F.conv(pair, 16, 10).cast("int"))
+    def step(crc: Column, character: Column) -> Column:
+        mixed = F.shiftright(crc, 8).bitwiseXOR(F.ascii(character))
         mixed = mixed.bitwiseXOR(F.shiftright(mixed, 4))
         return (
             F.shiftleft(crc, 8)
@@ -39,7 +39,7 @@ def crc16(text: Column) -> Column:
             .bitwiseAND(F.lit(0xFFFF))
         )
 
-    return F.aggregate(pairs, F.lit(0), step)
+    return F.when(text == "", 0).otherwise(F.aggregate(characters, F.lit(0), step))
 
 
 def key_slot(key: Column) -> Column:

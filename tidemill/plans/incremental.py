@@ -43,6 +43,7 @@ class LoadSettings:
     initial_watermark: datetime = EPOCH
     stage_days: int = 7
     buckets: int = 64
+    bucket_by: str | None = None
     rules: Callable[[DataFrame], DataFrame] | None = None
 
     def __post_init__(self):
@@ -100,7 +101,8 @@ class IncrementalLoad:
     def __init__(self, spark: SparkSession, settings: LoadSettings, path: str):
         self.spark, self.settings = spark, settings
         self.target = SnapshotTable(
-            spark, f"{path}/target", settings.target, settings.keys, settings.buckets
+            spark, f"{path}/target", settings.target, settings.keys, settings.buckets,
+            bucket_by=settings.bucket_by,
         )
         self.stage = Stage(spark, f"{path}/stage", settings.target)
 

@@ -195,7 +195,7 @@ def incremental_load_replay(spark: SparkSession, folder: str) -> DataFrame:
             "o_orderkey": "order_id", "o_custkey": "customer_id", "o_totalprice": "amount",
             "o_orderstatus": "status", "o_orderdate": "created",
         },
-        buckets=8,
+        bucket_by="ORDER_ID div 50000",
     )
     load = IncrementalLoad(spark, settings, shared_folder(spark, "load"))
     orders = table(spark, folder, "orders")

@@ -137,5 +137,8 @@ class Folder:
         return True
 
     def read(self, name: str) -> dict:
-        text = self.spark.read.text(f"{self.path}/{name}", wholetext=True).first().value
-        return json.loads(text)
+        stream = self._fs.open(self._at(name))
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()

@@ -1,9 +1,13 @@
 """A keyed table on plain Parquet that can be merged into, with atomic commits.
 
-Rows are spread over buckets by a hash of the key. A merge rewrites only the
-buckets its rows fall into, into a new version folder, and then publishes one
-small commit file that names the version of every bucket and the state of the
-load jobs. Readers see either the old commit or the new one.
+Rows are placed in buckets by their key. A merge rewrites only the buckets its
+rows fall into, into a new version folder, and then publishes one small commit
+file that names the version of every bucket and the state of the load jobs.
+Readers see either the old commit or the new one.
+
+By default a bucket is a hash of the key. Where keys grow with time, give
+``bucket_by``, e.g. ``order_id div 1000000``: an increment then falls into the
+few newest buckets, and the rest of a large table is not rewritten.
 """
 
 from __future__ import annotations
@@ -34,11 +38,12 @@ def _now() -> str:
 class SnapshotTable:
     def __init__(
         self, spark: SparkSession, path: str, schema: T.StructType | str, keys: list[str],
-        buckets: int = 64, keep_commits: int = 10,
+        buckets: int = 64, keep_commits: int = 10, bucket_by: str | None = None,
     ):
         self.spark, self.path = spark, path.rstrip("/")
         self.schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
         self.keys, self.buckets, self.keep = keys, buckets, keep_commits
+        self.layout = bucket_by or f"pmod(xxhash64({', '.join(keys)}), {buckets})"
         self._log = Folder(spark, f"{self.path}/commits")
         self._data = Folder(spark, f"{self.path}/data")
 
@@ -52,14 +57,14 @@ class SnapshotTable:
         if not names:
             return {"version": 0, "buckets": {}, "jobs": {}}
         commit = self._log.read(names[-1])
-        if commit.get("bucket_count", self.buckets) != self.buckets:
-            raise ValueError(f"{self.path} was written with {commit['bucket_count']} buckets")
+        if commit["layout"] != self.layout:
+            raise ValueError(f"{self.path} was written with buckets by {commit['layout']}")
         return commit
 
     def _publish(self, previous: dict, versions: dict[str, int], jobs: dict) -> dict:
         commit = {
             "version": previous["version"] + 1,
-            "bucket_count": self.buckets,
+            "layout": self.layout,
             "buckets": {**previous["buckets"], **versions},
             "jobs": {**previous["jobs"], **jobs},
             "schema": self.schema.jsonValue(),
@@ -109,10 +114,11 @@ class SnapshotTable:
     # -- writing ---------------------------------------------------------
 
     def bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        """Bucket number of a row; a NULL key of a ``bucket_by`` goes to bucket -1."""
+        return F.coalesce(F.expr(self.layout).cast("bigint"), F.lit(-1))
 
     def _touched(self, rows: DataFrame) -> set[int]:
-        """Buckets the rows fall into; at most ``buckets`` numbers reach the driver."""
+        """Buckets the rows fall into: only the bucket numbers reach the driver."""
         found = rows.select(self.bucket().alias("b")).distinct().collect()
         return {r.b for r in found}
 

@@ -110,12 +110,12 @@ class RouteSink:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         split = parsed(batch, self.type_field).persist()
         try:
-            if split.isEmpty():
-                return
             totals = split.agg(
                 F.count_if(F.col("error").isNull()).alias("good"),
                 F.count_if(F.col("error").isNotNull()).alias("bad"),
             ).first()
+            if totals.good + totals.bad == 0:
+                return
             if totals.bad and self.on_error == "fail":
                 raise ValueError(f"{totals.bad} bad records in batch {batch_id}")
             letters = dead_letters(split) if totals.bad and self.on_error == "dlq" else None
@@ -135,7 +135,8 @@ class RouteSink:
         """Append by alias; the id depends only on the record's position."""
         target = f"{self.path}/docs/batch={batch_id}"
         rows = documents.select("alias", "doc_id", "document", "topic", "partition", "offset")
-        rows.write.mode("overwrite").partitionBy("alias").parquet(target)
+        # Rebalancing keeps small types in one file and cuts a large one into several.
+        rows.hint("rebalance", "alias").write.mode("overwrite").partitionBy("alias").parquet(target)
 
     def documents(self) -> DataFrame:
         return self._read("docs", f"{DOCUMENT_SCHEMA}, batch bigint")
