@@ -159,10 +159,20 @@ def test_keep_changes_equals_loop(spark, rows, width):
             expected.append(i)
         last[k] = v
     df = spark.createDataFrame([(i, k, v) for i, (k, v) in enumerate(rows)], "o int, k string, v string")
-    got = dedupe.keep_changes(df, ["k"], ["o"], F.col("v"), F.floor(F.col("o") / width))
+    got = dedupe.keep_changes(df, ["k"], ["o"], F.col("v"), F.floor(F.col("o") / width), least_rows=0)
     assert sorted(r.o for r in got.collect()) == expected
 
 
+def test_keep_changes_shuffles_rows_once(spark, folder):
+    spark.range(1000).selectExpr("id as o", "id % 7 as k", "id % 2 as v").write.parquet(f"{folder}/t")
+    df = spark.read.parquet(f"{folder}/t")
+    out = dedupe.keep_changes(df, ["k"], ["o"], F.col("v"), F.floor(F.col("o") / 10), least_rows=0)
+    text = executed(out).split("== Initial Plan ==")[0]
+    # the rows; the key counts; the summaries by piece and by key
+    assert text.count("Exchange hashpartitioning") <= 5 and "SortMergeJoin" not in text
+    assert out.count() == 1000
+
+
 # -- statistics ---------------------------------------------------------------------------
 
 
@@ -312,7 +322,7 @@ def test_tags_and_running_state(spark):
         [(1, 0, "I need to file a CLAIM about coverage"), (1, 1, "no idea"), (1, 2, "Medical lawsuit, an attorney"),
          (1, 3, "my coverage"), (1, 4, "an injury"), (2, 0, None)], "call int, turn int, text string")
     tagged = tags.tag_turns(turns, "text", tags.INSURANCE_ALERTS, tags.INSURANCE_SUGGESTIONS)
-    state = tags.running_state(tagged, "call", "turn", turns_per_piece=2)
+    state = tags.running_state(tagged, "call", "turn", turns_per_piece=2, least_rows=0)
     rows = {(r.call, r.turn): r for r in state.collect()}
     claim, coverage = (list(r.suggestions) for r in tags.INSURANCE_SUGGESTIONS)
     steps = list(tags.INSURANCE_SUGGESTIONS[0].next_steps)

@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemill.operators.prefix import LEAST_HEAVY_ROWS, in_pieces, real_rows
+
 
 def latest_per_key(
     df: DataFrame,
@@ -31,43 +33,18 @@ def latest_per_key(
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
 
-def previous_in_chunks(
-    df: DataFrame, keys: list[str], order: list[str], value: Column, chunk: Column
-) -> DataFrame:
-    """Add ``_previous``: a struct {v} with the preceding value of the key, or NULL.
-
-    ``chunk`` cuts a key's rows into consecutive pieces: it must not decrease
-    along ``order``. Rows are windowed per (key, piece), so a heavy key is spread
-    over as many tasks as it has pieces. Only the last value of each piece is
-    carried on, and that side has one row per piece.
-    """
-    key_columns = [F.col(k) for k in keys]
-    pieces = df.withColumn("_chunk", chunk).withColumn("_value", F.struct(value.alias("v")))
-    last = F.max_by("_value", F.struct(*order))
-    carried = (
-        pieces.groupBy(*keys, "_chunk").agg(last.alias("_last"))
-        .withColumn(
-            "_carried", F.lag("_last").over(Window.partitionBy(*key_columns).orderBy("_chunk"))
-        )
-        .select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_chunk").alias("_c"), "_carried")
-    )
-    inside = Window.partitionBy(*key_columns, "_chunk").orderBy(*order)
-    marked = pieces.withColumn("_inside", F.lag("_value").over(inside))
-    on = (F.col("_chunk") == F.col("_c")) & F.col("_inside").isNull()
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    joined = marked.join(carried, on, "left")
-    previous = F.coalesce("_inside", "_carried").alias("_previous")
-    return joined.select(*[F.col(f"`{c}`") for c in df.columns], previous)
-
-
 def keep_changes(
-    df: DataFrame, keys: list[str], order: list[str], value: Column, chunk: Column
+    df: DataFrame, keys: list[str], order: list[str], value: Column, piece: Column,
+    least_rows: int = LEAST_HEAVY_ROWS,
 ) -> DataFrame:
     """Rows whose value differs from the key's preceding one; first rows are kept.
 
-    Exact for any number of keys: nothing is evicted. NULL equals NULL.
+    Exact for any number of keys: nothing is evicted. NULL equals NULL. ``piece``
+    cuts the rows of a heavy key, e.g. by day or by a range of offsets; it must
+    not decrease along ``order``.
     """
-    with_previous = previous_in_chunks(df, keys, order, value, chunk)
-    same = F.col("_previous").isNotNull() & F.col("_previous.v").eqNullSafe(value)
-    return with_previous.filter(~same).drop("_previous")
+    valued = df.withColumn("_value", F.struct(value.alias("v")))
+    rows, along = in_pieces(valued, keys, order, piece, {"_value": "last"}, least_rows)
+    compared = rows.withColumn("_before", F.lag("_value").over(along))
+    changed = F.col("_before").isNull() | ~F.col("_before.v").eqNullSafe(F.col("_value.v"))
+    return real_rows(compared).filter(changed).drop("_value", "_before")

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemill.operators.prefix import LEAST_HEAVY_ROWS, in_pieces, real_rows
+
 
 @dataclass(frozen=True)
 class AlertRule:
@@ -95,45 +97,26 @@ def _any(text: Column, words: tuple[str, ...]) -> Column:
 
 
 def running_state(
-    tagged: DataFrame, call: str, order: str, turns_per_piece: int = 10_000
+    tagged: DataFrame, call: str, order: str, turns_per_piece: int = 100_000,
+    least_rows: int = LEAST_HEAVY_ROWS,
 ) -> DataFrame:
     """Add what holds after each turn: ``alerts_so_far``, latest suggestions and next steps.
 
     The list of alerts so far would grow with every turn, so it is kept as a
-    count: `alert_log` lists the alerts with their numbers. Calls are cut into
-    pieces of consecutive turns, which are folded in parallel and then joined up
-    from one summary row per piece, so one very long call is not one task.
+    count: `alert_log` lists the alerts with their numbers. A very long call is
+    folded in pieces of consecutive turns.
     """
-    state = ["suggestions", "next_steps"]
-    pieces = tagged.withColumn("_piece", F.floor(F.col(order) / turns_per_piece))
-    turn = F.col(order)
-    summary = pieces.groupBy(call, "_piece").agg(
-        F.sum(F.size("alerts")).alias("_sum"),
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), turn)).alias(f"_last_{c}") for c in state],
-    )
-    earlier = (
-        Window.partitionBy(call).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = summary.select(
-        F.col(call).alias("_call"),
-        F.col("_piece").alias("_p"),
-        F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"),
-        *[F.last(f"_last_{c}", ignorenulls=True).over(earlier).alias(f"_carried_{c}") for c in state],
-    )
-    so_far = (
-        Window.partitionBy(call, "_piece").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    inside = pieces.withColumn("_inside", F.sum(F.size("alerts")).over(so_far)).withColumns(
-        {f"_inside_{c}": F.last(c, ignorenulls=True).over(so_far) for c in state}
+    state = {"suggestions": "current_suggestions", "next_steps": "current_next_steps"}
+    valued = tagged.withColumn("_n", F.size("alerts"))
+    rows, along = in_pieces(
+        valued, [call], [order], F.floor(F.col(order) / turns_per_piece),
+        {"_n": "sum", **{c: "last_set" for c in state}}, least_rows,
     )
-    on = F.col(call).eqNullSafe(F.col("_call")) & (F.col("_piece") == F.col("_p"))
-    return inside.join(carried, on).select(
-        *[F.col(f"`{c}`") for c in tagged.columns],
-        (F.col("_before") + F.col("_inside")).alias("alerts_so_far"),
-        *[
-            F.coalesce(f"_inside_{c}", f"_carried_{c}").alias(f"current_{c}") for c in state
-        ],
+    so_far = along.rowsBetween(Window.unboundedPreceding, 0)
+    folded = rows.withColumn("alerts_so_far", F.sum("_n").over(so_far)).withColumns(
+        {name: F.last(c, ignorenulls=True).over(so_far) for c, name in state.items()}
     )
+    return real_rows(folded).drop("_n")
 
 
 def alert_log(state: DataFrame, call: str, order: str) -> DataFrame:

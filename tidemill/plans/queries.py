@@ -719,7 +719,7 @@ def conversation_tags(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def running_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    state = tags.running_state(_tagged(spark, folder), "conv_id", "turn", turns_per_piece=3)
+    state = tags.running_state(_tagged(spark, folder), "conv_id", "turn", turns_per_piece=3, least_rows=0)
     return _joined(state.drop("suggestions", "next_steps"))
 
 

@@ -164,7 +164,7 @@ class UpsertSink(RouteSink):
 
     buckets: int = 64
     changes_only: bool = False
-    offsets_per_piece: int = 100_000
+    offsets_per_piece: int = 1_000_000
 
     def __post_init__(self):
         super().__post_init__()
