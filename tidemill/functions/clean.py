@@ -53,7 +53,8 @@ def money_to_decimal(text: Column, scale: int = 2) -> Column:
 
 def list_literal_to_array(text: Column) -> Column:
     """List text such as ``['a', 'b']`` (either quote) as array<string>, else NULL."""
-    looks_like_list = F.trim(text).rlike(r"^\[[\s\S]*\]$")
+    bare = F.trim(text)
+    looks_like_list = F.startswith(bare, F.lit("[")) & F.endswith(bare, F.lit("]"))
     items = F.from_json(text, "array<string>", {"allowSingleQuotes": "true"})
     return F.when(looks_like_list, items)
 

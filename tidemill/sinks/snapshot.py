@@ -108,7 +108,7 @@ class SnapshotTable:
     def lookup(self, keys: DataFrame) -> DataFrame:
         """Rows of the given keys; only their buckets are read."""
         wanted = keys.select(*self.keys).distinct()
-        rows = self._read(self.last_commit(), self._touched(wanted))
+        rows = self._read(self.last_commit(), self._touched(wanted), keys.sparkSession)
         return rows.join(wanted, self.keys, "left_semi")
 
     # -- writing ---------------------------------------------------------

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemill.operators.computed import computed_once
+
 
 def read_delimited(
     spark: SparkSession, path: str, schema: T.StructType, sep: str = "\t", multiline: bool = False
@@ -76,13 +78,14 @@ def parse_lines(
     """
     parts = F.split(F.col(line), sep if sep != "|" else r"\|")
     raws = [F.nullif(F.get(F.col("_parts"), F.lit(i)), F.lit("")) for i in range(len(fields))]
-    staged = lines.withColumn("_parts", parts)
+    staged = computed_once(lines, "_parts", parts)
     reason = F.when(F.size("_parts") > len(fields), F.lit("surplus fields"))
     for field, raw in zip(fields, raws):
         if field.compute is None and field.type != "string":
             reason = reason.when(field.is_bad(raw), F.lit(f"bad {field.name}"))
     columns = [field.value(raw).alias(field.name) for field, raw in zip(fields, raws)]
-    return staged.select(F.col(line).alias("_line"), *columns, reason.alias("reject_reason"))
+    judged = computed_once(staged, "reject_reason", reason)
+    return judged.select(F.col(line).alias("_line"), *columns, "reject_reason")
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

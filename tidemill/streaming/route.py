@@ -14,6 +14,7 @@ from tidemill.functions.json import (
     elements,
     is_valid_type,
 )
+from tidemill.operators.computed import computed_once
 from tidemill.operators.dedupe import keep_changes, latest_per_key
 from tidemill.sinks.files import Folder
 from tidemill.sinks.snapshot import SnapshotTable
@@ -25,18 +26,9 @@ DOCUMENT_SCHEMA = (
 )
 
 
-def _evaluated(df: DataFrame, name: str, value: Column) -> DataFrame:
-    """Add a column that is computed once per row.
-
-    Predicates on a plain computed column are pushed below it and repeat the
-    computation; they cannot pass a generator.
-    """
-    return df.select("*", F.explode(F.array(value)).alias(name))
-
-
 def parsed(records: DataFrame, field_name: str = TYPE_FIELD) -> DataFrame:
     """Add ``docs`` (structs {kind, document}) and ``error`` (NULL if all is well)."""
-    read = _evaluated(records, "_json", F.try_parse_json("value"))
+    read = computed_once(records, "_json", F.try_parse_json("value"))
     split = F.transform(
         elements(F.col("_json")),
         lambda d: F.struct(
@@ -47,7 +39,7 @@ def parsed(records: DataFrame, field_name: str = TYPE_FIELD) -> DataFrame:
     error = F.when(F.col("docs").isNull(), F.lit(NOT_JSON)).when(
         F.size(bad) > 0, F.concat(F.lit(f"{BAD_TYPE}: "), F.get(bad, 0).kind)
     )
-    return _evaluated(read, "docs", split).withColumn("error", error).drop("_json")
+    return computed_once(read, "docs", split).withColumn("error", error).drop("_json")
 
 
 def good_documents(split: DataFrame, prefix: str) -> DataFrame:
@@ -184,20 +176,24 @@ class UpsertSink(RouteSink):
         if self.changes_only:
             keyed = self._changes(keyed)
         newest = latest_per_key(keyed, ["alias", "doc_id"], ["partition", "offset"], ["pos"])
-        self.table.merge(
-            newest, touched_by=keyed, job="upsert", job_state={"batch_id": batch_id}
-        )
+        newest = newest.persist()
+        try:
+            written = self._differing(newest) if self.changes_only else newest
+            self.table.merge(written, job="upsert", job_state={"batch_id": batch_id})
+        finally:
+            newest.unpersist()
 
     def _changes(self, keyed: DataFrame) -> DataFrame:
+        """Documents that differ from the one before them in the batch."""
         piece: Column = F.struct("partition", F.floor(F.col("offset") / self.offsets_per_piece))
-        changed = keep_changes(
+        return keep_changes(
             keyed, ["alias", "doc_id"], ["partition", "offset", "pos"], F.col("document"), piece
         )
-        held = self.table.lookup(keyed).select(
-            "alias", "doc_id", F.col("document").alias("held")
-        )
-        last = latest_per_key(changed, ["alias", "doc_id"], ["partition", "offset"], ["pos"])
-        compared = last.join(held, ["alias", "doc_id"], "left")
+
+    def _differing(self, newest: DataFrame) -> DataFrame:
+        """Documents that differ from the one the table holds."""
+        held = self.table.lookup(newest).select("alias", "doc_id", F.col("document").alias("held"))
+        compared = newest.join(held, ["alias", "doc_id"], "left")
         return compared.filter(~F.col("document").eqNullSafe(F.col("held"))).drop("held")
 
     def documents(self) -> DataFrame:
