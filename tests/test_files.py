@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from tidemill.functions import clean
 from tidemill.session import shared_folder
 from tidemill.sinks import files, keyed
-from tidemill.sinks.catalog import Aliases
+from tidemill.sinks.catalog import Aliases, ensure_single
 from tidemill.sinks.snapshot import SnapshotTable
 from tidemill.sources import delimited, tables
 
@@ -88,12 +88,21 @@ def test_aliases(spark, folder):
     assert aliases.roll_over("widget") == "tst_widget_00002"
     assert spark.table("tst_widget").count() == 0 and aliases.versions("widget") == [
         "tst_widget_00001", "tst_widget_00002"]
+    assert aliases.ensure("a-b") == "tst_a_x2d_b_00001"
     assert aliases.ensure("gadget") == "tst_gadget_00001"
     for bad in (None, "", "invalid/product", "Widget"):
         with pytest.raises(ValueError):
             aliases.ensure(bad)
 
 
+def test_single_alias(spark):
+    assert ensure_single(spark, "logs_alias", "logs", "id int") == "logs_alias"
+    tables_ = [t.name for t in spark.catalog.listTables() if t.name.startswith("logs_1")]
+    ensure_single(spark, "logs_alias", "logs", "id int")
+    assert tables_ == [t.name for t in spark.catalog.listTables() if t.name.startswith("logs_1")]
+    assert len(tables_) == 1 and spark.table("logs_alias").count() == 0
+
+
 def test_shared_folder_is_the_named_one(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     a, b = shared_folder(spark, "x"), shared_folder(spark, "x")

@@ -120,6 +120,11 @@ def test_typed_message(spark):
         (whole, "Electronics"), ('{"ProductType":7}', None), None, None]
 
 
+def test_constant_field(spark):
+    got = evaluate(spark, ["{}", "nope"], lambda c: json.with_constant(json.typed_message(c), "version", 1))
+    assert got[0].version == 1 and got[1] is None
+
+
 def test_vectors(spark):
     df = spark.createDataFrame(
         [([1.0, 0.0], [1.0, 0.0]), ([1.0, 0.0], [0.0, 2.0]), ([0.0, 0.0], [1.0, 0.0])],

@@ -52,6 +52,11 @@ def typed_message(message: Column, field: str = STRICT_TYPE_FIELD) -> Column:
     )
 
 
+def with_constant(message: Column, name: str, value) -> Column:
+    """The message struct with one more field of a constant value; NULL stays NULL."""
+    return message.withField(name, F.lit(value))
+
+
 def dead_letter_body(message: Column, error: Column, **where: Column) -> Column:
     """JSON envelope with the original text, the reason and its position."""
     fields = [message.alias("original_message"), error.alias("error")]

@@ -35,7 +35,8 @@ def matches_per_tag(df: DataFrame, tag: str, measure: str, floor: float) -> Data
 
 def sample_keys(df: DataFrame, key: str, size: int = 200, seed: int = 0) -> DataFrame:
     """min(size, n) random keys; the same seed gives the same keys on any layout."""
-    return df.select(key).orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(size)
+    lot = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key)))
+    return df.select(key).orderBy(lot, key).limit(size)
 
 
 def attribution_totals(

@@ -263,6 +263,10 @@ ORACLES: dict[str, str] = {
           select *, lag(event_type) over w as p, row_number() over w as i from events
           window w as (partition by user_id order by ts, event_id)) t
         where i = 1 or event_type is distinct from p""",
+    "keyed_lookup": """
+        select key, p_name, p_retailprice from (
+          select concat('part:', lpad(cast(p_partkey as varchar), 7, '0')) as key, p_name, p_retailprice
+          from part) k order by md5(concat('7:', key)), key limit 200""",
     "delete_by_pattern": """
         with k as (select concat_ws(':', p_brand, p_name) as key from part),
         hit as (select case when key like 'Brand#1:%' then 'Brand#1:*' when key like 'Brand#1_:%'

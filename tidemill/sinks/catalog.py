@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import time
+import uuid
 from functools import lru_cache
 
 from pyspark.sql import SparkSession
@@ -17,6 +19,11 @@ def check_type(kind: str | None) -> str:
     return kind
 
 
+def table_name(kind: str | None) -> str:
+    """The type as part of a table name: catalogs allow no dash, so it is spelled out."""
+    return check_type(kind).replace("-", "_x2d_")
+
+
 @lru_cache(maxsize=None)
 def _ddl(schema: str) -> str:
     return ", ".join(
@@ -24,6 +31,20 @@ def _ddl(schema: str) -> str:
     )
 
 
+def ensure_single(spark: SparkSession, alias: str, prefix: str, schema: str) -> str:
+    """One table behind one alias: create both if the alias is absent; return the alias.
+
+    The table's name is unique: prefix, milliseconds and a random id. (Catalogs
+    allow no dashes in names, so underscores join them.)
+    """
+    alias, prefix = table_name(alias), table_name(prefix)
+    if not spark.catalog.tableExists(alias):
+        table = f"{prefix}_{time.time_ns() // 1_000_000}_{uuid.uuid4().hex}"
+        spark.sql(f"CREATE TABLE `{table}` ({_ddl(schema)}) USING parquet")
+        spark.sql(f"CREATE VIEW `{alias}` AS SELECT * FROM `{table}`")
+    return alias
+
+
 class Aliases:
     """Creates and swaps versions; which version an alias uses is looked up once."""
 
@@ -32,7 +53,7 @@ class Aliases:
         self._current: dict[str, str] = {}
 
     def alias(self, kind: str) -> str:
-        return f"{self.prefix}{check_type(kind)}"
+        return f"{self.prefix}{table_name(kind)}"
 
     def versions(self, kind: str) -> list[str]:
         pattern = re.compile(re.escape(self.alias(kind)) + r"_\d{5}$")

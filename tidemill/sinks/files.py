@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,6 +80,15 @@ def _prepared(df: DataFrame, renames: dict[str, str] | None, most: int | None) -
     return df if most is None else df.limit(most)
 
 
+def with_count(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """The frame, and the number of its rows (``["n"]``) once an action has run on it.
+
+    Saves a counting job of its own.
+    """
+    counted = Observation()
+    return df.observe(counted, F.count(F.lit(1)).alias("n")), counted
+
+
 def topic_rows(df: DataFrame, key: Column, value: Column) -> DataFrame:
     """(key, value) text columns, as topic sinks expect them."""
     return df.select(key.cast("string").alias("key"), value.cast("string").alias("value"))

@@ -14,11 +14,11 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.sinks.files import Folder
+from tidemill.sinks.files import Folder, with_count
 
 CONTROL_SCHEMA = (
     "JOB_NAME string, LAST_CREATED_TS timestamp_ntz, LAST_RUN_ID string,"
@@ -151,12 +151,11 @@ class SnapshotTable:
         touched = self._touched(touched_by if touched_by is not None else new)
         merged, versions = 0, {}
         if touched:
-            counted = Observation()
             # A streaming batch has a session of its own, and the count arrives there.
             base = self._read(previous, touched, changes.sparkSession)
             kept = base.join(new.select(*self.keys), self.keys, "left_anti")
             kept = kept.select(*self.schema.names)
-            added = new.observe(counted, F.count(F.lit(1)).alias("n"))
+            added, counted = with_count(new)
             versions = self._rewrite(kept.unionByName(added), previous, touched)
             merged = counted.get["n"]
         jobs = {job: {**(job_state or {}), "rows_merged": merged, "at": _now()}} if job else {}

@@ -5,12 +5,12 @@ from __future__ import annotations
 import re
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.operators.predicates import utc_naive
-from tidemill.sinks.files import Folder
+from tidemill.sinks.files import Folder, with_count
 
 RUN_COLUMNS = ["ETL_RUN_ID", "ETL_JOB_NAME", "ETL_LOADED_AT"]
 _PLAIN = re.compile(r"^[A-Za-z0-9_.-]+$")
@@ -29,11 +29,11 @@ class Stage:
 
     def append(self, df: DataFrame, job: str, run_id: str, loaded_at: datetime) -> int:
         """Write the rows of a run, and return how many. A repeated run replaces its own rows."""
-        counted = Observation()
         loaded = F.lit(utc_naive(loaded_at).isoformat(sep=" ")).cast("timestamp_ntz")
-        rows = df.select(*self.schema.names).withColumn("ETL_LOADED_AT", loaded)
-        target = f"{self.path}/{self._run_path(job, run_id)}"
-        rows.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(target)
+        rows, counted = with_count(
+            df.select(*self.schema.names).withColumn("ETL_LOADED_AT", loaded)
+        )
+        rows.write.mode("overwrite").parquet(f"{self.path}/{self._run_path(job, run_id)}")
         return counted.get["n"]
 
     def rows(self, job: str, run_id: str) -> DataFrame:
