@@ -44,7 +44,7 @@ def test_exact(data):
 def test_exact_for_many_queries(data, monkeypatch):
     corpus, queries, c, q = data
     monkeypatch.setattr(knn, "BROADCAST_BYTES", 1)
-    monkeypatch.setattr(knn, "BLOCK_ROWS", 100)
+    monkeypatch.setattr(knn, "BLOCK_BYTES", 100 * 16 * 4)
     assert found(knn.knn_exact(q, c, 7, 16)) == brute(corpus, queries, 7)
 
 
@@ -68,7 +68,7 @@ def test_approx_recall(data, spark, monkeypatch):
     assert knn.mean_recall(exact, some).first().mean_recall >= 0.8
     assert some.groupBy("query_id").count().filter("count != 5").isEmpty()
     monkeypatch.setattr(knn, "BROADCAST_BYTES", 1)
-    monkeypatch.setattr(knn, "BLOCK_ROWS", 50)
+    monkeypatch.setattr(knn, "BLOCK_BYTES", 50 * 16 * 4)
     assert found(knn.knn_approx(q, index, 5, nprobe=5)) == found(some)
 
 

@@ -1,3 +1,4 @@
+import gzip
 import math
 from datetime import date, datetime
 
@@ -11,7 +12,7 @@ from tidemill.operators import counters, dedupe, inventory, ledger, predicates,
 from tidemill.operators import skew, slots, stats, tags
 from tidemill.operators.rollup import Output, reduced_rollup, rollup
 from tidemill.plans import location
-from tidemill.sources import tables
+from tidemill.sources import delimited, tables
 
 
 def plan(df):
@@ -92,6 +93,37 @@ def test_reduced_rollup_uses_what_exists(spark):
     assert [tuple(r) for r in total] == [(3,)]
 
 
+def test_bulk_line_to_rollup(spark, folder):
+    names = [f.name for f in location.bulk_fields()]
+    assert len(names) == len(set(names)) and set(names) - {"_line_load_ts", "releaseVersionId"} <= set(
+        dict(location.OUTPUT_TYPES))
+    values = dict(ts="2025-09-08 10:00:01", sessionId="s", userId="u", sourceIp="1.2.3.4", country="US",
+                  eDate="2025-09-08", publisherTypeId="1", isValidAdvertisingId="1", eventTypeId="102",
+                  bssid="00:1A:2b:3c:4d:5e", bssid1="nothing", simMCC="-9999", _line_load_ts="2000-01-01")
+    line = "\t".join(values.get(n, "") for n in names)
+    with gzip.open(f"{folder}/a.gz", "wt") as f:
+        f.write(line + "\n" + line.replace("10:00:01", "10:00:59") + "\n" + line.replace("2025-09-08\t", "bad\t", 1) + "\n")
+    rows, rejects = delimited.bulk_load(spark, folder, location.bulk_fields())
+    assert [r.reject_reason for r in rejects.collect()] == ["bad eDate"]
+    now = datetime.now()
+    chosen = location.select_events(
+        location.staged(rows.drop("_line_load_ts")), datetime(2025, 9, 10), datetime(now.year + 1, 1, 1), [1], ["US"])
+    location.write_by_day(location.roll_up(chosen, 3), f"{folder}/out")
+    row = spark.read.parquet(f"{folder}/out").first()
+    assert (row.numEvents, row.numBidRequests, row.sourceIp, row.bssid) == (2, 2, 16909060, 112394521950)
+    assert row.bssid1 is None and row.simMCC is None and row.userId is not None and str(row.eDate) == "2025-09-08"
+
+
+def test_exports_are_staged(spark):
+    export = spark.createDataFrame([], location.EXPORT_SCHEMA)
+    assert len(export.columns) == 78 == len(location.POSITIONAL_NAMES)
+    assert location.staged(export).schema.names == location.input_schema().names
+    df = spark.createDataFrame([("9", "10.5", "x")], "simMNC string, localTZoneId string, bssid1 string")
+    row = location.staged(df).first()
+    assert (row.simMNC, row.bssid1, row.productId) == (9, None, None)
+    location.roll_up(location.staged(export), 1).collect()
+
+
 def test_clean_identity(spark):
     row = location.clean_identity(
         spark.createDataFrame([("a", "1.2.3.4"), (" ", "x")], "advertisingId string, sourceIp string")

@@ -13,7 +13,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,9 +22,11 @@ from pyspark.sql import types as T
 from tidemill.functions.vector import EPSILON, l2_normalise
 from tidemill.session import shared_folder
 
-# Queries that together take at most this much memory are sent to every task.
-BROADCAST_BYTES = 64 << 20
-BLOCK_ROWS = 50_000
+# Queries whose vectors take at most this much memory are sent to every task. Each
+# task returns k rows per query, so this also bounds what tasks return.
+BROADCAST_BYTES = 8 << 20
+# Vectors of one block, when both sides are cut into blocks.
+BLOCK_BYTES = 256 << 20
 SCORES_AT_ONCE = 4_000_000
 
 
@@ -121,16 +124,21 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def _small(queries: DataFrame, sides: _Sides) -> list | None:
-    """The queries if they fit the broadcast bound, else None; fetches no more than that."""
+def _small(queries: DataFrame, sides: _Sides) -> tuple[list, np.ndarray] | None:
+    """Ids and vectors of the queries if they fit the broadcast bound, else None.
+
+    Fetches one row more than fits, at most.
+    """
     most = max(1, BROADCAST_BYTES // (sides.dim * 8))
-    rows = queries.select(sides.query_id, sides.query).limit(most + 1).collect()
-    return rows if len(rows) <= most else None
+    rows = queries.select(sides.query_id, sides.query).limit(most + 1).toArrow()
+    if rows.num_rows > most:
+        return None
+    return rows.column(0).to_pylist(), _matrix(rows.column(1).combine_chunks(), sides.dim)
 
 
-def _stacked(rows: list, dim: int) -> tuple[list, np.ndarray]:
-    vectors = np.array([r[1] for r in rows], dtype=np.float64).reshape(len(rows), dim)
-    return [r[0] for r in rows], vectors
+def _blocks(rows: int, dim: int) -> int:
+    """How many blocks that many vectors make."""
+    return max(1, -(-rows // max(1, BLOCK_BYTES // (4 * dim))))
 
 
 def _search_blocks(
@@ -189,8 +197,7 @@ def knn_exact(
     queries, corpus = usable(queries, query, dim), usable(corpus, vector, dim)
     small = _small(queries, sides)
     if small is None:
-        q_blocks = -(-queries.count() // BLOCK_ROWS)
-        c_blocks = max(1, -(-corpus.count() // BLOCK_ROWS))
+        q_blocks, c_blocks = _blocks(queries.count(), dim), _blocks(corpus.count(), dim)
         left = queries.withColumn("_q", _block_of(query_id, q_blocks)).withColumn(
             "_c", F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1)))
         )
@@ -199,7 +206,7 @@ def knn_exact(
         )
         return _ranked(_search_blocks(left, right, sides, ["_q", "_c"]), k)
 
-    sent = queries.sparkSession.sparkContext.broadcast(_stacked(small, dim))
+    sent = queries.sparkSession.sparkContext.broadcast(small)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         top = _TopK(*sent.value, sides.k)
@@ -299,7 +306,7 @@ def knn_approx(
     if small is None:
         return _ranked(_search_cells(queries, corpus, index, sides, nprobe), k)
 
-    ids, vectors = _stacked(small, index.dim)
+    ids, vectors = small
     chosen = index.probes(vectors, nprobe, k)
     readers: dict[int, list[int]] = {}
     for row, probed in enumerate(chosen):
@@ -339,8 +346,8 @@ def _search_cells(
                 names=[sides.query_id, sides.query, "_cells"],
             )
 
-    q_blocks = -(-queries.count() // BLOCK_ROWS)
-    blocks = {cell: -(-size // BLOCK_ROWS) for cell, size in index.sizes.items()}
+    q_blocks = _blocks(queries.count(), sides.dim)
+    blocks = {cell: _blocks(size, sides.dim) for cell, size in index.sizes.items()}
     counts = F.create_map(*[F.lit(x) for pair in blocks.items() for x in pair])
     placed = queries.select(sides.query_id, sides.query).mapInArrow(
         place, kinds.add("_cells", T.ArrayType(T.IntegerType()))
@@ -379,11 +386,10 @@ def mean_recall(exact: DataFrame, approx: DataFrame) -> DataFrame:
 def group_centres(
     df: DataFrame, group: str, vector: str, dim: int, name: str = "centre"
 ) -> DataFrame:
-    """Mean vector per group, merged from per-task partial sums."""
-    pieces = usable(df, vector, dim).select(group, F.posexplode(vector).alias("pos", "x"))
-    means = pieces.groupBy(group, "pos").agg(F.avg(F.col("x").cast("double")).alias("x"))
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "x")))  # dim entries per group
-    return means.groupBy(group).agg(F.transform(ordered, lambda e: e.x).alias(name))
+    """Mean vector per group, merged from per-task partial means."""
+    rows = usable(df, vector, dim).select(group, array_to_vector(vector).alias("_v"))
+    means = rows.groupBy(group).agg(Summarizer.mean(F.col("_v")).alias("_mean"))
+    return means.select(group, vector_to_array("_mean").alias(name))
 
 
 def with_attributes(neighbours: DataFrame, table: DataFrame, id: str = "vec_id") -> DataFrame:

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.functions.clean import hashed_user_id, ipv4_to_long
+from tidemill.functions.clean import hash64, hashed_user_id, ipv4_to_long, mac_to_long
 from tidemill.operators import predicates
 from tidemill.operators.rollup import Output, reduced_rollup, rollup
+from tidemill.operators.schema import conform
+from tidemill.sources.delimited import RawField
 
 # Event type of a bid request and the two "missing" markers.
 BID_REQUEST = 102
@@ -27,7 +29,8 @@ REDUCED_KEYS = [
 
 INT, TEXT, TIME, DAY, PLACE = "bigint", "string", "timestamp", "date", "decimal(13,8)"
 
-# Output columns in load order: (name, type). Groups repeat with a number.
+# The columns of the target in load order, as (name, type). The
+# numbered groups are repeated by `_numbered`.
 _HEAD = [
     ("ts", TIME), ("sessionId", INT), ("osId", INT), ("advertisingId", TEXT), ("sourceIp", INT),
     ("country", TEXT), ("ispId", INT), ("publisherId", INT), ("productId", INT), ("eDate", DAY),
@@ -89,6 +92,86 @@ _CODE_SENTINEL = {"simMCC", "simMNC", "cellMCC", "cellMNC"}
 _MAC_SENTINEL = {"bssid"} | {f"bssid{i}" for i in range(1, 6)}
 
 
+# Columns and types of the tab separated event export, in file order.
+EXPORT_SCHEMA = """
+    ts timestamp, sessionId string, osId int, advertisingId string, sourceIp string, country string,
+    ispId bigint, publisherId bigint, eDate date, cityId int, localTs timestamp, localTZoneId double,
+    longitude double, latitude double, locationAccuracy int, locationSourceId int, locationTs string,
+    userAgent string, sdkTypeId int, sourceModuleId bigint, sourceServerId int, isCoppaApp int,
+    locationContextId int, advertisingId2 string, eventTypeId int, publisherTypeId bigint, regionId int,
+    mRegistered1 int, cellMcc1 int, cellMnc1 int, cellLac1 int, packageId int, simMCC int, simMNC string,
+    cellMCC int, cellId1 bigint, cellSignalLevel1 int, ssid string, cellLAC int, locationAccuracy1 double,
+    ssid1 string, userId bigint, ispNameId bigint, networkTypeId int, isValidAdvertisingId int,
+    bssid bigint, ssid2 string, wifiRssiLevel int, wifiRssiLevel1 int, ssid3 string, ssid4 string,
+    consumerId bigint, ssid5 string, sdkVersionId int, age int, deviceManufacturerId int, genderId int,
+    deviceModelId int, appNameId bigint, deviceTypeId bigint, deviceVersionId bigint, channelId bigint,
+    isLocationEnabled int, permissions string, gdpr string, usPrivacyId string, isValidGps int,
+    limitAdTracking string, pas int, cellId int, advertisingIdSourceId string, rawClientTS bigint,
+    bssid1 string, bssid2 string, bssid3 string, isValidBssidInt int, bssid4 string, bssid5 int"""
+
+# Column names of the newer export, by position.
+POSITIONAL_NAMES = (
+    "ts sessionId osId advertisingId sourceIp country publisherId productId eDate cityId localTs"
+    " longitude latitude ispNameId networkTypeId simMCC simMNC userAgent sourceModuleId"
+    " sourceServerId isCoppaApp regionId publisherTypeId userId eventTypeId consumerId packageId"
+    " limitAdTracking isValidAdvertisingId isValidGps isValidBssidInt rtbCarrierNameId rtbCarrierMcc"
+    " rtbCarrierMnc pas channelId processingRequestStatus isQpsSkipped deviceVersionId bidFloor"
+    " requestId deviceManufacturerId deviceModelId deviceTypeId gdpr appNameId publisherNameId width"
+    " height genderId age languageId inputLangsId geoTypeId advertisingIdSourceId placementId"
+    " videoSupportModeId nodes firstNodeId releaseVersionId usPrivacyId dataCenterId sChainComplete"
+    " displayManagerNameId displayManagerVersionId omidProviderNameId omidProviderVersionId"
+    " subPublisherManagementTypeId isVisibility localeId locationTs adTagId sitePageId siteNameId"
+    " siteDomainId trafficTypeId sioIdTypeId isUserId"
+).split()
+
+# The last fields of a bulk-load line, after the numbered levels.
+_BULK_TAIL = (
+    "sdkVersionId loadTs consumerId rawClientTS packageId limitAdTracking isValidAdvertisingId"
+    " isValidGps isValidBssidInt rtbCarrierNameId rtbCarrierMcc rtbCarrierMnc pas permissions"
+    " isLocationEnabled deviceVersionId releaseVersionId advertisingIdSourceId deviceModelId"
+    " deviceManufacturerId localeId inputLangsId"
+).split()
+
+
+def bulk_fields() -> list[RawField]:
+    """Fields of a bulk-load line in file order, with what is computed from them.
+
+    Session and user id are hashed, the address and the access points become
+    numbers. The line's own load time is ignored: the load sets it.
+    """
+    types = dict(OUTPUT_TYPES) | {"releaseVersionId": INT}
+    head = [n for n, _ in _HEAD]
+    head.insert(2, "sdkTypeId")
+    middle = [n for n, _ in _MIDDLE if n != "sdkTypeId"]
+    numbered = _numbered(_CELL, 5) + _numbered(_FIX, 3) + _ENRICHED
+    numbered += _numbered([("wifiRssiLevel", INT)], 5)
+    order = head + [n for n, _ in _numbered(_WIFI, 5)] + middle + [n for n, _ in numbered] + _BULK_TAIL
+    computed = {"sessionId": hash64, "userId": hash64, "sourceIp": ipv4_to_long}
+    computed |= {n: mac_to_long for n in _MAC_SENTINEL}
+    fields = []
+    for name in order:
+        if name == "loadTs":
+            fields.append(RawField("_line_load_ts"))
+        else:
+            fields.append(RawField(name, types[name], computed.get(name)))
+    return fields
+
+
+def staged(rows: DataFrame) -> DataFrame:
+    """Rows of any export as staged events: declared types, absent columns NULL.
+
+    Numbers that an export holds as text are cast here, so that their maximum is
+    numeric; text that is no number becomes NULL.
+    """
+    types = {f.name.lower(): f.dataType for f in input_schema().fields}
+    text = {
+        f.name: F.col(f"`{f.name}`").try_cast(types[f.name.lower()])
+        for f in rows.schema.fields
+        if isinstance(f.dataType, T.StringType) and f.name.lower() in types
+    }
+    return conform(rows.withColumns(text), input_schema())
+
+
 def input_schema() -> T.StructType:
     """Declared schema of the staged events."""
     return T.StructType.fromDDL(", ".join(f"`{n}` {t}" for n, t in INPUT_TYPES))
@@ -148,6 +231,12 @@ def roll_up(events: DataFrame, run_id: int) -> DataFrame:
     return rollup(events, outputs(run_id), KEYS)
 
 
+def write_by_day(rolled: DataFrame, path: str) -> None:
+    """Write rolled-up rows partitioned by event date, in files of even size."""
+    day = rolled.hint("rebalance", "eDate")
+    day.write.mode("overwrite").partitionBy("eDate").parquet(path)
+
+
 def clean_identity(events: DataFrame, digits: int = 8) -> DataFrame:
     """User number from the advertising id and the address as a number."""
     return events.withColumns(
@@ -158,7 +247,8 @@ def clean_identity(events: DataFrame, digits: int = 8) -> DataFrame:
     )
 
 
-# Aggregated columns of the reduced roll-up; position columns are aggregated too.
+# Aggregated columns of the reduced roll-up (the position is not a
+# key there), its empty target columns, and the columns of a core export.
 REDUCED_OUTPUTS = [
     "ts", "sessionId", "osId", "advertisingId", "country", "publisherId", "eDate", "cityId",
     "localTs", "ispNameId", "userAgent", "sourceModuleId", "sourceServerId", "isCoppaApp",

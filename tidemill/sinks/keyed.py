@@ -34,12 +34,18 @@ def count_by_glob(df: DataFrame, key: str, globs: list[str]) -> DataFrame:
 
 def without_globs(df: DataFrame, key: str, globs: list[str]) -> DataFrame:
     """Rows whose key matches none of the patterns."""
+    return df.filter(~_matches_any(F.col(key), globs))
+
+
+def _matches_any(key: Column, globs: list[str]) -> Column:
     hit = F.lit(False)
     for glob in globs:
-        hit = hit | F.coalesce(matches_glob(F.col(key), glob), F.lit(False))
-    return df.filter(~hit)
+        hit = hit | F.coalesce(matches_glob(key, glob), F.lit(False))
+    return hit
 
 
 def delete_by_globs(table: SnapshotTable, key: str, globs: list[str]) -> dict[str, int]:
-    """Delete matching keys pattern by pattern; returns the deletions of each."""
-    return {glob: table.delete(matches_glob(F.col(key), glob)) for glob in globs}
+    """Delete all matching keys in one rewrite; returns the deletions of each pattern."""
+    counts = count_by_glob(table.read(), key, globs).collect()  # one row per pattern
+    table.delete(_matches_any(F.col(key), globs))
+    return {r.pattern: r.deleted for r in counts}
