@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 INVENTORY_SCHEMA = "Count bigint, TableName string"
@@ -20,8 +20,11 @@ def count_tables(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def profile(inventory: DataFrame) -> DataFrame:
-    """Row share per table and whether it is empty."""
-    total = inventory.agg(F.sum("Count")).scalar()
+    """Row share per table and whether it is empty.
+
+    One window over the inventory: a row per table, not the tables' rows.
+    """
+    total = F.sum("Count").over(Window.partitionBy())
     return inventory.select(
         "TableName", "Count",
         F.try_divide(F.col("Count"), total).alias("share"),

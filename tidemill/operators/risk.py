@@ -126,7 +126,8 @@ def report_lines(df: DataFrame) -> DataFrame:
 def report_sentence(lines: DataFrame, most_items: int = 10_000) -> DataFrame:
     """The report as one row of text, for sections of at most ``most_items`` items.
 
-    A longer section raises rather than being cut: use `report_lines` for it.
+    A longer section raises rather than being cut: use `report_lines` for it. The
+    lines are read twice, so pass written ones.
     """
     sizes = lines.groupBy("section").agg(F.count(F.lit(1)).alias("n"))
     too_long = sizes.filter(F.col("n") > most_items).agg(F.count(F.lit(1))).scalar()

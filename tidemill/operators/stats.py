@@ -37,21 +37,26 @@ def running_counts(
     placed = Bucketizer(
         splits=splits, inputCol=value, outputCol="_piece", handleInvalid="keep"
     ).transform(counted)
-    inside = Window.partitionBy(*by, "_piece").orderBy(value)
-    summed = placed.withColumn("_until", F.sum("n").over(inside))
     all_pieces = Window.partitionBy(*by)
     totals = placed.groupBy(*by, "_piece").agg(F.sum("n").alias("_m"))
-    offsets = totals.select(
-        *[F.col(c).alias(f"_b_{c}") for c in by],
-        F.col("_piece").alias("_p"),
-        (F.sum("_m").over(all_pieces.orderBy("_piece")) - F.col("_m")).alias("_offset"),
-        F.sum("_m").over(all_pieces).alias("total"),
+    # One extra first row per piece brings in what lies before it, and the total.
+    first_rows = totals.select(
+        *by,
+        "_piece",
+        F.lit(0).alias("_is_row"),
+        (F.sum("_m").over(all_pieces.orderBy("_piece")) - F.col("_m")).alias("n"),
+        F.sum("_m").over(all_pieces).alias("_total"),
     )
-    on = F.col("_piece") == F.col("_p")
-    for c in by:
-        on = on & F.col(c).eqNullSafe(F.col(f"_b_{c}"))
-    return summed.join(offsets, on).select(
-        *by, value, "n", (F.col("_offset") + F.col("_until") - F.col("n")).alias("before"), "total"
+    rows = placed.withColumn("_is_row", F.lit(1)).unionByName(first_rows, allowMissingColumns=True)
+    along = Window.partitionBy(*by, "_piece").orderBy("_is_row", value)
+    summed = rows.withColumns(
+        {
+            "_until": F.sum("n").over(along.rowsBetween(Window.unboundedPreceding, 0)),
+            "total": F.first("_total").over(along.rowsBetween(Window.unboundedPreceding, 0)),
+        }
+    )
+    return summed.filter(F.col("_is_row") == 1).select(
+        *by, value, "n", (F.col("_until") - F.col("n")).alias("before"), "total"
     )
 
 
@@ -127,8 +132,8 @@ def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
     """
     spark = df.sparkSession
     observed = df.filter(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
-    edges = observed.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    low, high = edges.select("lo").scalar(), edges.select("hi").scalar()
+    edges = observed.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
+    low, high = edges.getField("lo"), edges.getField("hi")
     width = (high - low) / bins
     position = F.when(high > low, F.floor((F.col("v") - low) * bins / (high - low))).otherwise(0)
     counts = (

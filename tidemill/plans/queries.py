@@ -28,7 +28,7 @@ from tidemill.operators.rollup import Output, rollup
 from tidemill.plans import location, stand_in
 from tidemill.plans.incremental import IncrementalLoad, LoadSettings
 from tidemill.plans.stand_in import table
-from tidemill.session import shared_folder
+from tidemill.session import shared_folder, written
 from tidemill.sinks import files, keyed
 from tidemill.sinks.snapshot import SnapshotTable
 from tidemill.sources import delimited, tables
@@ -473,7 +473,8 @@ def risk_report(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def risk_sentence(spark: SparkSession, folder: str) -> DataFrame:
-    return risk.report_sentence(risk.report_lines(_sessions(spark, folder)))
+    lines = written(risk.report_lines(_sessions(spark, folder)), "risk")
+    return risk.report_sentence(lines)
 
 
 @query

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Naive timestamps are read as UTC everywhere; bad input must be handled with
 # try_* functions because ANSI mode raises.
@@ -65,6 +65,13 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The frame as a table in the shared folder, for results that are read more than once."""
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shuffle_width(spark: SparkSession, ceiling: int = 4096) -> int:
     """Number of pieces to split ordered work into: the shuffle width, bounded."""
     return max(2, min(ceiling, int(spark.conf.get("spark.sql.shuffle.partitions"))))
