@@ -67,7 +67,7 @@ def test_route_replay_leaves_no_duplicates(spark, folder):
     with pytest.raises(Exception, match="lost after the write"):
         topic.run_to_end(source, f"{folder}/cp", failing)
     topic.run_to_end(source, f"{folder}/cp", sink)
-    assert calls == [0, 1] and sorted(sink.counts) == [0, 1]
+    assert calls == [0, 1] and sink.last_counts == (1, 2, 0)
     assert sink.documents().count() == 7 + 4
     assert sink.letters().count() == 5
     topic.run_to_end(source, f"{folder}/cp", sink)  # nothing new: nothing written

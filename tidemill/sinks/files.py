@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -133,8 +134,11 @@ class Folder:
         self._fs.delete(self._at(name), True)
 
     def write_new(self, name: str, record: dict) -> bool:
-        """Write JSON under the name by a rename; False if the name is taken."""
-        hidden = f"{name}.writing"
+        """Write JSON under the name by a rename; False if the name is taken.
+
+        Two writers cannot both succeed where the storage's rename is atomic.
+        """
+        hidden = f"{name}.{uuid.uuid4().hex}.writing"
         stream = self._fs.create(self._at(hidden), True)
         try:
             stream.write(bytearray(json.dumps(record).encode("utf-8")))

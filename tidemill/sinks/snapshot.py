@@ -12,6 +12,7 @@ few newest buckets, and the rest of a large table is not rewritten.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,7 +62,7 @@ class SnapshotTable:
             raise ValueError(f"{self.path} was written with buckets by {commit['layout']}")
         return commit
 
-    def _publish(self, previous: dict, versions: dict[str, int], jobs: dict) -> dict:
+    def _publish(self, previous: dict, versions: dict[str, str], jobs: dict) -> dict:
         commit = {
             "version": previous["version"] + 1,
             "layout": self.layout,
@@ -83,7 +84,7 @@ class SnapshotTable:
         used = {f"version={v}" for c in kept for v in c["buckets"].values()}
         newest = kept[-1]["version"] if kept else 0
         for name in self._data.names():
-            if name not in used and int(name.split("=")[1]) <= newest:
+            if name not in used and int(name.split("=")[1].split("-")[0]) <= newest:
                 self._data.delete(name)
 
     # -- reading ---------------------------------------------------------
@@ -122,18 +123,22 @@ class SnapshotTable:
         found = rows.select(self.bucket().alias("b")).distinct().collect()
         return {r.b for r in found}
 
-    def _rewrite(self, rows: DataFrame, previous: dict, touched: set[int]) -> dict[str, int]:
-        """Write the touched buckets' new content; emptied buckets get version 0."""
-        version = previous["version"] + 1
+    def _rewrite(self, rows: DataFrame, previous: dict, touched: set[int]) -> dict[str, str]:
+        """Write the touched buckets' new content; emptied buckets get an empty version.
+
+        The folder is this attempt's own, so a writer that loses the race to
+        publish has touched nothing of the winner's.
+        """
+        version = f"{previous['version'] + 1}-{uuid.uuid4().hex[:12]}"
         target = f"{self.path}/data/version={version}"
         placed = rows.withColumn("bucket", self.bucket()).hint("rebalance", "bucket")
-        placed.write.mode("overwrite").partitionBy("bucket").parquet(target)
+        placed.write.partitionBy("bucket").parquet(target)
         written = {
             int(n.split("=")[1])
             for n in self._data.names(f"version={version}")
             if n.startswith("bucket=")
         }
-        return {str(b): (version if b in written else 0) for b in touched}
+        return {str(b): (version if b in written else "") for b in touched}
 
     def merge(
         self, changes: DataFrame, touched_by: DataFrame | None = None,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,6 +85,7 @@ class RouteSink:
     says what happens to bad records: ``dlq``, ``skip`` or ``fail``. With
     ``letters_for_failed_batches`` a failing document write turns all records
     of the batch into dead letters; otherwise it raises and the batch is retried.
+    ``last_counts`` is (batch, good records, bad records) of the last batch written.
     """
 
     spark: SparkSession
@@ -93,7 +94,7 @@ class RouteSink:
     on_error: str = "dlq"
     type_field: str = TYPE_FIELD
     letters_for_failed_batches: bool = False
-    counts: dict[int, tuple[int, int]] = field(default_factory=dict)
+    last_counts: tuple[int, int, int] | None = None
 
     def __post_init__(self):
         if self.on_error not in ("dlq", "skip", "fail"):
@@ -119,7 +120,7 @@ class RouteSink:
                 letters = failed_records(split, f"batch processing failed: {cause}"[:2000])
             if letters is not None:
                 letters.write.mode("overwrite").parquet(f"{self.path}/dlq/batch={batch_id}")
-            self.counts[batch_id] = (totals.good, totals.bad)
+            self.last_counts = (batch_id, totals.good, totals.bad)
         finally:
             split.unpersist()
 
@@ -180,6 +181,7 @@ class UpsertSink(RouteSink):
         try:
             written = self._differing(newest) if self.changes_only else newest
             self.table.merge(written, job="upsert", job_state={"batch_id": batch_id})
+            self.table.tidy()
         finally:
             newest.unpersist()
 
