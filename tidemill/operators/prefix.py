@@ -46,10 +46,11 @@ def in_pieces(
 ) -> tuple[DataFrame, WindowSpec]:
     """Rows with the extra first rows of pieces, and the window to run over them.
 
-    ``piece`` must not decrease along ``order``. ``carry`` says per column what
+    ``piece`` must not decrease along ``order`` and must not be NULL. ``carry`` says per column what
     the extra row holds: ``sum`` of all earlier rows, the ``last`` earlier value,
     or the ``last_set`` (last one that is not NULL). The extra rows have
-    ``_is_row`` 0; drop them with `real_rows` after applying the window.
+    ``_is_row`` 0; drop them with `real_rows` after applying the window. The rows
+    are read four times, so pass written or cached ones if they are costly.
     """
     heavy = F.broadcast(heavy_keys(df, keys, least_rows).withColumn("_is_heavy", F.lit(True)))
     marked = (

@@ -242,6 +242,9 @@ ORACLES: dict[str, str] = {
     "iso_times": """
         select event_id, case when event_type = 'view' then date_trunc('second', ts) - interval 2 hour
           else date_trunc('second', ts) end as utc from events""",
+    "run_columns": """
+        select user_id, count(*) filter (where event_type = 'purchase') as bids, count(*) as events,
+          cast(7 as bigint) as run from events group by user_id""",
     "latest_per_key": """
         select l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
           l_tax, l_returnflag, l_linestatus, l_shipdate from (
@@ -309,6 +312,16 @@ ORACLES: dict[str, str] = {
     "json_field": """
         select event_id, case when event_type <> 'error' then lower(json_extract_string(props, '$.k'))
           else 'unknown' end as k, 'unknown' as absent from events""",
+    "typed_messages": """
+        select event_id,
+          case event_type
+            when 'view' then concat('{"ProductType":"', event_type, ' ', cast(user_id as varchar), '"}')
+            when 'click' then concat('{"ProductType":', cast(user_id as varchar), '}')
+            when 'error' then null else props end as "originalValue",
+          case event_type when 'view' then concat(event_type, ' ', cast(user_id as varchar)) end
+            as "productType",
+          case when event_type <> 'error' then 1 end as version
+        from events""",
     "route_documents": f"""
         select "offset", pos, concat('prd_', kind) as alias,
           sha256(concat_ws(':', 'events', cast(user_id % 2 as varchar), cast("offset" as varchar),

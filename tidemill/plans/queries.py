@@ -158,6 +158,17 @@ def iso_times(spark: SparkSession, folder: str) -> DataFrame:
     return events.select("event_id", clean.iso_to_utc(F.col("text")).alias("utc"))
 
 
+@query
+def run_columns(spark: SparkSession, folder: str) -> DataFrame:
+    events = table(spark, folder, "events").withColumn(
+        "eventTypeId", F.when(F.col("event_type") == "purchase", 102)
+    )
+    return schema.add_run_columns(events, 7).groupBy("user_id").agg(
+        F.sum("numBidRequests").alias("bids"), F.sum("numEvents").alias("events"),
+        F.max("biRunId").alias("run"),
+    )
+
+
 # -- keyed loads -----------------------------------------------------------------
 
 
@@ -358,6 +369,17 @@ def json_field(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def typed_messages(spark: SparkSession, folder: str) -> DataFrame:
+    value = F.expr("""case event_type
+        when 'view' then concat('{"ProductType":"', event_type, ' ', cast(user_id as string), '"}')
+        when 'click' then concat('{"ProductType":', cast(user_id as string), '}')
+        when 'error' then 'not json' else props end""")
+    messages = table(spark, folder, "events").select("event_id", value.alias("value"))
+    typed = topic.with_message(messages, lambda v: json.with_constant(json.typed_message(v), "version", 1))
+    return typed.select("event_id", "message.*")
+
+
 @query
 def route_documents(spark: SparkSession, folder: str) -> DataFrame:
     records = stand_in.topic_records(table(spark, folder, "events"))

@@ -108,7 +108,7 @@ class SnapshotTable:
 
     def lookup(self, keys: DataFrame) -> DataFrame:
         """Rows of the given keys; only their buckets are read."""
-        wanted = keys.select(*self.keys).distinct()
+        wanted = self._typed(keys, self.keys).distinct()
         rows = self._read(self.last_commit(), self._touched(wanted), keys.sparkSession)
         return rows.join(wanted, self.keys, "left_semi")
 
@@ -118,6 +118,10 @@ class SnapshotTable:
         """Bucket number of a row; a NULL key of a ``bucket_by`` goes to bucket -1."""
         return F.coalesce(F.expr(self.layout).cast("bigint"), F.lit(-1))
 
+    def _typed(self, df: DataFrame, columns: list[str]) -> DataFrame:
+        """The columns in the table's types, which the bucket of a key depends on."""
+        return df.select(*[F.col(c).cast(self.schema[c].dataType).alias(c) for c in columns])
+
     def _touched(self, rows: DataFrame) -> set[int]:
         """Buckets the rows fall into: only the bucket numbers reach the driver."""
         found = rows.select(self.bucket().alias("b")).distinct().collect()
@@ -152,8 +156,10 @@ class SnapshotTable:
         holds ``rows_merged``.
         """
         previous = self.last_commit()
-        new = changes.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
-        touched = self._touched(touched_by if touched_by is not None else new)
+        new = self._typed(changes, self.schema.names)
+        touched = self._touched(
+            new if touched_by is None else self._typed(touched_by, self.keys)
+        )
         merged, versions = 0, {}
         if touched:
             # A streaming batch has a session of its own, and the count arrives there.

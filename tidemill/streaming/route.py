@@ -117,7 +117,7 @@ class RouteSink:
             except Exception as cause:
                 if not self.letters_for_failed_batches:
                     raise
-                letters = failed_records(split, f"batch processing failed: {cause}"[:2000])
+                letters = failed_records(split, f"batch processing failed: {cause}")
             if letters is not None:
                 letters.write.mode("overwrite").parquet(f"{self.path}/dlq/batch={batch_id}")
             self.last_counts = (batch_id, totals.good, totals.bad)
