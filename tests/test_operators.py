@@ -294,6 +294,16 @@ def test_search(spark):
     assert tables.prefix_scan(df.withColumn("k", F.lit("c:")), "k", "c:", F.col("p"), "fb", F.col("roas"), 0.0).count() == 10
 
 
+def test_searchable_table_prunes(spark, folder):
+    df = spark.range(5000).selectExpr("id", "case when id % 3 = 0 then 'hot' else concat('t', id % 9) end as tag",
+                                      "cast(id % 1000 as double) as roas")
+    search.write_searchable(df, folder, "tag", "roas")
+    read = spark.read.parquet(folder)
+    hits = search.tag_range_search(read, "tag", "hot", "roas", 990.0, ["id"])
+    assert hits.count() == df.filter("tag = 'hot' and roas >= 990").count() == hits.first().matches
+    assert "EqualTo(tag,hot)" in plan(read.filter("tag = 'hot' and roas >= 990"))
+
+
 def test_attribution(spark):
     df = spark.createDataFrame([("a", 10.0, 0.0), ("a", 20.0, 0.0), ("b", 6.0, 3.0)], "p string, r double, s double")
     rows = {r.p: r for r in search.attribution_totals(df, ["p"], F.col("r"), F.col("s"), F.col("r") / 2).collect()}

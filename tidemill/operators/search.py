@@ -22,6 +22,15 @@ def tag_range_search(
     return page(hits, order, offset, size).withColumn("matches", total)
 
 
+def write_searchable(df: DataFrame, path: str, tag: str, measure: str) -> None:
+    """Write rows ordered by tag and measure, so that a search skips most row groups.
+
+    Ranges of (tag, measure) become files of even size; a frequent tag has many.
+    """
+    ordered = df.repartitionByRange(tag, measure).sortWithinPartitions(tag, measure)
+    ordered.write.mode("overwrite").parquet(path)
+
+
 def page(df: DataFrame, order: list[str], offset: int, size: int) -> DataFrame:
     """Rows offset .. offset + size - 1 in the given order; the order should be total."""
     ordered = df.orderBy(*order)

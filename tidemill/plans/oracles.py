@@ -402,6 +402,10 @@ ORACLES: dict[str, str] = {
           select *, count(*) over () as matches, row_number() over (order by l_orderkey, l_linenumber,
             l_partkey, l_suppkey, l_extendedprice) as i
           from lineitem where l_returnflag = 'R' and l_quantity >= 45) t where i <= 500""",
+    "sorted_table_search": """
+        select p_partkey, p_name, p_brand, p_type, p_size, p_retailprice, matches from (
+          select *, count(*) over () as matches, row_number() over (order by p_partkey) as i from part
+          where p_brand = 'Brand#2' and p_retailprice >= 950) t where i <= 50""",
     "matches_per_tag": """
         select event_type, count(*) filter (where value >= 100) as matches from events group by event_type""",
     "prefix_scan": """

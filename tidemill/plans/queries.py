@@ -531,6 +531,15 @@ def tag_range_search(spark: SparkSession, folder: str) -> DataFrame:
     return hits.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "matches")
 
 
+@query
+def sorted_table_search(spark: SparkSession, folder: str) -> DataFrame:
+    path = shared_folder(spark, "search")
+    search.write_searchable(table(spark, folder, "part"), path, "p_brand", "p_retailprice")
+    return search.tag_range_search(
+        spark.read.parquet(path), "p_brand", "Brand#2", "p_retailprice", 950.0, ["p_partkey"], 0, 50
+    )
+
+
 @query
 def matches_per_tag(spark: SparkSession, folder: str) -> DataFrame:
     return search.matches_per_tag(table(spark, folder, "events"), "event_type", "value", 100.0)
