@@ -13,13 +13,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.functions.vector import EPSILON, l2_normalise
+from tidemill.functions.vector import EPSILON
 from tidemill.session import shared_folder
 
 # Queries whose vectors take at most this much memory are sent to every task. Each
@@ -30,13 +31,18 @@ BLOCK_BYTES = 256 << 20
 SCORES_AT_ONCE = 4_000_000
 
 
+def sized(df: DataFrame, vector: str, dim: int) -> DataFrame:
+    """Rows whose vector has the dimension."""
+    return df.filter(F.col(vector).isNotNull() & (F.size(vector) == dim))
+
+
 def usable(df: DataFrame, vector: str, dim: int) -> DataFrame:
     """Rows whose vector has the dimension and no NULL element."""
-    complete = (F.size(vector) == dim) & ~F.exists(vector, lambda x: x.isNull())
-    return df.filter(F.col(vector).isNotNull() & complete)
+    return sized(df, vector, dim).filter(~F.exists(vector, lambda x: x.isNull()))
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
+    """Vectors as rows. A NULL element becomes NaN, and NaN scores are never returned."""
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return flat.astype(np.float64, copy=False).reshape(-1, dim)
 
@@ -194,7 +200,7 @@ def knn_exact(
     each (query block, corpus block) pair is one bounded task. Ids are unique.
     """
     sides = _sides(queries, corpus, k, dim, query_id, query, id, vector)
-    queries, corpus = usable(queries, query, dim), usable(corpus, vector, dim)
+    queries, corpus = sized(queries, query, dim), sized(corpus, vector, dim)
     small = _small(queries, sides)
     if small is None:
         q_blocks, c_blocks = _blocks(queries.count(), dim), _blocks(corpus.count(), dim)
@@ -270,9 +276,8 @@ def build_cells(
     """
     spark = corpus.sparkSession
     path = path or shared_folder(spark, "cells")
-    unit = usable(corpus, vector, dim).select(
-        id, vector, array_to_vector(l2_normalise(F.col(vector))).alias("_unit")
-    )
+    vectors = usable(corpus, vector, dim).select(id, vector, array_to_vector(vector).alias("_v"))
+    unit = Normalizer(p=2.0, inputCol="_v", outputCol="_unit").transform(vectors)
     share = training_rows / max(1, corpus.count())
     training = unit if share >= 1 else unit.sample(share, seed)
     means = KMeans(
@@ -301,7 +306,7 @@ def knn_approx(
     spark = queries.sparkSession
     corpus = index.rows(spark)
     sides = _sides(queries, corpus, k, index.dim, query_id, query, index.id, index.vector)
-    queries = usable(queries, query, index.dim)
+    queries = sized(queries, query, index.dim)
     small = _small(queries, sides)
     if small is None:
         return _ranked(_search_cells(queries, corpus, index, sides, nprobe), k)
