@@ -95,6 +95,19 @@ def test_run_bounds_replay_and_watermark(spark, folder):
     assert state(load) == expected - {(1, "on lower")} | {(2, "on upper"), (1, "changed")}
 
 
+def test_preflight(spark, folder):
+    load = IncrementalLoad(spark, make(buckets=2), folder)
+    load.run(source(spark, [(1, T0, "a")]), T0 + timedelta(hours=1))
+    empty = load.run(source(spark, [(2, T0 - timedelta(days=9), "z")]), T0 + timedelta(days=9))
+    assert (empty.rows_read, empty.rows_merged, empty.skipped) == (0, 0, False)
+    wider = make(buckets=2, target=T.StructType([*make().target.fields, T.StructField("MORE", T.LongType())]))
+    with pytest.raises(DataValidationError, match="target table is missing columns"):
+        IncrementalLoad(spark, wider, folder).preflight(source(spark, []))
+    with pytest.raises(DataValidationError, match="source is missing columns"):
+        load.preflight(source(spark, []).drop("created"))
+    assert state(load) == {(1, "a")}
+
+
 def test_failure_before_commit_changes_nothing(spark, folder, monkeypatch):
     load = IncrementalLoad(spark, make(buckets=2), folder)
     load.run(source(spark, [(1, T0, "a")]), T0 + timedelta(hours=1))

@@ -65,6 +65,8 @@ def test_approx_recall(data, spark, monkeypatch):
     assert found(all_cells) == brute(corpus, queries, 5)
     some = knn.knn_approx(q, index, 5, nprobe=5).cache()
     assert knn.mean_recall(exact, some).first().mean_recall >= 0.8
+    probes = knn.probes_for_recall(q, index, exact.cache(), 5, 0.95)
+    assert knn.mean_recall(exact, knn.knn_approx(q, index, 5, probes)).first().mean_recall >= 0.95
     assert some.groupBy("query_id").count().filter("count != 5").isEmpty()
     monkeypatch.setattr(knn, "BROADCAST_BYTES", 1)
     monkeypatch.setattr(knn, "BLOCK_BYTES", 50 * 16 * 4)

@@ -388,6 +388,24 @@ def mean_recall(exact: DataFrame, approx: DataFrame) -> DataFrame:
     return recall(exact, approx).agg(F.coalesce(F.avg("recall"), F.lit(0.0)).alias("mean_recall"))
 
 
+def probes_for_recall(
+    queries: DataFrame, index: CellIndex, exact: DataFrame, k: int = 5, target: float = 0.95,
+    query_id: str = "query_id", query: str = "query",
+) -> int:
+    """Smallest tried number of probes whose measured mean recall reaches the target.
+
+    Tries 1, 2, 4, ... and all cells, which is exact. Use trial queries for it.
+    """
+    cells = len(index.centres)
+    nprobe = 1
+    while nprobe < cells:
+        found = knn_approx(queries, index, k, nprobe, query_id, query)
+        if mean_recall(exact, found).first().mean_recall >= target:
+            return nprobe
+        nprobe *= 2
+    return cells
+
+
 def group_centres(
     df: DataFrame, group: str, vector: str, dim: int, name: str = "centre"
 ) -> DataFrame:

@@ -116,7 +116,11 @@ class IncrementalLoad:
         return datetime.fromisoformat(state["watermark"])
 
     def preflight(self, source: DataFrame) -> None:
-        """Check that the source can feed the target, before anything is written."""
+        """Check that source, settings and existing target agree, before anything is written."""
+        stored = self.target.last_commit().get("schema", {"fields": []})["fields"]
+        if stored:
+            have = [f["name"] for f in stored]
+            names.require_columns(have, self.settings.target.names, "the target table")
         names.require_columns(source.columns, [self.settings.created], "source")
         names.require_columns(source.columns, self.settings.columns, "source")
         increment = read_increment(

@@ -692,19 +692,19 @@ def audience_lookup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _cells(spark: SparkSession, folder: str) -> knn.CellIndex:
-    return knn.build_cells(table(spark, folder, "embeddings"), 16, DIM)
+    return knn.build_cells(table(spark, folder, "embeddings"), 32, DIM)
 
 
 @query
 def knn_approx(spark: SparkSession, folder: str) -> DataFrame:
-    return knn.knn_approx(_audience(spark, folder), _cells(spark, folder), 5, nprobe=8)
+    return knn.knn_approx(_audience(spark, folder), _cells(spark, folder), 5, nprobe=24)
 
 
 @query
 def recall_at_k(spark: SparkSession, folder: str) -> DataFrame:
     queries, corpus = _audience(spark, folder), table(spark, folder, "embeddings")
     exact = knn.knn_exact(queries, corpus, 5, DIM)
-    approx = knn.knn_approx(queries, _cells(spark, folder), 5, nprobe=8)
+    approx = knn.knn_approx(queries, _cells(spark, folder), 5, nprobe=24)
     return knn.recall(exact, approx)
 
 
