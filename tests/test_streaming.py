@@ -162,3 +162,12 @@ def test_topic_helpers(spark):
     row = topic.with_message(topic.as_records(raw)).first()
     assert (row.key, row.message.productType) == ("k", "E")
     assert spark.range(1).select(F.lit(1)).first()[0] == 1
+
+
+def test_batches_limited_by_size(spark, folder):
+    sink = RouteSink(spark, f"{folder}/out", "x_")
+    for i in range(3):
+        records(spark, [{"n": i}], i).write.mode("append").parquet(f"{folder}/in")
+    limited = topic.read_files(spark, f"{folder}/in", RECORD, bytes_per_trigger=1)
+    topic.run_to_end(limited, f"{folder}/cp", sink)
+    assert sink.last_counts == (2, 1, 0) and sink.documents().count() == 3

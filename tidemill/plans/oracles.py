@@ -286,6 +286,10 @@ ORACLES: dict[str, str] = {
     "mac_numbers": """
         select c_custkey, case when c_nationkey = 0 then -1
           else cast(6699 as bigint) * 16777216 + c_custkey % 16777216 end as mac from customer""",
+    "hashed_user_facts": """
+        select c_mktsegment, count(*) filter (where c_nationkey <> 0) as users,
+          count(*) filter (where c_nationkey = 0) as blank, cast(0 as bigint) as out_of_range,
+          count(distinct c_name) as distinct_hashes from customer group by c_mktsegment""",
     "money_amounts": """
         select c_custkey, case when c_nationkey <> 0 then abs(round(c_acctbal, 2)) end as amount
         from customer""",

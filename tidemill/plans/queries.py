@@ -286,6 +286,18 @@ def hashed_users(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def hashed_user_facts(spark: SparkSession, folder: str) -> DataFrame:
+    name = F.when(F.col("c_nationkey") == 0, "  ").otherwise(F.col("c_name"))
+    user = clean.hashed_user_id(name)
+    return table(spark, folder, "customer").groupBy("c_mktsegment").agg(
+        F.count(user).alias("users"),
+        F.count_if(user.isNull()).alias("blank"),
+        F.count_if((user < 0) | (user >= 10**8)).alias("out_of_range"),
+        F.countDistinct(clean.hash64(F.col("c_name"))).alias("distinct_hashes"),
+    )
+
+
 @query
 def money_amounts(spark: SparkSession, folder: str) -> DataFrame:
     text = F.when(F.col("c_nationkey") == 0, "n/a").otherwise(
@@ -409,19 +421,20 @@ def documents_by_index(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
+def _event_stream(spark: SparkSession, folder: str, bytes_per_trigger: int | None = None) -> DataFrame:
     # A pattern, because a stream takes a folder or a pattern but not a single file.
     path = f"{folder}/events*.parquet"
-    return topic.read_files(spark, path, table(spark, folder, "events").schema)
+    schema_ = table(spark, folder, "events").schema
+    return topic.read_files(spark, path, schema_, bytes_per_trigger=bytes_per_trigger)
 
 
 @query
 def topic_routing(spark: SparkSession, folder: str) -> DataFrame:
     base = shared_folder(spark, "routing")
     sink = RouteSink(spark, f"{base}/out", "prd_")
-    topic.run_to_end(
-        stand_in.topic_records(_event_stream(spark, folder)), f"{base}/progress", sink
-    )
+    # Routing does not depend on order, so a large backlog is worked off in batches.
+    stream = _event_stream(spark, folder, bytes_per_trigger=256 << 30)
+    topic.run_to_end(stand_in.topic_records(stream), f"{base}/progress", sink)
     written = sink.documents().groupBy("alias").agg(F.count(F.lit(1)).alias("n"))
     letters = sink.letters().agg(F.lit("dead letters").alias("alias"), F.count(F.lit(1)).alias("n"))
     return written.unionByName(letters)

@@ -46,12 +46,18 @@ def as_records(raw: DataFrame) -> DataFrame:
 
 def read_files(
     spark: SparkSession, path: str, schema: T.StructType | str, format: str = "parquet",
-    files_per_trigger: int | None = None,
+    files_per_trigger: int | None = None, bytes_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Files of a folder as a stream."""
+    """Files of a folder as a stream; a limit per batch is by files or by size.
+
+    Files are taken by age, so set a limit only where a batch may be processed
+    before files that hold earlier rows.
+    """
     reader = spark.readStream.format(format).schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    elif bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
     return reader.load(path)
 
 
