@@ -178,6 +178,33 @@ def test_time_filters_are_pushed(spark, folder):
     assert "GreaterThan(t," in text and "LessThanOrEqual(t," in text and out.count() == 1
 
 
+def test_heavy_keys_of_filter_joins_are_split(spark, folder):
+    spark.range(0, 600_000, 1, 8).selectExpr(
+        "id", "case when id % 3 = 0 then null else id end as k", "cast(xxhash64(id) as string) as pad"
+    ).write.parquet(f"{folder}/rows")
+    listed = spark.range(0, 2000).selectExpr("id * 2 + 1 as u")
+    split = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in split}
+    try:
+        for k, v in split.items():
+            spark.conf.set(k, v)
+        kept = predicates.exclude_listed(spark.read.parquet(f"{folder}/rows"), "k", listed, "u")
+        total = kept.agg(F.count("pad").alias("n"), F.max("pad"))
+        gone = sum(1 for u in range(1, 4000, 2) if u % 3)
+        assert total.collect()[0].n == 600_000 - gone
+        final = executed(total).split("== Initial Plan ==")[0]
+        assert "SortMergeJoin(skew=true)" in final
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 # -- change-only -----------------------------------------------------------------------
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemill.operators.computed import distinct_for_join
+
 
 def utc_naive(moment: datetime) -> datetime:
     """The moment in UTC without its zone; naive input already means UTC."""
@@ -74,6 +76,6 @@ def exclude_listed(
     when its size is under the session's threshold. Beyond that it is a sort
     merge anti join whose heavy keys adaptive execution splits.
     """
-    wanted = listed.filter(F.col(listed_key).isNotNull()).select(F.col(listed_key).alias("_listed"))
+    unwanted = distinct_for_join(listed, listed_key, "_listed")
     on = F.coalesce(F.col(key), F.lit(null_means)) == F.col("_listed")
-    return df.join(wanted.distinct(), on, "left_anti")
+    return df.join(unwanted, on, "left_anti")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.clean import list_literal_to_array, money_to_decimal
+from tidemill.operators.computed import distinct_for_join
 
 # A session is flagged above HIGH, of medium risk above MEDIUM.
 HIGH = 80
@@ -39,8 +40,8 @@ def flagged_sessions(df: DataFrame) -> DataFrame:
 
 def rows_of_flagged(df: DataFrame) -> DataFrame:
     """All rows of flagged ids (semi join on the distinct ids)."""
-    ids = df.filter(F.col("ATO_SCORE") > HIGH).select("CSID").distinct()
-    return df.join(ids, "CSID", "left_semi")
+    ids = distinct_for_join(df.filter(F.col("ATO_SCORE") > HIGH), "CSID", "_id")
+    return df.join(ids, F.col("CSID") == F.col("_id"), "left_semi")
 
 
 def critical_ids(df: DataFrame, top: int = 5) -> DataFrame:
@@ -59,13 +60,14 @@ def flagged_elements(df: DataFrame) -> DataFrame:
         _kind("state", F.transform("GEO_IP_STATE", F.lower)),
         _kind("factor", F.col("RISK_FACTORS")),
     )
-    flags = df.filter(F.col("ATO_SCORE") > HIGH).select("CSID").distinct()
+    flags = distinct_for_join(df.filter(F.col("ATO_SCORE") > HIGH), "CSID", "_id")
     pairs = (
         df.select("CSID", F.explode(kinds).alias("k"))
         .select("CSID", "k.kind", F.explode("k.elements").alias("element"))
         .distinct()
     )
-    return pairs.join(flags, "CSID", "left_semi").select("kind", "element").distinct()
+    flagged = pairs.join(flags, F.col("CSID") == F.col("_id"), "left_semi")
+    return flagged.select("kind", "element").distinct()
 
 
 def _kind(name: str, elements: Column) -> Column:
