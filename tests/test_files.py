@@ -95,6 +95,12 @@ def test_aliases(spark, folder):
             aliases.ensure(bad)
 
 
+def test_with_count(spark, folder):
+    df, counted = files.with_count(spark.range(7))
+    files.write_parquet(df, f"{folder}/n")
+    assert counted.get["n"] == 7
+
+
 def test_single_alias(spark):
     assert ensure_single(spark, "logs_alias", "logs", "id int") == "logs_alias"
     tables_ = [t.name for t in spark.catalog.listTables() if t.name.startswith("logs_1")]

@@ -84,7 +84,7 @@ def _prepared(df: DataFrame, renames: dict[str, str] | None, most: int | None) -
 def with_count(df: DataFrame) -> tuple[DataFrame, Observation]:
     """The frame, and the number of its rows (``["n"]``) once an action has run on it.
 
-    Saves a counting job of its own.
+    Saves a counting job of its own. For display: a retried task may count again.
     """
     counted = Observation()
     return df.observe(counted, F.count(F.lit(1)).alias("n")), counted

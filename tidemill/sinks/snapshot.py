@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.sinks.files import Folder, with_count
+from tidemill.sinks.files import Folder
 
 CONTROL_SCHEMA = (
     "JOB_NAME string, LAST_CREATED_TS timestamp_ntz, LAST_RUN_ID string,"
@@ -109,7 +109,7 @@ class SnapshotTable:
     def lookup(self, keys: DataFrame) -> DataFrame:
         """Rows of the given keys; only their buckets are read."""
         wanted = self._typed(keys, self.keys).distinct()
-        rows = self._read(self.last_commit(), self._touched(wanted), keys.sparkSession)
+        rows = self._read(self.last_commit(), set(self._touched(wanted)), keys.sparkSession)
         return rows.join(wanted, self.keys, "left_semi")
 
     # -- writing ---------------------------------------------------------
@@ -122,10 +122,10 @@ class SnapshotTable:
         """The columns in the table's types, which the bucket of a key depends on."""
         return df.select(*[F.col(c).cast(self.schema[c].dataType).alias(c) for c in columns])
 
-    def _touched(self, rows: DataFrame) -> set[int]:
-        """Buckets the rows fall into: only the bucket numbers reach the driver."""
-        found = rows.select(self.bucket().alias("b")).distinct().collect()
-        return {r.b for r in found}
+    def _touched(self, rows: DataFrame) -> dict[int, int]:
+        """Rows per bucket they fall into: one number per bucket reaches the driver."""
+        found = rows.groupBy(self.bucket().alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
+        return {r.b: r.n for r in found}
 
     def _rewrite(self, rows: DataFrame, previous: dict, touched: set[int]) -> dict[str, str]:
         """Write the touched buckets' new content; emptied buckets get an empty version.
@@ -151,26 +151,23 @@ class SnapshotTable:
         """Update matching keys, insert the others, and publish with the job's state.
 
         ``changes`` has one row per key. A NULL key matches nothing and is always
-        inserted. ``touched_by`` may name a cheaper frame with the same keys, from
-        which the touched buckets are found. Returns the commit; its job entry
-        holds ``rows_merged``.
+        inserted. ``touched_by`` may name a cheaper frame that the changes were
+        picked from, one per key; buckets and counts are then taken from its
+        distinct keys. Returns the commit; its job entry holds ``rows_merged``.
         """
         previous = self.last_commit()
         new = self._typed(changes, self.schema.names)
         touched = self._touched(
-            new if touched_by is None else self._typed(touched_by, self.keys)
+            new if touched_by is None else self._typed(touched_by, self.keys).distinct()
         )
-        merged, versions = 0, {}
+        versions = {}
         if touched:
-            # A streaming batch has a session of its own, and the count arrives there.
-            base = self._read(previous, touched, changes.sparkSession)
+            base = self._read(previous, set(touched), changes.sparkSession)
             kept = base.join(new.select(*self.keys), self.keys, "left_anti")
             kept = kept.select(*self.schema.names)
-            added, counted = with_count(new)
-            versions = self._rewrite(kept.unionByName(added), previous, touched)
-            merged = counted.get["n"]
-        jobs = {job: {**(job_state or {}), "rows_merged": merged, "at": _now()}} if job else {}
-        return self._publish(previous, versions, jobs)
+            versions = self._rewrite(kept.unionByName(new), previous, set(touched))
+        state = {**(job_state or {}), "rows_merged": sum(touched.values()), "at": _now()}
+        return self._publish(previous, versions, {job: state} if job else {})
 
     def save_job(self, job: str, state: dict) -> dict:
         """Publish a job's state without touching data."""
@@ -180,13 +177,11 @@ class SnapshotTable:
     def delete(self, condition: Column) -> int:
         """Remove the rows the condition holds for, and return how many there were."""
         previous = self.last_commit()
-        doomed = self.read().filter(condition)
-        counts = doomed.groupBy(self.bucket().alias("b")).count().collect()  # one row per bucket
-        touched = {r.b for r in counts}
+        touched = self._touched(self._read(previous, None).filter(condition))
         if touched:
-            kept = self._read(previous, touched).filter(~F.coalesce(condition, F.lit(False)))
-            self._publish(previous, self._rewrite(kept, previous, touched), {})
-        return sum(r["count"] for r in counts)
+            kept = self._read(previous, set(touched)).filter(~F.coalesce(condition, F.lit(False)))
+            self._publish(previous, self._rewrite(kept, previous, set(touched)), {})
+        return sum(touched.values())
 
     # -- control rows ----------------------------------------------------
 

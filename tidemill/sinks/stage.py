@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.operators.predicates import utc_naive
-from tidemill.sinks.files import Folder, with_count
+from tidemill.sinks.files import Folder
 
 RUN_COLUMNS = ["ETL_RUN_ID", "ETL_JOB_NAME", "ETL_LOADED_AT"]
 _PLAIN = re.compile(r"^[A-Za-z0-9_.-]+$")
@@ -30,11 +30,10 @@ class Stage:
     def append(self, df: DataFrame, job: str, run_id: str, loaded_at: datetime) -> int:
         """Write the rows of a run, and return how many. A repeated run replaces its own rows."""
         loaded = F.lit(utc_naive(loaded_at).isoformat(sep=" ")).cast("timestamp_ntz")
-        rows, counted = with_count(
-            df.select(*self.schema.names).withColumn("ETL_LOADED_AT", loaded)
-        )
+        rows = df.select(*self.schema.names).withColumn("ETL_LOADED_AT", loaded)
         rows.write.mode("overwrite").parquet(f"{self.path}/{self._run_path(job, run_id)}")
-        return counted.get["n"]
+        # Counted from the footers of the committed files, so retried tasks do not matter.
+        return self.rows(job, run_id).count()
 
     def rows(self, job: str, run_id: str) -> DataFrame:
         """Rows of one run with all run columns."""
