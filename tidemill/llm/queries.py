@@ -6,9 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import chat, quality_rules
+from tidemill.llm import chat, cotraining, licenses, mixing, near_dup, quality_rules
 from tidemill.llm.packing import pack_documents
 from tidemill.llm.token_store import read_tokens, train_dictionary, write_tokens
+from tidemill.llm.topk import top_k
+from tidemill.llm.wordpiece import count_pieces
 from tidemill.session import shared_folder
 
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
@@ -28,6 +30,32 @@ def op1_token_store(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return count_pieces(
+        _table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+
+
+def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    # Documents stand in for files: source, language and ranges of ids are their directories.
+    path = F.expr(
+        "concat_ws('/', coalesce(source, '-'), coalesce(lang, '-'), cast(doc_id div 4000 as string),"
+        " cast(doc_id div 200 as string), concat(cast(doc_id as string), '.txt'))"
+    )
+    files = _table(spark, folder, "documents").select(path.alias("path"), "text")
+    doc_id = F.regexp_extract("path", r"(-?\d+)\.txt$", 1).cast("long")
+    return licenses.scan(files).select(
+        doc_id.alias("doc_id"), "own", "score", "n_licenses", "inherited", "from_directory", "license"
+    )
+
+
+def op4_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings")
+    return top_k(vectors, vectors.where("vec_id % 100 = 0"), 10).select(
+        "query_id", "rank", "vec_id", "score"
+    )
+
+
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = pack_documents(
         _table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), "white",
@@ -39,6 +67,17 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dup.grouped(_table(spark, folder, "documents"))
+
+
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return mixing.mixed(docs, ["doc_id"], entropy=0.5).select(
+        "row.doc_id", "source", "n_tokens", "block", "weight", "epochs", "copies"
+    )
+
+
 def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     rows = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     control = F.explode(F.array(*[
@@ -64,6 +103,11 @@ def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    return cotraining.classify(docs, labels, ["doc_id"]).select("row.doc_id", "score", "kept")
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judged(_table(spark, folder, "documents"), ["doc_id"]).select(
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -73,12 +117,33 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_store": op1_token_store,
+    "op2_token_counts": op2_token_counts,
+    "op3_licenses": op3_licenses,
+    "op4_top_k": op4_top_k,
     "op5_packing": op5_packing,
+    "op6_near_duplicates": op6_near_duplicates,
+    "op7_mixing": op7_mixing,
     "op8_chat_format": op8_chat_format,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLES = {
+    "op4_top_k": """
+        with v as (
+            select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as e
+            from embeddings
+            where vec_id is not null and embedding is not null
+                and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+        ),
+        pairs as (
+            select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.e, c.e) as bigint) as score
+            from v q join v c on q.vec_id <> c.vec_id and len(q.e) = len(c.e) where q.vec_id % 100 = 0
+        )
+        select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank,
+            vec_id, score
+        from pairs qualify rank <= 10
+    """,
     "op8_chat_format": r"""
         with turns as (
             select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations

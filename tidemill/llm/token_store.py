@@ -47,16 +47,12 @@ def train_dictionary(
 ) -> bytes:
     """A dictionary trained on serialised ids of at most ``documents`` documents.
 
-    The sample is the documents with the smallest hashes of id and text, each cut to ``chars``
+    The sample is taken from as few input files as it needs, each text cut to ``chars``
     characters. It bounds the training only: the dictionary changes the size of the frames,
     never what is read back. Empty, if there is too little to learn from.
     """
-    order = F.xxhash64(F.col(doc_id), F.col(text))
-    sample = (
-        docs.where(F.length(text) > 0)
-        .select(order.alias("o"), F.substring(F.col(text), 1, chars).alias("t"))
-        .orderBy("o", "t").limit(documents).collect()
-    )
+    some = docs.where((F.length(text) > 0) & (F.pmod(F.xxhash64(F.col(doc_id)), F.lit(4)) == 0))
+    sample = some.select(F.substring(F.col(text), 1, chars).alias("t")).limit(documents).collect()
     arrays = [_narrow(x, width) for x in encoder(tokenizer, rule).encode([r.t for r in sample])]
     if sum(map(len, arrays)) < 8 * size:
         return b""
@@ -66,8 +62,12 @@ def train_dictionary(
         return b""
 
 
-def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:
-    return zstandard.ZstdCompressionDict(data) if data else None
+def _dictionary(data: bytes, level: int = 3) -> zstandard.ZstdCompressionDict | None:
+    if not data:
+        return None
+    dictionary = zstandard.ZstdCompressionDict(data)
+    dictionary.precompute_compress(level=level)
+    return dictionary
 
 
 def write_tokens(
@@ -90,7 +90,7 @@ def write_tokens(
 
     def blocks(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer, rule).encode
-        compress = zstandard.ZstdCompressor(level=level, dict_data=_dictionary(dictionary)).compress
+        compress = zstandard.ZstdCompressor(level=level, dict_data=_dictionary(dictionary, level)).compress
         part = TaskContext.get().partitionId()
         number, before, size, held, ids, counts = 0, 0, 0, [], [], []
 

@@ -5,7 +5,8 @@ only where the tokenizer's own pre-tokenisation ends a piece, so the ids of the
 chunks, joined, are the ids of the whole text. The cut rules:
 
 ``space``  byte-level BPE whose pieces are an optional space and what follows: a cut
-           before every single space between two characters that aren't white space.
+           before every single space, and around every single line feed, between two
+           characters that aren't white space.
 ``white``  tokenizers that drop white space: a cut at every space and line feed.
 ``None``   any other tokenizer: the whole text is one chunk and nothing is cached.
 """
@@ -20,8 +21,9 @@ from itertools import chain
 import numpy as np
 
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-# Marks a chunk that starts its text; other chunks of the rule "space" follow a space.
-_FIRST = "\t"
+# Marks a chunk that no space precedes; with the rule "space", one precedes all others.
+_BARE = "\t"
+_JOINED = 2_000
 
 
 class ChunkEncoder:
@@ -33,48 +35,75 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.joining = Tokenizer.from_file(path)
+        added = {i: t.content for i, t in self.joining.get_added_tokens_decoder().items()}
+        # Chunks go to the tokenizer joined by a special token, which ends a piece on both sides.
+        self.mark, self.marker = max(added.items(), default=(None, None))
+        self.special = re.compile("|".join(map(re.escape, added.values())) or "(?!)")
         self.rule, self.cached_chars, self.chars = rule, cached_chars, 0
+        # Chunks in use, and those that were when the last generation ended.
         self.known: dict[str, bytes | None] = {}
+        self.before: dict[str, bytes | None] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in encoded]
 
+    def _chunk_ids(self, texts: list[str]) -> list[bytes]:
+        out = []
+        for i in range(0, len(texts), _JOINED):
+            some = texts[i:i + _JOINED]
+            joined = self.marker and self.marker.join(some)
+            if not joined or self.special.search("\n".join(some)):
+                out += self._ids(some)
+                continue
+            ids = np.array(self.joining.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = [*(4 * np.flatnonzero(ids == self.mark)).tolist(), 4 * len(ids)]
+            data, start = ids.tobytes(), 0
+            for end in ends:
+                out.append(data[start:end])
+                start = end + 4
+        return out
+
     def _chunks(self, text: str) -> list[str]:
         if self.rule == "white":
             return text.replace("\n", " ").split(" ")
-        first, *rest = text.split(" ")
-        return [_FIRST + first, *rest]
+        if _BARE in text:
+            return [""]
+        return (_BARE + text.replace("\n", f" {_BARE}\n {_BARE}")).split(" ")
 
     def _text(self, chunk: str) -> str:
         if self.rule == "white":
             return chunk
-        return chunk[1:] if chunk[:1] == _FIRST else " " + chunk
+        return chunk[1:] if chunk[:1] == _BARE else " " + chunk
 
     def _regular(self, chunk: str) -> bool:
-        if self.rule == "white":
+        if self.rule == "white" or chunk == _BARE + "\n":
             return True
-        body = chunk[1:] if chunk[:1] == _FIRST else chunk
+        body = chunk[1:] if chunk[:1] == _BARE else chunk
         return bool(body) and not body[0].isspace() and not body[-1].isspace()
 
     def _learn(self, chunks: set[str]) -> None:
-        regular = [c for c in chunks if self._regular(c)]
-        self.known.update(dict.fromkeys(chunks))
-        self.known.update(zip(regular, self._ids([self._text(c) for c in regular])))
-        self.chars += sum(map(len, chunks))
+        if self.chars > self.cached_chars:
+            self.before, self.known, self.chars = self.known, {}, 0
+        missing = chunks - self.known.keys()
+        self.chars += sum(map(len, missing))
+        again = missing & self.before.keys()
+        self.known.update((c, self.before[c]) for c in again)
+        missing -= again
+        regular = [c for c in missing if self._regular(c)]
+        self.known.update(dict.fromkeys(missing))
+        self.known.update(zip(regular, self._chunk_ids([self._text(c) for c in regular])))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.rule is None:
             return self._ids(texts)
-        if self.chars > self.cached_chars:
-            self.known.clear()
-            self.chars = 0
         cut = [self._chunks(t) for t in texts]
-        self._learn(set(chain.from_iterable(cut)) - self.known.keys())
+        self._learn(set(chain.from_iterable(cut)))
         out = []
         for text, chunks in zip(texts, cut):
             ids = list(map(self.known.__getitem__, chunks))
-            if None in ids:  # a chunk starts or ends with white space: cut at single spaces only
+            if None in ids:  # white space that isn't single: cut at single spaces only
                 first, *rest = _SINGLE_SPACE.split(text)
                 ids = self._ids([first, *(" " + c for c in rest)])
             out.append(b"".join(ids))
