@@ -7,7 +7,7 @@ it holds one of the words that make up most of a template's weight, so other lin
 taken apart.
 
 A file without a licence of its own takes that of its nearest ancestor directory that has one: the
-licence most of the directory's governing files carry.
+licence that most files right in that directory carry, licence files first.
 """
 
 from __future__ import annotations
@@ -126,10 +126,11 @@ def own_licenses(
         dots.join(norms, unit)
         .select(*unit, "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score"))
         .where(F.col("score") >= alike)
-        .groupBy(*unit).agg(F.max(F.struct("score", F.col("license"))).alias("top"), F.collect_list(F.struct("score", "license")).alias("all"))
+        .groupBy(*unit).agg(F.min(F.struct((-F.col("score")).alias("rank"), "license")).alias("top"))
+    )
+    return best.select(
+        "path", "unit", F.col("top.license").alias("license"), (-F.col("top.rank")).alias("score")
     )
-    first = F.array_min(F.transform(F.filter("all", lambda x: x.score == F.col("top.score")), lambda x: x.license))
-    return best.select("path", "unit", first.alias("license"), F.col("top.score").alias("score"))
 
 
 def parent(path: Column) -> Column:
@@ -152,33 +153,28 @@ def scan(
 ) -> DataFrame:
     """A row per file: path, own (licence), score, n_licenses, inherited, from_directory, license.
 
-    A file's own licence is that of its best unit, ties to the first name. It governs its directory
-    if its name says that it holds a licence or if the unit is its first line. A directory's licence
-    is the one most governing files carry, ties to the first name. Rows of one path count as one
-    file. Null paths are left out, since they have no place; null and empty texts have no licence;
+    A file's own licence is that of its best unit, ties to the first name. A directory's licence is
+    the one most of its licence files carry (files whose name says so), or most of its files if it
+    has none; ties go to the first name. Rows of one path count as one file. Null paths are left out, since they have no place; null and empty texts have no licence;
     other columns are ignored. An empty table gives no rows.
     """
     plain = files.where(F.col(path).isNotNull()).select(
         F.col(path).cast("string").alias("path"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
     units = written(own_licenses(plain, templates, alike), "license-units")
-    ranked = F.struct(-F.col("score"), F.col("license"))
+    ranked = F.struct((-F.col("score")).alias("rank"), "license")
     own = written(
-        units.groupBy("path").agg(
-            F.min(ranked).alias("best"), F.count_distinct("license").alias("n_licenses"),
-            F.min(F.when(F.col("unit") <= 1, ranked)).alias("governing"),
-        ).select(
-            "path", F.col("best.license").alias("own"), (-F.col("best.col1")).alias("score"),
-            "n_licenses", F.col("governing.license").alias("governing"),
-        ),
+        units.groupBy("path")
+        .agg(F.min(ranked).alias("best"), F.count_distinct("license").alias("n_licenses"))
+        .select("path", F.col("best.license").alias("own"), (-F.col("best.rank")).alias("score"), "n_licenses"),
         "license-own",
     )
-    votes = (
-        own.where("governing is not null").groupBy(parent(F.col("path")).alias("up"), "governing")
-        .agg(F.count("*").alias("n"))
+    named = F.count(F.when(F.col("path").rlike(NAMES), 1))
+    votes = own.groupBy(parent(F.col("path")).alias("up"), F.col("own").alias("license")).agg(
+        (-named).alias("named"), (-F.count("*")).alias("n")
     )
     by_directory = votes.groupBy("up").agg(
-        F.min(F.struct(-F.col("n"), F.col("governing").alias("license"))).alias("first")
+        F.min(F.struct("named", "n", "license")).alias("first")
     ).select("up", F.col("first.license").alias("license"))
     placed = plain.select("path").distinct().withColumn("directory", parent(F.col("path")))
     # A directory is resolved once, however many files it has.
@@ -192,7 +188,7 @@ def scan(
     )
     alone = F.col("own").isNull()
     return (
-        placed.join(own.drop("governing"), "path", "left").join(nearest, "directory", "left")
+        placed.join(own, "path", "left").join(nearest, "directory", "left")
         .select(
             "path", "own", "score", F.coalesce("n_licenses", F.lit(0)).alias("n_licenses"),
             F.when(alone, F.col("inherited")).alias("inherited"),

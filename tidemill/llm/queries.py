@@ -37,10 +37,12 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
-    # Documents stand in for files: source, language and ranges of ids are their directories.
+    # Documents stand in for files: source, language and ranges of ids are their directories, at
+    # four depths.
     path = F.expr(
-        "concat_ws('/', coalesce(source, '-'), coalesce(lang, '-'), cast(doc_id div 4000 as string),"
-        " cast(doc_id div 200 as string), concat(cast(doc_id as string), '.txt'))"
+        "concat(array_join(slice(array(coalesce(source, '-'), coalesce(lang, '-'),"
+        " cast(doc_id div 4000 as string), cast(doc_id div 200 as string)), 1,"
+        " cast(1 + pmod(doc_id, 4) as int)), '/'), '/', cast(doc_id as string), '.txt')"
     )
     files = _table(spark, folder, "documents").select(path.alias("path"), "text")
     doc_id = F.regexp_extract("path", r"(-?\d+)\.txt$", 1).cast("long")
