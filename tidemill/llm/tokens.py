@@ -23,87 +23,111 @@ import numpy as np
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 # Marks a chunk that no space precedes; with the rule "space", one precedes all others.
 _BARE = "\t"
+_FEED = _BARE + "\n"
 _JOINED = 2_000
 
 
 class ChunkEncoder:
     """``encode(texts)`` gives the ids of each text as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str, rule: str | None, cached_chars: int = 4_000_000):
+    def __init__(self, path: str, rule: str | None, cached_chars: int = 8_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.joining = Tokenizer.from_file(path)
-        added = {i: t.content for i, t in self.joining.get_added_tokens_decoder().items()}
-        # Chunks go to the tokenizer joined by a special token, which ends a piece on both sides.
-        self.mark, self.marker = max(added.items(), default=(None, None))
-        self.special = re.compile("|".join(map(re.escape, added.values())) or "(?!)")
         self.rule, self.cached_chars, self.chars = rule, cached_chars, 0
-        # Chunks in use, and those that were when the last generation ended.
-        self.known: dict[str, bytes | None] = {}
-        self.before: dict[str, bytes | None] = {}
+        # Chunks in use, and those that were when the last generation ended. False: not regular.
+        self.known: dict[str, bytes | bool] = {}
+        self.before: dict[str, bytes | bool] = {}
+        if rule:
+            # Byte-level tokens spell a character per byte.
+            vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+            self.bytes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+            for token, i in vocabulary.items():
+                self.bytes[i] = len(token.removesuffix("</w>") if rule == "white" else token)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in encoded]
 
-    def _chunk_ids(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for i in range(0, len(texts), _JOINED):
-            some = texts[i:i + _JOINED]
-            joined = self.marker and self.marker.join(some)
-            if not joined or self.special.search("\n".join(some)):
-                out += self._ids(some)
-                continue
-            ids = np.array(self.joining.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
-            ends = [*(4 * np.flatnonzero(ids == self.mark)).tolist(), 4 * len(ids)]
-            data, start = ids.tobytes(), 0
-            for end in ends:
-                out.append(data[start:end])
-                start = end + 4
-        return out
+    def _together(self, chunks: list[str]) -> list[bytes] | None:
+        """The ids of chunks encoded as one text, parted by the bytes that the tokens spell."""
+        if self.rule == "white":
+            text = " ".join(chunks)
+            spelt = self.tokenizer.normalizer.normalize_str(text).split(" ")
+            sizes = np.array([len(c.encode()) for c in spelt])
+            gaps = np.zeros(len(spelt), dtype=np.int64)
+        else:
+            parts = ["\n" + c[1:] if c[:1] == _BARE else " " + c for c in chunks]
+            text = "".join(parts)
+            gaps = np.array([c[:1] == _BARE for c in chunks], dtype=np.int64)
+            sizes = np.array([len(p.encode()) for p in parts]) - gaps
+        ids = np.array(
+            self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4"
+        )
+        ends = np.cumsum(gaps + sizes)
+        upto = np.concatenate([[0], np.cumsum(self.bytes[ids])])
+        if len(sizes) != len(chunks) or upto[-1] != ends[-1]:
+            return None
+        first, last = np.searchsorted(upto, ends - sizes), np.searchsorted(upto, ends)
+        if (upto[first] != ends - sizes).any() or (upto[last] != ends).any():
+            return None
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip((4 * first).tolist(), (4 * last).tolist())]
 
     def _chunks(self, text: str) -> list[str]:
         if self.rule == "white":
             return text.replace("\n", " ").split(" ")
         if _BARE in text:
             return [""]
-        return (_BARE + text.replace("\n", f" {_BARE}\n {_BARE}")).split(" ")
-
-    def _text(self, chunk: str) -> str:
-        if self.rule == "white":
-            return chunk
-        return chunk[1:] if chunk[:1] == _BARE else " " + chunk
+        return (_BARE + text.replace("\n", f" {_FEED} {_BARE}")).split(" ")
 
     def _regular(self, chunk: str) -> bool:
-        if self.rule == "white" or chunk == _BARE + "\n":
+        if self.rule == "white":
             return True
         body = chunk[1:] if chunk[:1] == _BARE else chunk
         return bool(body) and not body[0].isspace() and not body[-1].isspace()
 
-    def _learn(self, chunks: set[str]) -> None:
+    def _learn(self, missing: set[str]) -> None:
         if self.chars > self.cached_chars:
             self.before, self.known, self.chars = self.known, {}, 0
-        missing = chunks - self.known.keys()
         self.chars += sum(map(len, missing))
         again = missing & self.before.keys()
         self.known.update((c, self.before[c]) for c in again)
         missing -= again
+        if self.rule == "white":
+            self.known[""] = b""
+            missing.discard("")
+        elif _FEED in missing:
+            self.known[_FEED] = self._ids(["\n"])[0]
+            missing.discard(_FEED)
         regular = [c for c in missing if self._regular(c)]
-        self.known.update(dict.fromkeys(missing))
-        self.known.update(zip(regular, self._chunk_ids([self._text(c) for c in regular])))
+        self.known.update(dict.fromkeys(missing, False))
+        if self.rule == "white":  # other white space inside would count as a cut
+            odd = [c for c in regular if c.split() != [c]]
+            self.known.update(zip(odd, self._ids(odd)))
+            regular = [c for c in regular if c.split() == [c]]
+        for i in range(0, len(regular), _JOINED):
+            some = regular[i:i + _JOINED]
+            ids = self._together(some)
+            if ids is None:
+                ids = self._ids([c[1:] if c[:1] == _BARE else " " + c for c in some]
+                                if self.rule == "space" else some)
+            self.known.update(zip(some, ids))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.rule is None:
             return self._ids(texts)
         cut = [self._chunks(t) for t in texts]
-        self._learn(set(chain.from_iterable(cut)))
+        found = [list(map(self.known.get, chunks)) for chunks in cut]
+        missing = [[i for i, x in enumerate(ids) if x is None] if None in ids else () for ids in found]
+        self._learn({chunks[i] for chunks, gaps in zip(cut, missing) for i in gaps})
         out = []
-        for text, chunks in zip(texts, cut):
-            ids = list(map(self.known.__getitem__, chunks))
-            if None in ids:  # white space that isn't single: cut at single spaces only
+        for text, chunks, ids, gaps in zip(texts, cut, found, missing):
+            for i in gaps:
+                ids[i] = self.known[chunks[i]]
+            if False in ids:  # white space that isn't single: cut at single spaces only
                 first, *rest = _SINGLE_SPACE.split(text)
                 ids = self._ids([first, *(" " + c for c in rest)])
             out.append(b"".join(ids))
