@@ -41,6 +41,21 @@ def test_positional_names(spark, folder):
     assert back.count() == 2
 
 
+def test_delimited_round_trip_of_odd_texts(spark, folder):
+    texts = ["", None, 'say "hi"', "a\tb", "c\nd", "e\\", '\\"', " f ", "\\N x", '"']
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    delimited.write_delimited(df, f"{folder}/out")
+    back = delimited.read_written(spark, f"{folder}/out", df.schema).collect()
+    assert {r.i: r.t for r in back} == dict(enumerate(texts))
+
+
+@pytest.mark.parametrize("sep", [".", "|", "\t", "||"])
+def test_a_separator_is_plain_text(spark, sep):
+    lines = spark.createDataFrame([(sep.join(["a", "b"]),)], "value string")
+    fields = [delimited.RawField("x"), delimited.RawField("y")]
+    assert tuple(delimited.accepted(delimited.parse_lines(lines, fields, sep)).first()) == ("a", "b")
+
+
 def test_safe_export_chooses_by_type(spark, folder):
     plain = spark.sql("select 1 as a, null as v, date'2026-01-01' as d")
     assert files.safe_export(plain, f"{folder}/x") == f"{folder}/x"

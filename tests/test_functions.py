@@ -43,9 +43,9 @@ def test_hashed_user_id(spark):
 def test_money_and_lists(spark):
     got = evaluate(spark, ["$1,234.50", "abc", "12", None], clean.money_to_decimal)
     assert [None if v is None else float(v) for v in got] == [1234.5, None, 12.0, None]
-    lists = ["['a', 'b']", '["a", "it\'s"]', "[]", "nonsense", None]
+    lists = ["['a', 'b']", '["a", "it\'s"]', "[]", "nonsense", None, "['a', None]"]
     assert evaluate(spark, lists, clean.list_literal_to_array) == [
-        ["a", "b"], ["a", "it's"], [], None, None]
+        ["a", "b"], ["a", "it's"], [], None, None, ["a", None]]
 
 
 def test_int_list(spark):

@@ -96,27 +96,72 @@ def test_policies(spark, folder):
     assert len(letters) == len(VALUES) and all("index is down" in r.value for r in letters)
 
 
+def held(sink):
+    return {(r.doc_id, json.loads(r.document)["n"], r.offset) for r in sink.documents().collect()}
+
+
 def test_upsert(spark, folder):
-    sink = UpsertSink(spark, folder, "x_", buckets=4, changes_only=True)
+    sink = UpsertSink(spark, folder, "x_", changes_only=True)
     doc = lambda n: {"product_type": "w", "n": n}
-    sink(records(spark, [doc(1), doc(2), doc(9)], 0, ["a", "a", "b"]), 0)
-    held = lambda: {(r.doc_id, json.loads(r.document)["n"], r.offset) for r in sink.documents().collect()}
-    assert held() == {("a", 2, 1), ("b", 9, 2)}
-    sink(records(spark, [doc(7)], 0, ["a"]), 0)  # replay of a published batch
-    assert held() == {("a", 2, 1), ("b", 9, 2)}
+    first = records(spark, [doc(1), doc(2), doc(9)], 0, ["a", "a", "b"])
+    sink(first, 0)
+    assert held(sink) == {("a", 2, 1), ("b", 9, 2)}
+    sink(first, 0)  # replay
+    assert held(sink) == {("a", 2, 1), ("b", 9, 2)}
     sink(records(spark, [doc(3), doc(2), doc(8)], 10, ["a", "a", "b"]), 1)
-    assert held() == {("a", 2, 1), ("b", 8, 12)}
-    plain = UpsertSink(spark, f"{folder}/plain", "x_", buckets=4)
+    assert held(sink) == {("a", 2, 11), ("b", 8, 12)}
+    sink.compact(1)
+    sink(first, 0)  # replay of a compacted batch
+    sink(records(spark, [doc(2), doc(8), doc(1)], 20, ["a", "b", "b"]), 2)
+    assert held(sink) == {("a", 2, 11), ("b", 1, 22)}
+    plain = UpsertSink(spark, f"{folder}/plain", "x_")
     plain(records(spark, [doc(1), [doc(2), doc(3)]], 0, ["a", None]), 0)
     assert plain.documents().count() == 3
 
 
+def test_upsert_does_not_depend_on_the_batches(spark, folder):
+    values = [{"product_type": "w", "n": (i * 7 // 5) % 3} for i in range(60)]
+    keys = [f"k{i * i % 4}" for i in range(60)]
+    last = {}
+    for i, (key, value) in enumerate(zip(keys, values)):
+        if key not in last or last[key][0] != value["n"]:
+            last[key] = (value["n"], i)
+    want = {(k, n, i) for k, (n, i) in last.items()}
+    for batches in (1, 3, 10):
+        sink = UpsertSink(spark, f"{folder}/{batches}", "x_", changes_only=True, compact_every=4)
+        size = 60 // batches
+        for b in range(batches):
+            part = slice(b * size, (b + 1) * size)
+            sink(records(spark, values[part], b * size, keys[part]), b)
+        assert held(sink) == want
+
+
 def test_upsert_inside_a_stream(spark, folder):
-    sink = UpsertSink(spark, f"{folder}/out", "x_", buckets=4, changes_only=True)
+    sink = UpsertSink(spark, f"{folder}/out", "x_", changes_only=True)
     frames = [records(spark, [{"n": 1}, {"n": 2}], 0, ["a", "b"]), records(spark, [{"n": 1}, {"n": 5}], 2, ["a", "b"])]
     topic.run_to_end(stream(spark, folder, frames), f"{folder}/cp", sink)
-    held = {(r.doc_id, json.loads(r.document)["n"], r.offset) for r in sink.documents().collect()}
-    assert held == {("a", 1, 0), ("b", 5, 3)}
+    assert held(sink) == {("a", 1, 0), ("b", 5, 3)}
+
+
+def test_a_retried_batch_leaves_no_record_in_both_places(spark, folder):
+    class Flaky(RouteSink):
+        broken = True
+
+        def write_documents(self, documents, batch_id):
+            super().write_documents(documents, batch_id)
+            if self.broken:
+                raise OSError("index is down")
+
+    sink = Flaky(spark, folder, "x_", letters_for_failed_batches=True)
+    batch = records(spark, [{"n": 1}, {"n": 2}])
+    sink(batch, 0)
+    assert sink.letters().count() == 2 and sink.documents().count() == 0
+    sink.broken = False
+    sink(batch, 0)
+    assert sink.letters().count() == 0 and sink.documents().count() == 2
+    sink.broken = True
+    sink(batch, 0)
+    assert sink.letters().count() == 2 and sink.documents().count() == 0
 
 
 def test_change_only_across_batches(spark, folder):
@@ -145,6 +190,10 @@ def test_windowed_alerts_and_rollup(spark, folder):
     excluded = spark.createDataFrame([(2,), (None,)], "id bigint")
     kept = exclude_listed(source, "user", excluded, "id")
     outputs = [Output("user", "key"), Output("ts", "max"), Output("value", "min"), Output("n", "count")]
+    topic.update_to_end(windowed_alerts(source, "ts", "value"), f"{folder}/u", f"{folder}/ucp")
+    schema = spark.read.parquet(f"{folder}/a").schema
+    every = topic.updated(spark, f"{folder}/u", schema, ["window_start", "label"]).collect()
+    assert {(r.window_start.minute, r.label, r.n) for r in every} == {*got, (30, None, 1)}
     rolled = streaming_rollup(kept, outputs, ["user"])
     topic.append_to_end(rolled, f"{folder}/r", f"{folder}/rcp")
     got = {(r.user, r.ts.second, r.value, r.n) for r in spark.read.parquet(f"{folder}/r").collect()}

@@ -55,7 +55,9 @@ def list_literal_to_array(text: Column) -> Column:
     """List text such as ``['a', 'b']`` (either quote) as array<string>, else NULL."""
     bare = F.trim(text)
     looks_like_list = F.startswith(bare, F.lit("[")) & F.endswith(bare, F.lit("]"))
-    items = F.from_json(text, "array<string>", {"allowSingleQuotes": "true"})
+    # A bare None between the items is a missing one.
+    bare_none = F.regexp_replace(bare, r"(?<=[\[,])\s*None\s*(?=[,\]])", "null")
+    items = F.from_json(bare_none, "array<string>", {"allowSingleQuotes": "true"})
     return F.when(looks_like_list, items)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.clean import list_literal_to_array, money_to_decimal
@@ -60,14 +60,11 @@ def flagged_elements(df: DataFrame) -> DataFrame:
         _kind("state", F.transform("GEO_IP_STATE", F.lower)),
         _kind("factor", F.col("RISK_FACTORS")),
     )
-    flags = distinct_for_join(df.filter(F.col("ATO_SCORE") > HIGH), "CSID", "_id")
-    pairs = (
-        df.select("CSID", F.explode(kinds).alias("k"))
-        .select("CSID", "k.kind", F.explode("k.elements").alias("element"))
+    return (
+        rows_of_flagged(df).select(F.explode(kinds).alias("k"))
+        .select("k.kind", F.explode("k.elements").alias("element"))
         .distinct()
     )
-    flagged = pairs.join(flags, F.col("CSID") == F.col("_id"), "left_semi")
-    return flagged.select("kind", "element").distinct()
 
 
 def _kind(name: str, elements: Column) -> Column:
@@ -125,28 +122,29 @@ def report_lines(df: DataFrame) -> DataFrame:
     ).unionByName(elements)
 
 
-def report_sentence(lines: DataFrame, most_items: int = 10_000) -> DataFrame:
-    """The report as one row of text, for sections of at most ``most_items`` items.
+def report_summary(lines: DataFrame, top: int = 5) -> DataFrame:
+    """The report's figures as one row, for any number of items.
 
-    A longer section raises rather than being cut: use `report_lines` for it. The
-    lines are read twice, so pass written ones.
+    The flagged ids and their amount, the critical ids, and per kind of element how many there are
+    and the first ``top`` of them by name. `report_lines` has all items.
     """
-    sizes = lines.groupBy("section").agg(F.count(F.lit(1)).alias("n"))
-    too_long = sizes.filter(F.col("n") > most_items).agg(F.count(F.lit(1))).scalar()
-    guarded = lines.filter(
-        F.when(too_long > 0, F.raise_error(F.lit("a section is too long for one sentence")))
-        .otherwise(F.lit("x")) == "x"
+    kinds = ["factor", "state", "country"]
+    first = Window.partitionBy("section").orderBy("item")
+    few = (
+        lines.filter(F.col("section").isin("critical", *kinds))
+        .withColumn("_i", F.row_number().over(first)).filter(F.col("_i") <= top)
+        .groupBy("section").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    )
+    counts = lines.groupBy("section").agg(
+        F.count(F.lit(1)).alias("n"), F.max("amount").alias("amount"), F.max("item").alias("item")
     )
+    joined = counts.join(few, "section", "left")
 
-    def listed(section: str) -> Column:
-        items = F.collect_list(F.when(F.col("section") == section, F.col("item")))
-        return F.array_join(F.array_sort(items), ", ")
+    def of(section: str, column: str) -> Column:
+        return F.max(F.when(F.col("section") == section, F.col(column)))
 
-    total = F.max(F.when(F.col("section") == "flagged", F.col("amount")))
-    count = F.max(F.when(F.col("section") == "flagged", F.col("item")))
-    text = F.format_string(
-        "%s sessions had suspected fraud indicators such as %s. About $%,.2f was processed in"
-        " them. The most critical are %s. Unusual states: %s. Countries: %s.",
-        count, listed("factor"), total, listed("critical"), listed("state"), listed("country"),
+    named = [F.array_join(of(k, "items"), ", ").alias(f"first_{k}") for k in ["critical", *kinds]]
+    return joined.agg(
+        of("flagged", "item").cast("bigint").alias("flagged"), of("flagged", "amount").alias("amount"),
+        *[F.coalesce(of(k, "n"), F.lit(0)).alias(f"n_{k}") for k in kinds], *named,
     )
-    return guarded.agg(text.alias("report"))

@@ -41,7 +41,7 @@ class Output:
 
 def rollup(
     df: DataFrame, outputs: list[Output], keys: list[str], ts: str = "ts",
-    minute: Column | None = None,
+    minute: Column | None = None, emit_minute: str | None = None,
 ) -> DataFrame:
     """One row per key combination and minute of ``ts``.
 
@@ -66,6 +66,9 @@ def rollup(
             columns.append(o.column())
         else:
             columns.append(F.col(o.name))
+    if emit_minute is not None:
+        start = F.col("_minute") if minute is None else F.col("_minute.start")
+        columns.append(start.alias(emit_minute))
     return grouped.select(*columns)
 
 

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.session import written
+
 
 def key_shares(df: DataFrame, key: str, at_least: float = 0.0) -> DataFrame:
     """Rows per key and their share of all rows, for keys with at least that share."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1))).scalar()
+    counts = written(df.groupBy(key).agg(F.count(F.lit(1)).alias("n")), "key-counts")
+    total = counts.agg(F.sum("n")).scalar()
     return counts.withColumn("share", F.col("n") / total).filter(F.col("share") >= at_least)
 
 

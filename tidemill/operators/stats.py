@@ -21,12 +21,12 @@ def running_counts(
     cut into pieces at quantiles of the whole column, each piece is summed on its
     own, and the pieces' totals (one row each) are added up afterwards, so no
     task sorts more than a piece even when a single group holds all rows.
-    NULL values do not take part.
+    NULL values do not take part. Values are compared in the column's own type.
     """
     by = by or []
     counted = (
         df.filter(F.col(value).isNotNull())
-        .groupBy(*by, F.col(value).cast("double").alias(value))
+        .groupBy(*by, F.col(value))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     pieces = pieces or shuffle_width(df.sparkSession)
@@ -34,9 +34,10 @@ def running_counts(
         value, [i / pieces for i in range(1, pieces)], 1.0 / (4 * pieces)
     )
     splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    # The pieces only need to follow the order; values that are equal as doubles share one.
     placed = Bucketizer(
-        splits=splits, inputCol=value, outputCol="_piece", handleInvalid="keep"
-    ).transform(counted)
+        splits=splits, inputCol="_as_double", outputCol="_piece", handleInvalid="keep"
+    ).transform(counted.withColumn("_as_double", F.col(value).cast("double"))).drop("_as_double")
     all_pieces = Window.partitionBy(*by)
     totals = placed.groupBy(*by, "_piece").agg(F.sum("n").alias("_m"))
     # One extra first row per piece brings in what lies before it, and the total.

@@ -27,41 +27,6 @@ class SuggestionRule:
     next_steps: tuple[str, ...] = ()
 
 
-# The rules for insurance calls.
-INSURANCE_ALERTS = [
-    AlertRule(
-        ("medical", "injury"), "HIPAA regulations apply - Use secure documentation"
-    ),
-    AlertRule(
-        ("lawsuit", "attorney"), "Legal involvement detected - Escalate to supervisor"
-    ),
-]
-INSURANCE_SUGGESTIONS = [
-    SuggestionRule(
-        "claim",
-        (
-            "I can help you file a new claim right now. Would you like to proceed?",
-            "Let me check the status of your existing claim.",
-            "I can explain our claims process step by step.",
-        ),
-        (
-            "Verify incident date and location",
-            "Document damage description",
-            "Check policy coverage applicability",
-            "Initiate claims workflow",
-        ),
-    ),
-    SuggestionRule(
-        "coverage",
-        (
-            "I can review your current coverage details with you.",
-            "Would you like to know about additional coverage options?",
-            "Let me explain how your deductible works.",
-        ),
-    ),
-]
-
-
 def _texts(items: tuple[str, ...]) -> Column:
     return F.array(*[F.lit(i) for i in items])
 

@@ -216,7 +216,7 @@ def _ratio(measure: str) -> str:
 
 ORACLES: dict[str, str] = {
     "minute_rollup": f"""
-        select {SMALL} from events where value is not null
+        select {SMALL} from events
         group by user_id, date_trunc('minute', ts)""",
     "location_rollup": _full_rollup(),
     "reduced_rollup": _reduced_rollup(),
@@ -305,7 +305,8 @@ ORACLES: dict[str, str] = {
         select line, case when user_id % 2 = 1 then 'surplus fields' else 'bad value' end as reject_reason
         from ({_LINES}) t where event_type = 'error'""",
     "delimited_round_trip": """
-        select c_custkey as id, c_name as name, c_nationkey as nation, c_acctbal as balance,
+        select c_custkey as id, case c_custkey % 6 when 0 then '' when 1 then 'say "hi"' when 2 then concat('a', chr(9), 'b')
+            when 3 then concat('c', chr(10), 'd\\') when 4 then c_name end as name, c_nationkey as nation, c_acctbal as balance,
           c_mktsegment as extra_4 from customer""",
     "safe_export": """
         select cast(o_orderkey as varchar) as o_orderkey, cast(o_custkey as varchar) as o_custkey,
@@ -348,13 +349,13 @@ ORACLES: dict[str, str] = {
         where kind <> 'in/valid' group by kind
         union all
         select 'dead letters', count(*) from events where event_type in ('error', 'view')""",
-    "topic_upsert": f"""
-        with d as (select concat('prd_', kind) as alias,
-          case when pos = 0 then key else concat(key, '#', cast(pos as varchar)) end as doc_id, "offset", body
-          from ({_DOCS}) x where kind <> 'in/valid'),
+    "topic_upsert": """
+        with d as (select concat('prd_widget-', user_id % 3) as alias, cast(user_id as varchar) as doc_id,
+          event_id as "offset", concat('{"n":', event_id // 3 % 2, ',"product_type":"widget-', user_id % 3, '"}') as body
+          from events),
         c as (select *, lag(body) over w as p, row_number() over w as i from d
           window w as (partition by alias, doc_id order by "offset"))
-        select alias, doc_id, max("offset") as "offset" from c
+        select alias, doc_id, max("offset") as "offset", arg_max(body, "offset") as document from c
         where i = 1 or body is distinct from p group by alias, doc_id""",
     "stream_change_only": """
         select event_id, user_id, ts, event_type from (
@@ -365,13 +366,11 @@ ORACLES: dict[str, str] = {
         with e as (select * from events
           where not exists (select 1 from ({LISTED}) l where l.id = coalesce(user_id, 0)))
         select {SMALL} from e
-        where date_trunc('minute', ts) + interval 1 minute <= (select max(ts) - interval 10 minute from e)
         group by user_id, date_trunc('minute', ts)""",
     "stream_alert_counts": """
         select date_trunc('hour', ts) as window_start,
           case when value > 100 then 'high' when value < 10 then 'low' end as label, count(*) as n
         from events
-        where date_trunc('hour', ts) + interval 1 hour <= (select max(ts) - interval 10 minute from events)
         group by 1, 2""",
     "flagged_sessions": f"""
         select CSID as "CSID", round(score, 6) as score, cast(amount as double) as amount, n
@@ -381,15 +380,19 @@ ORACLES: dict[str, str] = {
         from ({_SESSIONS}) s where CSID in (select CSID from ({_SESSIONS}) x where score > 80)""",
     "risk_report": f"select section, item, round(amount, 4) as amount from ({_REPORT}) r",
     "risk_sentence": f"""
-        select concat(max(item) filter (where section = 'flagged'),
-          ' sessions had suspected fraud indicators such as ',
-          string_agg(item, ', ' order by item) filter (where section = 'factor'), '. About $',
-          format('{{:,.2f}}', max(amount) filter (where section = 'flagged')),
-          ' was processed in them. The most critical are ',
-          string_agg(item, ', ' order by item) filter (where section = 'critical'), '. Unusual states: ',
-          string_agg(item, ', ' order by item) filter (where section = 'state'), '. Countries: ',
-          string_agg(item, ', ' order by item) filter (where section = 'country'), '.') as report
-        from ({_REPORT}) r""",
+        with r as ({_REPORT}),
+        f as (select section, item, row_number() over (partition by section order by item) as i from r),
+        t as (select section, string_agg(item, ', ' order by item) as items from f where i <= 5 group by section)
+        select cast(max(item) filter (where section = 'flagged') as bigint) as flagged,
+          max(amount) filter (where section = 'flagged') as amount,
+          count(*) filter (where section = 'factor') as n_factor,
+          count(*) filter (where section = 'state') as n_state,
+          count(*) filter (where section = 'country') as n_country,
+          (select items from t where section = 'critical') as first_critical,
+          (select items from t where section = 'factor') as first_factor,
+          (select items from t where section = 'state') as first_state,
+          (select items from t where section = 'country') as first_country
+        from r""",
     "risk_bands": f"""
         select count(*) filter (where score > 80) as high_risk,
           count(*) filter (where score > 50 and score <= 80) as medium_risk,

@@ -71,8 +71,7 @@ _SMALL_ROLLUP = [
 
 @query
 def minute_rollup(spark: SparkSession, folder: str) -> DataFrame:
-    events = table(spark, folder, "events").filter(F.col("value").isNotNull())
-    return rollup(events, _SMALL_ROLLUP, ["user_id"])
+    return rollup(table(spark, folder, "events"), _SMALL_ROLLUP, ["user_id"])
 
 
 LOAD_FROM, LOAD_TO = datetime(2024, 1, 2), datetime(2024, 1, 29)
@@ -346,10 +345,15 @@ def bulk_load_rejects(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def delimited_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    customer = table(spark, folder, "customer")
+    # Names with every text that a delimited file can spoil.
+    odd = F.element_at(
+        F.array(F.lit(""), F.lit('say "hi"'), F.lit("a\tb"), F.lit("c\nd\\"), F.col("c_name"), F.lit(None)),
+        (F.col("c_custkey") % 6 + 1).cast("int"),
+    )
+    customer = table(spark, folder, "customer").withColumn("c_name", odd)
     path = shared_folder(spark, "delimited")
-    customer.write.option("sep", "\t").csv(path)
-    as_read = delimited.read_delimited(spark, path, customer.schema)
+    delimited.write_delimited(customer, path)
+    as_read = delimited.read_written(spark, path, customer.schema)
     return delimited.name_by_position(as_read, ["id", "name", "nation", "balance"])
 
 
@@ -443,11 +447,11 @@ def topic_routing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def topic_upsert(spark: SparkSession, folder: str) -> DataFrame:
     base = shared_folder(spark, "upsert")
-    sink = UpsertSink(spark, f"{base}/out", "prd_", buckets=8, changes_only=True)
+    sink = UpsertSink(spark, f"{base}/out", "prd_", changes_only=True)
     topic.run_to_end(
-        stand_in.topic_records(_event_stream(spark, folder)), f"{base}/progress", sink
+        stand_in.repeating_records(_event_stream(spark, folder)), f"{base}/progress", sink
     )
-    return sink.documents().select("alias", "doc_id", "offset")
+    return sink.documents().select("alias", "doc_id", "offset", "document")
 
 
 @query
@@ -467,9 +471,10 @@ def stream_minute_rollup(spark: SparkSession, folder: str) -> DataFrame:
     kept = predicates.exclude_listed(
         _event_stream(spark, folder), "user_id", stand_in.listed_users(spark, folder), "userId"
     )
-    rolled = windows.streaming_rollup(kept, _SMALL_ROLLUP, ["user_id"])
-    topic.append_to_end(rolled, f"{base}/out", f"{base}/progress")
-    return _naive(spark.read.schema(rolled.schema).parquet(f"{base}/out"))
+    rolled = windows.streaming_rollup(kept, _SMALL_ROLLUP, ["user_id"], emit_minute="minute")
+    topic.update_to_end(rolled, f"{base}/out", f"{base}/progress")
+    whole = topic.updated(spark, f"{base}/out", rolled.schema, ["user_id", "minute"])
+    return _naive(whole.drop("minute"))
 
 
 @query
@@ -478,8 +483,8 @@ def stream_alert_counts(spark: SparkSession, folder: str) -> DataFrame:
     counted = windows.windowed_alerts(
         _event_stream(spark, folder), "ts", "value", "1 hour", "10 minutes", 100.0, 10.0
     )
-    topic.append_to_end(counted, f"{base}/out", f"{base}/progress")
-    return _naive(spark.read.schema(counted.schema).parquet(f"{base}/out"))
+    topic.update_to_end(counted, f"{base}/out", f"{base}/progress")
+    return _naive(topic.updated(spark, f"{base}/out", counted.schema, ["window_start", "label"]))
 
 
 # -- session risk --------------------------------------------------------------------
@@ -509,7 +514,7 @@ def risk_report(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def risk_sentence(spark: SparkSession, folder: str) -> DataFrame:
     lines = written(risk.report_lines(_sessions(spark, folder)), "risk")
-    return risk.report_sentence(lines)
+    return risk.report_summary(lines)
 
 
 @query

@@ -101,6 +101,18 @@ def topic_records(events: DataFrame) -> DataFrame:
     )
 
 
+def repeating_records(events: DataFrame) -> DataFrame:
+    """Records whose documents repeat and return to earlier values: two per key."""
+    return events.selectExpr(
+        "'events' as topic",
+        "cast(user_id % 2 as int) as partition",
+        "event_id as offset",
+        "cast(user_id as string) as key",
+        """concat('{"n":', cast(event_id div 3 % 2 as string), ',"product_type":"widget-',
+                  cast(user_id % 3 as string), '"}') as value""",
+    )
+
+
 # -- sessions --------------------------------------------------------------------
 
 

@@ -72,6 +72,6 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def shuffle_width(spark: SparkSession, ceiling: int = 4096) -> int:
-    """Number of pieces to split ordered work into: the shuffle width, bounded."""
-    return max(2, min(ceiling, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+def shuffle_width(spark: SparkSession) -> int:
+    """Number of pieces to split ordered work into: the shuffle width."""
+    return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))

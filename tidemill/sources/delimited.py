@@ -11,24 +11,35 @@ from pyspark.sql import types as T
 from tidemill.operators.computed import computed_once
 
 
+# One convention for writing and reading back: every text is quoted, quotes and backslashes
+# are escaped, and an empty text differs from a missing one.
+_QUOTED = {
+    "quote": '"', "escape": "\\", "quoteAll": True, "emptyValue": "", "nullValue": "\\N",
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+
+
 def read_delimited(
-    spark: SparkSession, path: str, schema: T.StructType, sep: str = "\t", multiline: bool = False
+    spark: SparkSession, path: str, schema: T.StructType, sep: str = "\t"
 ) -> DataFrame:
-    """Header-less text with a declared schema and no quoting.
-
-    ``multiline`` keeps line breaks inside quoted fields, but makes a file one
-    task, so it is off unless asked for.
-    """
+    """Header-less text with a declared schema and no quoting: a quote is a character like any."""
     return (
-        spark.read.schema(schema)
-        .option("sep", sep)
-        .option("quote", "")
-        .option("escape", "")
-        .option("multiLine", multiline)
-        .csv(path)
+        spark.read.schema(schema).option("sep", sep).option("quote", "").option("escape", "").csv(path)
     )
 
 
+def write_delimited(df: DataFrame, path: str, sep: str = "\t", mode: str = "errorifexists") -> None:
+    """Header-less text that `read_written` reads back as it was, whatever the texts hold."""
+    df.write.options(**_QUOTED).option("sep", sep).mode(mode).csv(path)
+
+
+def read_written(
+    spark: SparkSession, path: str, schema: T.StructType, sep: str = "\t"
+) -> DataFrame:
+    """Files of `write_delimited`. Texts may hold line feeds, so that a file is one task."""
+    return spark.read.schema(schema).options(**_QUOTED).option("multiLine", True).option("sep", sep).csv(path)
+
+
 def read_delimited_inferred(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
     """Header-less text with inferred types; costs one extra pass over the files."""
     return spark.read.option("sep", sep).option("inferSchema", True).csv(path)
@@ -76,7 +87,7 @@ def parse_lines(
     field that does not parse or for surplus fields. Split the result with
     `accepted` and `rejected`: both read it in one pass each, no shuffle.
     """
-    parts = F.split(F.col(line), sep if sep != "|" else r"\|")
+    parts = F.split(F.col(line), f"\\Q{sep}\\E")
     raws = [F.nullif(F.get(F.col("_parts"), F.lit(i)), F.lit("")) for i in range(len(fields))]
     staged = computed_once(lines, "_parts", parts)
     reason = F.when(F.size("_parts") > len(fields), F.lit("surplus fields"))

@@ -17,10 +17,10 @@ from tidemill.functions.json import (
 from tidemill.operators.computed import computed_once
 from tidemill.operators.dedupe import keep_changes, latest_per_key
 from tidemill.sinks.files import Folder
-from tidemill.sinks.snapshot import SnapshotTable
 
 NOT_JSON = "value is not valid JSON"
 BAD_TYPE = "invalid document type"
+_LOGGED = ["alias", "doc_id", "document", "topic", "partition", "offset", "pos"]
 DOCUMENT_SCHEMA = (
     "alias string, doc_id string, document string, topic string, partition int, offset bigint"
 )
@@ -81,7 +81,8 @@ class RouteSink:
     """foreachBatch sink that writes documents and dead letters of a batch.
 
     Everything of batch N goes to folders named by N that are overwritten, so a
-    batch that is run again after a failure leaves no duplicates. ``on_error``
+    batch that is run again after a failure leaves no duplicates, and what it ends
+    with is the whole truth: a record is in the documents or the letters. ``on_error``
     says what happens to bad records: ``dlq``, ``skip`` or ``fail``. With
     ``letters_for_failed_batches`` a failing document write turns all records
     of the batch into dead letters; otherwise it raises and the batch is retried.
@@ -111,15 +112,18 @@ class RouteSink:
                 return
             if totals.bad and self.on_error == "fail":
                 raise ValueError(f"{totals.bad} bad records in batch {batch_id}")
-            letters = dead_letters(split) if totals.bad and self.on_error == "dlq" else None
+            letters = dead_letters(split)
+            if self.on_error != "dlq":
+                letters = letters.limit(0)
             try:
                 self.write_documents(good_documents(split, self.prefix), batch_id)
             except Exception as cause:
                 if not self.letters_for_failed_batches:
                     raise
+                self.drop_documents(batch_id)
                 letters = failed_records(split, f"batch processing failed: {cause}")
-            if letters is not None:
-                letters.write.mode("overwrite").parquet(f"{self.path}/dlq/batch={batch_id}")
+            # Written even if empty: an earlier attempt may have left other letters.
+            letters.write.mode("overwrite").parquet(f"{self.path}/dlq/batch={batch_id}")
             self.last_counts = (batch_id, totals.good, totals.bad)
         finally:
             split.unpersist()
@@ -131,6 +135,9 @@ class RouteSink:
         # Rebalancing keeps small types in one file and cuts a large one into several.
         rows.hint("rebalance", "alias").write.mode("overwrite").partitionBy("alias").parquet(target)
 
+    def drop_documents(self, batch_id: int) -> None:
+        Folder(self.spark, self.path).delete(f"docs/batch={batch_id}")
+
     def documents(self) -> DataFrame:
         return self._read("docs", f"{DOCUMENT_SCHEMA}, batch bigint")
 
@@ -149,54 +156,73 @@ class RouteSink:
 class UpsertSink(RouteSink):
     """As `RouteSink`, but the record key is the document id and the last write wins.
 
-    A batch that was published before is not merged again. With ``changes_only``
-    records that repeat their key's last value are dropped first, within the batch
-    and against what the table holds: exact for any number of keys, and a key
-    that fills most of a batch is compared in pieces of its offsets.
+    A batch appends its accepted documents to a folder of its own, so it costs what the batch
+    costs, however large the table is; `documents` finds the newest of each key.
+    With ``changes_only`` a record that repeats its key's last value is not accepted: repeats
+    within a batch are dropped before the write, those across batches on reading, so that
+    the result doesn't depend on how the records fall into batches. After ``compact_every``
+    batches the newest documents are written once as the base of the later ones.
     """
 
-    buckets: int = 64
     changes_only: bool = False
+    compact_every: int = 64
     offsets_per_piece: int = 1_000_000
 
-    def __post_init__(self):
-        super().__post_init__()
-        self.table = SnapshotTable(
-            self.spark, f"{self.path}/table", DOCUMENT_SCHEMA, ["alias", "doc_id"], self.buckets
-        )
-
     def write_documents(self, documents: DataFrame, batch_id: int) -> None:
-        state = self.table.job_state("upsert") or {}
-        if state.get("batch_id", -1) >= batch_id:
+        base = self._base()
+        if batch_id <= base:
             return
         keyed = documents.withColumn(
             "doc_id", F.when(F.col("pos") == 0, F.coalesce("key", "doc_id")).otherwise(
                 F.coalesce(F.concat_ws("#", "key", "pos"), F.col("doc_id"))
             )
         )
-        if self.changes_only:
-            keyed = self._changes(keyed)
-        newest = latest_per_key(keyed, ["alias", "doc_id"], ["partition", "offset"], ["pos"])
-        newest = newest.persist()
-        try:
-            written = self._differing(newest) if self.changes_only else newest
-            self.table.merge(written, job="upsert", job_state={"batch_id": batch_id})
-            self.table.tidy()
-        finally:
-            newest.unpersist()
+        accepted = self._changes(keyed) if self.changes_only else self._newest(keyed)
+        accepted.select(*_LOGGED).write.mode("overwrite").parquet(f"{self.path}/log/batch={batch_id}")
+        if batch_id - base >= self.compact_every:
+            self.compact(batch_id)
+
+    def drop_documents(self, batch_id: int) -> None:
+        Folder(self.spark, self.path).delete(f"log/batch={batch_id}")
+
+    def compact(self, batch_id: int) -> None:
+        """Write the newest documents up to a batch as the new base; readers see it when whole."""
+        self._resolved().select(*_LOGGED).write.mode("overwrite").parquet(f"{self.path}/base/upto={batch_id}")
+        folder = Folder(self.spark, self.path)
+        for name in folder.names("log"):
+            if name.startswith("batch=") and int(name.split("=")[1]) <= batch_id:
+                folder.delete(f"log/{name}")
+
+    def _base(self) -> int:
+        """The last batch in the base, -1 without one."""
+        folder = Folder(self.spark, self.path)
+        whole = [n for n in folder.names("base") if folder.exists(f"base/{n}/_SUCCESS")]
+        return max((int(n.split("=")[1]) for n in whole), default=-1)
+
+    def _logged(self) -> DataFrame:
+        """Accepted documents: the base and all batches after it."""
+        base, schema = self._base(), f"{DOCUMENT_SCHEMA}, pos int"
+        rows = self.spark.createDataFrame([], schema)
+        if Folder(self.spark, self.path).exists("log"):
+            log = self.spark.read.schema(f"{schema}, batch bigint").parquet(f"{self.path}/log")
+            rows = log.where(F.col("batch") > base).select(*_LOGGED)
+        if base >= 0:
+            rows = rows.unionByName(self.spark.read.schema(schema).parquet(f"{self.path}/base/upto={base}"))
+        return rows
+
+    def _newest(self, keyed: DataFrame) -> DataFrame:
+        return latest_per_key(keyed, ["alias", "doc_id"], ["partition", "offset"], ["pos"])
 
     def _changes(self, keyed: DataFrame) -> DataFrame:
-        """Documents that differ from the one before them in the batch."""
+        """Documents that differ from the one before them."""
         piece: Column = F.struct("partition", F.floor(F.col("offset") / self.offsets_per_piece))
         return keep_changes(
             keyed, ["alias", "doc_id"], ["partition", "offset", "pos"], F.col("document"), piece
         )
 
-    def _differing(self, newest: DataFrame) -> DataFrame:
-        """Documents that differ from the one the table holds."""
-        held = self.table.lookup(newest).select("alias", "doc_id", F.col("document").alias("held"))
-        compared = newest.join(held, ["alias", "doc_id"], "left")
-        return compared.filter(~F.col("document").eqNullSafe(F.col("held"))).drop("held")
+    def _resolved(self) -> DataFrame:
+        rows = self._logged()
+        return self._newest(self._changes(rows) if self.changes_only else rows)
 
     def documents(self) -> DataFrame:
-        return self.table.read()
+        return self._resolved().drop("pos")

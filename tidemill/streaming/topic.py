@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemill.functions.json import typed_message
+from tidemill.operators.dedupe import latest_per_key
 
 RECORD_COLUMNS = ["topic", "partition", "offset", "key", "value"]
 
@@ -103,3 +104,31 @@ def append_to_end(frame: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     )
     query.awaitTermination()
     return query
+
+
+def update_to_end(frame: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Write each batch's updated aggregates to a folder of the batch, and return when done.
+
+    Unlike appending, this also holds the windows that are still open at the end. A batch that
+    is run again overwrites its folder. `updated` reads the result.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    query = (
+        frame.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("update")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query
+
+
+def updated(spark: SparkSession, path: str, schema: T.StructType, keys: list[str]) -> DataFrame:
+    """The last update of every key."""
+    every = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    rows = spark.read.schema(every).parquet(path)
+    return latest_per_key(rows, keys, ["batch"], []).drop("batch")

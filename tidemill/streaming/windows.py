@@ -28,8 +28,11 @@ def windowed_alerts(
 
 def streaming_rollup(
     df: DataFrame, outputs: list[Output], keys: list[str], ts: str = "ts",
-    late: str = "10 minutes",
+    late: str = "10 minutes", emit_minute: str | None = None,
 ) -> DataFrame:
-    """The minute roll-up as a stream; a minute is emitted once the watermark passed it."""
+    """The minute roll-up as a stream; in append mode a minute is emitted once the watermark passed it.
+
+    ``emit_minute`` names a column with the minute's start, which update mode needs as a key.
+    """
     timed = with_event_time(df, ts, late)
-    return rollup(timed, outputs, keys, ts, minute=F.window(ts, "1 minute"))
+    return rollup(timed, outputs, keys, ts, minute=F.window(ts, "1 minute"), emit_minute=emit_minute)
