@@ -42,8 +42,7 @@ def test_exact(data):
 
 def test_exact_for_many_queries(data, monkeypatch):
     corpus, queries, c, q = data
-    monkeypatch.setattr(knn, "BROADCAST_BYTES", 1)
-    monkeypatch.setattr(knn, "BLOCK_BYTES", 100 * 16 * 4)
+    monkeypatch.setattr(knn, "BROADCAST_BYTES", 6 * 16 * 8)
     assert found(knn.knn_exact(q, c, 7, 16)) == brute(corpus, queries, 7)
 
 
@@ -68,8 +67,7 @@ def test_approx_recall(data, spark, monkeypatch):
     probes = knn.probes_for_recall(q, index, exact.cache(), 5, 0.95)
     assert knn.mean_recall(exact, knn.knn_approx(q, index, 5, probes)).first().mean_recall >= 0.95
     assert some.groupBy("query_id").count().filter("count != 5").isEmpty()
-    monkeypatch.setattr(knn, "BROADCAST_BYTES", 1)
-    monkeypatch.setattr(knn, "BLOCK_BYTES", 50 * 16 * 4)
+    monkeypatch.setattr(knn, "BROADCAST_BYTES", 6 * 16 * 8)
     assert found(knn.knn_approx(q, index, 5, nprobe=5)) == found(some)
 
 

@@ -7,8 +7,10 @@ Arrow batches.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,13 +23,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.functions.vector import EPSILON
-from tidemill.session import shared_folder
+from tidemill.session import shared_folder, written
 
-# Queries whose vectors take at most this much memory are sent to every task. Each
+# Queries go to the tasks in chunks whose vectors take at most this much memory. Each
 # task returns k rows per query, so this also bounds what tasks return.
 BROADCAST_BYTES = 8 << 20
-# Vectors of one block, when both sides are cut into blocks.
-BLOCK_BYTES = 256 << 20
 SCORES_AT_ONCE = 4_000_000
 
 
@@ -130,49 +130,30 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def _small(queries: DataFrame, sides: _Sides) -> tuple[list, np.ndarray] | None:
-    """Ids and vectors of the queries if they fit the broadcast bound, else None.
-
-    Fetches one row more than fits, at most.
-    """
+def _chunks(queries: DataFrame, sides: _Sides) -> Iterator[tuple[list, np.ndarray]]:
+    """Ids and vectors of the queries in chunks within the broadcast bound, one at a time."""
     most = max(1, BROADCAST_BYTES // (sides.dim * 8))
-    rows = queries.select(sides.query_id, sides.query).limit(most + 1).toArrow()
-    if rows.num_rows > most:
-        return None
-    return rows.column(0).to_pylist(), _matrix(rows.column(1).combine_chunks(), sides.dim)
-
-
-def _blocks(rows: int, dim: int) -> int:
-    """How many blocks that many vectors make."""
-    return max(1, -(-rows // max(1, BLOCK_BYTES // (4 * dim))))
-
-
-def _search_blocks(
-    queries: DataFrame, corpus: DataFrame, sides: _Sides, keys: list[str]
-) -> DataFrame:
-    """Top k per query inside each block pair; both sides carry the block keys."""
-
-    def block(left: pa.Table, right: pa.Table) -> pa.Table:
-        top = _TopK(
-            left.column(sides.query_id).to_pylist(),
-            _matrix(left.column(sides.query).combine_chunks(), sides.dim),
-            sides.k,
-        )
-        if right.num_rows:
-            ids = right.column(sides.id).to_numpy()
-            matrix = _matrix(right.column(sides.vector).combine_chunks(), sides.dim)
-            every = np.arange(left.num_rows)
-            for start in range(0, len(ids), 10_000):
-                top.add(every, matrix[start : start + 10_000], ids[start : start + 10_000])
-        return pa.Table.from_batches([top.batch(sides.arrow_schema)])
-
-    left = queries.select(*keys, sides.query_id, sides.query).groupBy(*keys)
-    right = corpus.select(*keys, sides.id, sides.vector).groupBy(*keys)
-    return left.cogroup(right).applyInArrow(block, sides.spark_schema)
-
-
-def _block_of(column: str, blocks: int):
-    return F.pmod(F.xxhash64(column), F.lit(blocks)).cast("int")
+    ids, vectors = [], []
+    for row in queries.select(sides.query_id, sides.query).toLocalIterator():
+        ids.append(row[0])
+        vectors.append([np.nan if x is None else x for x in row[1]])
+        if len(ids) == most:
+            yield ids, np.array(vectors, dtype=np.float64)
+            ids, vectors = [], []
+    if ids:
+        yield ids, np.array(vectors, dtype=np.float64)
+
+
+def _by_chunks(queries: DataFrame, sides: _Sides, search) -> DataFrame:
+    """The ranked results of ``search(ids, vectors)`` for every chunk; each pass is written."""
+    spark = queries.sparkSession
+    parts = [
+        written(_ranked(search(ids, vectors), sides.k), "neighbours")
+        for ids, vectors in _chunks(queries, sides)
+    ]
+    if not parts:
+        return _ranked(spark.createDataFrame([], sides.spark_schema), sides.k)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _sides(queries, corpus, k, dim, query_id, query, id, vector) -> _Sides:
@@ -195,34 +176,26 @@ def knn_exact(
     """The k corpus rows with the highest cosine per query: query_id, neighbour_id, score, rank.
 
     Vectors that are NULL or of another dimension are skipped; ties go to the
-    smaller id. Queries within the broadcast bound meet the corpus where it is
-    read, without a shuffle of it. A larger query set is cut into blocks, and
-    each (query block, corpus block) pair is one bounded task. Ids are unique.
+    smaller id. Queries meet the corpus where it is read, in chunks within the
+    broadcast bound: one scan per chunk, and the corpus is never shuffled. Ids are unique.
     """
     sides = _sides(queries, corpus, k, dim, query_id, query, id, vector)
     queries, corpus = sized(queries, query, dim), sized(corpus, vector, dim)
-    small = _small(queries, sides)
-    if small is None:
-        q_blocks, c_blocks = _blocks(queries.count(), dim), _blocks(corpus.count(), dim)
-        left = queries.withColumn("_q", _block_of(query_id, q_blocks)).withColumn(
-            "_c", F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1)))
-        )
-        right = corpus.withColumn("_c", _block_of(id, c_blocks)).withColumn(
-            "_q", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)))
-        )
-        return _ranked(_search_blocks(left, right, sides, ["_q", "_c"]), k)
 
-    sent = queries.sparkSession.sparkContext.broadcast(small)
+    def search(ids: list, vectors: np.ndarray) -> DataFrame:
+        sent = queries.sparkSession.sparkContext.broadcast((ids, vectors))
+
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            top = _TopK(*sent.value, sides.k)
+            every = np.arange(len(top.ids))
+            for batch in batches:
+                names = batch.column(0).to_numpy(zero_copy_only=False)
+                top.add(every, _matrix(batch.column(1), sides.dim), names)
+            yield top.batch(sides.arrow_schema)
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        top = _TopK(*sent.value, sides.k)
-        every = np.arange(len(top.ids))
-        for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            top.add(every, _matrix(batch.column(1), sides.dim), ids)
-        yield top.batch(sides.arrow_schema)
+        return corpus.select(id, vector).mapInArrow(scan, sides.spark_schema)
 
-    return _ranked(corpus.select(id, vector).mapInArrow(scan, sides.spark_schema), k)
+    return _by_chunks(queries, sides, search)
 
 
 @dataclass(frozen=True)
@@ -258,28 +231,30 @@ class CellIndex:
 
 def build_cells(
     corpus: DataFrame,
-    cells: int,
+    cells: int | None,
     dim: int,
     id: str = "vec_id",
     vector: str = "embedding",
     path: str | None = None,
     seed: int = 1,
     iterations: int = 10,
-    training_rows: int = 2_000_000,
+    training_share: float = 1.0,
 ) -> CellIndex:
     """Cluster the unit vectors and write the corpus partitioned by cell.
 
-    Euclidean and cosine order agree on unit vectors. Cell centres are fitted to
-    about ``training_rows`` rows, as more do not move them; every row is then
-    placed in a cell. The rebalance before the write lets adaptive execution cut
+    Euclidean and cosine order agree on unit vectors. Without a number of ``cells`` it
+    is the square root of the rows, so that cells grow no faster than their number. Centres are
+    fitted to all rows, or to the share of them that the caller chooses; every row is
+    placed in a cell. Build an index once and pass it to the searches. The rebalance before the write lets adaptive execution cut
     a cell with very many rows into files.
     """
     spark = corpus.sparkSession
     path = path or shared_folder(spark, "cells")
     vectors = usable(corpus, vector, dim).select(id, vector, array_to_vector(vector).alias("_v"))
     unit = Normalizer(p=2.0, inputCol="_v", outputCol="_unit").transform(vectors)
-    share = training_rows / max(1, corpus.count())
-    training = unit if share >= 1 else unit.sample(share, seed)
+    if cells is None:
+        cells = max(2, math.isqrt(unit.count()))
+    training = unit if training_share >= 1 else unit.sample(training_share, seed)
     means = KMeans(
         k=cells, featuresCol="_unit", predictionCol="cell", seed=seed, maxIter=iterations
     ).fit(training)
@@ -300,76 +275,37 @@ def knn_approx(
 ) -> DataFrame:
     """As `knn_exact`, but each query is scored only against its nearest cells.
 
-    Other cells' files are not read. Every query sees at least k rows if the
+    A chunk of queries reads the files of the cells that one of them probes. Every query sees at least k rows if the
     corpus has them. Measure the quality with `recall`.
     """
     spark = queries.sparkSession
     corpus = index.rows(spark)
     sides = _sides(queries, corpus, k, index.dim, query_id, query, index.id, index.vector)
     queries = sized(queries, query, index.dim)
-    small = _small(queries, sides)
-    if small is None:
-        return _ranked(_search_cells(queries, corpus, index, sides, nprobe), k)
-
-    ids, vectors = small
-    chosen = index.probes(vectors, nprobe, k)
-    readers: dict[int, list[int]] = {}
-    for row, probed in enumerate(chosen):
-        for cell in probed:
-            readers.setdefault(cell, []).append(row)
-    sent = spark.sparkContext.broadcast((ids, vectors, readers))
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, vectors, readers = sent.value
-        top = _TopK(ids, vectors, sides.k)
-        for batch in batches:
-            cells = batch.column(2).to_numpy(zero_copy_only=False)
-            names = batch.column(0).to_numpy(zero_copy_only=False)
-            matrix = _matrix(batch.column(1), sides.dim)
-            for cell in np.unique(cells):
-                at = np.flatnonzero(cells == cell)
-                top.add(np.array(readers[int(cell)]), matrix[at], names[at])
-        yield top.batch(sides.arrow_schema)
-
-    read = corpus.filter(F.col("cell").isin(sorted(readers)))
-    found = read.select(index.id, index.vector, "cell").mapInArrow(scan, sides.spark_schema)
-    return _ranked(found, k)
-
-
-def _search_cells(
-    queries: DataFrame, corpus: DataFrame, index: CellIndex, sides: _Sides, nprobe: int
-) -> DataFrame:
-    """Cell search for a query set of any size: bounded blocks inside each cell."""
-    kinds = T.StructType([queries.schema[sides.query_id], queries.schema[sides.query]])
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            chosen = index.probes(_matrix(batch.column(1), sides.dim), nprobe, sides.k)
-            cells = pa.array(chosen, type=pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), cells],
-                names=[sides.query_id, sides.query, "_cells"],
-            )
-
-    q_blocks = _blocks(queries.count(), sides.dim)
-    blocks = {cell: _blocks(size, sides.dim) for cell, size in index.sizes.items()}
-    counts = F.create_map(*[F.lit(x) for pair in blocks.items() for x in pair])
-    placed = queries.select(sides.query_id, sides.query).mapInArrow(
-        place, kinds.add("_cells", T.ArrayType(T.IntegerType()))
-    )
-    left = (
-        placed.withColumn("cell", F.explode("_cells"))
-        .withColumn("_q", _block_of(sides.query_id, q_blocks))
-        .withColumn("_n", F.coalesce(F.try_element_at(counts, F.col("cell")), F.lit(0)))
-        .filter(F.col("_n") > 0)
-        .withColumn("_c", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    )
-    right = (
-        corpus.withColumn("_n", F.try_element_at(counts, F.col("cell")))
-        .withColumn("_c", F.pmod(F.xxhash64(sides.id), F.col("_n")).cast("int"))
-        .withColumn("_q", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
-    )
-    return _search_blocks(left, right, sides, ["cell", "_q", "_c"])
+
+    def search(ids: list, vectors: np.ndarray) -> DataFrame:
+        readers: dict[int, list[int]] = {}
+        for row, probed in enumerate(index.probes(vectors, nprobe, k)):
+            for cell in probed:
+                readers.setdefault(cell, []).append(row)
+        sent = spark.sparkContext.broadcast((ids, vectors, readers))
+
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            ids, vectors, readers = sent.value
+            top = _TopK(ids, vectors, sides.k)
+            for batch in batches:
+                cells = batch.column(2).to_numpy(zero_copy_only=False)
+                names = batch.column(0).to_numpy(zero_copy_only=False)
+                matrix = _matrix(batch.column(1), sides.dim)
+                for cell in np.unique(cells):
+                    at = np.flatnonzero(cells == cell)
+                    top.add(np.array(readers[int(cell)]), matrix[at], names[at])
+            yield top.batch(sides.arrow_schema)
+
+        read = corpus.filter(F.col("cell").isin(sorted(readers)))
+        return read.select(index.id, index.vector, "cell").mapInArrow(scan, sides.spark_schema)
+
+    return _by_chunks(queries, sides, search)
 
 
 def recall(exact: DataFrame, approx: DataFrame) -> DataFrame:

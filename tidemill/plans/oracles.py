@@ -431,6 +431,14 @@ ORACLES: dict[str, str] = {
     "latency_summary": f"""
         select event_type, n, fastest, round(average, 6) as average, p99, slowest
         from ({_summary("events", "event_type", "value")}) s""",
+    "latency_summary_sketched": """
+        select event_type, count(value) as n, min(value) as fastest, round(avg(value), 6) as average,
+          max(value) as slowest, true as p99_within
+        from events group by event_type""",
+    "knn_approx": """
+        select label as query_id, cast(r as integer) as rank, true as exists, true as is_cosine
+        from (select distinct label from embeddings where label is not null) l, range(1, 6) t(r)""",
+    "recall_at_k": "select true as reached",
     "slo_share": """
         select event_type, round(100.0 * count(*) filter (where value < 50) / count(value), 6) as percent
         from events group by event_type""",

@@ -601,7 +601,17 @@ def latency_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def latency_summary_sketched(spark: SparkSession, folder: str) -> DataFrame:
-    return stats.latency_summary_approx(table(spark, folder, "events"), "value", ["event_type"])
+    """The sketched summary, with whether its p99 lies within the sketch's rank error."""
+    events = table(spark, folder, "events")
+    summary = written(stats.latency_summary_approx(events, "value", ["event_type"]), "sketched")
+    at = events.join(F.broadcast(summary.select("event_type", "p99")), "event_type").groupBy("event_type").agg(
+        F.count_if(F.col("value") <= F.col("p99")).alias("upto"), F.count_if(F.col("value") < F.col("p99")).alias("below"),
+    )
+    slack = F.col("n") / 10_000 + 1
+    within = (F.col("upto") >= 0.99 * F.col("n") - slack) & (F.col("below") <= 0.99 * F.col("n") + slack)
+    return summary.join(at, "event_type").select(
+        "event_type", "n", "fastest", F.round("average", 6).alias("average"), "slowest", within.alias("p99_within"),
+    )
 
 
 @query
@@ -710,20 +720,32 @@ def audience_lookup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _cells(spark: SparkSession, folder: str) -> knn.CellIndex:
-    return knn.build_cells(table(spark, folder, "embeddings"), 32, DIM)
+    return knn.build_cells(table(spark, folder, "embeddings"), None, DIM)
 
 
 @query
 def knn_approx(spark: SparkSession, folder: str) -> DataFrame:
-    return knn.knn_approx(_audience(spark, folder), _cells(spark, folder), 5, nprobe=24)
+    """Facts of the approximate search: every neighbour exists and has its cosine as score."""
+    queries, corpus = _audience(spark, folder), table(spark, folder, "embeddings")
+    found = knn.knn_approx(queries, _cells(spark, folder), 5, nprobe=4)
+    checked = found.join(queries, "query_id").join(
+        corpus.select(F.col("vec_id").alias("neighbour_id"), "embedding"), "neighbour_id", "left"
+    )
+    cosine = vector.cosine(F.col("query"), F.col("embedding"))
+    return checked.select(
+        "query_id", "rank", F.col("embedding").isNotNull().alias("exists"),
+        (F.abs(F.col("score") - cosine) < 1e-6).alias("is_cosine"),
+    )
 
 
 @query
 def recall_at_k(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether the number of probes chosen by measured recall reaches it."""
     queries, corpus = _audience(spark, folder), table(spark, folder, "embeddings")
-    exact = knn.knn_exact(queries, corpus, 5, DIM)
-    approx = knn.knn_approx(queries, _cells(spark, folder), 5, nprobe=24)
-    return knn.recall(exact, approx)
+    exact, index = written(knn.knn_exact(queries, corpus, 5, DIM), "exact"), _cells(spark, folder)
+    probes = knn.probes_for_recall(queries, index, exact, 5, 0.95)
+    found = knn.mean_recall(exact, knn.knn_approx(queries, index, 5, probes))
+    return found.select((F.col("mean_recall") >= 0.95).alias("reached"))
 
 
 # -- small jobs -------------------------------------------------------------------------------

@@ -127,6 +127,15 @@ class SnapshotTable:
         found = rows.groupBy(self.bucket().alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
         return {r.b: r.n for r in found}
 
+    def _checked(self, rows: DataFrame) -> DataFrame:
+        """Rows that raise on a NULL key: it would match nothing, and a replay would add it again."""
+        missing = F.lit(False)
+        for key in self.keys:
+            missing |= F.col(key).isNull()
+        first = self.keys[0]
+        error = F.raise_error(F.lit(f"a key of {self.path} is NULL: {', '.join(self.keys)}"))
+        return rows.withColumn(first, F.when(missing, error.cast(self.schema[first].dataType)).otherwise(F.col(first)))
+
     def _rewrite(self, rows: DataFrame, previous: dict, touched: set[int]) -> dict[str, str]:
         """Write the touched buckets' new content; emptied buckets get an empty version.
 
@@ -150,15 +159,15 @@ class SnapshotTable:
     ) -> dict:
         """Update matching keys, insert the others, and publish with the job's state.
 
-        ``changes`` has one row per key. A NULL key matches nothing and is always
-        inserted. ``touched_by`` may name a cheaper frame that the changes were
+        ``changes`` has one row per key; a NULL in a key raises before anything is
+        published. ``touched_by`` may name a cheaper frame that the changes were
         picked from, one per key; buckets and counts are then taken from its
         distinct keys. Returns the commit; its job entry holds ``rows_merged``.
         """
         previous = self.last_commit()
-        new = self._typed(changes, self.schema.names)
+        new = self._checked(self._typed(changes, self.schema.names))
         touched = self._touched(
-            new if touched_by is None else self._typed(touched_by, self.keys).distinct()
+            new if touched_by is None else self._checked(self._typed(touched_by, self.keys)).distinct()
         )
         versions = {}
         if touched:
