@@ -220,3 +220,32 @@ def test_batches_limited_by_size(spark, folder):
     limited = topic.read_files(spark, f"{folder}/in", RECORD, bytes_per_trigger=1)
     topic.run_to_end(limited, f"{folder}/cp", sink)
     assert sink.last_counts == (2, 1, 0) and sink.documents().count() == 3
+
+
+def test_change_sink_with_one_heavy_key_does_not_depend_on_the_batches(spark, folder):
+    from tidemill.operators import prefix
+    from tidemill.streaming import change
+
+    values = ["ABBACA"[i * i % 6] if i % 5 else None for i in range(120)]
+    keys = ["hot" if i % 3 else f"k{i % 4}" for i in range(120)]
+    rows = [(i, k, v) for i, (k, v) in enumerate(zip(keys, values))]
+    last, want = {}, set()
+    for i, k, v in rows:
+        if k not in last or last[k] != v:
+            want.add(i)
+        last[k] = v
+    schema = "i long, k string, v string"
+    least, prefix_keep = prefix.LEAST_HEAVY_ROWS, change.keep_changes
+    try:
+        change.keep_changes = lambda *a: prefix_keep(*a, least_rows=5)
+        for batches in (1, 4):
+            sink = change.ChangeSink(spark, f"{folder}/{batches}", "k", "v", ["i"])
+            size = 120 // batches
+            for b in range(batches):
+                part = spark.createDataFrame(rows[b * size:(b + 1) * size], schema)
+                sink(part, b)
+                sink(part, b)  # replay
+            assert {r.i for r in sink.rows(part.schema).collect()} == want
+    finally:
+        change.keep_changes = prefix_keep
+    assert least == prefix.LEAST_HEAVY_ROWS

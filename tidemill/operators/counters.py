@@ -25,10 +25,22 @@ def alert_counts(df: DataFrame, value: str, high: float = HIGH, low: float = LOW
 
 
 def gauges(df: DataFrame, value: str, order: list[str], by: list[str] | None = None) -> DataFrame:
-    """Readings in total and the latest value, overall or per sensor."""
-    return df.groupBy(*(by or [])).agg(
-        F.count(F.lit(1)).alias("readings"),
-        F.max_by(value, F.struct(*order)).alias("last_value"),
+    """Readings in total and the latest value, overall or per sensor.
+
+    The newest time per sensor is found by a hash aggregate, without sorting the rows; only rows
+    of that time are compared by the whole order.
+    """
+    by = by or []
+    first = order[0]
+    newest = df.groupBy(*[F.col(c).alias(f"_of_{c}") for c in by]).agg(
+        F.count(F.lit(1)).alias("readings"), F.max(first).alias("_newest")
+    )
+    on = F.col(first).eqNullSafe(F.col("_newest"))
+    for c in by:
+        on &= F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    latest = newest.join(df.select(*dict.fromkeys([*by, *order, value])), on)
+    return latest.groupBy(*by).agg(
+        F.max("readings").alias("readings"), F.max_by(value, F.struct(*order)).alias("last_value")
     )
 
 

@@ -34,14 +34,14 @@ def latest_per_key(
 
 
 def keep_changes(
-    df: DataFrame, keys: list[str], order: list[str], value: Column, piece: Column,
+    df: DataFrame, keys: list[str], order: list[str], value: Column, piece: Column | None = None,
     least_rows: int = LEAST_HEAVY_ROWS,
 ) -> DataFrame:
     """Rows whose value differs from the key's preceding one; first rows are kept.
 
     Exact for any number of keys: nothing is evicted. NULL equals NULL. ``piece``
-    cuts the rows of a heavy key, e.g. by day or by a range of offsets; it must
-    not decrease along ``order``.
+    cuts the rows of a heavy key, e.g. by a range of offsets; it must not decrease along
+    ``order``. Without it the key's own quantiles cut it.
     """
     valued = df.withColumn("_value", F.struct(value.alias("v")))
     rows, along = in_pieces(valued, keys, order, piece, {"_value": "last"}, least_rows)

@@ -11,22 +11,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidemill.session import shuffle_width
+from tidemill.session import shuffle_width, written
 
 # A key with fewer rows than this is never cut.
 LEAST_HEAVY_ROWS = 1_000_000
 
 
 def heavy_keys(df: DataFrame, keys: list[str], least_rows: int = LEAST_HEAVY_ROWS) -> DataFrame:
-    """Keys with more rows than a quarter of an average shuffle partition.
+    """Keys (``_heavy_<key>``) with more rows than a quarter of an average shuffle partition.
 
-    There are at most four times as many as shuffle partitions, whatever the
-    data, so the result may be broadcast.
+    There are at most four times as many as shuffle partitions, whatever the data, so the
+    result may be broadcast. ``_pieces`` is the number of such quarters that a key fills.
     """
-    total = df.agg(F.count(F.lit(1))).scalar()
-    limit = F.greatest(total / (4 * shuffle_width(df.sparkSession)), F.lit(least_rows))
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.filter(F.col("_n") > limit).select(*[F.col(k).alias(f"_heavy_{k}") for k in keys])
+    counts = written(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "key-counts")
+    total = counts.agg(F.sum("_n")).scalar()
+    limit = F.greatest(total / (4 * shuffle_width(df.sparkSession)), F.lit(least_rows), F.lit(1))
+    return counts.filter(F.col("_n") > limit).select(
+        *[F.col(k).alias(f"_heavy_{k}") for k in keys], F.ceil(F.col("_n") / limit).cast("int").alias("_pieces")
+    )
+
+
+def _cuts(df: DataFrame, keys: list[str], order: str, heavy: DataFrame) -> DataFrame:
+    """Heavy keys with the quantiles of their own rows that cut them into even pieces."""
+    own = df.join(F.broadcast(heavy), _all(keys, "_heavy_")).groupBy(
+        *[f"_heavy_{k}" for k in keys], "_pieces"
+    )
+    every = own.agg(F.percentile_approx(order, [i / 64 for i in range(1, 64)], 1000).alias("_every"))
+    # Of 63 quantiles, those nearest to the wanted number of pieces.
+    step = F.greatest(F.ceil(F.lit(64) / F.col("_pieces")).cast("int"), F.lit(1))
+    return every.select(
+        *[f"_heavy_{k}" for k in keys],
+        F.filter("_every", lambda c, i: F.pmod(i + 1, step) == 0).alias("_cuts"),
+    )
 
 
 def _all(keys: list[str], prefix: str) -> Column:
@@ -40,23 +56,30 @@ def in_pieces(
     df: DataFrame,
     keys: list[str],
     order: list[str],
-    piece: Column,
+    piece: Column | None,
     carry: dict[str, str],
     least_rows: int = LEAST_HEAVY_ROWS,
 ) -> tuple[DataFrame, WindowSpec]:
     """Rows with the extra first rows of pieces, and the window to run over them.
 
-    ``piece`` must not decrease along ``order`` and must not be NULL. ``carry`` says per column what
+    ``piece`` must not decrease along ``order`` and must not be NULL. Without it a heavy key is
+    cut at quantiles of its own rows along the first order column. ``carry`` says per column what
     the extra row holds: ``sum`` of all earlier rows, the ``last`` earlier value,
     or the ``last_set`` (last one that is not NULL). The extra rows have
     ``_is_row`` 0; drop them with `real_rows` after applying the window. The rows
-    are read four times, so pass written or cached ones if they are costly.
+    are read up to four times, so pass written or cached ones if they are costly.
     """
-    heavy = F.broadcast(heavy_keys(df, keys, least_rows).withColumn("_is_heavy", F.lit(True)))
+    heavy = heavy_keys(df, keys, least_rows)
+    if piece is None:
+        heavy = written(_cuts(df, keys, order[0], written(heavy, "heavy-keys")), "heavy-cuts")
+        first = F.col(order[0])
+        # NULLs are first in the order, and so in the first piece.
+        piece = F.size(F.filter("_cuts", lambda c: c < first))
+    heavy = F.broadcast(heavy.withColumn("_is_heavy", F.lit(True)))
     marked = (
         df.join(heavy, _all(keys, "_heavy_"), "left")
         .withColumn("_piece", F.when(F.col("_is_heavy"), piece))
-        .drop("_is_heavy", *[f"_heavy_{k}" for k in keys])
+        .drop("_is_heavy", "_cuts", "_pieces", *[f"_heavy_{k}" for k in keys])
         .withColumn("_is_row", F.lit(1))
     )
     at = F.struct(*order)

@@ -62,19 +62,20 @@ def _any(text: Column, words: tuple[str, ...]) -> Column:
 
 
 def running_state(
-    tagged: DataFrame, call: str, order: str, turns_per_piece: int = 100_000,
+    tagged: DataFrame, call: str, order: str, turns_per_piece: int | None = None,
     least_rows: int = LEAST_HEAVY_ROWS,
 ) -> DataFrame:
     """Add what holds after each turn: ``alerts_so_far``, latest suggestions and next steps.
 
     The list of alerts so far would grow with every turn, so it is kept as a
     count: `alert_log` lists the alerts with their numbers. A very long call is
-    folded in pieces of consecutive turns.
+    folded in pieces of consecutive turns, cut at its own quantiles unless ``turns_per_piece`` is given.
     """
     state = {"suggestions": "current_suggestions", "next_steps": "current_next_steps"}
     valued = tagged.withColumn("_n", F.size("alerts"))
     rows, along = in_pieces(
-        valued, [call], [order], F.floor(F.col(order) / turns_per_piece),
+        valued, [call], [order],
+        None if turns_per_piece is None else F.floor(F.col(order) / turns_per_piece),
         {"_n": "sum", **{c: "last_set" for c in state}}, least_rows,
     )
     so_far = along.rowsBetween(Window.unboundedPreceding, 0)

@@ -33,7 +33,7 @@ from tidemill.sinks import files, keyed
 from tidemill.sinks.snapshot import SnapshotTable
 from tidemill.sources import delimited, tables
 from tidemill.streaming import topic, windows
-from tidemill.streaming.change import changes_only
+from tidemill.streaming.change import ChangeSink
 from tidemill.streaming.route import RouteSink, UpsertSink, dead_letters, good_documents, parsed
 
 QUERIES = {}
@@ -221,7 +221,7 @@ def incremental_load_replay(spark: SparkSession, folder: str) -> DataFrame:
 def change_only(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events").select("event_id", "user_id", "ts", "event_type")
     return dedupe.keep_changes(
-        events, ["user_id"], ["ts", "event_id"], F.col("event_type"), F.date_trunc("day", "ts")
+        events, ["user_id"], ["ts", "event_id"], F.col("event_type")
     )
 
 
@@ -458,11 +458,9 @@ def topic_upsert(spark: SparkSession, folder: str) -> DataFrame:
 def stream_change_only(spark: SparkSession, folder: str) -> DataFrame:
     base = shared_folder(spark, "changes")
     rows = _event_stream(spark, folder).select("event_id", "user_id", "ts", "event_type")
-    topic.append_to_end(
-        changes_only(rows, "user_id", "event_type", ["ts", "event_id"]),
-        f"{base}/out", f"{base}/progress",
-    )
-    return spark.read.schema(rows.schema).parquet(f"{base}/out")
+    sink = ChangeSink(spark, f"{base}/out", "user_id", "event_type", ["ts", "event_id"])
+    topic.run_to_end(rows, f"{base}/progress", sink)
+    return sink.rows(rows.schema)
 
 
 @query
@@ -791,7 +789,7 @@ def conversation_tags(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def running_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    state = tags.running_state(_tagged(spark, folder), "conv_id", "turn", turns_per_piece=3, least_rows=0)
+    state = tags.running_state(_tagged(spark, folder), "conv_id", "turn")
     return _joined(state.drop("suggestions", "next_steps"))
 
 

@@ -3,13 +3,44 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tidemill.operators.dedupe import keep_changes
+
+
+@dataclass
+class ChangeSink:
+    """foreachBatch sink that keeps the rows whose value differs from the key's last one.
+
+    Rows that repeat the one before them in their batch are dropped before the batch is
+    appended, in pieces if one key fills it; repeats across batches are dropped on reading, so
+    that the result is the same however the rows fall into batches. A batch that is run
+    again overwrites its folder.
+    """
+
+    spark: SparkSession
+    path: str
+    key: str
+    value: str
+    order: list[str]
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        self._changes(batch).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+
+    def _changes(self, rows: DataFrame) -> DataFrame:
+        return keep_changes(rows, [self.key], self.order, F.col(self.value))
+
+    def rows(self, schema: T.StructType) -> DataFrame:
+        return self._changes(self.spark.read.schema(schema).parquet(self.path).select(*schema.names))
+
+
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -24,7 +55,7 @@ class _LastValue(StatefulProcessor):
         self.last = handle.getValueState("last", schema, self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        # One key's rows of one batch, so at most what the trigger admits.
+        # One key's rows of one batch in one task: limit the trigger, or use `ChangeSink`.
         batch = pd.concat(list(rows))
         batch = batch.iloc[np.lexsort([batch[c].to_numpy() for c in reversed(self.order)])]
         values = batch[self.value].to_numpy(dtype=object)
