@@ -32,7 +32,7 @@ PERCENT = 75
 BANDS, ROWS = 48, 6  # a pair at 0.75 shares no band with probability 8e-5, at 0.8 with 5e-7
 HASHES = BANDS * ROWS
 BATCH = 32
-BLOCK = 1024  # members of a bucket that are compared in one piece
+BLOCK, BLOCK_BYTES = 512, 16 << 20  # members of a bucket, and their sets, in one piece
 SMALL = 1_000_000  # ids (8 bytes each) that may be sent to every task
 
 _RANDOM = np.random.Generator(np.random.PCG64(75))
@@ -70,7 +70,7 @@ def shingles(text: str | None) -> np.ndarray:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.empty(0, dtype=np.uint64)
-    if len(_words) > 400_000:
+    if len(_words) > 250_000:
         _words.clear()
     hashes = np.fromiter(map(_words.__getitem__, words), dtype=np.uint64, count=len(words))
     if len(words) < WORDS:
@@ -161,6 +161,11 @@ def _pruned(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield frame.select([0, 1]).take(pa.array(keep))
 
 
+def similar(left: np.ndarray, right: np.ndarray) -> bool:
+    both = len(np.intersect1d(left, right, assume_unique=True))
+    return bool(100 * both >= PERCENT * (len(left) + len(right) - both))
+
+
 def _verified(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs with both texts in, sorted by the left id; links out."""
     held, left = None, None
@@ -170,21 +175,20 @@ def _verified(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             key = (frame.column(0)[i].as_py(), text := frame.column(2)[i].as_py())
             if key != held:
                 held, left = key, shingles(text)
-            right = shingles(frame.column(3)[i].as_py())
-            both = len(np.intersect1d(left, right, assume_unique=True))
-            if 100 * both >= PERCENT * (len(left) + len(right) - both):
+            if similar(left, shingles(frame.column(3)[i].as_py())):
                 keep.append(i)
         yield frame.select([0, 1]).take(pa.array(keep, pa.int64()))
 
 
 def _across(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Members of buckets in, sorted by bucket and block; surviving pairs of other components out.
+    """Members of buckets in, sorted by bucket and block; links between other components out.
 
-    Columns: key, one, two (the block's pieces), node, component, piece, signature.
+    Columns: key, one, two (the block's pieces), node, component, piece, signature, bands, set. A
+    pair is compared in the bucket of the first band it shares, and nowhere else.
     """
     table = least_matches()
 
-    def block(rows: list) -> tuple[np.ndarray, np.ndarray]:
+    def pairs_of(rows: list) -> tuple[np.ndarray, np.ndarray]:
         component = np.array([r[4] for r in rows])
         if rows[0][1] == rows[0][2]:
             a, b = np.triu_indices(len(rows), 1)
@@ -196,42 +200,58 @@ def _across(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         other = component[a] != component[b]
         return a[other], b[other]
 
-    def flush(held: list, pairs: list) -> Iterator[pa.RecordBatch]:
-        node = np.array([r[3] for r in held])
+    def links(held: list, pairs: list) -> Iterator[pa.RecordBatch]:
+        key, node = np.array([r[0] for r in held]), np.array([r[3] for r in held])
         marks = np.frombuffer(b"".join(r[6] for r in held), dtype=np.uint8).reshape(-1, HASHES)
+        bands = np.array([r[7] for r in held])
         left = np.concatenate([a for a, _ in pairs])
         right = np.concatenate([b for _, b in pairs])
         found = []
         for i in range(0, len(left), 50_000):
             a, b = left[i:i + 50_000], right[i:i + 50_000]
+            first = (bands[a] == bands[b]).argmax(axis=1)
+            here = bands[a, first] == key[a]
+            a, b = a[here], b[here]
             keep = surviving(marks[a], marks[b], table)
-            found.append(np.stack([node[a[keep]], node[b[keep]]], axis=1))
-        both = np.concatenate(found) if found else np.empty((0, 2), dtype=np.int64)
-        both = np.unique(np.sort(both[both[:, 0] != both[:, 1]], axis=1), axis=0)
-        yield _batch({"a": (both[:, 0], pa.int64()), "b": (both[:, 1], pa.int64())})
+            found += [
+                (min(node[x], node[y]), max(node[x], node[y])) for x, y in zip(a[keep], b[keep])
+                if node[x] != node[y]
+                and similar(np.frombuffer(held[x][8], np.uint64), np.frombuffer(held[y][8], np.uint64))
+            ]
+        yield _batch({"a": ([a for a, _ in found], pa.int64()), "b": ([b for _, b in found], pa.int64())})
 
-    rows, held, pairs, count = [], [], [], 0
+    rows, held, pairs, count, size = [], [], [], 0, 0
 
     def close() -> None:
-        nonlocal count
-        a, b = block(rows)
+        nonlocal count, size
+        a, b = pairs_of(rows)
         pairs.append((a + len(held), b + len(held)))
         held.extend(rows)
         count += len(a)
+        size += sum(len(r[8]) for r in rows)
 
     for frame in frames:
         for row in zip(*(c.to_pylist() for c in frame.columns)):
             if rows and row[:3] != rows[0][:3]:
                 close()
                 rows = []
-                if count > 200_000 or len(held) > 20_000:
-                    yield from flush(held, pairs)
-                    held, pairs, count = [], [], 0
+                if count > 200_000 or len(held) > 20_000 or size > BLOCK_BYTES:
+                    yield from links(held, pairs)
+                    held, pairs, count, size = [], [], 0, 0
             rows.append(row)
     if rows:
         close()
     if held:
-        yield from flush(held, pairs)
+        yield from links(held, pairs)
+
+
+def _sets(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """node, text in; node and its set as 64-bit integers out."""
+    for frame in frames:
+        for i in range(0, frame.num_rows, 1000):
+            some = frame.slice(i, 1000)
+            sets = [shingles(t.as_py()).tobytes() for t in some.column(1)]
+            yield pa.RecordBatch.from_arrays([some.column(0), pa.array(sets, pa.binary())], ["node", "set"])
 
 
 def _few(ids: DataFrame) -> DataFrame:
@@ -278,9 +298,9 @@ def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
         ),
         "near-placed",
     )
-    signed = placed.where("signature is not null").select("node", "signature")
+    signed = placed.where("signature is not null").select("node", "signature", "bands")
 
-    rows = placed.select("node", F.explode("bands").alias("key"))
+    rows = placed.select("node", "n_shingles", F.explode("bands").alias("key"))
     shared = rows.groupBy("key").agg(
         F.count("*").alias("size"), F.min("node").alias("pivot")
     ).where("size > 1")
@@ -301,25 +321,29 @@ def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
         buckets.where("node <> pivot and size > 2").join(label, "node", "left")
         .withColumn("component", F.coalesce("component", "node")), "near-labelled",
     )
+    pieces = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") * 8 / BLOCK_BYTES))
     open_ = labelled.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
-    ).where("low < high").select("key")
-    pieces = F.ceil(F.col("size") / BLOCK).cast("int")
-    piece = F.pmod(F.xxhash64("node"), pieces).cast("int")
+        F.min("component").alias("low"), F.max("component").alias("high"),
+        pieces.cast("int").alias("pieces"),
+    ).where("low < high").select("key", "pieces")
+    unsettled = written(labelled.join(open_, "key"), "near-unsettled")
+    wanted = written(unsettled.select("node").distinct(), "near-unsettled-nodes")
+    sets = by_node.join(_few(wanted), "node", "left_semi").mapInArrow(_sets, "node long, set binary")
+    piece = F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int")
     members = (
-        labelled.join(open_, "key").join(signed, "node")
-        .select("key", "node", "component", "signature", pieces.alias("pieces"), piece.alias("piece"))
+        unsettled.join(written(sets.join(signed, "node"), "near-sets"), "node")
+        .withColumn("piece", piece)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
         .select(
             "key", F.least("piece", "other").alias("one"), F.greatest("piece", "other").alias("two"),
-            "node", "component", "piece", "signature",
+            "node", "component", "piece", "signature", "bands", "set",
         )
     )
     block = ["key", "one", "two"]
-    across = (
-        members.repartition(*block).sortWithinPartitions(*block).mapInArrow(_across, "a long, b long")
+    second = written(
+        members.repartition(*block).sortWithinPartitions(*block).mapInArrow(_across, "a long, b long"),
+        "near-rest",
     )
-    second = _links(across, by_node, "near-rest")
     label = components(first.unionByName(second))
     alone = features.where("doc_id is null or n_shingles = 0").select(
         "doc_id", "n_shingles", F.col("doc_id").alias("node")
