@@ -147,7 +147,6 @@ class IncrementalLoad:
         lower, upper = compute_window(s, last, now)
         if upper <= lower:
             return LoadResult(run_id, lower, upper, skipped=True)
-        self.stage.purge(s.job)
         rows_read = self.stage.append(self._increment(source, lower, upper), s.job, run_id, now)
         staged = self.stage.rows(s.job, run_id)
         names.require_columns(staged.columns, [*s.target.names, *RUN_COLUMNS], "stage")

@@ -53,12 +53,19 @@ class Stage:
         return len(runs)
 
     def retain(self, job: str, now: datetime, days: int = 7) -> list[str]:
-        """Drop the job's runs that were loaded more than ``days`` ago, or hold no row."""
+        """Drop the job's runs that were loaded more than ``days`` ago, or hold no row.
+
+        One pass over the load times of all runs; a row per kept run reaches the driver.
+        """
         oldest = utc_naive(now) - timedelta(days=days)
-        dropped = []
-        for run_id in self.runs(job):
-            loaded = self.rows(job, run_id).agg(F.max("ETL_LOADED_AT")).first()[0]
-            if loaded is None or loaded < oldest:
-                self._folder.delete(self._run_path(job, run_id))
-                dropped.append(run_id)
+        schema = "ETL_LOADED_AT timestamp_ntz, ETL_RUN_ID string"
+        runs = self.runs(job)
+        if not runs:
+            return []
+        rows = self.spark.read.schema(schema).parquet(f"{self.path}/ETL_JOB_NAME={job}")
+        newest = rows.groupBy("ETL_RUN_ID").agg(F.max("ETL_LOADED_AT").alias("at")).collect()
+        kept = {r.ETL_RUN_ID for r in newest if r["at"] >= oldest}
+        dropped = [run_id for run_id in runs if run_id not in kept]
+        for run_id in dropped:
+            self._folder.delete(self._run_path(job, run_id))
         return dropped
