@@ -33,5 +33,4 @@ def test_every_sql_has_its_query(spark):
 
 
 def test_recall_of_the_query_is_high(spark):
-    rows = queries()["recall_at_k"](spark, FOLDER).collect()
-    assert sum(r.recall for r in rows) / len(rows) >= 0.95
+    assert [r.reached for r in queries()["recall_at_k"](spark, FOLDER).collect()] == [True]

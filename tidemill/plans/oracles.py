@@ -530,5 +530,19 @@ ORACLES: dict[str, str] = {
           real_prev as expected_prev, status <> 'P' as link_ok from c""",
     "ledger_hashes": """
         select o_orderkey as height, o_orderstatus <> 'P'
-          and sha256(concat('block ', cast(o_orderkey as varchar))) like '0%' as hash_ok from orders""",
+          and sha256(concat('{"id":', o_orderkey, ',"status":"', o_orderstatus, '"}')) like '0%' as hash_ok from orders""",
+    "load_control": """
+        with w as (select timestamp '1998-12-31 23:50:00' as upper, timestamp '1997-12-31 23:50:00' - interval 30 day as lower)
+        select 'orders' as "JOB_NAME", any_value(upper) as "LAST_CREATED_TS", count(*) as "LAST_ROWS_READ",
+          count(distinct o_orderkey) as "LAST_ROWS_MERGED"
+        from orders, w where o_orderdate >= lower and o_orderdate < upper""",
+    "created_from_text": """
+        select o_orderkey, date_trunc('second', o_orderdate) - interval 2 hour as created from orders""",
+    "deleted_by_pattern": """
+        select concat_ws(':', p_brand, p_name, p_partkey) as key, p_partkey from part
+        where not (p_brand = 'Brand#1' or (length(p_brand) = 8 and starts_with(p_brand, 'Brand#1')) or p_name = 'red widget')""",
+    "header_csv": "select * from supplier",
+    "inferred_delimited": """
+        select p_partkey as key, p_name as name, p_retailprice as price, p_size as extra_3 from part""",
+    "connector_copy": "select c_custkey as id, c_nationkey, c_mktsegment from customer",
 }

@@ -24,6 +24,7 @@ from tidemill.operators import (
     stats,
     tags,
 )
+from tidemill.functions.ledger import record_hash
 from tidemill.operators.rollup import Output, rollup
 from tidemill.plans import location, stand_in
 from tidemill.plans.incremental import IncrementalLoad, LoadSettings
@@ -217,6 +218,32 @@ def incremental_load_replay(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def load_control(spark: SparkSession, folder: str) -> DataFrame:
+    """The control row after three runs, with what the last one read and merged."""
+    settings = LoadSettings(
+        job="orders", keys=["ID"], created="o_orderdate", target_created="CREATED",
+        target=T.StructType.fromDDL("ID bigint, CREATED timestamp_ntz"),
+        columns=["o_orderkey", "o_orderdate"], renames={"o_orderkey": "id", "o_orderdate": "created"},
+        lookback_minutes=60 * 24 * 30, buckets=8,
+    )
+    load = IncrementalLoad(spark, settings, shared_folder(spark, "control"))
+    orders = table(spark, folder, "orders")
+    for now in (datetime(1997, 1, 1), datetime(1998, 1, 1), datetime(1999, 1, 1)):
+        load.run(orders, now)
+    return load.target.control().select(
+        "JOB_NAME", "LAST_CREATED_TS", "LAST_ROWS_READ", "LAST_ROWS_MERGED"
+    )
+
+
+@query
+def created_from_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Created times that arrive as ISO text of another zone."""
+    text = F.date_format(F.col("o_orderdate").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'+02:00'")
+    rows = table(spark, folder, "orders").select("o_orderkey", text.alias("created"))
+    return schema.normalise_created(rows, "created")
+
+
 @query
 def change_only(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events").select("event_id", "user_id", "ts", "event_type")
@@ -244,6 +271,18 @@ def delete_by_pattern(spark: SparkSession, folder: str) -> DataFrame:
     return keyed.count_by_glob(parts, "key", ["Brand#1:*", "Brand#1?:*", "*:red widget", "none:*"])
 
 
+@query
+def deleted_by_pattern(spark: SparkSession, folder: str) -> DataFrame:
+    """What a keyed table holds after the keys that match a pattern are deleted."""
+    parts = table(spark, folder, "part").select(
+        F.concat_ws(":", "p_brand", "p_name", "p_partkey").alias("key"), "p_partkey"
+    )
+    store = SnapshotTable(spark, shared_folder(spark, "globs"), "key string, p_partkey bigint", ["key"], buckets=8)
+    store.merge(parts)
+    keyed.delete_by_globs(store, "key", ["Brand#1:*", "Brand#1?:*", "*:red widget:*", "none:*"])
+    return store.read()
+
+
 @query
 def kept_after_delete(spark: SparkSession, folder: str) -> DataFrame:
     parts = table(spark, folder, "part").select(
@@ -364,6 +403,37 @@ def safe_export(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.option("header", True).csv(path)
 
 
+@query
+def header_csv(spark: SparkSession, folder: str) -> DataFrame:
+    supplier, path = table(spark, folder, "supplier"), shared_folder(spark, "header")
+    files.write_csv(supplier, path)
+    return delimited.read_with_header(spark, path, supplier.schema)
+
+
+@query
+def inferred_delimited(spark: SparkSession, folder: str) -> DataFrame:
+    lines = table(spark, folder, "part").select("p_partkey", "p_name", "p_retailprice", "p_size")
+    path = shared_folder(spark, "inferred")
+    delimited.write_delimited(lines, path)
+    read = delimited.read_delimited_inferred(spark, path)
+    return delimited.name_by_position(read, ["key", "name", "price"]).withColumns(
+        {"key": F.col("key").cast("bigint"), "extra_3": F.col("extra_3").cast("int")}
+    )
+
+
+@query
+def connector_copy(spark: SparkSession, folder: str) -> DataFrame:
+    """A table through a connector by its name, renamed on the way; written as JSON and Parquet too."""
+    path = shared_folder(spark, "connector")
+    nations = table(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    files.write_connector(nations, "orc", {"c_custkey": "id"}, path=f"{path}/orc")
+    copied = tables.read_connector(spark, "orc", path=f"{path}/orc")
+    files.write_json(copied, f"{path}/json")
+    again = spark.read.schema(copied.schema).json(f"{path}/json")
+    files.write_parquet(again, f"{path}/parquet", ["c_mktsegment"])
+    return spark.read.parquet(f"{path}/parquet").select("id", "c_nationkey", "c_mktsegment")
+
+
 @query
 def json_rows(spark: SparkSession, folder: str) -> DataFrame:
     nation = table(spark, folder, "customer").select("c_custkey", F.struct("c_name", "c_nationkey").alias("who"))
@@ -832,9 +902,10 @@ def ledger_links(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def ledger_hashes(spark: SparkSession, folder: str) -> DataFrame:
-    blocks = table(spark, folder, "orders").selectExpr(
-        "o_orderkey as height", "sha2(concat('block ', cast(o_orderkey as string)), 256) as computed",
-        "case when o_orderstatus = 'P' then 'x' else '' end as change",
+    record = F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"))
+    blocks = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("height"), record_hash(record).alias("computed"),
+        F.when(F.col("o_orderstatus") == "P", "x").otherwise("").alias("change"),
     ).withColumn("stored", F.concat("computed", "change"))
     audited = ledger.hash_audit(blocks, F.col("stored"), F.col("computed"), F.lit(1))
     return audited.select("height", "hash_ok")
