@@ -249,3 +249,27 @@ def test_change_sink_with_one_heavy_key_does_not_depend_on_the_batches(spark, fo
     finally:
         change.keep_changes = prefix_keep
     assert least == prefix.LEAST_HEAVY_ROWS
+
+
+def test_failed_items_become_letters_and_the_others_stay(spark, folder):
+    class Picky(RouteSink):
+        def write_documents(self, documents, batch_id):
+            refused = F.get_json_object("document", "$.n") == "2"
+            super().write_documents(documents.filter(~refused), batch_id)
+            return documents.filter(refused).select("topic", "partition", "offset", F.lit("mapping").alias("error"))
+
+    sink = Picky(spark, folder, "x_")
+    sink(records(spark, [{"n": 1}, {"n": 2}, "not json", {"n": 3}]), 0)
+    assert sorted(r.offset for r in sink.documents().collect()) == [0, 3]
+    letters = {r.offset: json.loads(r.value)["error"] for r in sink.letters().collect()}
+    assert sorted(letters) == [1, 2] and letters[1] == "mapping"
+
+
+def test_a_continuous_run_is_stopped_when_it_has_caught_up(spark, folder):
+    sink = RouteSink(spark, f"{folder}/out", "x_")
+    records(spark, [{"n": 1}]).write.parquet(f"{folder}/in")
+    query = topic.start(topic.read_files(spark, f"{folder}/in", RECORD), f"{folder}/cp", sink, (1000, 1))
+    assert query.isActive
+    records(spark, [{"n": 2}], 1).write.mode("append").parquet(f"{folder}/in")
+    topic.stop(query)
+    assert not query.isActive and sink.documents().count() == 2

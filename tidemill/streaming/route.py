@@ -76,6 +76,13 @@ def failed_records(records: DataFrame, error: str) -> DataFrame:
     return dead_letters(records.withColumn("error", F.lit(error)))
 
 
+def item_letters(records: DataFrame, failed: DataFrame) -> DataFrame:
+    """Dead letters for records of which a document was not written, with the first error."""
+    place = ["topic", "partition", "offset"]
+    errors = failed.groupBy(*place).agg(F.min("error").alias("item_error"))
+    return dead_letters(records.join(errors, place).withColumn("error", F.col("item_error")))
+
+
 @dataclass
 class RouteSink:
     """foreachBatch sink that writes documents and dead letters of a batch.
@@ -116,7 +123,9 @@ class RouteSink:
             if self.on_error != "dlq":
                 letters = letters.limit(0)
             try:
-                self.write_documents(good_documents(split, self.prefix), batch_id)
+                failed = self.write_documents(good_documents(split, self.prefix), batch_id)
+                if failed is not None:
+                    letters = letters.unionByName(item_letters(split, failed))
             except Exception as cause:
                 if not self.letters_for_failed_batches:
                     raise
@@ -128,12 +137,17 @@ class RouteSink:
         finally:
             split.unpersist()
 
-    def write_documents(self, documents: DataFrame, batch_id: int) -> None:
-        """Append by alias; the id depends only on the record's position."""
+    def write_documents(self, documents: DataFrame, batch_id: int) -> DataFrame | None:
+        """Append by alias; the id depends only on the record's position.
+
+        A sink that can refuse single documents returns those it has not written: topic,
+        partition, offset and error. Their records become dead letters, the others stay.
+        """
         target = f"{self.path}/docs/batch={batch_id}"
         rows = documents.select("alias", "doc_id", "document", "topic", "partition", "offset")
         # Rebalancing keeps small types in one file and cuts a large one into several.
         rows.hint("rebalance", "alias").write.mode("overwrite").partitionBy("alias").parquet(target)
+        return None
 
     def drop_documents(self, batch_id: int) -> None:
         Folder(self.spark, self.path).delete(f"docs/batch={batch_id}")

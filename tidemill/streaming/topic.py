@@ -74,20 +74,37 @@ def with_message(
     return records.withColumn("message", message(F.col("value")))
 
 
-def run_to_end(
-    frame: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None]
+def start(
+    frame: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None],
+    batch: tuple[int, int] | None = None,
 ) -> StreamingQuery:
-    """Process what there is in batches through ``sink``, and return when done.
+    """Start to process batches through ``sink``, and return the running query.
 
-    Progress is committed after the sink returns; a sink that raises is called
-    again with the same batch on the next start.
+    ``batch`` is (records, seconds): a batch every so many seconds, of as many records as the
+    source was read with. Without it, what there is, and then the query ends. Progress is committed
+    after the sink returns; a sink that raises is called again with the same batch on
+    the next start.
     """
-    query = (
+    return (
         frame.writeStream.foreachBatch(sink)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger(batch))
         .start()
     )
+
+
+def stop(query: StreamingQuery) -> None:
+    """Finish what has arrived, then stop. An error of the query is raised."""
+    query.processAllAvailable()
+    query.stop()
+    query.awaitTermination()
+
+
+def run_to_end(
+    frame: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None]
+) -> StreamingQuery:
+    """Process what there is in batches through ``sink``, and return when done."""
+    query = start(frame, checkpoint, sink)
     query.awaitTermination()
     return query
 
