@@ -1 +1,12 @@
 """Operators of a training-data pipeline; nothing else in the library imports them."""
+
+from pyspark.sql import SparkSession
+
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> SparkSession:
+    """Whole texts go to Python in batches of so many rows, unless the session sets fewer."""
+    if int(spark.conf.get(BATCH)) > rows:
+        spark.conf.set(BATCH, str(rows))
+    return spark

@@ -20,11 +20,16 @@ from pyspark.sql import functions as F
 from tidemill.session import written
 
 CANDIDATES = 32
-PASSES = 5
+STEPS = 10_000
 SMALL = 100_000  # sources that may be sent to every task
 WHITE = " \t\n\x0b\f\r"
 
 
+def _draw(*parts: Column) -> Column:
+    """A number of 60 bits from a hash of the parts."""
+    return F.conv(F.substring(F.md5(F.concat_ws("/", *parts)), 1, 15), 16, 10).cast("long")
+
+
 def words(text: Column) -> Column:
     """The number of words of a whole text: the default measure of tokens."""
     plain = F.translate(F.coalesce(text, F.lit("")), WHITE, " " * len(WHITE))
@@ -49,29 +54,28 @@ def _measures(shares: DataFrame, exponents: list[float]) -> list[tuple[float, fl
 def exponent(
     shares: DataFrame, *, entropy: float | None = None, repetition: float | None = None
 ) -> float:
-    """The exponent in [0, 1] that meets the target, to six decimals.
+    """The smallest exponent in [0, 1], in steps of 0.0001, that meets the target.
 
     ``entropy``: the wanted share (0 to 1) of the way from the sources' own entropy to that of equal
-    weights. ``repetition``: the most times that one source is seen more often than another;
-    the smallest exponent within it is taken.
+    weights, at most. ``repetition``: the most times that one source is seen more often than
+    another. Both fall as the exponent rises, so that it is bisected, many candidates a pass.
     """
-    low, high = 0.0, 1.0
-    ends = _measures(shares, [0.0, 1.0])
-    target = None if entropy is None else ends[1][0] + entropy * (ends[0][0] - ends[1][0])
-    for _ in range(PASSES):
-        step = (high - low) / (CANDIDATES + 1)
-        grid = [low + step * (i + 1) for i in range(CANDIDATES)]
-        for a, (h, r) in zip(grid, _measures(shares, grid)):
-            # Entropy and repetition both fall as the exponent rises.
-            too_flat = h > target if target is not None else r > repetition
-            if too_flat:
-                low = a
-            else:
-                high = a
+    (flat, _), (own, _) = _measures(shares, [0.0, 1.0])
+
+    def meets(measures: tuple[float, float]) -> bool:
+        if entropy is not None:
+            return measures[0] <= own + entropy * (flat - own)
+        return measures[1] <= repetition
+
+    low, high = -1, STEPS  # the target is missed at low and met at high
+    while high - low > 1:
+        grid = sorted({low + (high - low) * (i + 1) // (CANDIDATES + 1) for i in range(CANDIDATES)} - {low})
+        for step, measures in zip(grid, _measures(shares, [g / STEPS for g in grid])):
+            if meets(measures):
+                high = step
                 break
-    if target is None and ends[0][1] <= repetition:
-        return 0.0
-    return round(high, 6)
+            low = step
+    return high / STEPS
 
 
 def weights(
@@ -120,12 +124,12 @@ def mixed(
     carried are left out, whatever their names.
     """
     count = words(F.col(text)) if tokens is None else tokens.cast("long")
-    key = F.concat_ws("/", F.lit(str(seed)), F.col(doc_id).cast("string"))
+    draw = _draw(F.lit(str(seed)), F.col(doc_id).cast("string"), F.md5(F.coalesce(F.col(text), F.lit(""))))
     rows = written(
         docs.select(
             F.struct(*[F.col(f"`{c}`") for c in carried]).alias("row"),
             F.col(source).cast("string").alias("source"), F.coalesce(count, F.lit(0)).alias("n_tokens"),
-            F.xxhash64(key, F.xxhash64(F.col(text))).alias("draw"),
+            draw.alias("draw"),
         ),
         "mixing-rows",
     )
@@ -150,7 +154,7 @@ def mixed(
         "block", F.pmod(F.call_function("shiftright", F.col("draw"), F.lit(20)), F.coalesce("blocks", F.lit(1)))
     )
     # The last epoch: blocks in the order of their own draw, by sums per block.
-    turn = F.xxhash64(F.lit(seed), F.col("source"), F.col("epochs"), F.col("block"))
+    turn = _draw(F.lit(str(seed)), *[F.col(c).cast("string") for c in ("source", "epochs", "block")])
     sums = (
         dealt.where("blocks is not null").groupBy("source", "block")
         .agg(F.sum("n_tokens").alias("in_block"), F.max("epochs").alias("epochs"), F.max("left").alias("left"))

@@ -6,22 +6,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import chat, cotraining, licenses, mixing, near_dup, quality_rules
+from tidemill.llm import (
+    chat, cotraining, licenses, mixing, near_dup, quality_rules, small_batches,
+)
 from tidemill.llm.packing import pack_documents
 from tidemill.llm.token_store import read_tokens, train_dictionary, write_tokens
 from tidemill.llm.topk import top_k
 from tidemill.llm.wordpiece import count_pieces
 from tidemill.session import shared_folder
 
+TOKEN_BATCH = 2500  # distinct chunks are encoded once per batch
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
-def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def _table(spark: SparkSession, folder: str, name: str, batch: int = 1000) -> DataFrame:
+    return small_batches(spark, batch).read.parquet(f"{folder}/{name}.parquet")
 
 
 def op1_token_store(spark: SparkSession, folder: str) -> DataFrame:
-    docs, path = _table(spark, folder, "documents"), shared_folder(spark, "tokens")
+    docs, path = _table(spark, folder, "documents", TOKEN_BATCH), shared_folder(spark, "tokens")
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     dictionary = train_dictionary(docs, tokenizer, "space")
     write_tokens(docs, path, tokenizer, "space", end_id=0, dictionary=dictionary)
@@ -60,7 +63,7 @@ def op4_top_k(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = pack_documents(
-        _table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), "white",
+        _table(spark, folder, "documents", TOKEN_BATCH), public_tokenizers.path("word_bpe_49k.json"), "white",
         end_id=2, capacity=4096,
     )
     return pieces.select(
@@ -76,7 +79,7 @@ def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return mixing.mixed(docs, ["doc_id"], entropy=0.5).select(
-        "row.doc_id", "source", "n_tokens", "block", "weight", "epochs", "copies"
+        "row.doc_id", "source", "n_tokens", "block", F.round("weight", 9).alias("weight"), "epochs", "copies"
     )
 
 
@@ -131,6 +134,69 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op3_licenses": r"""
+        with docs as (
+            select row_number() over () as rid, doc_id, coalesce(text, '') as text,
+                array_to_string(list_slice([coalesce(source, '-'), coalesce(lang, '-'), (doc_id // 4000)::varchar,
+                    (doc_id // 200)::varchar], 1, 1 + doc_id % 4), '/') as directory
+            from documents where doc_id is not null
+        ),
+        templates(license, line) as (values
+            ('Apache-2.0', 'licensed under the apache license version 2 0'),
+            ('BSD-3-Clause', 'licensed under the bsd 3 clause license'),
+            ('CC-BY-4.0', 'this work is licensed under cc by 4 0'),
+            ('CC-BY-NC-4.0', 'licensed under cc by nc 4 0'),
+            ('CC-BY-SA-4.0', 'this work is licensed under cc by sa 4 0'),
+            ('GPL-2.0', 'this work is licensed under the gnu general public license version 2'),
+            ('GPL-3.0', 'this work is licensed under the gnu general public license version 3'),
+            ('LGPL-3.0', 'licensed under the gnu lesser general public license version 3'),
+            ('MIT', 'released under the mit license'),
+            ('MPL-2.0', 'subject to the terms of the mozilla public license version 2 0')
+        ),
+        parts as (select license, word, count(*) as c from (select license, unnest(string_split(line, ' ')) as word from templates) group by all),
+        words as (select distinct word from parts),
+        lines as (
+            select rid, directory, row_number() over () as line,
+                regexp_extract_all(lower(line), '[^] .,;:!?()[{}<>"''`/\\|*#%&$@+=_~^\t\r\x0b\f\n-]+') as terms
+            from (select rid, directory, unnest(string_split(text, chr(10))) as line from docs)
+        ),
+        total as (select count(*) as n from docs),
+        frequency as (select word, count(distinct rid) as d from (select rid, unnest(terms) as word from lines) semi join words using (word) group by word),
+        weights as (select word, ln((1 + n) / (1 + coalesce(d, 0))) + 1 as idf from words cross join total left join frequency using (word)),
+        vectors as (
+            select license, word, c * idf / sqrt(sum(c * idf * c * idf) over (partition by license)) as part
+            from parts join weights using (word)
+        ),
+        cued as (select * from lines where list_has_any(terms, (select list(word) from words))),
+        counted as (select rid, line, word, count(*) as c from (select rid, line, unnest(terms) as word from cued) group by all),
+        weighed as (select rid, line, word, c * coalesce(idf, ln(1 + n) + 1) as w from counted cross join total left join weights using (word)),
+        norms as (select rid, line, sqrt(sum(w * w)) as norm from weighed group by all),
+        scores as (
+            select rid, line, license, round(sum(w * part) / any_value(norm), 6) as score
+            from weighed join vectors using (word) join norms using (rid, line) group by all
+        ),
+        units as (
+            select * from scores where score >= 0.75
+            qualify row_number() over (partition by rid, line order by score desc, license) = 1
+        ),
+        own as (
+            select rid, count(distinct license) as n_licenses, max(score) as score,
+                arg_min(license, (-score, license)) as own
+            from units group by rid
+        ),
+        votes as (select directory, own as license, count(*) as n from own join docs using (rid) group by all),
+        governing as (select directory, license from votes qualify row_number() over (partition by directory order by n desc, license) = 1),
+        nearest as (
+            select d.directory, arg_max(g.license, length(g.directory)) as inherited, arg_max(g.directory, length(g.directory)) as from_directory
+            from (select distinct directory from docs) d join governing g
+                on d.directory = g.directory or starts_with(d.directory, g.directory || '/')
+            group by d.directory
+        )
+        select doc_id, own, score, coalesce(n_licenses, 0) as n_licenses,
+            case when own is null then inherited end as inherited,
+            case when own is null then from_directory end as from_directory, coalesce(own, inherited) as license
+        from docs left join own using (rid) left join nearest using (directory)
+    """,
     "op4_top_k": """
         with v as (
             select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as e
@@ -146,6 +212,90 @@ ORACLES = {
             vec_id, score
         from pairs qualify rank <= 10
     """,
+    "op6_near_duplicates": r"""
+        with recursive words as (
+            select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
+        ),
+        sets as (
+            select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+                else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s
+            from words
+        ),
+        sizes as (select doc_id, count(*) as n from sets group by doc_id),
+        pairs as (
+            select a.doc_id as x, b.doc_id as y, count(*) as shared
+            from sets a join sets b on a.s = b.s and a.doc_id < b.doc_id group by all
+        ),
+        links as (
+            select x, y from pairs join sizes a on a.doc_id = x join sizes b on b.doc_id = y
+            where 100 * shared >= 75 * (a.n + b.n - shared)
+        ),
+        ways as (select x, y from links union all select y, x from links),
+        reach as (
+            select doc_id, doc_id as other from words
+            union
+            select r.doc_id, ways.y from reach r join ways on ways.x = r.other
+        ),
+        least as (select doc_id, min(other) as component_id from reach group by doc_id)
+        select doc_id, coalesce(n, 0) as n_shingles, component_id, doc_id = component_id as kept
+        from least left join sizes using (doc_id)
+    """,
+    "op7_mixing": r"""
+        with docs as (
+            select row_number() over () as rid, doc_id, source,
+                cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as n_tokens,
+                cast('0x' || substr(md5('7/' || doc_id || '/' || md5(coalesce(text, ''))), 1, 15) as bigint) as draw
+            from documents
+        ),
+        shares as (
+            select source, tokens, tokens / sum(tokens) over () as share
+            from (select source, cast(sum(n_tokens) as bigint) as tokens from docs group by source) where tokens > 0
+        ),
+        grid as (select unnest(range(0, 10001)) / 10000 as a),
+        entropies as (
+            select a, ln(sum(exp(a * ln(share)))) - a * sum(exp(a * ln(share)) * ln(share)) / sum(exp(a * ln(share))) as h
+            from grid, shares group by a
+        ),
+        chosen as (
+            select min(a) as a from entropies
+            where h <= (select h from entropies where a = 1) + 0.5 * ((select h from entropies where a = 0) - (select h from entropies where a = 1))
+        ),
+        raw as (select source, tokens, share, exp(a * ln(share)) as r from shares, chosen),
+        plan as (
+            select source, tokens, r / norm as weight, cast(round(total * rarest * norm * r / norm) as bigint) as budget
+            from raw, (select sum(r) as norm, sum(tokens) as total, max(share / r) as rarest from raw)
+        ),
+        epochs as (select *, budget // tokens as epochs, budget % tokens as left_over, tokens // 1048576 + 1 as blocks from plan),
+        dealt as (
+            select rid, doc_id, d.source, n_tokens, draw, weight, epochs, left_over, (draw >> 20) % coalesce(blocks, 1) as block
+            from docs d left join epochs e on d.source is not distinct from e.source
+        ),
+        turns as (
+            select *, cast('0x' || substr(md5(concat_ws('/', '7', source, epochs, block)), 1, 15) as bigint) as turn
+            from (
+                select source, block, sum(n_tokens) as in_block, any_value(epochs) as epochs, any_value(left_over) as left_over
+                from dealt where epochs is not null group by source, block
+            )
+        ),
+        rooms as (
+            select source, block, in_block,
+                greatest(left_over - (sum(in_block) over (partition by source order by turn, block) - in_block), 0) as room
+            from turns
+        ),
+        ranked as (
+            select d.*, in_block, room,
+                coalesce(sum(n_tokens) over (partition by d.source, d.block order by draw, n_tokens
+                    rows between unbounded preceding and 1 preceding), 0) as before
+            from dealt d left join rooms r on d.source is not distinct from r.source and d.block = r.block
+        )
+        select doc_id, source, n_tokens, block, round(weight, 9) as weight, epochs,
+            case when epochs is null then 1 else cast(epochs + case
+                when left_over > 0 and room >= in_block then 1
+                when room > 0 and room < in_block and draw <= max(draw) filter (before < room) over (partition by source, block) then 1
+                else 0 end as bigint) end as copies
+        from ranked
+    """,
     "op8_chat_format": r"""
         with turns as (
             select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations

@@ -37,8 +37,8 @@ def usable(vector: Column) -> Column:
 def _whole(values: np.ndarray, scale: int) -> np.ndarray:
     """floor(scale * x), as doubles if all sums of products are exact, else as Python integers."""
     scaled = np.floor(values * scale)
-    most = np.abs(scaled).max(initial=0)
-    if most * most * max(values.shape[-1], 1) < 2**53:
+    most = float(np.abs(scaled).max(initial=0))
+    if most < 2**26 and most * most * max(values.shape[-1], 1) < 2**53:
         return scaled
     exact = [int(np.floor(x * scale)) if abs(x) < 2**52 else int(x) * scale for x in values.ravel()]
     return np.array(exact, dtype=object).reshape(values.shape)
@@ -109,8 +109,8 @@ def _search(block: list[tuple[int, int, np.ndarray]], k: int, scale: int, shard:
                 query_id, vector = block[at][1], _whole(block[at][2], scale)
                 t, low, high = terms, least, most
                 if vector.dtype == object or t.dtype == object or (
-                    np.abs(vector).max(initial=0) * max(np.abs(low).max(initial=0), np.abs(high).max(initial=0))
-                    * max(len(vector), 1) >= 2**53
+                    float(np.abs(vector).max(initial=0)) * float(np.abs(t).max(initial=0)) * max(len(vector), 1)
+                    >= 2**53
                 ):
                     vector, t, low, high = (
                         np.array([int(v) for v in x.ravel()], dtype=object).reshape(x.shape)
