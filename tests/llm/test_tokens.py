@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -56,8 +57,10 @@ def test_any_text_is_encoded_whole(encoders, texts):
 
 def test_batches_hold_every_text_once():
     texts = ["x" * n for n in (5, 1, 9, 30, 2, 2)]
-    assert [i for a, b in batches(texts, 10) for i in range(a, b)] == list(range(6))
-    assert list(batches([], 10)) == []
+    slices = list(batches(pa.array(texts), 10))
+    assert [i for a, b in slices for i in range(a, b)] == list(range(6))
+    assert all(sum(map(len, texts[a:b])) <= 10 or b - a == 1 for a, b in slices)
+    assert list(batches(pa.array([], pa.string()), 10)) == []
 
 
 def test_store_round_trip(spark):

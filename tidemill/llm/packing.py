@@ -153,10 +153,10 @@ def pack_documents(
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
         for frame in frames:
-            texts = [t or "" for t in frame.column(1).to_pylist()]
+            texts = frame.column(1)
             ids = frame.column(0).to_pylist()
             for a, b in batches(texts):
-                for key, x in zip(ids[a:b], encode(texts[a:b])):
+                for key, x in zip(ids[a:b], encode(texts.slice(a, b - a))):
                     keys.append(key)
                     held.append(x + end)
                     tokens += len(held[-1]) // 4

@@ -104,10 +104,10 @@ def write_tokens(
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds)], names)
 
         for frame in frames:
-            texts = [t or "" for t in frame.column(1).to_pylist()]
+            texts = frame.column(1)
             keys = frame.column(0).to_pylist()
             for a, b in batches(texts):
-                for key, x in zip(keys[a:b], encode(texts[a:b])):
+                for key, x in zip(keys[a:b], encode(texts.slice(a, b - a))):
                     x += end
                     ids.append(key)
                     counts.append(len(x) // 4)

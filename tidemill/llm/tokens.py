@@ -16,9 +16,10 @@ from __future__ import annotations
 import os
 import re
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 # Marks a chunk that no space precedes; with the rule "space", one precedes all others.
@@ -30,7 +31,7 @@ _JOINED = 2_000
 class ChunkEncoder:
     """``encode(texts)`` gives the ids of each text as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str, rule: str | None, cached_chars: int = 8_000_000):
+    def __init__(self, path: str, rule: str | None, cached_chars: int = 4_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -76,12 +77,18 @@ class ChunkEncoder:
         data = ids.tobytes()
         return [data[a:b] for a, b in zip((4 * first).tolist(), (4 * last).tolist())]
 
-    def _chunks(self, text: str) -> list[str]:
+    def _cut(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The chunks of all texts one after the other, and where each text's chunks start."""
         if self.rule == "white":
-            return text.replace("\n", " ").split(" ")
-        if _BARE in text:
-            return [""]
-        return (_BARE + text.replace("\n", f" {_FEED} {_BARE}")).split(" ")
+            marked = pc.replace_substring(texts, "\n", " ")
+        else:
+            # Texts that hold the mark themselves get a chunk that isn't regular.
+            plain = pc.if_else(pc.match_substring(texts, _BARE), "  ", texts)
+            marked = pc.binary_join_element_wise(
+                _BARE, pc.replace_substring(plain, "\n", f" {_FEED} {_BARE}"), ""
+            )
+        lists = pc.split_pattern(marked, " ")
+        return lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
 
     def _regular(self, chunk: str) -> bool:
         if self.rule == "white":
@@ -89,48 +96,65 @@ class ChunkEncoder:
         body = chunk[1:] if chunk[:1] == _BARE else chunk
         return bool(body) and not body[0].isspace() and not body[-1].isspace()
 
-    def _learn(self, missing: set[str]) -> None:
+    def _learn(self, missing: list[str]) -> list[bytes | bool]:
+        """What is kept of distinct chunks that aren't known, in their order."""
         if self.chars > self.cached_chars:
             self.before, self.known, self.chars = self.known, {}, 0
         self.chars += sum(map(len, missing))
-        again = missing & self.before.keys()
-        self.known.update((c, self.before[c]) for c in again)
-        missing -= again
-        if self.rule == "white":
-            self.known[""] = b""
-            missing.discard("")
-        elif _FEED in missing:
-            self.known[_FEED] = self._ids(["\n"])[0]
-            missing.discard(_FEED)
-        regular = [c for c in missing if self._regular(c)]
-        self.known.update(dict.fromkeys(missing, False))
-        if self.rule == "white":  # other white space inside would count as a cut
-            odd = [c for c in regular if c.split() != [c]]
-            self.known.update(zip(odd, self._ids(odd)))
-            regular = [c for c in regular if c.split() == [c]]
-        for i in range(0, len(regular), _JOINED):
-            some = regular[i:i + _JOINED]
-            ids = self._together(some)
+        found = list(map(self.before.get, missing))
+        new = [i for i, x in enumerate(found) if x is None]
+        together = []
+        for i in new:
+            chunk = missing[i]
+            if not chunk or chunk == _FEED:
+                found[i] = self._ids(["\n"])[0] if chunk else self.rule == "white" and b""
+            elif not self._regular(chunk):
+                found[i] = False
+            elif self.rule == "white" and chunk.split() != [chunk]:
+                found[i] = self._ids([chunk])[0]  # other white space inside would count as a cut
+            else:
+                together.append(i)
+        for at in range(0, len(together), _JOINED):
+            some = together[at:at + _JOINED]
+            chunks = [missing[i] for i in some]
+            ids = self._together(chunks)
             if ids is None:
-                ids = self._ids([c[1:] if c[:1] == _BARE else " " + c for c in some]
-                                if self.rule == "space" else some)
-            self.known.update(zip(some, ids))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if self.rule is None:
-            return self._ids(texts)
-        cut = [self._chunks(t) for t in texts]
-        found = [list(map(self.known.get, chunks)) for chunks in cut]
-        missing = [[i for i, x in enumerate(ids) if x is None] if None in ids else () for ids in found]
-        self._learn({chunks[i] for chunks, gaps in zip(cut, missing) for i in gaps})
-        out = []
-        for text, chunks, ids, gaps in zip(texts, cut, found, missing):
-            for i in gaps:
-                ids[i] = self.known[chunks[i]]
-            if False in ids:  # white space that isn't single: cut at single spaces only
-                first, *rest = _SINGLE_SPACE.split(text)
-                ids = self._ids([first, *(" " + c for c in rest)])
-            out.append(b"".join(ids))
+                ids = self._ids([c[1:] if c[:1] == _BARE else " " + c for c in chunks]
+                                if self.rule == "space" else chunks)
+            for i, x in zip(some, ids):
+                found[i] = x
+        self.known.update(zip(missing, found))
+        return found
+
+    def encode(self, texts: pa.Array | list[str]) -> list[bytes]:
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.string())
+        if self.rule is None or not len(texts):
+            return self._ids(texts.to_pylist())
+        chunks, starts = self._cut(texts)
+        coded = chunks.dictionary_encode()
+        distinct, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        found = list(map(self.known.get, distinct))
+        gaps = [i for i, x in enumerate(found) if x is None]
+        for i, x in zip(gaps, self._learn([distinct[i] for i in gaps])):
+            found[i] = x
+        odd = np.array([x is False for x in found])
+        known = [x or b"" for x in found]
+        # The ids of the chunks, gathered from those of the distinct ones.
+        sizes = np.array(list(map(len, known)), dtype=np.int64) // 4
+        begin = np.cumsum(sizes) - sizes
+        size = sizes[at]
+        end = np.cumsum(size)
+        take = np.repeat(begin[at] - end + size, size)
+        take += np.arange(len(take))
+        data = np.frombuffer(b"".join(known), dtype="<u4")[take].tobytes()
+        upto = 4 * np.concatenate([[0], end])[starts]
+        out = [data[a:b] for a, b in zip(upto[:-1].tolist(), upto[1:].tolist())]
+        if odd.any():  # white space that isn't single: cut at single spaces only
+            count = np.concatenate([[0], np.cumsum(odd[at])])[starts]
+            for i in np.flatnonzero(np.diff(count)).tolist():
+                first, *rest = _SINGLE_SPACE.split(texts[i].as_py())
+                out[i] = b"".join(self._ids([first, *(" " + c for c in rest)]))
         return out
 
 
@@ -140,13 +164,12 @@ def encoder(path: str, rule: str | None) -> ChunkEncoder:
     return ChunkEncoder(path, rule)
 
 
-def batches(texts: list[str], most_chars: int = 2_000_000):
-    """Slices (from, to) of a list of texts with at most so many characters, one text at least."""
-    start, size = 0, 0
-    for i, text in enumerate(texts):
-        if i > start and size + len(text) > most_chars:
-            yield start, i
-            start, size = i, 0
-        size += len(text)
-    if start < len(texts):
-        yield start, len(texts)
+def batches(texts: pa.Array, most_bytes: int = 8 << 20):
+    """Slices of an array of texts with at most so many bytes, one text at least."""
+    upto = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(texts):
+        before = upto[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(upto, before + most_bytes, side="right")))
+        yield start, end
+        start = end
