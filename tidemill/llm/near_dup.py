@@ -150,6 +150,7 @@ def _features(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kinds = [long, long, long, long, pa.list_(long), pa.binary()]
             names = [c.split(" ")[0] for c in FEATURES.split(", ")]
             yield _batch({n: (list(c), k) for n, c, k in zip(names, zip(*rows), kinds)})
+    _words.clear()
 
 
 def _pruned(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
