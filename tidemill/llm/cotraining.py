@@ -11,6 +11,7 @@ their id); every document of the table is scored, over its whole text.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -20,7 +21,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 TEXT, PAGE = 2048, 128  # features of the views
 SHAPES = bytes.maketrans(
@@ -37,19 +37,34 @@ class _Words(dict):
     """A number per word; ``slots`` has the features of each: the word, its end, its shape."""
 
     def __init__(self):
-        self.slots = np.zeros((1024, 3), dtype=np.int64)
+        self.slots = np.zeros((1024, 3), dtype=np.int32)
+        self.new: list[tuple[int, int, int]] = []
+        self.parts: dict[bytes, int] = {}  # slots of ends and shapes, of which there are few
 
     def __missing__(self, word: bytes) -> int:
         number = self[word] = len(self)
-        if number == len(self.slots):
-            self.slots = np.concatenate([self.slots, np.zeros_like(self.slots)])
-        shape = word.translate(SHAPES)
-        short = bytes(c for i, c in enumerate(shape[:64]) if i == 0 or c != shape[i - 1])
-        self.slots[number] = (
-            _slot(b"w", word, TEXT), _slot(b"e", word[-3:], TEXT), _slot(b"s", short, TEXT)
-        )
+        shape = _RUNS.sub(rb"\1", word[:64].translate(SHAPES))
+        self.new.append((xxhash.xxh3_64_intdigest(word) % TEXT, self._part(b"e" + word[-3:]), self._part(b"s" + shape)))
         return number
 
+    def _part(self, value: bytes) -> int:
+        slot = self.parts.get(value)
+        if slot is None:
+            slot = xxhash.xxh3_64_intdigest(value) % TEXT
+            if len(self.parts) < 100_000:
+                self.parts[value] = slot
+        return slot
+
+    def features(self, words: list[bytes]) -> np.ndarray:
+        numbers = np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
+        if self.new:
+            end = len(self)
+            if end > len(self.slots):
+                self.slots = np.concatenate([self.slots, np.zeros((end, 3), dtype=np.int32)])
+            self.slots[end - len(self.new):end] = self.new
+            self.new = []
+        return np.bincount(self.slots[numbers].ravel(), minlength=TEXT)
+
 
 @lru_cache(maxsize=1)
 def _words() -> list[_Words]:
@@ -61,26 +76,22 @@ def text_features(words: list[bytes]) -> np.ndarray:
     if not words:
         return np.zeros(TEXT)
     held = _words()
-    if len(held[0]) > 300_000:
+    if len(held[0]) > 200_000:
         held[0] = _Words()
-    numbers = np.fromiter(map(held[0].__getitem__, words), dtype=np.int64, count=len(words))
-    x = np.sqrt(np.bincount(held[0].slots[numbers].ravel(), minlength=TEXT))
+    x = np.sqrt(held[0].features(words))
     return x / np.linalg.norm(x)
 
 
-def page_features(text: str, words: list[bytes], lang: str | None, source: str | None) -> np.ndarray:
+def page_features(page: bytes, words: list[bytes], lang: str | None, source: str | None) -> np.ndarray:
     """Language, source and the page's size and layout, without its words."""
     x = np.zeros(PAGE)
     x[_slot(b"l", (lang or "").encode(), 32)] = 0.5
     x[32 + _slot(b"o", (source or "").encode(), 32)] = 0.5
-    size, n = max(len(text), 1), max(len(words), 1)
-    upper = len(text) - len(text.translate(_UPPER))
-    marks = len(text) - len(text.translate(_MARKS))
-    digits = len(text) - len(text.translate(_DIGITS))
-    lines = [line for line in text.split("\n") if line]
+    size, n, lines = max(len(page), 1), max(len(words), 1), page.split(b"\n")
+    upper, marks, digits = (len(page) - len(page.translate(None, kind)) for kind in (_UPPER, _MARKS, _DIGITS))
     measures = [
-        upper / size, marks / size, digits / size, len(set(words)) / n, len(set(lines)) / max(len(lines), 1),
-        sum(map(len, words)) / n / 10, n / max(len(lines), 1) / 100, np.log1p(size) / 15,
+        upper / size, marks / size, digits / size, len(set(words)) / n, len(set(lines)) / len(lines),
+        sum(map(len, words)) / n / 10, n / len(lines) / 100, np.log1p(size) / 15,
     ]
     for i, value in enumerate(measures):
         # A measure fills the bins around it, so that the classifier can bend.
@@ -90,16 +101,16 @@ def page_features(text: str, words: list[bytes], lang: str | None, source: str |
     return x
 
 
-_UPPER = str.maketrans("", "", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
-_MARKS = str.maketrans("", "", "!\"#$%&'()*+/:;<=>?@[\\]^_`{|}~")
-_DIGITS = str.maketrans("", "", "0123456789")
+_RUNS = re.compile(rb"(.)\1+", re.DOTALL)
+_UPPER, _DIGITS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789"
+_MARKS = b"!\"#$%&'()*+/:;<=>?@[\\]^_`{|}~"
 _KNOTS = np.array([0.0, 0.05, 0.1, 0.2, 0.4, 0.6, 0.9])
 
 
 def views(text: str | None, lang: str | None, source: str | None) -> tuple[np.ndarray, np.ndarray]:
-    text = text or ""
-    words = text.encode("utf-8", "surrogatepass").split()
-    return text_features(words), page_features(text, words, lang, source)
+    page = (text or "").encode("utf-8", "surrogatepass")
+    words = page.split()
+    return text_features(words), page_features(page, words, lang, source)
 
 
 @dataclass
@@ -261,25 +272,27 @@ def scored(
     them; a null language or source is a level of its own. Without a model the score is null.
     """
 
-    def scores(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for frame in frames:
-            cells = zip(*(frame.column(i).to_pylist() for i in (1, 2, 3)))
-            values = [None] * frame.num_rows
-            if model is not None:
-                values = []
-                for cell in cells:
-                    t, p = views(*cell)
-                    values.append(float(model.score(t, p)))
-            yield pa.RecordBatch.from_arrays(
-                [frame.column(0), pa.array(values, pa.float64())], ["row", "score"]
-            )
-
-    frame = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in carried]).alias("row"),
-        F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(source).alias("source"),
-    )
-    schema = T.StructType([frame.schema["row"], T.StructField("score", T.DoubleType())])
-    return frame.mapInArrow(scores, schema)
+    if model is None:
+        score = F.lit(None).cast("double")
+    else:
+        # Only the score comes back from Python; the carried columns stay where they are.
+        score = _scorer(model)(F.col(text), F.col(lang).cast("string"), F.col(source).cast("string"))
+    row = F.struct(*[F.col(f"`{c}`") for c in carried]).alias("row")
+    return docs.select(row, score.alias("score"))
+
+
+def _scorer(model: CoTrained):
+    @F.arrow_udf("double")
+    def score(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for columns in batches:
+            values = []
+            for start in range(0, len(columns[0]), 500):
+                rows = [views(*row) for row in zip(*(c.slice(start, 500).to_pylist() for c in columns))]
+                values += model.score(*(np.array(x) for x in zip(*rows))).tolist()
+            yield pa.array(values, pa.float64())
+        _words.cache_clear()
+
+    return score
 
 
 def kept(least: float = 0.35):
