@@ -290,7 +290,9 @@ def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     features = written(texts.mapInArrow(_features, FEATURES), "near-features")
     same = ["same_a", "same_b"]
     known = features.where("doc_id is not null and n_shingles > 0")
-    nodes = known.groupBy(*same).agg(F.min("doc_id").alias("node"))
+    # Right sides of joins on keys that may be hot are written: adaptive execution splits a join
+    # only if both of its sides come straight from a shuffle.
+    nodes = written(known.groupBy(*same).agg(F.min("doc_id").alias("node")), "near-nodes")
     own = F.col("doc_id") == F.col("node")
     placed = written(
         known.join(nodes, same).select(
@@ -302,9 +304,10 @@ def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     signed = placed.where("signature is not null").select("node", "signature", "bands")
 
     rows = placed.select("node", "n_shingles", F.explode("bands").alias("key"))
-    shared = rows.groupBy("key").agg(
-        F.count("*").alias("size"), F.min("node").alias("pivot")
-    ).where("size > 1")
+    shared = written(
+        rows.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("pivot")).where("size > 1"),
+        "near-shared",
+    )
     buckets = written(rows.join(shared, "key"), "near-buckets")
 
     by_node = texts.withColumnRenamed("doc_id", "node")
@@ -323,10 +326,13 @@ def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
         .withColumn("component", F.coalesce("component", "node")), "near-labelled",
     )
     pieces = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") * 8 / BLOCK_BYTES))
-    open_ = labelled.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"),
-        pieces.cast("int").alias("pieces"),
-    ).where("low < high").select("key", "pieces")
+    open_ = written(
+        labelled.groupBy("key").agg(
+            F.min("component").alias("low"), F.max("component").alias("high"),
+            pieces.cast("int").alias("pieces"),
+        ).where("low < high").select("key", "pieces"),
+        "near-open",
+    )
     unsettled = written(labelled.join(open_, "key"), "near-unsettled")
     wanted = written(unsettled.select("node").distinct(), "near-unsettled-nodes")
     sets = by_node.join(_few(wanted), "node", "left_semi").mapInArrow(_sets, "node long, set binary")
