@@ -177,14 +177,16 @@ def scan(
         F.min(F.struct("named", "n", "license")).alias("first")
     ).select("up", F.col("first.license").alias("license"))
     placed = plain.select("path").distinct().withColumn("directory", parent(F.col("path")))
-    # A directory is resolved once, however many files it has.
-    nearest = (
+    # A directory is resolved once, however many files it has. Written, so that adaptive execution
+    # can split the files of a large one in the join.
+    nearest = written(
         placed.select("directory").distinct()
         .select("directory", F.explode(ancestors(F.col("directory"))).alias("up"))
         .join(by_directory, "up")
         .groupBy("directory")
         .agg(F.max(F.struct(F.length("up").alias("depth"), "up", "license")).alias("n"))
-        .select("directory", F.col("n.license").alias("inherited"), F.col("n.up").alias("from_directory"))
+        .select("directory", F.col("n.license").alias("inherited"), F.col("n.up").alias("from_directory")),
+        "license-nearest",
     )
     alone = F.col("own").isNull()
     return (
