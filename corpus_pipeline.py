@@ -10,10 +10,13 @@ from tidemill.llm import cotraining, mixing, near_dup, quality_rules, small_batc
 from tidemill.llm.packing import pack_documents
 from tidemill.session import written
 
+# Rows of an Arrow batch: all stages run in the same Python workers, which keep what they once took.
+BATCH = 300
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier doesn't reject."""
-    labels = small_batches(spark).read.parquet(f"{sf_dir}/labels.parquet")
+    labels = small_batches(spark, BATCH).read.parquet(f"{sf_dir}/labels.parquet")
     return cotraining.classify(docs, labels, docs.columns).where("kept").select("row.*")
 
 
@@ -24,7 +27,7 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
-    small_batches(spark)
+    small_batches(spark, BATCH)
     return near_dup.deduplicated(docs)
 
 
@@ -35,8 +38,11 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of at most 4096 tokens."""
-    small_batches(spark)
-    pieces = pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), "white", end_id=2, capacity=4096)
+    small_batches(spark, BATCH)
+    pieces = pack_documents(
+        docs, public_tokenizers.path("word_bpe_49k.json"), "white", end_id=2, capacity=4096,
+        cached_chars=1_500_000,
+    )
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )

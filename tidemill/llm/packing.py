@@ -118,6 +118,7 @@ def pack_documents(
     docs: DataFrame, tokenizer: str, rule: str | None = None,
     doc_id: str = "doc_id", text: str = "text",
     *, end_id: int = 2, capacity: int = 4096, group_tokens: int = 1 << 20,
+    cached_chars: int = 4_000_000,
 ) -> DataFrame:
     """Pieces of documents in sequences: doc_id, start, length, doc_tokens, sequence_id, offset, ids.
 
@@ -125,14 +126,15 @@ def pack_documents(
     holds ``capacity`` tokens or a power of two. Null and empty texts hold the end id alone; rows
     with null or repeated ids are packed like any other, each row a document of its own. Other
     columns are ignored; an empty table gives no piece. Sequence ids are unique and the same
-    when a task runs again, but not consecutive across tasks.
+    when a task runs again, but not consecutive across tasks. ``cached_chars`` bounds the chunks of
+    text that a worker remembers.
     """
     end = np.array([end_id], dtype="<u4").tobytes()
     names = [c.split(" ")[0] for c in PIECES.split(", ")]
     kinds = [*[pa.int64()] * 6, pa.binary()]
 
     def pieces(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer, rule).encode
+        encode = encoder(tokenizer, rule, cached_chars).encode
         sequence = TaskContext.get().partitionId() << 40
         keys, held, tokens = [], [], 0
 

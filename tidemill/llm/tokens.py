@@ -159,9 +159,9 @@ class ChunkEncoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str, rule: str | None) -> ChunkEncoder:
+def encoder(path: str, rule: str | None, cached_chars: int = 4_000_000) -> ChunkEncoder:
     """One encoder per Python worker, kept from task to task."""
-    return ChunkEncoder(path, rule)
+    return ChunkEncoder(path, rule, cached_chars)
 
 
 def batches(texts: pa.Array, most_bytes: int = 8 << 20):
