@@ -1,7 +1,10 @@
+import os
+
 import numpy as np
 import pytest
 
 from tidemill.operators import knn
+from tidemill.plans.queries import QUERIES
 
 
 def frame(spark, vectors, name):
@@ -93,3 +96,15 @@ def test_group_centres_and_attributes(spark):
     near = spark.createDataFrame([(1, 7, 0.5)], "query_id long, neighbour_id long, score double")
     table = spark.createDataFrame([(7, "vip", 100)], "vec_id long, name string, size int")
     assert knn.with_attributes(near, table).select("name", "size").first() == ("vip", 100)
+
+
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01", "sf0.1"])
+def test_recall_of_the_approximate_query(spark, scale):
+    folder = f"/root/testdata/{scale}"
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables")
+    exact, approx = (QUERIES[n](spark, folder) for n in ("knn_exact", "knn_approx_rows"))
+    assert set(approx.columns) == {"query_id", "neighbour_id", "score", "rank"}
+    assert approx.count() == exact.count()
+    assert knn.mean_recall(exact, approx).first().mean_recall >= 0.9
+    assert QUERIES["recall_at_k"](spark, folder).first().reached

@@ -268,15 +268,16 @@ def build_cells(
 def knn_approx(
     queries: DataFrame,
     index: CellIndex,
-    k: int = 5,
-    nprobe: int = 4,
+    k: int,
+    nprobe: int,
     query_id: str = "query_id",
     query: str = "query",
 ) -> DataFrame:
     """As `knn_exact`, but each query is scored only against its nearest cells.
 
     A chunk of queries reads the files of the cells that one of them probes. Every query sees at least k rows if the
-    corpus has them. Measure the quality with `recall`.
+    corpus has them. Take ``nprobe`` from `probes_for_recall`: the share of the corpus that a
+    fixed number reads falls as the corpus grows. Measure the quality with `recall`.
     """
     spark = queries.sparkSession
     corpus = index.rows(spark)
