@@ -250,6 +250,37 @@ def test_licences_and_their_inheritance(spark):
     assert licenses.scan(files.limit(0)).count() == 0
 
 
+def test_licence_texts_and_headers(spark):
+    texts = licenses.full_texts()
+    rows = [(f"{n}/LICENSE", f"Copyright (c) 2024 Some One\n\n{t}") for n, t in texts.items()]
+    rows += [(f"{n}/src/main.c", "int main;") for n in texts]
+    headers = {
+        "spdx.c": ("// SPDX-License-Identifier: MIT", "MIT"), "title.c": ("// MIT License\ncode", "MIT"),
+        "both.rs": ("// SPDX-License-Identifier: (Apache-2.0 OR GPL-3.0-or-later WITH X-exception)", "Apache-2.0"),
+        "more.py": ("# foo.py, a small tool, Released under the MIT License by A. N. Other and friends", "MIT"),
+        "block.c": ("/*\n * Licensed under the Apache License,\n * Version 2.0 (the \"License\");\n */", "Apache-2.0"),
+        "gpl.c": ("terms of the GNU General Public License as published by\n * the Free Software Foundation, either version 3 of the License, or", "GPL-3.0"),
+        "lgpl.c": ("GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License", "LGPL-2.1"),
+        "x/COPYING": ("Attribution-NonCommercial 4.0 International\n\nlegal code", "CC-BY-NC-4.0"),
+        "prose.md": ("We compared the MIT license with others and like a license.", None),
+        "lone.txt": ("licence", None),
+    }
+    rows += [(path, text) for path, (text, _) in headers.items()]
+    got = {r.path: r for r in licenses.scan(spark.createDataFrame(rows, "path string, text string")).collect()}
+    for name in texts:
+        assert got[f"{name}/LICENSE"].own == name and got[f"{name}/LICENSE"].score > 0.9
+        assert (got[f"{name}/src/main.c"].license, got[f"{name}/src/main.c"].from_directory) == (name, name)
+    assert {path: got[path].own for path in headers} == {path: want for path, (_, want) in headers.items()}
+    assert got["both.rs"].n_licenses == 2
+
+
+def test_stand_in_licence_files(spark):
+    rows = queries.op3_license_files(spark, SMALL).collect()
+    files = [r for r in rows if "/LICENSE-" in r.path]
+    assert files and all(r.own for r in files)
+    assert any(r.inherited for r in rows)
+
+
 def test_key_words_lose_no_match():
     rng = random.Random(1)
     weights = {t: {w: rng.random() for w in rng.sample("abcdefghij", 6)} for t in "xyz"}

@@ -1,7 +1,9 @@
 """Licence scans: TF-IDF cosine to templates, and inheritance from directories.
 
 DataFrame functions only. A unit is a line of a file, or the whole file if its name says that it
-holds a licence. Weights are counts times inverse document frequencies over all files; a word
+holds a licence. Such files are also compared with the full texts in `license_texts`, and every file
+is searched for SPDX identifiers, titles on a line of their own, and headers as phrases, which may
+stand among other words or run over several lines. Weights are counts times inverse document frequencies over all files; a word
 that no template has weighs as one that is in no file. A unit can only reach the wanted cosine if
 it holds one of the words that make up most of a template's weight, so other lines are never
 taken apart.
@@ -14,6 +16,7 @@ from __future__ import annotations
 
 import math
 import re
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +36,51 @@ TEMPLATES = {
     "MIT": "Released under the MIT License",
     "MPL-2.0": "Subject to the terms of the Mozilla Public License, version 2.0",
 }
+# Words, without punctuation, that stand one after the other in a header or text, whatever the lines;
+# all phrases of an entry must be there.
+_FSF = "as published by the free software foundation"
+PHRASES = [
+    *[(name, (text,)) for name, text in TEMPLATES.items()],
+    ("MIT", ("licensed under the mit license",)),
+    ("MIT", ("distributed under the mit license",)),
+    ("MIT", ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "the above copyright notice and this permission notice shall be included in all copies")),
+    ("BSD-3-Clause", ("redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "used to endorse or promote products derived from this software without specific prior written permission")),
+    ("MPL-2.0", ("subject to the terms of the mozilla public license v 2 0",)),
+    ("CC-BY-4.0", ("licensed under a creative commons attribution 4 0 international license",)),
+    ("CC-BY-NC-4.0", ("licensed under a creative commons attribution noncommercial 4 0 international license",)),
+    ("CC-BY-SA-4.0", ("licensed under a creative commons attribution sharealike 4 0 international license",)),
+    ("AGPL-3.0", ("gnu affero general public license version 3 19 november 2007",)),
+    *[
+        (f"{short}-{version}", (f"gnu {kind} {_FSF} {words} {version} of the license",))
+        for short, kind, versions in (
+            ("GPL", "general public license", ("2", "3")), ("LGPL", "lesser general public license", ("2.1", "3")),
+            ("AGPL", "affero general public license", ("3",)),
+        )
+        for version in versions for words in ("either version", "version")
+    ],
+]
+PHRASES = [(re.sub(r"-([23])$", r"-\1.0", name), phrases) for name, phrases in PHRASES]
+# Lines of their own.
+TITLES = {
+    "mit license": "MIT", "the mit license": "MIT", "the mit license mit": "MIT", "mit license mit": "MIT",
+    "apache license version 2 0": "Apache-2.0", "apache license 2 0": "Apache-2.0",
+    "bsd 3 clause license": "BSD-3-Clause", "mozilla public license version 2 0": "MPL-2.0",
+    "gnu general public license v2 0": "GPL-2.0", "gnu general public license version 2": "GPL-2.0",
+    "gnu general public license v3 0": "GPL-3.0", "gnu general public license version 3": "GPL-3.0",
+    "gnu lesser general public license version 3": "LGPL-3.0",
+    **{
+        title: f"CC-BY{short}-4.0"
+        for short, kind in (
+            ("", ""), ("-NC", "noncommercial "), ("-SA", "sharealike "), ("-ND", "noderivatives "),
+            ("-NC-SA", "noncommercial sharealike "), ("-NC-ND", "noncommercial noderivatives "),
+        )
+        for title in (
+            f"attribution {kind}4 0 international",
+            f"creative commons attribution {kind}4 0 international public license",
+        )
+    },
+}
+SPDX = r"(?i)SPDX-License-Identifier:[ \t]*([^\r\n]*)"
 MARKS = ".,;:!?()[]{}<>\"'`/\\|*#%&$@+=_~^-\t\r\x0b\f"
 NAMES = r"(?i)(^|/)(licen[cs]e|copying|notice)[^/]*$"
 ALIKE = 0.75
@@ -48,6 +96,12 @@ def _plain_terms(text: str) -> list[str]:
     return re.sub("[" + re.escape(MARKS) + "\n]", " ", text.lower()).split()
 
 
+def full_texts() -> dict[str, str]:
+    """Texts of licences by name. Those of Creative Commons differ too little: titles tell them."""
+    folder = Path(__file__).with_name("license_texts")
+    return {f.name.removesuffix(".txt"): f.read_text() for f in sorted(folder.glob("*.txt"))}
+
+
 def _frequencies(files: DataFrame, words: list[str]) -> tuple[dict[str, int], int]:
     """In how many files each of the templates' words is, and how many files there are."""
     inside = F.array_intersect(_terms(F.col("text")), F.array(*map(F.lit, words)))
@@ -76,11 +130,10 @@ def own_licenses(
     ``files``: path, text. A row per unit whose best template has a cosine of ``alike`` or more;
     ties go to the first name.
     """
-    spark = files.sparkSession
     words = {name: _plain_terms(text) for name, text in templates.items()}
     frequency, n = _frequencies(files, sorted({w for ws in words.values() for w in ws}))
 
-    def idf(word: str) -> float:
+    def idf(word: str | None) -> float:
         return math.log((1 + n) / (1 + frequency.get(word, 0))) + 1
 
     weights = {name: {w: ws.count(w) * idf(w) for w in ws} for name, ws in words.items()}
@@ -102,6 +155,12 @@ def own_licenses(
         .where(F.arrays_overlap("terms", F.array(*map(F.lit, keys))))
         .dropDuplicates(["path", "unit", "of_text"])
     )
+    return _alike(units, weights, idf, alike)
+
+
+def _alike(units: DataFrame, weights: dict[str, dict[str, float]], idf, alike: float) -> DataFrame:
+    """The best template of each unit (path, unit, of_text, terms), if its cosine suffices."""
+    spark = units.sparkSession
     counted = (
         units.select("path", "unit", "of_text", F.explode("terms").alias("word"))
         .groupBy("path", "unit", "of_text", "word").agg(F.count("*").alias("n"))
@@ -114,7 +173,7 @@ def own_licenses(
     table = spark.createDataFrame(rows, "license string, word string, idf double, part double")
     idfs = table.select("word", "idf").distinct()
     weighed = counted.join(F.broadcast(idfs), "word", "left").withColumn(
-        "w", F.col("n") * F.coalesce("idf", F.lit(math.log(1 + n) + 1))
+        "w", F.col("n") * F.coalesce("idf", F.lit(idf(None)))
     )
     unit = ["path", "unit", "of_text"]
     norms = weighed.groupBy(*unit).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
@@ -133,6 +192,63 @@ def own_licenses(
     )
 
 
+def text_licenses(files: DataFrame, alike: float = ALIKE) -> DataFrame:
+    """As `own_licenses`, for files whose name says that they hold a licence, by the full texts.
+
+    A word weighs by the number of these texts that have it, one that none has as the rarest.
+    """
+    words = {name: _plain_terms(text) for name, text in full_texts().items()}
+    found = {}
+    for ws in words.values():
+        for w in set(ws):
+            found[w] = found.get(w, 0) + 1
+
+    def idf(word: str | None) -> float:
+        return math.log((1 + len(words)) / (1 + found.get(word, 0))) + 1
+
+    weights = {name: {w: ws.count(w) * idf(w) for w in set(ws)} for name, ws in words.items()}
+    units = (
+        files.where(F.col("path").rlike(NAMES))
+        .select("path", F.lit(0).alias("unit"), F.xxhash64("text").alias("of_text"), _terms(F.col("text")).alias("terms"))
+        .dropDuplicates(["path", "of_text"])
+    )
+    return _alike(units, weights, idf, alike)
+
+
+def header_licenses(files: DataFrame) -> DataFrame:
+    """As `own_licenses`, by SPDX identifiers, titles and phrases: exact, so with a score of 1."""
+    # All of them hold one of these.
+    cued = files.where(F.col("text").rlike("(?i)licen|attribution|permission is hereby|redistribution and use"))
+    line = F.transform(F.split("text", "\n"), lambda x: F.array_join(_terms(x), " "))
+    whole = F.concat(F.lit(" "), F.array_join(_terms(F.col("text")), " "), F.lit(" "))
+
+    def holds(phrases: tuple[str, ...]) -> Column:
+        has = F.lit(True)
+        for phrase in phrases:
+            has = has & F.contains(F.col("whole"), F.lit(f" {' '.join(_plain_terms(phrase))} "))
+        return has
+
+    titles = F.create_map(*[F.lit(x) for pair in TITLES.items() for x in pair])
+    named = F.transform(F.array_intersect(line, F.array(*map(F.lit, TITLES))), lambda x: titles[x])
+    phrased = F.array(*[F.when(holds(phrases), name) for name, phrases in PHRASES])
+    # "Apache-2.0 OR MIT" gives both; an exception after WITH isn't a licence.
+    known = {x.lower(): x for x in (*TEMPLATES, *TITLES.values(), *(p[0] for p in PHRASES))}
+    names = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
+    ids = F.flatten(F.transform(
+        F.regexp_extract_all("text", F.lit(SPDX), 1),
+        lambda x: F.regexp_extract_all(
+            F.regexp_replace(x, r"(?i)\bWITH\s+\S+", ""), F.lit(r"([A-Za-z][A-Za-z0-9.+-]*[A-Za-z0-9+]|[A-Za-z])"), 1
+        ),
+    ))
+    ids = F.filter(ids, lambda x: ~F.lower(x).isin("or", "and", "none", "noassertion"))
+    ids = F.transform(ids, lambda x: F.regexp_replace(x, r"(?i)(-only|-or-later|\+)$", ""))
+    identified = F.transform(ids, lambda x: F.coalesce(names[F.lower(x)], x))
+    found = F.array_compact(F.array_distinct(F.concat(identified, named, phrased)))
+    return cued.withColumn("whole", whole).select(
+        "path", F.lit(0).alias("unit"), F.explode(found).alias("license"), F.lit(1.0).alias("score")
+    )
+
+
 def parent(path: Column) -> Column:
     """The directory of a path, "" at the top."""
     return F.when(F.instr(path, "/") > 0, F.regexp_replace(path, "/[^/]*$", "")).otherwise("")
@@ -161,7 +277,10 @@ def scan(
     plain = files.where(F.col(path).isNotNull()).select(
         F.col(path).cast("string").alias("path"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
-    units = written(own_licenses(plain, templates, alike), "license-units")
+    units = own_licenses(plain, templates, alike)
+    for others in (text_licenses(plain, alike), header_licenses(plain)):
+        units = units.unionByName(others)
+    units = written(units, "license-units")
     ranked = F.struct((-F.col("score")).alias("rank"), "license")
     own = written(
         units.groupBy("path")

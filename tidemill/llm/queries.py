@@ -54,6 +54,23 @@ def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_license_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Every fortieth document stands for a licence file: its text, before it that of a licence."""
+    texts = licenses.full_texts()
+    directory = F.expr("concat(coalesce(source, '-'), '/', cast(doc_id div 200 as string), '/')")
+    named = F.pmod("doc_id", F.lit(40)) == 0
+    texts = F.array(*map(F.lit, texts.values()))
+    licence = F.element_at(texts, (F.pmod(F.col("doc_id") / 40, F.size(texts)) + 1).cast("int"))
+    files = _table(spark, folder, "documents").select(
+        F.concat(
+            directory, F.when(named, F.concat(F.lit("LICENSE-"), "doc_id")).otherwise(F.concat("doc_id", F.lit(".txt")))
+        ).alias("path"),
+        F.when(named, F.concat(F.lit("Copyright "), F.substring("text", 1, 40), F.lit("\n\n"), licence))
+        .otherwise(F.col("text")).alias("text"),
+    )
+    return licenses.scan(files)
+
+
 def op4_top_k(spark: SparkSession, folder: str) -> DataFrame:
     vectors = _table(spark, folder, "embeddings")
     return top_k(vectors, vectors.where("vec_id % 100 = 0"), 10).select(
@@ -124,6 +141,7 @@ QUERIES = {
     "op1_token_store": op1_token_store,
     "op2_token_counts": op2_token_counts,
     "op3_licenses": op3_licenses,
+    "op3_license_files": op3_license_files,
     "op4_top_k": op4_top_k,
     "op5_packing": op5_packing,
     "op6_near_duplicates": op6_near_duplicates,
