@@ -220,6 +220,30 @@ def test_budgets_are_met_in_permuted_blocks(spark):
             assert min(r.copies for r in got) >= 1
 
 
+def test_epochs_go_through_blocks_in_other_orders(spark):
+    rng = random.Random(3)
+    rows = [(i, "ab"[i % 8 == 0], "w " * rng.randrange(1, 60)) for i in range(2400)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    settings = {"repetition": 4.0, "block_tokens": 1000}
+    copies = {r["row"].doc_id: r.copies for r in mixing.mixed(docs, ["doc_id"], **settings).collect()}
+    got = mixing.epochs_of(docs, ["doc_id"], **settings).collect()
+    assert Counter(r["row"].doc_id for r in got) == Counter(copies)
+    assert len({(r["row"].doc_id, r.epoch) for r in got}) == len(got)
+    orders = {}
+    for r in sorted(got, key=lambda r: r["at"]):
+        if r.source == "b" and r.block not in (seen := orders.setdefault(r.epoch, [])):
+            seen.append(r.block)
+    whole = [o for e, o in sorted(orders.items()) if len(o) == len(orders[0])]
+    assert len(whole) >= 2 and whole[0] != whole[1] and all(set(o) == set(whole[0]) for o in whole)
+    # The mix itself: copies lie apart, and each tenth of it holds both sources alike.
+    out = [(r.doc_id, r.source) for r in mixing.mix(docs, **settings).collect()]
+    assert Counter(i for i, _ in out) == Counter(copies)
+    assert all(a[0] != b[0] for a, b in zip(out, out[1:]))
+    tenth, share = len(out) // 10, sum(s == "b" for _, s in out) / len(out)
+    for i in range(10):
+        assert abs(sum(s == "b" for _, s in out[i * tenth:(i + 1) * tenth]) / tenth - share) < 0.1
+
+
 def test_mixing_odd_rows(spark):
     rows = [(1, None, "a b", 0), (1, None, "a b", 0), (2, "s", None, 0), (3, "s", "", 0), (None, "t", "x y z", 0), (5, "t", "w " * 50_000, 0)]
     docs = spark.createDataFrame(rows, "doc_id long, source string, text string, weight int")

@@ -21,6 +21,7 @@ from tidemill.session import written
 
 CANDIDATES = 32
 STEPS = 10_000
+ORDER = ("at", "source", "position", "tie")
 SMALL = 100_000  # sources that may be sent to every task
 WHITE = " \t\n\x0b\f\r"
 
@@ -200,7 +201,51 @@ def mixed(
     )
 
 
+def epochs_of(
+    docs: DataFrame, carried: list[str], *, seed: int = 7, **settings
+) -> DataFrame:
+    """A row per document and epoch: the columns of `mixed`, epoch (from 0), turn, at and tie.
+
+    ``turn`` is the place of the block in its source's order in that epoch, a draw from the seed,
+    source, epoch and block; ``at`` is the row's place in its source's whole run, from 0 to 1: its
+    epochs one after the other, the blocks of each in order of their turns, the documents of a block
+    in order of their positions. The last, partial epoch takes blocks in the same order of turns by
+    which `mixed` chose them. Sorted by ``at``, every source is spread over the mix in proportion.
+    ``tie`` parts equal rows, so that a sort can deal many of them over its tasks.
+    """
+    taken = mixed(docs, carried, seed=seed, **settings).where("copies > 0")
+    rows = written(
+        taken.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))).withColumn(
+            "turn", _draw(F.lit(str(seed)), *[F.col(c).cast("string") for c in ("source", "epoch", "block")])
+        ).withColumn("tie", F.rand(seed)),
+        "mixing-epochs",
+    )
+    # Places by sums per block and epoch, which are few; documents lie within their block by their draw.
+    run = Window.partitionBy("source").orderBy("epoch", "turn", "block")
+    blocks = (
+        rows.groupBy("source", "epoch", "turn", "block").agg(F.count("*").alias("in_block"), F.max("position").alias("top"))
+        .withColumn("upto", F.sum("in_block").over(run))
+        .withColumn("all", F.sum("in_block").over(Window.partitionBy("source")))
+        .select(
+            F.col("source").alias("of"), F.col("epoch").alias("of_epoch"), F.col("block").alias("of_block"),
+            "in_block", "upto", "all", "top",
+        )
+    )
+    blocks = written(blocks, "mixing-places")
+    sent = blocks.count() <= SMALL
+    same = (
+        F.col("source").eqNullSafe(F.col("of")) & (F.col("epoch") == F.col("of_epoch"))
+        & F.col("block").eqNullSafe(F.col("of_block"))
+    )
+    within = F.col("position") / (F.col("top") + 1)  # even, as positions are draws
+    return rows.join(F.broadcast(blocks) if sent else blocks, same, "left").withColumn(
+        "at", (F.col("upto") - F.col("in_block") + within * F.col("in_block")) / F.col("all")
+    ).drop("of", "of_epoch", "of_block", "in_block", "upto", "all", "top")
+
+
 def mix(docs: DataFrame, **settings) -> DataFrame:
-    """The documents as the mix takes them, a row per copy, with their columns as they came."""
-    copies = F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy")
-    return mixed(docs, docs.columns, **settings).select("row", copies).select("row.*")
+    """The documents as the mix takes them, a row per epoch, with their columns as they came.
+
+    Sorted by place, so that epochs of one document lie apart and sources are spread.
+    """
+    return epochs_of(docs, docs.columns, **settings).orderBy(*ORDER).select("row.*")

@@ -100,6 +100,12 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_mixed_order(spark: SparkSession, folder: str) -> DataFrame:
+    """The mix of `op7_mixing` in its order: a row per document and epoch."""
+    rows = mixing.epochs_of(_table(spark, folder, "documents"), ["doc_id"], entropy=0.5)
+    return rows.orderBy(*mixing.ORDER).select("row.doc_id", "source", "block", "epoch", "turn", "at")
+
+
 def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     rows = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     control = F.explode(F.array(*[
@@ -146,6 +152,7 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_mixing": op7_mixing,
+    "op7_mixed_order": op7_mixed_order,
     "op8_chat_format": op8_chat_format,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
