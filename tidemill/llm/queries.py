@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm import (
-    chat, cotraining, licenses, mixing, near_dup, quality_rules, small_batches,
+    chat, collisions, cotraining, licenses, mixing, near_dup, quality_rules, repair, runs, small_batches,
 )
 from tidemill.llm.packing import pack_documents
 from tidemill.llm.token_store import read_tokens, train_dictionary, write_tokens
@@ -143,6 +143,73 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_vector_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return collisions.linked(_table(spark, folder, "embeddings"))
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """doc_id and text; in every tenth text, by a checksum of the id, words repeat from some word on."""
+    words = F.array_remove(F.split(F.translate(F.coalesce("text", F.lit("")), mixing.WHITE, " " * 6), " "), "")
+    g = F.floor(F.crc32(F.col("doc_id").cast("string")) / 10)
+    chosen = (F.crc32(F.col("doc_id").cast("string")) % 10 == 0) & (F.size("words") > 0)
+    n = F.size("words")
+    first = (g % n).cast("int")
+    period = (1 + F.floor((n - F.col("first")) / (3 + g % 8))).cast("int")
+    repeated = F.concat(
+        F.slice("words", 1, F.col("first")),
+        F.transform(
+            F.sequence(F.lit(0), n - F.col("first") - 1),
+            lambda i: F.get("words", F.col("first") + i % F.col("period")),
+        ),
+    )
+    cut = docs.select("doc_id", "text", words.alias("words")).select("*", F.when(chosen, first).alias("first"))
+    return cut.select("*", period.alias("period")).select(
+        "doc_id", F.when(F.col("first").isNotNull(), F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text")
+    )
+
+
+def op12_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = runs.find_runs(with_periods(_table(spark, folder, "documents")))
+    longest = F.element_at(
+        F.array_sort(F.transform("runs", lambda r: F.struct((-r.length).alias("l"), r.start.alias("s"), r.period.alias("p")))), 1
+    )
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    return found.select("*", F.when(F.size("runs") > 0, longest).alias("best")).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.s").alias("start"),
+        (-F.col("best.l")).alias("length"), F.col("best.p").alias("period"),
+        F.expr("-1000 * best.l div best.p").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with planted faults, chosen by a checksum of conversation and turn."""
+    space = F.lit(" ")
+    key = [F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn")]
+    draw = F.crc32(F.concat(key[0], F.lit(":"), key[1])) % 20
+    text, role = F.coalesce("text", space), F.coalesce("role", space)
+    return rows.select("conv_id", "turn", "role", "text", draw.alias("draw")).where("draw <> 0").select(
+        "conv_id", "turn", F.when(F.col("draw") == 4, "user").otherwise(role).alias("role"),
+        F.when(F.col("draw") == 1, "").when(F.col("draw") == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.explode(F.when(F.col("draw") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    ).drop("copy")
+
+
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _table(spark, folder, "conversations")
+    edits, reports = repair.repair(damaged(rows))
+    digests = repair.digests(edits)
+    all_ids = rows.select("conv_id").distinct()
+    report = all_ids.join(reports.withColumnRenamed("conv_id", "of"), F.col("conv_id").eqNullSafe(F.col("of")), "left").drop("of")
+    whole = report.join(digests.withColumnRenamed("conv_id", "of"), F.col("conv_id").eqNullSafe(F.col("of")), "left")
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return whole.select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES = {
     "op1_token_store": op1_token_store,
     "op2_token_counts": op2_token_counts,
@@ -156,6 +223,9 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
+    "op11_vector_duplicates": op11_vector_duplicates,
+    "op12_runs": op12_runs,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLES = {
@@ -412,4 +482,28 @@ ORACLES = {
             not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and not over as kept
         from measures join beyond using (row_id)
     """,
+    "op11_vector_duplicates": """
+        with recursive v as (
+            select row_number() over () as rid, vec_id, label, list_transform(embedding, lambda x: x::double) as e
+            from embeddings
+        ),
+        fine as (
+            select rid, vec_id, label, len(e) as dim, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) as u
+            from v where label is not null and vec_id is not null and e is not null
+                and len(list_filter(e, lambda x: x is null or isnan(x) or isinf(x))) = 0 and list_dot_product(e, e) > 0
+        ),
+        links as (
+            select a.rid as x, b.rid as y from fine a join fine b on a.label = b.label and a.dim = b.dim and a.rid <> b.rid
+            where list_dot_product(a.u, b.u) >= 0.93
+        ),
+        reach as (
+            select rid, rid as other from v
+            union
+            select r.rid, links.y from reach r join links on links.x = r.other
+        ),
+        least as (select r.rid, min(o.vec_id) as component_id from reach r join v o on o.rid = r.other group by r.rid),
+        counts as (select x as rid, count(*) as n from links group by x)
+        select vec_id, coalesce(n, 0) as n_links, component_id, vec_id is not distinct from component_id as kept
+        from v join least using (rid) left join counts using (rid)
+    """,
 }
