@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -53,18 +54,37 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for written intermediates, below ``spark.checkpoint.dir``.
 
-    The setting names storage every executor can reach. Only a local session
-    that has none set gets a temporary folder of its own.
+    The setting names storage every executor can reach. Only a session whose
+    executors are threads of this process (master ``local`` or ``local[n]``)
+    may do without: it uses a temporary folder. Settings aren't changed.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = os.path.join(tempfile.gettempdir(), "tidemill")
-        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+class Scratch:
+    """Written intermediates of one job below a folder of their own, deleted together."""
+
+    def __init__(self, spark: SparkSession, purpose: str):
+        self.spark, self.folder, self.count = spark, shared_folder(spark, purpose), 0
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        """The frame as a table of the folder."""
+        self.count += 1
+        path = f"{self.folder}/{self.count}-{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        """Delete the tables; what was read from them must have been written or used by now."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """The frame as a table in the shared folder, for results that are read more than once."""
     path = shared_folder(df.sparkSession, purpose)
