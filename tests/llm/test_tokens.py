@@ -1,3 +1,4 @@
+import hashlib
 import zlib
 
 import numpy as np
@@ -75,12 +76,48 @@ def test_store_round_trip(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_round_trip_under_a_shared_dictionary(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    dictionary = train_dictionary(docs, BYTE, "space")
+    assert len(dictionary) >= 1024
+    assert train_dictionary(docs.repartition(7, "lang"), BYTE, "space") == dictionary
+    sizes = {}
+    for name, used in (("with", dictionary), ("without", b"")):
+        path = shared_folder(spark, f"test-tokens-{name}")
+        write_tokens(docs, path, BYTE, "space", end_id=0, dictionary=used)
+        blocks = spark.read.parquet(f"{path}/blocks")
+        assert {r.dictionary for r in blocks.select("dictionary").collect()} == {hashlib.sha256(used).hexdigest()}
+        # Short documents are what a shared dictionary is for.
+        frames = [
+            b - a for r in blocks.select("counts", "offsets").collect()
+            for n, a, b in zip(r.counts, r.offsets, r.offsets[1:]) if n < 400
+        ]
+        sizes[name] = sum(frames)
+        texts = {r.doc_id: r.text or "" for r in docs.collect()}
+        got = {r.doc_id: bytes(r.ids) for r in read_tokens(spark, path).collect()}
+        want = ids(BYTE, list(texts.values()))
+        assert got == {k: np.array([*x, 0], dtype="<u4").tobytes() for k, x in zip(texts, want)}
+    print("bytes of short frames:", sizes)
+    assert sizes["with"] < 0.9 * sizes["without"]
+
+
+def test_the_sample_is_spread_over_the_table(spark):
+    # Rows of the second half alone hold words of their own; a sample of the first files would miss them.
+    rows = [(i, f"left{i % 50} right{i % 7} " * 40 if i < 500 else f"zebra{i % 50} quartz{i % 7} " * 40) for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    dictionary = train_dictionary(docs, BYTE, "space", size=4096, documents=100, piece=64)
+    later = ids(BYTE, [t for _, t in rows[500:550]])
+    assert any(np.array(x[i:i + 3], "<u2").tobytes() in dictionary for x in later for i in range(20))
+
+
 def test_store_of_odd_rows_and_single_reads(spark):
     texts = [*ODD, None, "long " * 30_000]
     rows = [(i, t, "x", 1) for i, t in enumerate(texts)] + [(None, "a", "x", 1), (3, " a", "x", 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, part string, n_tokens int")
     path = shared_folder(spark, "test-tokens")
     dictionary = train_dictionary(docs, BYTE, "space", size=256)
+    assert dictionary
     write_tokens(docs, path, BYTE, "space", end_id=0, dictionary=dictionary, block_bytes=64, parts=3)
     got = read_tokens(spark, path).collect()
     by_id = sorted((r.doc_id if r.doc_id is not None else -1, r.start, r.n_tokens, bytes(r.ids)) for r in got)
@@ -105,7 +142,9 @@ def test_store_of_an_empty_table(spark):
 def test_another_dictionary_is_refused(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     path = shared_folder(spark, "test-tokens")
-    write_tokens(docs, path, BYTE, "space", dictionary=train_dictionary(docs, BYTE, "space", size=4096))
+    dictionary = train_dictionary(docs, BYTE, "space", size=4096)
+    assert dictionary
+    write_tokens(docs, path, BYTE, "space", dictionary=dictionary)
     spark.createDataFrame([("0", bytearray(b""), 2)], "dictionary string, data binary, width int").write.mode(
         "overwrite").parquet(f"{path}/dictionary")
     with pytest.raises(Exception, match="another dictionary"):

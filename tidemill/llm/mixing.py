@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.session import written
+from tidemill.session import Scratch, written
 
 CANDIDATES = 32
 STEPS = 10_000
@@ -89,121 +89,167 @@ def weights(
     seen once in full, so that nothing is left out.
     """
     sources = rows.groupBy("source").agg(F.sum("tokens").alias("tokens")).where("tokens > 0")
-    total = sources.agg(F.sum("tokens").alias("total"))
+    total = sources.agg(F.sum("tokens")).scalar()
     shares = written(
-        sources.join(F.broadcast(total)).select("source", "tokens", (F.col("tokens") / F.col("total")).alias("share")),
-        "mixing-shares",
+        sources.select("source", "tokens", (F.col("tokens") / total).alias("share")), "mixing-shares"
     )
     a = exponent(shares, entropy=entropy, repetition=repetition)
     raw = F.exp(a * F.log("share"))
-    norm = shares.agg(
-        F.sum(raw).alias("norm"), F.sum("tokens").alias("total"),
-        F.max(F.col("share") / raw).alias("rarest"),
-    )
-    whole = F.lit(budget) if budget is not None else F.col("total") * F.col("rarest") * F.col("norm")
-    return shares.join(F.broadcast(norm)).select(
-        "source", "tokens", "share", (raw / F.col("norm")).alias("weight"),
-        F.greatest(F.round(whole * raw / F.col("norm")).cast("long"), F.lit(0)).alias("budget"),
+    norm = shares.agg(F.sum(raw)).scalar()
+    whole = F.lit(budget)
+    if budget is None:
+        whole = shares.agg(F.sum("tokens") * F.max(F.col("share") / raw)).scalar() * norm
+    return shares.select(
+        "source", "tokens", "share", (raw / norm).alias("weight"),
+        F.greatest(F.round(whole * raw / norm).cast("long"), F.lit(0)).alias("budget"),
     ).withColumn("epochs", F.expr("budget div tokens"))
 
 
-def mixed(
+class _Mix:
+    """What is planned for a table: how often a row of a source and with a draw is taken, and where."""
+
+    def __init__(
+        self, rows: DataFrame, *, seed: int, block_tokens: int, entropy: float | None,
+        repetition: float | None, budget: int | None,
+    ):
+        """``rows``: source, n_tokens and draw of every document."""
+        self.seed = seed
+        self.scratch = Scratch(rows.sparkSession, "mixing")
+        self.rows = self.scratch.written(rows, "rows")
+        plan = weights(
+            self.rows.select("source", F.col("n_tokens").alias("tokens")), entropy=entropy,
+            repetition=repetition, budget=budget,
+        )
+        self.plan = self.scratch.written(
+            plan.withColumn("left", F.col("budget") - F.col("epochs") * F.col("tokens"))
+            .withColumn("blocks", F.expr(f"tokens div {block_tokens} + 1")),
+            "weights",
+        )
+        self.few = self.plan.count() <= SMALL
+        self._last_epoch()
+
+    def _joined(self, frame: DataFrame, side: DataFrame, send: bool) -> DataFrame:
+        """A left join by source, and by block (and epoch) where the side has them."""
+        keys = [c for c in ("source", "block", "epoch") if c in side.columns]
+        side = side.withColumnsRenamed({c: f"of_{c}" for c in keys})
+        same = F.lit(True)
+        for c in keys:
+            same &= F.col(c).eqNullSafe(F.col(f"of_{c}"))
+        return frame.join(F.broadcast(side) if send else side, same, "left").drop(*[f"of_{c}" for c in keys])
+
+    def dealt(self, frame: DataFrame) -> DataFrame:
+        """A frame with source and draw, with its source's plan and the row's block."""
+        side = self.plan.select("source", "blocks", "epochs", "left", "weight")
+        # The draw picks the block with its high bits and the place in the block with all of them.
+        high = F.call_function("shiftright", F.col("draw"), F.lit(20))
+        return self._joined(frame, side, self.few).withColumn("block", F.pmod(high, F.coalesce("blocks", F.lit(1))))
+
+    def turn(self, epoch: str) -> Column:
+        return _draw(F.lit(str(self.seed)), *[F.col(c).cast("string") for c in ("source", epoch, "block")])
+
+    def _last_epoch(self) -> None:
+        """The last epoch takes blocks in the order of their own turns, by sums per block."""
+        dealt = self.dealt(self.rows)
+        sums = (
+            dealt.where("blocks is not null").groupBy("source", "block")
+            .agg(F.sum("n_tokens").alias("in_block"), F.max("epochs").alias("epochs"), F.max("left").alias("left"))
+        )
+        in_turn = Window.partitionBy("source").orderBy(self.turn("epochs"), "block")
+        room = F.greatest(F.col("left") - F.col("before"), F.lit(0))
+        blocks = self.scratch.written(
+            sums.withColumn("before", F.sum("in_block").over(in_turn) - F.col("in_block"))
+            .select("source", "block", room.alias("room"), "in_block"),
+            "blocks",
+        )
+        use = F.when(F.col("room") >= F.col("in_block"), "full").when(F.col("room") > 0, "part").otherwise("none")
+        self.uses = blocks.select("source", "block", use.alias("use"))
+        # Blocks number the tokens over ``block_tokens``: their size is checked before they are sent.
+        self.sent = blocks.count() <= SMALL
+        # A block is taken in full, in part (one per source, which has about ``block_tokens``) or not.
+        partly = blocks.where("room > 0 and room < in_block").select("source", "block", "room")
+        places = Window.partitionBy("source").orderBy("draw", "n_tokens")
+        edge = (
+            self._joined(dealt, partly, self.few).where("room is not null")
+            .select("source", "draw", "n_tokens", "room")
+            .withColumn("upto", F.sum("n_tokens").over(places.rowsBetween(Window.unboundedPreceding, -1)))
+            .where(F.coalesce("upto", F.lit(0)) < F.col("room"))
+            .groupBy("source").agg(F.max("draw").alias("last_draw"))
+        )
+        self.edges = self.scratch.written(edge, "edges")
+
+    def taken(self, frame: DataFrame) -> DataFrame:
+        """A frame with source and draw, with block, position, weight, epochs and copies."""
+        used = self._joined(self._joined(self.dealt(frame), self.uses, self.sent), self.edges, self.few)
+        part = (F.col("use") == "part") & (F.col("draw") <= F.col("last_draw"))
+        extra = F.coalesce((F.col("use") == "full") & (F.col("left") > 0) | part, F.lit(False))
+        copies = F.when(F.col("epochs").isNull(), 1).otherwise(F.col("epochs") + extra.cast("long")).cast("long")
+        return used.withColumn("position", F.col("draw")).withColumn("copies", copies).drop(
+            "draw", "blocks", "left", "use", "last_draw"
+        )
+
+    def epochs(self, frame: DataFrame) -> DataFrame:
+        """What `taken` gives, with a row per epoch, from 0, and its block's turn in it."""
+        rows = self.taken(frame).where("copies > 0")
+        rows = rows.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+        return rows.withColumn("turn", self.turn("epoch"))
+
+    def placed(self, frame: DataFrame) -> DataFrame:
+        """What `epochs` gives, with each row's place in its source's run."""
+        # By sums per block and epoch, which are few; documents lie within their block by their draw.
+        run = Window.partitionBy("source").orderBy("epoch", "turn", "block")
+        places = self.scratch.written(
+            self.epochs(self.rows).groupBy("source", "epoch", "turn", "block")
+            .agg(F.count("*").alias("in_block"), F.max("position").alias("top"))
+            .withColumn("upto", F.sum("in_block").over(run))
+            .withColumn("all", F.sum("in_block").over(Window.partitionBy("source"))).drop("turn"),
+            "places",
+        )
+        within = F.col("position") / (F.col("top") + 1)  # even, as positions are draws
+        return self._joined(self.epochs(frame), places, places.count() <= SMALL).withColumn(
+            "at", (F.col("upto") - F.col("in_block") + within * F.col("in_block")) / F.col("all")
+        ).drop("in_block", "upto", "all", "top")
+
+
+def _planned(
     docs: DataFrame, carried: list[str], *, source: str = "source", doc_id: str = "doc_id",
     text: str = "text", tokens: Column | None = None, entropy: float | None = None,
-    repetition: float | None = None, budget: int | None = None, seed: int = 7,
-    block_tokens: int = 1 << 20,
-) -> DataFrame:
+    repetition: float | None = None, budget: int | None = None, seed: int = 7, block_tokens: int = 1 << 20,
+) -> tuple[_Mix, DataFrame]:
+    """The plan of a mix, and the rows to apply it to: row (the carried columns), source, n_tokens, draw."""
+    count = words(F.col(text)) if tokens is None else tokens.cast("long")
+    draw = _draw(F.lit(str(seed)), F.col(doc_id).cast("string"), F.md5(F.coalesce(F.col(text), F.lit(""))))
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in carried]).alias("row"),
+        F.col(source).cast("string").alias("source"), F.coalesce(count, F.lit(0)).alias("n_tokens"),
+        draw.alias("draw"),
+    )
+    plan = _Mix(
+        rows.drop("row"), seed=seed, block_tokens=block_tokens, entropy=entropy, repetition=repetition, budget=budget
+    )
+    return plan, rows
+
+
+def mixed(docs: DataFrame, carried: list[str], **settings) -> DataFrame:
     """Every document with its part in the mix: ``row`` (the carried columns), source, n_tokens,
     block, position (an order within the block), weight, epochs and copies.
 
+    Settings: ``source``, ``doc_id``, ``text`` (names of columns), ``tokens`` (a measure, else the
+    number of words of the whole text), one of the targets ``entropy`` and ``repetition``, a
+    total ``budget`` of tokens, ``seed`` and ``block_tokens``.
+
     ``copies`` counts how often the document is taken: once per whole epoch of its source, and once
     more if the last epoch's budget reaches it. That epoch takes a document while the tokens taken
     before it are below the budget, so that a source is over it by less than one document. A null
-    source is a source of its own. Documents without tokens cost nothing and are taken once per
-    whole epoch; if their whole source has none, once. Equal rows share block and position and are
-    taken in no defined order, any of them alike. An empty table stays empty. Columns that aren't
-    carried are left out, whatever their names.
+    source is a source of its own. Null and empty texts, and others without tokens, cost nothing
+    and are taken once per whole epoch; if their whole source has none, once. Texts of any length
+    are counted whole. Equal rows share block and position and are taken alike. An empty table
+    stays empty. Columns that aren't carried are left out, whatever their names.
     """
-    count = words(F.col(text)) if tokens is None else tokens.cast("long")
-    draw = _draw(F.lit(str(seed)), F.col(doc_id).cast("string"), F.md5(F.coalesce(F.col(text), F.lit(""))))
-    rows = written(
-        docs.select(
-            F.struct(*[F.col(f"`{c}`") for c in carried]).alias("row"),
-            F.col(source).cast("string").alias("source"), F.coalesce(count, F.lit(0)).alias("n_tokens"),
-            draw.alias("draw"),
-        ),
-        "mixing-rows",
-    )
-    plan = written(
-        weights(
-            rows.select("source", F.col("n_tokens").alias("tokens")), entropy=entropy,
-            repetition=repetition, budget=budget,
-        )
-        .withColumn("left", F.col("budget") - F.col("epochs") * F.col("tokens"))
-        .withColumn("blocks", F.expr(f"tokens div {block_tokens} + 1")),
-        "mixing-weights",
-    )
-    few = plan.count() <= SMALL
-    same = F.col("source").eqNullSafe(F.col("of"))
-
-    def with_source(frame: DataFrame, *columns: str) -> DataFrame:
-        side = plan.select(F.col("source").alias("of"), *columns)
-        return frame.join(F.broadcast(side) if few else side, same, "left").drop("of")
-
-    # The draw picks the block with its high bits and the place in the block with all of them.
-    dealt = with_source(rows, "blocks", "epochs", "left", "weight").withColumn(
-        "block", F.pmod(F.call_function("shiftright", F.col("draw"), F.lit(20)), F.coalesce("blocks", F.lit(1)))
-    )
-    # The last epoch: blocks in the order of their own draw, by sums per block.
-    turn = _draw(F.lit(str(seed)), *[F.col(c).cast("string") for c in ("source", "epochs", "block")])
-    sums = (
-        dealt.where("blocks is not null").groupBy("source", "block")
-        .agg(F.sum("n_tokens").alias("in_block"), F.max("epochs").alias("epochs"), F.max("left").alias("left"))
-    )
-    in_turn = Window.partitionBy("source").orderBy(turn, "block")
-    blocks = written(
-        sums.withColumn("before", F.sum("in_block").over(in_turn) - F.col("in_block"))
-        .select("source", "block", F.greatest(F.col("left") - F.col("before"), F.lit(0)).alias("room"), "in_block"),
-        "mixing-blocks",
-    )
-    # A block is taken in full, in part (one per source, which has about ``block_tokens``) or not.
-    partly = blocks.where("room > 0 and room < in_block").select(
-        F.col("source").alias("of"), F.col("block").alias("of_block"), "room"
-    )
-    places = Window.partitionBy("source").orderBy("draw", "n_tokens")
-    edge = (
-        dealt.join(F.broadcast(partly) if few else partly, same & (F.col("block") == F.col("of_block")))
-        .select("source", "draw", "n_tokens", "room")
-        .withColumn("upto", F.sum("n_tokens").over(places.rowsBetween(Window.unboundedPreceding, -1)))
-        .where(F.coalesce("upto", F.lit(0)) < F.col("room"))
-        .groupBy("source").agg(F.max("draw").alias("last_draw"))
-    )
-    last = written(
-        plan.select("source").join(edge.withColumnRenamed("source", "of"), same, "left").drop("of"),
-        "mixing-edges",
-    )
-    last = last.withColumnRenamed("source", "of")
-    marked = blocks.select(
-        F.col("source").alias("of"), F.col("block").alias("of_block"),
-        F.when(F.col("room") >= F.col("in_block"), "full").when(F.col("room") > 0, "part").otherwise("none").alias("use"),
-    )
-    # Blocks number the tokens over ``block_tokens``: their size is checked before they are sent.
-    sent = blocks.count() <= SMALL
-    with_use = dealt.join(
-        F.broadcast(marked) if sent else marked, same & (F.col("block") == F.col("of_block")), "left"
-    ).drop("of", "of_block")
-    with_edge = with_use.join(F.broadcast(last) if few else last, same, "left").drop("of")
-    extra = (F.col("use") == "full") & (F.col("left") > 0) | (F.col("use") == "part") & (F.col("draw") <= F.col("last_draw"))
-    return with_edge.select(
-        "row", "source", "n_tokens", "block", F.col("draw").alias("position"), "weight", "epochs",
-        F.when(F.col("epochs").isNull(), 1)
-        .otherwise(F.col("epochs") + F.coalesce(extra, F.lit(False)).cast("long")).cast("long").alias("copies"),
-    )
+    plan, rows = _planned(docs, carried, **settings)
+    return plan.taken(rows)
 
 
-def epochs_of(
-    docs: DataFrame, carried: list[str], *, seed: int = 7, **settings
-) -> DataFrame:
+def epochs_of(docs: DataFrame, carried: list[str], **settings) -> DataFrame:
     """A row per document and epoch: the columns of `mixed`, epoch (from 0), turn, at and tie.
 
     ``turn`` is the place of the block in its source's order in that epoch, a draw from the seed,
@@ -213,34 +259,10 @@ def epochs_of(
     which `mixed` chose them. Sorted by ``at``, every source is spread over the mix in proportion.
     ``tie`` parts equal rows, so that a sort can deal many of them over its tasks.
     """
-    taken = mixed(docs, carried, seed=seed, **settings).where("copies > 0")
-    rows = written(
-        taken.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))).withColumn(
-            "turn", _draw(F.lit(str(seed)), *[F.col(c).cast("string") for c in ("source", "epoch", "block")])
-        ).withColumn("tie", F.rand(seed)),
-        "mixing-epochs",
-    )
-    # Places by sums per block and epoch, which are few; documents lie within their block by their draw.
-    run = Window.partitionBy("source").orderBy("epoch", "turn", "block")
-    blocks = (
-        rows.groupBy("source", "epoch", "turn", "block").agg(F.count("*").alias("in_block"), F.max("position").alias("top"))
-        .withColumn("upto", F.sum("in_block").over(run))
-        .withColumn("all", F.sum("in_block").over(Window.partitionBy("source")))
-        .select(
-            F.col("source").alias("of"), F.col("epoch").alias("of_epoch"), F.col("block").alias("of_block"),
-            "in_block", "upto", "all", "top",
-        )
-    )
-    blocks = written(blocks, "mixing-places")
-    sent = blocks.count() <= SMALL
-    same = (
-        F.col("source").eqNullSafe(F.col("of")) & (F.col("epoch") == F.col("of_epoch"))
-        & F.col("block").eqNullSafe(F.col("of_block"))
+    plan, rows = _planned(docs, carried, **settings)
+    return plan.placed(rows).withColumn(
+        "tie", F.xxhash64("position", "epoch", F.monotonically_increasing_id())
     )
-    within = F.col("position") / (F.col("top") + 1)  # even, as positions are draws
-    return rows.join(F.broadcast(blocks) if sent else blocks, same, "left").withColumn(
-        "at", (F.col("upto") - F.col("in_block") + within * F.col("in_block")) / F.col("all")
-    ).drop("of", "of_epoch", "of_block", "in_block", "upto", "all", "top")
 
 
 def mix(docs: DataFrame, **settings) -> DataFrame:

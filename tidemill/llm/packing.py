@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.tokens import batches, encoder
+from tidemill.llm.tokens import batches, encoder, gathered
 
 PIECES = (
     "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -154,7 +154,7 @@ def pack_documents(
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
-        for frame in frames:
+        for frame in gathered(frames):
             texts = frame.column(1)
             ids = frame.column(0).to_pylist()
             for a, b in batches(texts):

@@ -94,9 +94,11 @@ def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _table(spark, folder, "documents")
-    return mixing.mixed(docs, ["doc_id"], entropy=0.5).select(
-        "row.doc_id", "source", "n_tokens", "block", F.round("weight", 9).alias("weight"), "epochs", "copies"
+    """A row per document and epoch, with the turn of its block in that epoch's permutation."""
+    rows = mixing.epochs_of(_table(spark, folder, "documents"), ["doc_id"], entropy=0.5)
+    return rows.select(
+        "row.doc_id", "source", "n_tokens", "block", F.round("weight", 9).alias("weight"), "epochs", "copies",
+        "epoch", "turn",
     )
 
 
@@ -384,12 +386,16 @@ ORACLES = {
                     rows between unbounded preceding and 1 preceding), 0) as before
             from dealt d left join rooms r on d.source is not distinct from r.source and d.block = r.block
         )
-        select doc_id, source, n_tokens, block, round(weight, 9) as weight, epochs,
+        , counted as (select doc_id, source, n_tokens, block, weight, epochs,
             case when epochs is null then 1 else cast(epochs + case
                 when left_over > 0 and room >= in_block then 1
                 when room > 0 and room < in_block and draw <= max(draw) filter (before < room) over (partition by source, block) then 1
                 else 0 end as bigint) end as copies
-        from ranked
+        from ranked),
+        listed as (select *, unnest(range(copies)) as epoch from counted)
+        select doc_id, source, n_tokens, block, round(weight, 9) as weight, epochs, copies, epoch,
+            cast('0x' || substr(md5(concat_ws('/', '7', source, epoch, block)), 1, 15) as bigint) as turn
+        from listed
     """,
     "op8_chat_format": r"""
         with turns as (

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.tokens import batches, encoder
+from tidemill.llm.tokens import batches, encoder, gathered
 
 BLOCKS = (
     "part int, block int, first_doc long, last_doc long, n_docs long, n_tokens long, before long,"
@@ -43,23 +43,45 @@ def _wide(data: bytes, width: int) -> bytes:
 
 def train_dictionary(
     docs: DataFrame, tokenizer: str, rule: str | None, doc_id: str = "doc_id", text: str = "text",
-    *, width: int = 2, size: int = 32_768, documents: int = 1_000, chars: int = 8_192,
+    *, width: int = 2, size: int = 32_768, documents: int = 2_000, piece: int = 8_192, seed: int = 11,
 ) -> bytes:
-    """A dictionary trained on serialised ids of at most ``documents`` documents.
-
-    The sample is taken from as few input files as it needs, each text cut to ``chars``
-    characters. It bounds the training only: the dictionary changes the size of the frames,
-    never what is read back. Empty, if there is too little to learn from.
+    """A dictionary trained on serialised ids of at most ``documents`` pieces of documents.
+
+    The sample is spread over the whole table: about as many documents as wanted pass a threshold on
+    a hash of id and text, and of these the smallest hashes stay. Tasks encode their whole texts, and
+    a hash says which piece of at most ``piece`` bytes of ids is taken. That bounds the training
+    only, on the driver with 16 MB at most; the dictionary changes the size of the frames, never
+    what is read back. Where the sample is small, so is the dictionary: an eighth of it. Empty, if
+    there are no texts to learn from.
     """
-    some = docs.where((F.length(text) > 0) & (F.pmod(F.xxhash64(F.col(doc_id)), F.lit(4)) == 0))
-    sample = some.select(F.substring(F.col(text), 1, chars).alias("t")).limit(documents).collect()
-    arrays = [_narrow(x, width) for x in encoder(tokenizer, rule).encode([r.t for r in sample])]
-    if sum(map(len, arrays)) < 8 * size:
-        return b""
-    try:
-        return zstandard.train_dictionary(size, arrays).as_bytes()
-    except zstandard.ZstdError:
-        return b""
+    mark = F.xxhash64(F.lit(seed), F.col(doc_id).cast("string"), F.col(text))
+    share = min(1.0, 1.5 * documents / max(docs.count(), 1))
+    some = docs.where(F.length(text) > 0).select(mark.alias("mark"), F.col(text).alias("text")).where(
+        (F.col("mark") / F.lit(2.0**63)).between(-share, share)
+    )
+
+    def cut(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(tokenizer, rule).encode
+        for frame in gathered(frames):
+            marks, pieces = frame.column(0).to_pylist(), []
+            for a, b in batches(frame.column(1)):
+                for key, ids in zip(marks[a:b], encode(frame.column(1).slice(a, b - a))):
+                    data = _narrow(ids, width)
+                    start = (key >> 8) % max(1, (len(data) - piece) // width + 1) * width
+                    pieces.append(data[start:start + piece])
+            yield pa.RecordBatch.from_arrays([frame.column(0), pa.array(pieces, pa.binary())], ["mark", "ids"])
+
+    sample = some.mapInArrow(cut, "mark long, ids binary").orderBy(F.abs("mark"), "ids").limit(documents)
+    pieces = [bytes(r.ids) for r in sample.collect() if len(r.ids) >= 8]
+    # The trainer refuses samples that are few or alike; with fewer bytes a smaller one can be had.
+    for some_size in (min(size, sum(map(len, pieces)) // 8), 1024, 256):
+        try:
+            if some_size >= 256:
+                return zstandard.train_dictionary(some_size, pieces).as_bytes()
+        except zstandard.ZstdError:
+            continue
+    # Too little for the trainer: the sample itself is the dictionary's content.
+    return b"".join(pieces)[-size:]
 
 
 def _dictionary(data: bytes, level: int = 3) -> zstandard.ZstdCompressionDict | None:
@@ -103,7 +125,7 @@ def write_tokens(
             ]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds)], names)
 
-        for frame in frames:
+        for frame in gathered(frames):
             texts = frame.column(1)
             keys = frame.column(0).to_pylist()
             for a, b in batches(texts):

@@ -9,12 +9,19 @@ chunks, joined, are the ids of the whole text. The cut rules:
            characters that aren't white space.
 ``white``  tokenizers that drop white space: a cut at every space and line feed.
 ``None``   any other tokenizer: the whole text is one chunk and nothing is cached.
+
+With both rules a run of letters ends where punctuation begins, so that a chunk that ends in
+punctuation is made of two that others share; ``white`` tokenizers also lower the case. What is left
+and consists of letters alone is one piece, which needs the vocabulary but no pre-tokenisation.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import string
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -26,6 +33,8 @@ _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _BARE = "\t"
 _FEED = _BARE + "\n"
 _JOINED = 2_000
+_BEYOND_LATIN = re.compile("[^\\x00-\\xff]")
+_TAIL = string.punctuation.replace("'", "")
 
 
 class ChunkEncoder:
@@ -47,16 +56,34 @@ class ChunkEncoder:
             self.bytes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
             for token, i in vocabulary.items():
                 self.bytes[i] = len(token.removesuffix("</w>") if rule == "white" else token)
+            self.letters = self._of_letters(path)
+
+    def _of_letters(self, path: str):
+        """The same vocabulary for words of letters in lower case: cut at spaces only."""
+        from tokenizers import Tokenizer
+
+        with open(path, encoding="utf-8") as file:
+            parts = json.load(file)
+        cut = {"type": "WhitespaceSplit"}
+        if self.rule == "space":
+            cut = {"type": "Split", "pattern": {"String": " "}, "behavior": "MergedWithNext", "invert": False}
+        spelt = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+        parts |= {
+            "added_tokens": [], "normalizer": None, "post_processor": None,
+            "pre_tokenizer": {"type": "Sequence", "pretokenizers": [cut, spelt]},
+        }
+        return Tokenizer.from_str(json.dumps(parts))
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in encoded]
 
-    def _together(self, chunks: list[str]) -> list[bytes] | None:
+    def _together(self, chunks: list[str], letters: bool) -> list[bytes] | None:
         """The ids of chunks encoded as one text, parted by the bytes that the tokens spell."""
+        tokenizer = self.letters if letters else self.tokenizer
         if self.rule == "white":
             text = " ".join(chunks)
-            spelt = self.tokenizer.normalizer.normalize_str(text).split(" ")
+            spelt = chunks if letters else self.tokenizer.normalizer.normalize_str(text).split(" ")
             sizes = np.array([len(c.encode()) for c in spelt])
             gaps = np.zeros(len(spelt), dtype=np.int64)
         else:
@@ -64,9 +91,7 @@ class ChunkEncoder:
             text = "".join(parts)
             gaps = np.array([c[:1] == _BARE for c in chunks], dtype=np.int64)
             sizes = np.array([len(p.encode()) for p in parts]) - gaps
-        ids = np.array(
-            self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4"
-        )
+        ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
         ends = np.cumsum(gaps + sizes)
         upto = np.concatenate([[0], np.cumsum(self.bytes[ids])])
         if len(sizes) != len(chunks) or upto[-1] != ends[-1]:
@@ -77,6 +102,41 @@ class ChunkEncoder:
         data = ids.tobytes()
         return [data[a:b] for a, b in zip((4 * first).tolist(), (4 * last).tolist())]
 
+    def _parts(self, chunks: list[str]) -> list[tuple[str, str]]:
+        """For regular chunks two others, the second may be empty, that have their ids together."""
+        bare = _BARE if self.rule == "space" else ""
+        # Letters of Latin-1 have no other composed form, in either case.
+        latin = self.rule == "white" and _BEYOND_LATIN.search(" ".join(chunks)) is None
+        parts = []
+        for chunk in chunks:
+            body = chunk.rstrip(_TAIL)
+            if len(body) == len(chunk):
+                tail = ""
+            elif body[-1:].isalpha():
+                tail = bare + chunk[len(body):]
+            else:
+                body, tail = chunk, ""
+            if latin or not bare and _BEYOND_LATIN.search(body) is None:
+                body = body.lower()
+            parts.append((body, tail))
+        return parts
+
+    def _of_parts(self, parts: list[str]) -> dict[str, bytes]:
+        """The ids of distinct chunks."""
+        found = {}
+        lists: tuple[list[str], list[str]] = ([], [])
+        for part in parts:
+            lists[part.isalpha() and (self.rule == "space" or _BEYOND_LATIN.search(part) is None)].append(part)
+        for letters, chosen in enumerate(lists):
+            for at in range(0, len(chosen), _JOINED):
+                chunks = chosen[at:at + _JOINED]
+                ids = self._together(chunks, bool(letters))
+                if ids is None:
+                    ids = self._ids([c[1:] if c[:1] == _BARE else " " + c for c in chunks]
+                                    if self.rule == "space" else chunks)
+                found.update(zip(chunks, ids))
+        return found
+
     def _cut(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """The chunks of all texts one after the other, and where each text's chunks start."""
         if self.rule == "white":
@@ -103,59 +163,79 @@ class ChunkEncoder:
         self.chars += sum(map(len, missing))
         found = list(map(self.before.get, missing))
         new = [i for i, x in enumerate(found) if x is None]
-        together = []
-        for i in new:
-            chunk = missing[i]
-            if not chunk or chunk == _FEED:
-                found[i] = self._ids(["\n"])[0] if chunk else self.rule == "white" and b""
-            elif not self._regular(chunk):
-                found[i] = False
-            elif self.rule == "white" and chunk.split() != [chunk]:
-                found[i] = self._ids([chunk])[0]  # other white space inside would count as a cut
-            else:
-                together.append(i)
-        for at in range(0, len(together), _JOINED):
-            some = together[at:at + _JOINED]
-            chunks = [missing[i] for i in some]
-            ids = self._together(chunks)
-            if ids is None:
-                ids = self._ids([c[1:] if c[:1] == _BARE else " " + c for c in chunks]
-                                if self.rule == "space" else chunks)
-            for i, x in zip(some, ids):
-                found[i] = x
+        bodies = [missing[i] for i in new]
+        if self.rule == "space":
+            bodies = [c[1:] if c[:1] == _BARE else c for c in bodies]
+        if " ".join(bodies).split() != bodies:  # some have white space inside, or are empty
+            new = [i for i in new if not self._odd(missing, found, i)]
+        chunks = [missing[i] for i in new]
+        parts = self._parts(chunks)
+        known, before = self.known.get, self.before.get
+        ids: dict[str, bytes | None] = {"": b""}
+        for pair in parts:
+            for part in pair:
+                if part not in ids:
+                    ids[part] = known(part) or before(part)
+        learnt = self._of_parts([part for part, x in ids.items() if x is None])
+        ids |= learnt
+        for i, (body, tail) in zip(new, parts):
+            found[i] = ids[body] + ids[tail] if tail else ids[body]
+        self.chars += sum(map(len, learnt))
+        self.known.update(learnt)
         self.known.update(zip(missing, found))
         return found
 
-    def encode(self, texts: pa.Array | list[str]) -> list[bytes]:
-        if not isinstance(texts, pa.Array):
-            texts = pa.array(texts, pa.string())
-        if self.rule is None or not len(texts):
-            return self._ids(texts.to_pylist())
+    def _odd(self, missing: list[str], found: list, i: int) -> bool:
+        """Whether chunk i isn't regular; if so, what is kept of it is put in its place."""
+        chunk = missing[i]
+        if not chunk or chunk == _FEED:
+            found[i] = self._ids(["\n"])[0] if chunk else self.rule == "white" and b""
+        elif not self._regular(chunk):
+            found[i] = False
+        elif self.rule == "white" and chunk.split() != [chunk]:
+            found[i] = self._ids([chunk])[0]  # other white space inside would count as a cut
+        return found[i] is not None
+
+    def encode_flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and where each text's ids end."""
         chunks, starts = self._cut(texts)
         coded = chunks.dictionary_encode()
-        distinct, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        distinct, at = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
         found = list(map(self.known.get, distinct))
         gaps = [i for i, x in enumerate(found) if x is None]
         for i, x in zip(gaps, self._learn([distinct[i] for i in gaps])):
             found[i] = x
-        odd = np.array([x is False for x in found])
-        known = [x or b"" for x in found]
+        odd = [i for i, x in enumerate(found) if x is False]
+        for i in odd:
+            found[i] = b""
         # The ids of the chunks, gathered from those of the distinct ones.
-        sizes = np.array(list(map(len, known)), dtype=np.int64) // 4
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
         begin = np.cumsum(sizes) - sizes
         size = sizes[at]
         end = np.cumsum(size)
         take = np.repeat(begin[at] - end + size, size)
         take += np.arange(len(take))
-        data = np.frombuffer(b"".join(known), dtype="<u4")[take].tobytes()
-        upto = 4 * np.concatenate([[0], end])[starts]
-        out = [data[a:b] for a, b in zip(upto[:-1].tolist(), upto[1:].tolist())]
-        if odd.any():  # white space that isn't single: cut at single spaces only
-            count = np.concatenate([[0], np.cumsum(odd[at])])[starts]
+        ids = np.frombuffer(b"".join(found), dtype="<u4")[take]
+        ends = np.concatenate([[0], end])[starts]
+        if odd:  # white space that isn't single: cut at single spaces only
+            is_odd = np.zeros(len(found), dtype=np.int64)
+            is_odd[odd] = 1
+            count = np.concatenate([[0], np.cumsum(is_odd[at])])[starts]
+            parts = [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
             for i in np.flatnonzero(np.diff(count)).tolist():
                 first, *rest = _SINGLE_SPACE.split(texts[i].as_py())
-                out[i] = b"".join(self._ids([first, *(" " + c for c in rest)]))
-        return out
+                parts[i] = np.frombuffer(b"".join(self._ids([first, *(" " + c for c in rest)])), dtype="<u4")
+            return np.concatenate(parts), np.cumsum([len(x) for x in parts])
+        return ids, ends[1:]
+
+    def encode(self, texts: pa.Array | list[str]) -> list[bytes]:
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.string())
+        if self.rule is None or not len(texts):
+            return self._ids(texts.to_pylist())
+        ids, ends = self.encode_flat(texts)
+        data, upto = ids.tobytes(), (4 * ends).tolist()
+        return [data[a:b] for a, b in zip([0, *upto], upto)]
 
 
 @lru_cache(maxsize=4)
@@ -164,7 +244,7 @@ def encoder(path: str, rule: str | None, cached_chars: int = 4_000_000) -> Chunk
     return ChunkEncoder(path, rule, cached_chars)
 
 
-def batches(texts: pa.Array, most_bytes: int = 8 << 20):
+def batches(texts: pa.Array, most_bytes: int = 8 << 20) -> Iterator[tuple[int, int]]:
     """Slices of an array of texts with at most so many bytes, one text at least."""
     upto = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
     start = 0
@@ -173,3 +253,16 @@ def batches(texts: pa.Array, most_bytes: int = 8 << 20):
         end = max(start + 1, int(np.searchsorted(upto, before + most_bytes, side="right")))
         yield start, end
         start = end
+
+
+def gathered(frames: Iterator[pa.RecordBatch], most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Record batches joined up to so many bytes, so that a worker meets fewer distinct chunks in all."""
+    held, size = [], 0
+    for frame in frames:
+        held.append(frame)
+        size += frame.nbytes
+        if size >= most_bytes:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
