@@ -9,6 +9,7 @@ import pytest
 from tests import compare
 from tidemill.llm import chat, cotraining, licenses, mixing, quality_rules, queries
 from tidemill.llm.topk import competitive, top_k
+from tidemill.session import written
 
 SMALL, DATA = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
@@ -63,21 +64,30 @@ def test_chat_round_trip_of_odd_turns(spark):
     rows += [(2, 0, "system", "s", "x"), (2, 1, "user", "u", "x"), (2, 2, "assistant", "a", "x")]
     rows += [(None, None, "user", "u", "x"), (3, 0, "user", "u", "x"), (3, 0, "user", "u", "x")]
     frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, formatted string")
-    out = chat.format_conversations(frame)
-    from pyspark.sql import functions as F
-
-    got = {
-        r.conv_id: r for r in out.select(
-            "*", chat.read_turns(F.col("formatted")).alias("turns"), chat.loss_text(F.col("segments")).alias("loss")
-        ).collect()
-    }
-    assert [(t.role, t.text) for t in got[1].turns] == [(r or "", t or "") for _, _, r, t, _ in rows[:10]]
-    assert got[1].loss == "".join(t or "" for _, _, r, t, _ in rows[:10] if r == "assistant")
-    assert got[1].formatted.count("<|im_end|>") == 10
-    assert got[2].in_order and not got[1].in_order and not got[3].in_order and not got[None].in_order
-    assert [(s.text, s.loss) for s in got[2].segments if s.loss] == [("a", True)]
-    assert got[3].n_turns == 2
-    assert chat.format_conversations(frame.limit(0)).count() == 0
+    out = chat.read_turns(chat.format_turns(frame)).collect()
+    got = {}
+    for r in sorted(out, key=lambda r: r.place):
+        got.setdefault(r.conv_id, []).append(r)
+    assert [(t.role, t.text) for t in got[1]] == [(r or "", t or "") for _, _, r, t, _ in rows[:10]]
+    assert "".join(t.loss_text for t in got[1]) == "".join(t or "" for _, _, r, t, _ in rows[:10] if r == "assistant")
+    in_order = {k: all(t.legal and (t.ends or not t.last) for t in v) for k, v in got.items()}
+    assert in_order == {1: False, 2: True, 3: False, None: False}
+    assert [[t.place for t in v if t.last] for v in got.values()] == [[len(v)] for v in got.values()]
+    assert [(t.text, t.loss) for t in got[2]] == [("s", False), ("u", False), ("a", True)]
+    assert len(got[3]) == 2
+    for r in chat.format_turns(frame).collect():
+        assert "".join(s.text for s in r.segments).count("<|im_end|>") == 1
+    assert chat.format_turns(frame.limit(0)).count() == 0
+
+
+def test_one_conversation_with_most_rows(spark):
+    rows = [(7, i, "user" if i % 2 == 0 else "assistant", f"t{i}") for i in range(20_000)] + [(i, 0, "user", "x") for i in range(100, 200)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)
+    out = chat.read_turns(chat.format_turns(frame)).where("conv_id = 7").orderBy("place").collect()
+    assert [(r.place, r.text) for r in out] == [(i + 1, f"t{i}") for i in range(20_000)]
+    assert all(r.legal for r in out) and [r.place for r in out if r.last] == [20_000]
+    with pytest.raises(Exception, match="not a formatted turn"):
+        chat.read_turns(spark.sql("select 1 as conv_id, array(named_struct('text', 'x', 'loss', true)) as segments")).collect()
 
 
 def test_chat_digests(spark):
@@ -130,6 +140,50 @@ def test_bins_keep_their_order_and_error(spark):
     assert all(r.low <= r.v and (r.v - r.low) * 128 <= r.v for r in rows)
 
 
+def fences(spark, rows):
+    frame = spark.createDataFrame(rows, "doc_id long, lang string, source string, text string")
+    rows = quality_rules.with_rates(quality_rules.measured(frame, ["doc_id"], "lang", "source", "text"))
+    sketch = quality_rules.sketches(written(rows, "test-rates"))
+    names = [f"most_{r}" for r in quality_rules.RATES]
+    return {r.source: [r[n] for n in names] for r in quality_rules.limits(sketch).collect()}
+
+
+def habits(rng, n, symbols, length, lines, shouts, repeats):
+    """A text: so many words with such a share of symbols, lines, capitals and repeated phrases."""
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randrange(length - 1, length + 2))) for _ in range(n)]
+    for i in range(n):
+        if rng.random() < symbols:
+            words[i] += "#"
+        if rng.random() < shouts:
+            words[i] = words[i].upper()
+    for _ in range(int(repeats * n / 4)):
+        i, j = rng.randrange(n - 4), rng.randrange(n - 4)
+        words[i:i + 4] = words[j:j + 4]
+    rows = [" ".join(words[i:i + 8]) for i in range(0, n, 8)]
+    for i in range(len(rows)):
+        if rng.random() < lines:
+            rows[i] = rows[0]
+    return "\n".join(rows)
+
+
+def test_fences_follow_the_habits_of_a_source(spark):
+    rng = random.Random(4)
+    rows = [(i, "en", "plain", habits(rng, 200, 0, 5, 0, 0, 0)) for i in range(400)]
+    rows += [(i, "en", "odd", habits(rng, 200, rng.random() * 0.3, rng.randrange(4, 9), rng.random() * 0.3, rng.random() * 0.2, rng.random() * 0.2)) for i in range(400)]
+    got = fences(spark, rows)
+    assert all(odd > plain for odd, plain in zip(got["odd"], got["plain"]))
+
+
+def test_a_source_full_of_junk_is_bounded_by_the_table(spark):
+    rng = random.Random(4)
+    rows = [(i, "en", f"s{i % 4}", habits(rng, 100, 0, 5, 0, 0, 0)) for i in range(1200)]
+    rows += [(i, "en", "junk", habits(rng, 100, 0.9 if i % 2 else 0, 5, 0, 0, 0)) for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, lang string, source string, text string")
+    kept = {(r.source, r.text) for r in quality_rules.quality_filter(frame).collect()}
+    assert not any(s == "junk" and t.count("#") > 30 for s, t in kept)
+    assert sum((s, t) in kept for _, _, s, t in rows if t.count("#") == 0) > 0.99 * 1350
+
+
 def test_clean_documents_are_kept(spark):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{DATA}/labels.parquet").collect()}
     rules = {r.doc_id: r for r in queries.op10_quality_rules(spark, DATA).collect()}

@@ -1,5 +1,10 @@
 """Chat formatting: turns checked by a finite-state machine and written from a template.
 
+A row per turn goes in and out. The machine's state before a turn is the role of the turn before, so
+that its move is checked by a window over (conversation, turn), whose sort can spill; texts of a
+conversation are never gathered. What is written of a turn is a list of segments, each with its
+loss flag; one after the other, in the order of the turns, they are the formatted conversation.
+
 DataFrame functions only. Inside texts a control string such as ``<|im_end|>`` is escaped by a
 backslash before its bar; backslashes that already stand there get one more, so that unescaping
 gives back the text as it was.
@@ -9,7 +14,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -51,78 +56,70 @@ def _strings(values) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
-def format_conversations(
+def format_turns(
     rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
     text: str = "text", template: Template = CHATML,
 ) -> DataFrame:
-    """A row per conversation: conv_id, n_turns, in_order, segments (text, loss) and formatted.
+    """A row per turn: conv_id, place (from 1), legal, ends, last and segments (text, loss).
+
+    ``legal`` says whether the machine allows the turn after the one before, ``ends`` whether a
+    conversation may end with it, and ``last`` marks where it does. Turns are ordered by ``turn``
+    (nulls first), then role and text; repeated rows stay. A null role or text is empty; a role is
+    written URL-encoded, so that it fits on its line; an empty or very long text is a segment like
+    any other. Turns with a null conversation id make up one conversation. Turns that break the
+    order are kept and marked. Other columns are ignored, whatever their names; an empty table
+    gives no rows.
 
-    Turns are ordered by ``turn`` (nulls first), then role and text; repeated rows stay. A null
-    role or text is empty; a role is written URL-encoded, so that it fits on its line. Turns
-    with a null conversation id make up one conversation. Conversations that break the order
-    are kept and marked by ``in_order``. Other columns are ignored. A conversation is one row,
-    so that its text must fit in a Spark string (2 GB).
+    A conversation's rows are sorted together, on disk where they are many: a task holds one row.
     """
-    turns = F.sort_array(
-        F.collect_list(
-            F.struct(
-                F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"),
-                F.coalesce(F.col(text), F.lit("")).alias("text"),
-            )
-        )
+    given = rows.select(
+        F.col(conv).alias("conv_id"), F.col(turn).alias("turn"),
+        F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     moves = _strings([f"{a}>{b}" for a, b in template.moves])
-    machine = F.aggregate(
-        "turns",
-        F.struct(F.lit("").alias("state"), F.lit(True).alias("ok")),
-        lambda at, t: F.struct(
-            t.role.alias("state"),
-            (at.ok & F.array_contains(moves, F.concat(at.state, F.lit(">"), t.role))).alias("ok"),
-        ),
-        lambda at: at.ok & F.array_contains(_strings(template.ends), at.state),
-    )
+    move = F.concat(F.coalesce(F.lag("role").over(order), F.lit("")), F.lit(">"), F.col("role"))
 
     def segment(value: Column, loss: Column) -> Column:
         return F.struct(value.alias("text"), loss.alias("loss"))
 
-    segments = F.flatten(
-        F.transform(
-            "turns",
-            lambda t: F.array(
-                segment(
-                    F.concat(F.lit(template.start), F.url_encode(t.role), F.lit(template.after_role)),
-                    F.lit(False),
-                ),
-                segment(escaped(t.text), F.array_contains(_strings(template.loss_roles), t.role)),
-                segment(F.lit(template.end + template.after_turn), F.lit(False)),
-            ),
-        )
+    head = F.concat(F.lit(template.start), F.url_encode("role"), F.lit(template.after_role))
+    segments = F.array(
+        segment(head, F.lit(False)),
+        segment(escaped(F.col("text")), F.array_contains(_strings(template.loss_roles), F.col("role"))),
+        segment(F.lit(template.end + template.after_turn), F.lit(False)),
     )
-    return (
-        rows.groupBy(F.col(conv).alias("conv_id")).agg(turns.alias("turns"))
-        .select("conv_id", F.size("turns").cast("long").alias("n_turns"), machine.alias("in_order"),
-                segments.alias("segments"))
-        .select("*", F.array_join(F.transform("segments", lambda s: s.text), "").alias("formatted"))
+    return given.select(
+        "conv_id", F.row_number().over(order).alias("place"), F.array_contains(moves, move).alias("legal"),
+        F.array_contains(_strings(template.ends), F.col("role")).alias("ends"),
+        F.lead("role").over(order).isNull().alias("last"), segments.alias("segments"),
     )
 
 
-def read_turns(formatted: Column, template: Template = CHATML) -> Column:
-    """The turns (role, text) that a formatted conversation holds, texts unescaped."""
-    close = template.end + template.after_turn
-    pieces = F.split(formatted, "\\Q" + close + "\\E")
+def read_turns(turns: DataFrame, template: Template = CHATML) -> DataFrame:
+    """What `format_turns` wrote, read back: role and text from the segments, unescaped.
 
-    def turn(piece: Column) -> Column:
-        head = F.substring_index(piece, template.after_role, 1)
-        return F.struct(
-            F.url_decode(F.substr(head, F.lit(len(template.start) + 1))).alias("role"),
-            unescaped(F.substr(piece, F.length(head) + len(template.after_role) + 1)).alias("text"),
+    ``loss`` says whether the text is under the mask and ``chars`` counts what was written. A turn
+    that isn't framed by the template's marks raises.
+    """
+    whole = F.array_join(F.transform("segments", lambda s: s.text), "")
+    close = template.end + template.after_turn
+    framed = F.startswith("whole", F.lit(template.start)) & F.endswith("whole", F.lit(close))
+    head = F.substring_index("whole", template.after_role, 1)
+    body = F.substr(
+        "whole", F.length("head") + len(template.after_role) + 1,
+        F.length("whole") - F.length("head") - len(template.after_role) - len(close),
+    )
+    masked = F.filter("segments", lambda s: s.loss)
+    return (
+        turns.withColumn("whole", whole)
+        .withColumn("whole", F.when(framed, F.col("whole")).otherwise(F.raise_error(F.lit("not a formatted turn"))))
+        .withColumn("head", head)
+        .select(
+            *[c for c in turns.columns if c != "segments"],
+            F.url_decode(F.substr("head", F.lit(len(template.start) + 1))).alias("role"),
+            unescaped(body).alias("text"), (F.size(masked) > 0).alias("loss"),
+            unescaped(F.array_join(F.transform(masked, lambda s: s.text), "")).alias("loss_text"),
+            F.length("whole").cast("long").alias("chars"),
         )
-
-    return F.transform(F.slice(pieces, 1, F.size(pieces) - 1), turn)
-
-
-def loss_text(segments: Column) -> Column:
-    """All text under the loss mask, unescaped, nothing between."""
-    return F.array_join(
-        F.transform(F.filter(segments, lambda s: s.loss), lambda s: unescaped(s.text)), ""
     )

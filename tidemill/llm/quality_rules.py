@@ -1,16 +1,21 @@
 """Quality rules with limits that adapt to each language and source. DataFrame functions only.
 
-Every document gets integer measures. Per language and source, each rate is gathered in a
-mergeable quantile sketch: counts by bin, where a bin keeps the eight leading bits of a value
-(relative error under 1/128). The limit of a rate is a fence above its upper quartile, taken
-from the group's sketch merged with a weighted sketch of the whole table, so that a small group
-leans on all documents and a large one on its own. Documents beyond a fence are filtered by a
-join with the limits.
+Every document gets integer measures. Per language and source, each rate and each size is gathered
+in a mergeable quantile sketch over the documents that pass the base rule: counts by bin, where
+a bin keeps the eight leading bits of a value (relative error under 1/128). The limit of a rate is
+a fence above its upper quartile, in steps of the distance of the quartiles. Where most documents
+have none of what is counted, that distance is zero; then a step is the smallest event there can
+be (one symbol, one repeated line, ...) in a document of the group's size, by the sketch of sizes.
+
+The group's sketch is merged with a weighted one of the whole table, so that a small group leans on
+all documents and a large one on its own. A group's fence may exceed the table's by no more than
+that lies above the table's upper quartile, so that a source full of junk doesn't switch its
+rules off. No fence is a constant. Documents beyond one are filtered by a join with the limits.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.session import written
@@ -22,14 +27,17 @@ SYMBOLS = "#*$%&|<>"
 GROUP = ["lang", "source"]
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-# Rate -> least distance (in the rate's own unit) between the upper quartile and the fence.
+# Rate -> what is counted, per how much of what, the least event, and the quartile of that size at
+# which the event is taken: of few lines a single repeated one is a large share.
 RATES = {
-    "symbol_rate": 60,       # symbols per 1,000 characters in words
-    "word_length": 300,      # characters per 100 words
-    "dup_line_rate": 400,    # repeated lines per 1,000 lines with a word
-    "repeat_rate": 400,      # words in repeated windows per 1,000 words
-    "upper_rate": 200,       # A-Z per 1,000 characters in words
+    "symbol_rate": ("n_symbols", "word_chars", 100_000, 1, 1),
+    "word_length": ("word_chars", "n_words", 1_000, 0, 1),
+    "dup_line_rate": ("n_dup_lines", "n_lines", 100_000, 1, 3),
+    "repeat_rate": ("n_repeat_words", "n_words", 100_000, 6, 1),  # two windows of three words
+    "upper_rate": ("n_upper", "word_chars", 100_000, 1, 1),
 }
+SIZES = ("word_chars", "n_words", "n_lines")
+MEASURES = (*RATES, *SIZES)
 
 
 def _sum(values: Column) -> Column:
@@ -95,19 +103,12 @@ def measured(docs: DataFrame, carried: list[str], lang: str, source: str, text:
 def with_rates(docs: DataFrame) -> DataFrame:
     """Integer rates and the base rule's verdict beside the measures."""
 
-    def rate(part: str, whole: str, scale: int) -> Column:
-        return F.expr(f"{scale} * {part} div greatest({whole}, 1)")
-
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return docs.select(
-        "*",
-        rate("n_symbols", "word_chars", 1000).alias("symbol_rate"),
-        rate("word_chars", "n_words", 100).alias("word_length"),
-        rate("n_dup_lines", "n_lines", 1000).alias("dup_line_rate"),
-        rate("n_repeat_words", "n_words", 1000).alias("repeat_rate"),
-        rate("n_upper", "word_chars", 1000).alias("upper_rate"),
-        base.alias("base_failed"),
-    )
+    rates = [
+        F.expr(f"{scale} * {part} div greatest({size}, 1)").alias(rate)
+        for rate, (part, size, scale, _, _) in RATES.items()
+    ]
+    return docs.select("*", *rates, base.alias("base_failed"))
 
 
 def bin_of(value: Column) -> Column:
@@ -123,51 +124,69 @@ def least_of(number: Column) -> Column:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """Counts per group, rate and bin: sketches merge by adding the counts of a bin."""
+    """Counts per group, measure and bin: sketches merge by adding the counts of a bin."""
     pairs = F.explode(
-        F.array(*[F.struct(F.lit(r).alias("rate"), bin_of(F.col(r)).alias("bin")) for r in RATES])
+        F.array(*[F.struct(F.lit(m).alias("measure"), bin_of(F.col(m)).alias("bin")) for m in MEASURES])
     )
     return (
-        docs.select(*GROUP, pairs.alias("p")).groupBy(*GROUP, "p.rate", "p.bin")
+        docs.where(~F.col("base_failed")).select(*GROUP, pairs.alias("p")).groupBy(*GROUP, "p.measure", "p.bin")
         .agg(F.count("*").alias("n"))
     )
 
 
-def limits(sketch: DataFrame, *, steps: int = 3, prior: int = 200) -> DataFrame:
+def _quartiles(bins: Column, every: Column) -> Column:
+    """The quartiles (low, high) of bins (bin, w) that weigh ``every``, by the running sum of weights."""
+    start = F.struct(F.lit(0.0).alias("upto"), F.lit(None).cast("long").alias("low"), F.lit(None).cast("long").alias("high"))
+
+    def step(at: Column, x: Column) -> Column:
+        upto = at.upto + x.w
+        reached = [F.coalesce(at[c], F.when(4 * upto >= k * every, x.bin)) for c, k in (("low", 1), ("high", 3))]
+        return F.struct(upto.alias("upto"), reached[0].alias("low"), reached[1].alias("high"))
+
+    return F.aggregate(
+        bins, start, step, lambda at: F.struct(least_of(at.low).alias("low"), least_of(at.high).alias("high"))
+    )
+
+
+def limits(sketch: DataFrame, *, steps: int = 9, prior: int = 200) -> DataFrame:
     """A row per group with a fence for each rate, named ``most_<rate>``.
 
-    The fence lies above the upper quartile by ``steps`` times the distance of the quartiles, or
-    by the rate's least distance. The table's sketch enters each group's with the weight of
-    ``prior`` documents; weights are whole numbers on a scale of the table's documents.
+    The table's sketch enters each group's with the weight of ``prior`` documents. It is one array
+    of bins for each measure, which is merged with the group's own inside its row.
     """
-    whole = sketch.groupBy("rate", "bin").agg(F.sum("n").cast("decimal(18,0)").alias("n"))
-    total = whole.groupBy("rate").agg(F.sum("n").cast("decimal(18,0)").alias("total"))
-    groups = sketch.select(*GROUP).distinct()
-    own = sketch.join(total, "rate").select(
-        *GROUP, "rate", "bin", (F.col("n").cast("decimal(18,0)") * F.col("total")).alias("w")
+    bins = F.array_sort(F.collect_list(F.struct("bin", "n")))
+    whole = (
+        sketch.groupBy("measure", "bin").agg(F.sum("n").alias("n"))
+        .groupBy("measure").agg(bins.alias("all_bins"), F.sum("n").alias("total"))
     )
-    # Bounded by groups and bins, whatever the number of documents.
-    rates = F.explode(F.array(*[F.lit(r) for r in RATES]))
-    shared = (
-        groups.withColumn("rate", rates).join(whole, "rate")
-        .select(*GROUP, "rate", "bin", (F.col("n") * prior).alias("w"))
+
+    def weighed(bins: str, weight: Column) -> Column:
+        return F.transform(bins, lambda x: F.struct(x.bin.cast("long").alias("bin"), (x.n * weight).cast("double").alias("w")))
+
+    merged = F.array_sort(F.concat(weighed("own_bins", F.col("total")), weighed("all_bins", F.lit(prior))))
+    # A row per measure: at most eight, of bounded size.
+    table = whole.select(
+        "*", _quartiles(weighed("all_bins", F.lit(1)), F.col("total").cast("double")).alias("table")
     )
-    merged = own.unionByName(shared).groupBy(*GROUP, "rate", "bin").agg(F.sum("w").alias("w"))
-    key = Window.partitionBy(*GROUP, "rate")
-    ranked = merged.select(
-        *GROUP, "rate", "bin", F.sum("w").over(key.orderBy("bin")).alias("upto"),
-        F.sum("w").over(key).alias("every"),
+    every = (F.col("total") * (F.col("own_n") + prior)).cast("double")
+    found = (
+        sketch.groupBy(*GROUP, "measure").agg(bins.alias("own_bins"), F.sum("n").alias("own_n"))
+        .join(F.broadcast(table), "measure")
+        .select(*GROUP, "measure", _quartiles(merged, every).alias("own"), "table")
+    )
+    row = found.groupBy(*GROUP).agg(
+        *[F.max(F.when(F.col("measure") == m, F.struct("own", "table"))).alias(m) for m in MEASURES]
     )
 
-    def quarter(k: int) -> Column:
-        return least_of(F.min(F.when(4 * F.col("upto") >= k * F.col("every"), F.col("bin"))))
+    def fence(rate: str, of: str) -> Column:
+        _, size, scale, unit, quarter = RATES[rate]
+        at = f"{rate}.{of}"
+        event = f"{scale * unit} div greatest({size}.{of}.{'low' if quarter == 1 else 'high'}, 1)"
+        return F.expr(f"{at}.high + {steps} * greatest({at}.high - {at}.low, {event}, 1)")
 
-    quartiles = ranked.groupBy(*GROUP, "rate").agg(quarter(1).alias("low"), quarter(3).alias("high"))
-    least = F.create_map(*[F.lit(x) for pair in RATES.items() for x in pair])
-    fence = F.col("high") + F.greatest(steps * (F.col("high") - F.col("low")), least[F.col("rate")])
-    return quartiles.groupBy(*GROUP).agg(
-        *[F.max(F.when(F.col("rate") == r, fence)).alias(f"most_{r}") for r in RATES]
-    )
+    return row.select(*GROUP, *[
+        F.least(fence(r, "own"), 2 * fence(r, "table") - F.col(f"{r}.table.high")).alias(f"most_{r}") for r in RATES
+    ])
 
 
 def judged(
@@ -177,9 +196,10 @@ def judged(
     """Each document's carried columns (struct ``row``), measures, ``base_failed`` and ``kept``.
 
     A document is kept if it passes the base rule (50 words, and at most half of them in
-    repeated windows of three) and no rate lies beyond its group's fence. A null text has no
-    words and fails; a null language or source is a group like any other; repeated rows count
-    each and get the same verdict; an empty table stays empty. Columns that aren't carried are
+    repeated windows of three) and no rate lies beyond its group's fence; a rate at the fence
+    stays. A null or empty text has no words and fails; texts of any length are measured whole; a
+    null language or source is a group like any other; repeated rows count each and get the same
+    verdict; an empty table stays empty, and so does one where no document passes the base rule. Columns that aren't carried are
     left out, whatever their names. The measured rows are written to the shared folder, since
     they are read twice.
     """

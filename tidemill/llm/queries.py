@@ -117,17 +117,19 @@ def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     added = spark.range(1).select(control.alias("t")).select(
         F.lit(-1).cast("long").alias("conv_id"), "t.turn", "t.role", F.lit(CONTROL_TEXT).alias("text")
     )
-    turns = F.transform(
-        chat.read_turns(F.col("formatted")),
-        lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n")),
+    written_turns = chat.format_turns(rows.unionByName(added))
+    read = chat.read_turns(written_turns)
+    # A digest needs its whole conversation, so that the texts of one are gathered here, and only here.
+    turns = F.array_sort(F.collect_list(F.struct("place", "role", "text", "loss")))
+    whole = read.groupBy("conv_id").agg(
+        turns.alias("turns"), F.sum("chars").cast("long").alias("formatted_chars"),
+        F.bool_and(F.col("legal") & (~F.col("last") | F.col("ends"))).alias("in_order"),
     )
-    read = chat.format_conversations(rows.unionByName(added)).select(
-        "conv_id", "in_order", turns.alias("turns"), chat.loss_text(F.col("segments")).alias("loss"),
-        F.length("formatted").cast("long").alias("formatted_chars"),
-    )
-    return read.select(
+    spelt = F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n")))
+    loss = F.array_join(F.transform(F.filter("turns", lambda t: t.loss), lambda t: t.text), "")
+    return whole.select("*", loss.alias("loss")).select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"),
-        F.sha2(F.array_join("turns", ""), 256).alias("turns_sha256"),
+        F.sha2(F.array_join(spelt, ""), 256).alias("turns_sha256"),
         F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
         "formatted_chars", "in_order",
     )
@@ -446,47 +448,65 @@ ORACLES = {
                 coalesce(n_repeat_words, 0) as n_repeat_words
             from cut left join covered using (row_id)
         ),
-        rates as (
-            select row_id, lang, source, unnest([
-                {'rate': 'symbol_rate', 'value': 1000 * n_symbols // greatest(word_chars, 1), 'least': 60},
-                {'rate': 'word_length', 'value': 100 * word_chars // greatest(n_words, 1), 'least': 300},
-                {'rate': 'dup_line_rate', 'value': 1000 * n_dup_lines // greatest(n_lines, 1), 'least': 400},
-                {'rate': 'repeat_rate', 'value': 1000 * n_repeat_words // greatest(n_words, 1), 'least': 400},
-                {'rate': 'upper_rate', 'value': 1000 * n_upper // greatest(word_chars, 1), 'least': 200}
-            ], recursive := true) from measures
+        passing as (
+            select *, unnest([
+                {'m': 'symbol_rate', 'value': 100000 * n_symbols // greatest(word_chars, 1)},
+                {'m': 'word_length', 'value': 1000 * word_chars // greatest(n_words, 1)},
+                {'m': 'dup_line_rate', 'value': 100000 * n_dup_lines // greatest(n_lines, 1)},
+                {'m': 'repeat_rate', 'value': 100000 * n_repeat_words // greatest(n_words, 1)},
+                {'m': 'upper_rate', 'value': 100000 * n_upper // greatest(word_chars, 1)},
+                {'m': 'word_chars', 'value': word_chars}, {'m': 'n_words', 'value': n_words},
+                {'m': 'n_lines', 'value': n_lines}
+            ], recursive := true) from measures where not (n_words < 50 or 100 * n_repeat_words > 50 * n_words)
         ),
         binned as (
-            select lang, source, rate, least, (value >> more) << more as bin, count(*) as n
-            from (select *, greatest(length(bin(value)) - 8, 0)::bigint as more from rates) group by all
+            select lang, source, m, (value >> more) << more as bin, count(*) as n
+            from (select *, greatest(length(bin(value)) - 8, 0)::bigint as more from passing) group by all
         ),
-        totals as (select rate, sum(n) as total from binned group by rate),
+        totals as (select m, sum(n) as total from binned group by m),
         merged as (
-            select lang, source, rate, bin, sum(w) as w from (
-                select lang, source, rate, bin, n * total as w from binned join totals using (rate)
+            select lang, source, true as own, m, bin, sum(w) as w from (
+                select lang, source, m, bin, n * total as w from binned join totals using (m)
                 union all
-                select g.lang, g.source, b.rate, b.bin, 200 * b.n
+                select g.lang, g.source, b.m, b.bin, 200 * b.n
                 from (select distinct lang, source from binned) g, binned b
             ) group by all
+            union all
+            select null, null, false, m, bin, sum(n) from binned group by m, bin
         ),
         ranked as (
-            select *, sum(w) over (partition by lang, source, rate order by bin) as upto,
-                sum(w) over (partition by lang, source, rate) as every from merged
+            select *, sum(w) over (partition by own, lang, source, m order by bin) as upto,
+                sum(w) over (partition by own, lang, source, m) as every from merged
         ),
         quartiles as (
-            select lang, source, rate, min(bin) filter (4 * upto >= every) as low,
+            select own, lang, source, m, min(bin) filter (4 * upto >= every) as low,
                 min(bin) filter (4 * upto >= 3 * every) as high
             from ranked group by all
         ),
+        rules(m, size, per, quarter) as (values
+            ('symbol_rate', 'word_chars', 100000, 1), ('word_length', 'n_words', 0, 1), ('dup_line_rate', 'n_lines', 100000, 3),
+            ('repeat_rate', 'n_words', 600000, 1), ('upper_rate', 'word_chars', 100000, 1)
+        ),
+        fences as (
+            select q.own, q.lang, q.source, q.m, q.high,
+                q.high + 9 * greatest(q.high - q.low, per // greatest(case quarter when 1 then z.low else z.high end, 1), 1) as fence
+            from quartiles q join rules using (m) join quartiles z on z.m = rules.size and z.own = q.own
+                and z.lang is not distinct from q.lang and z.source is not distinct from q.source
+        ),
+        most as (
+            select g.lang, g.source, g.m, least(g.fence, 2 * t.fence - t.high) as fence
+            from fences g join fences t on g.m = t.m and g.own and not t.own
+        ),
         beyond as (
-            select row_id, bool_or(value > high + greatest(3 * (high - low), least)) as over
-            from rates r join quartiles q on r.rate = q.rate
-                and r.lang is not distinct from q.lang and r.source is not distinct from q.source
+            select row_id, bool_or(value > fence) as over
+            from passing p join most f on p.m = f.m
+                and p.lang is not distinct from f.lang and p.source is not distinct from f.source
             group by row_id
         )
         select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
             (n_words < 50 or 100 * n_repeat_words > 50 * n_words) as base_failed,
-            not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and not over as kept
-        from measures join beyond using (row_id)
+            coalesce(not over, false) as kept
+        from measures left join beyond using (row_id)
     """,
     "op11_vector_duplicates": """
         with recursive v as (
