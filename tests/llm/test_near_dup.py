@@ -139,3 +139,13 @@ def test_components_match_union_find(spark, monkeypatch, held):
     got = {r.node: r.component for r in components(frame).collect()}
     assert got == {x: find(x) for a, b in links if a != b for x in (a, b)}
     assert components(frame.limit(0)).count() == 0
+
+
+def test_the_row_that_stays_of_one_id_does_not_depend_on_the_layout(spark):
+    text = "one two three four five six seven"
+    rows = [(1, text, f"c{i}") for i in range(6)] + [(2, text, "d"), (None, text, "n"), (3, None, "x"), (3, None, "y")]
+    kept = set()
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        frame = spark.createDataFrame(order, "doc_id long, text string, source string").repartition(3)
+        kept.add(tuple(sorted(map(str, near_dup.deduplicated(frame).collect()))))
+    assert len(kept) == 1 and len(kept.pop()) == 3

@@ -368,8 +368,9 @@ def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents kept of each group, with their columns as they came.
 
-    Of rows that share a kept id, one stays: the smallest by all other columns' hash. Rows with a
-    null id all stay.
+    Of rows that share a kept id, one stays: that with the smallest md5 of all its columns as JSON,
+    whatever the order or layout of the rows. Rows with a null id all stay, and so do documents
+    without words, of which each is a group of its own.
     """
     verdict = written(grouped(docs, doc_id, text), "near-verdict")
 
@@ -382,7 +383,12 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     repeated = written(counts.select("doc_id"), "near-repeated")
     if repeated.isEmpty():
         return left
-    twice = among(repeated, "left_semi", left).dropDuplicates([doc_id])
+    row = F.struct(*[_quoted(c) for c in docs.columns])
+    twice = (
+        among(repeated, "left_semi", left).select(_quoted(doc_id).alias("_near_id"), row.alias("_near_row"))
+        .groupBy("_near_id").agg(F.min_by("_near_row", F.md5(F.to_json("_near_row"))).alias("_near_row"))
+        .select("_near_row.*")
+    )
     return among(repeated, "left_anti", left).unionByName(twice)
 
 

@@ -55,7 +55,7 @@ def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_license_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Every fortieth document stands for a licence file: its text, before it that of a licence."""
+    """Every fortieth document stands for a licence file: a licence's text, and after it its own."""
     texts = licenses.full_texts()
     directory = F.expr("concat(coalesce(source, '-'), '/', cast(doc_id div 200 as string), '/')")
     named = F.pmod("doc_id", F.lit(40)) == 0
@@ -65,7 +65,7 @@ def op3_license_files(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(
             directory, F.when(named, F.concat(F.lit("LICENSE-"), "doc_id")).otherwise(F.concat("doc_id", F.lit(".txt")))
         ).alias("path"),
-        F.when(named, F.concat(F.lit("Copyright "), F.substring("text", 1, 40), F.lit("\n\n"), licence))
+        F.when(named, F.concat(licence, F.lit("\n\n"), F.coalesce("text", F.lit(""))))
         .otherwise(F.col("text")).alias("text"),
     )
     return licenses.scan(files)
