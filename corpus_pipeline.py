@@ -15,29 +15,53 @@ BATCH = 300
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the co-trained classifier doesn't reject."""
+    """Documents that the co-trained classifier doesn't reject.
+
+    Null, empty and very long texts are scored whole like any other; equal texts get equal scores,
+    so that repeated rows stay or go together. Without usable labels nothing is rejected. An empty
+    table stays empty; further columns, whatever their names, come through as they are.
+    """
     labels = small_batches(spark, BATCH).read.parquet(f"{sf_dir}/labels.parquet")
     return cotraining.classify(docs, labels, docs.columns).where("kept").select("row.*")
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents within the limits of their language and source."""
+    """Documents within the limits of their language and source.
+
+    Null and empty texts have no words and go; very long ones are measured whole. A null language
+    or source is a group of its own. Repeated rows get the same verdict; a rate at its limit stays.
+    An empty table stays empty; further columns come through as they are.
+    """
     return quality_rules.quality_filter(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates: that with the smallest id.
+
+    Null and empty texts are near nothing and stay, as do rows with a null id. Of several rows with
+    the id that stays, the one with the smallest md5 of its columns does. Very long texts are compared
+    by their full sets. An empty table stays empty; further columns come through as they are.
+    """
     small_batches(spark, BATCH)
     return near_dup.deduplicated(docs)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document once or, to bring its source up, again; no source over 1.25 times as often."""
+    """Every document once or, to bring its source up, again; no source over 1.25 times as often.
+
+    Null and empty texts cost no tokens and are taken like the rest of their source; a null source is
+    a source. Equal rows are taken alike. An empty table stays empty; further columns come through.
+    """
     return mixing.mix(docs, repetition=1.25)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of at most 4096 tokens."""
+    """Pieces of the documents in sequences of at most 4096 tokens.
+
+    A null or empty text is its end id alone; a very long one fills sequences of its own. Rows with
+    null or repeated ids are documents of their own. An empty table gives no pieces; further
+    columns are left out.
+    """
     small_batches(spark, BATCH)
     pieces = pack_documents(
         docs, public_tokenizers.path("word_bpe_49k.json"), "white", end_id=2, capacity=4096,
