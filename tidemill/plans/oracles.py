@@ -349,6 +349,11 @@ ORACLES: dict[str, str] = {
         where kind <> 'in/valid' group by kind
         union all
         select 'dead letters', count(*) from events where event_type in ('error', 'view')""",
+    "topic_offsets": """
+        select cast(event_id % 4 as integer) as "partition",
+          row_number() over (partition by event_id % 4 order by event_id) - 1 as "offset",
+          cast(event_id as varchar) as key, event_type as value, true as five_batches
+        from events""",
     "topic_upsert": """
         with d as (select concat('prd_widget-', user_id % 3) as alias, cast(user_id as varchar) as doc_id,
           event_id as "offset", concat('{"n":', event_id // 3 % 2, ',"product_type":"widget-', user_id % 3, '"}') as body

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import StreamingQueryException
 
 from tidemill.functions import clean, json, keys, vector
 from tidemill.operators import (
@@ -32,7 +33,7 @@ from tidemill.plans.stand_in import table
 from tidemill.session import shared_folder, written
 from tidemill.sinks import files, keyed
 from tidemill.sinks.snapshot import SnapshotTable
-from tidemill.sources import delimited, tables
+from tidemill.sources import delimited, tables, topic_folder
 from tidemill.streaming import topic, windows
 from tidemill.streaming.change import ChangeSink
 from tidemill.streaming.route import RouteSink, UpsertSink, dead_letters, good_documents, parsed
@@ -514,6 +515,36 @@ def topic_routing(spark: SparkSession, folder: str) -> DataFrame:
     return written.unionByName(letters)
 
 
+@query
+def topic_offsets(spark: SparkSession, folder: str) -> DataFrame:
+    """All events as a topic, read in batches by offsets; the third batch fails and is run again."""
+    base = shared_folder(spark, "topic")
+    events = table(spark, folder, "events")
+    key = F.col("event_id").cast("string")
+    topic_folder.publish(
+        events.select((F.col("event_id") % 4).cast("int").alias("partition"), key.alias("key"), F.col("event_type").alias("value"), "event_id"),
+        f"{base}/topic", ["event_id"],
+    )
+    limit = -(-events.count() // 6)
+    failed = []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{base}/out/batch={batch_id}")
+        if batch_id == 2 and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("a batch that fails once")
+
+    for _ in range(2):
+        stream = topic_folder.read_topic_folder(spark, f"{base}/topic", f"{base}/progress", records=limit)
+        try:
+            topic_folder.run_batches(stream, f"{base}/progress", write)
+        except StreamingQueryException:
+            continue
+    rows = spark.read.parquet(f"{base}/out")
+    batches = rows.agg(F.count_distinct("batch")).scalar()
+    return rows.select("partition", "offset", "key", "value", (batches >= 5).alias("five_batches"))
+
+
 @query
 def topic_upsert(spark: SparkSession, folder: str) -> DataFrame:
     base = shared_folder(spark, "upsert")
