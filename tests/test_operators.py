@@ -377,9 +377,15 @@ def test_risk(spark):
     assert {r.CSID for r in risk.critical_ids(df, 3).collect()} == {"s1", "s2", "s3"}
     assert {r.CSID for r in risk.critical_ids(df).collect()} == {"s1", "s2", "s3", "s5", "s6"}
     lines = risk.report_lines(df)
-    row = risk.report_summary(lines, 1).first()
-    assert (row.flagged, row.amount, row.n_factor, row.n_country, row.n_state) == (2, 1339.5, 2, 2, 1)
-    assert (row.first_factor, row.first_country, row.first_critical) == ("Bot", "de", "s1")
+    report = {(r.section, r.block): (r.n_items, r["items"], r.amount) for r in risk.report_sections(lines).collect()}
+    assert report["flagged", 0] == (1, "2", 1339.5) and report["critical", 0][1] == "s1, s2, s3, s5, s6"
+    assert report["factor", 0][:2] == (2, "Bot, VPN") and report["country", 0][:2] == (2, "de, us")
+    assert report["state", 0][:2] == (1, "ca")
+    # More items than a block holds go on in the next one, and none is left out.
+    blocks = [r for r in risk.report_sections(lines, 1).collect() if r.section == "factor"]
+    assert sorted((r.block, r["items"]) for r in blocks) == [(0, "Bot"), (1, "VPN")]
+    many = spark.range(250).select(F.lit("state").alias("section"), F.format_string("s%03d", "id").alias("item"), F.lit(None).cast("double").alias("amount"))
+    assert [r.n_items for r in risk.report_sections(many).orderBy("block").collect()] == [100, 100, 50]
     place = df.select(risk.locations(F.col("COUNTRY"), F.col("GEO_IP_STATE")).alias("p")).collect()
     assert tuple(place[1].p) == ([], [])
     df.unpersist()
@@ -463,3 +469,12 @@ def test_simple_rollup_keys_appear_once(spark):
     df = spark.createDataFrame([(1, T0)], "k int, ts timestamp")
     out = rollup(df, [Output("k", "key"), Output("ts", "max")], ["k"])
     assert out.columns == ["k", "ts"] and out.select("k").first().k == 1
+
+
+def test_a_key_is_cut_into_as_many_pieces_as_it_fills(spark):
+    from tidemill.operators.prefix import _cuts
+
+    rows = spark.range(20_000).select(F.lit("hot").alias("k"), F.col("id").alias("at"))
+    heavy = spark.createDataFrame([("hot", 200)], "_heavy_k string, _pieces int")
+    cuts = _cuts(rows, ["k"], "at", heavy).first()["_cuts"]
+    assert len(cuts) == 199 and max(b - a for a, b in zip(cuts, cuts[1:])) < 200

@@ -36,9 +36,12 @@ def _cuts(df: DataFrame, keys: list[str], order: str, heavy: DataFrame) -> DataF
     own = df.join(F.broadcast(heavy), _all(keys, "_heavy_")).groupBy(
         *[f"_heavy_{k}" for k in keys], "_pieces"
     )
-    every = own.agg(F.percentile_approx(order, [i / 64 for i in range(1, 64)], 1000).alias("_every"))
-    # Of 63 quantiles, those nearest to the wanted number of pieces.
-    step = F.greatest(F.ceil(F.lit(64) / F.col("_pieces")).cast("int"), F.lit(1))
+    # As many quantiles as the heaviest key needs, which is bounded by the shuffle width; a lighter
+    # key takes those nearest to its own number of pieces.
+    most = max(2, heavy.agg(F.max("_pieces")).first()[0] or 0)
+    quantiles = [i / most for i in range(1, most)]
+    every = own.agg(F.percentile_approx(order, quantiles, max(1000, 10 * most)).alias("_every"))
+    step = F.greatest(F.floor(F.lit(most) / F.col("_pieces")).cast("int"), F.lit(1))
     return every.select(
         *[f"_heavy_{k}" for k in keys],
         F.filter("_every", lambda c, i: F.pmod(i + 1, step) == 0).alias("_cuts"),

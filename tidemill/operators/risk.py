@@ -122,29 +122,17 @@ def report_lines(df: DataFrame) -> DataFrame:
     ).unionByName(elements)
 
 
-def report_summary(lines: DataFrame, top: int = 5) -> DataFrame:
-    """The report's figures as one row, for any number of items.
+def report_sections(lines: DataFrame, block: int = 100) -> DataFrame:
+    """The report's items as text: a row per section and block of so many items, by name.
 
-    The flagged ids and their amount, the critical ids, and per kind of element how many there are
-    and the first ``top`` of them by name. `report_lines` has all items.
+    Every item of every section is in one of its blocks; ``amount`` is set for sections that have
+    one. Items are distinct elements, which are numbered per section.
     """
-    kinds = ["factor", "state", "country"]
-    first = Window.partitionBy("section").orderBy("item")
-    few = (
-        lines.filter(F.col("section").isin("critical", *kinds))
-        .withColumn("_i", F.row_number().over(first)).filter(F.col("_i") <= top)
-        .groupBy("section").agg(F.array_sort(F.collect_list("item")).alias("items"))
-    )
-    counts = lines.groupBy("section").agg(
-        F.count(F.lit(1)).alias("n"), F.max("amount").alias("amount"), F.max("item").alias("item")
-    )
-    joined = counts.join(few, "section", "left")
-
-    def of(section: str, column: str) -> Column:
-        return F.max(F.when(F.col("section") == section, F.col(column)))
-
-    named = [F.array_join(of(k, "items"), ", ").alias(f"first_{k}") for k in ["critical", *kinds]]
-    return joined.agg(
-        of("flagged", "item").cast("bigint").alias("flagged"), of("flagged", "amount").alias("amount"),
-        *[F.coalesce(of(k, "n"), F.lit(0)).alias(f"n_{k}") for k in kinds], *named,
+    number = F.expr(f"(row_number() over (partition by section order by item) - 1) div {block}")
+    return (
+        lines.select("section", "item", "amount", number.alias("block")).groupBy("section", "block").agg(
+            F.count("item").alias("n_items"),
+            F.array_join(F.array_sort(F.collect_list("item")), ", ").alias("items"),
+            F.sum("amount").alias("amount"),
+        )
     )

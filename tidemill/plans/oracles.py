@@ -386,18 +386,9 @@ ORACLES: dict[str, str] = {
     "risk_report": f"select section, item, round(amount, 4) as amount from ({_REPORT}) r",
     "risk_sentence": f"""
         with r as ({_REPORT}),
-        f as (select section, item, row_number() over (partition by section order by item) as i from r),
-        t as (select section, string_agg(item, ', ' order by item) as items from f where i <= 5 group by section)
-        select cast(max(item) filter (where section = 'flagged') as bigint) as flagged,
-          max(amount) filter (where section = 'flagged') as amount,
-          count(*) filter (where section = 'factor') as n_factor,
-          count(*) filter (where section = 'state') as n_state,
-          count(*) filter (where section = 'country') as n_country,
-          (select items from t where section = 'critical') as first_critical,
-          (select items from t where section = 'factor') as first_factor,
-          (select items from t where section = 'state') as first_state,
-          (select items from t where section = 'country') as first_country
-        from r""",
+        f as (select *, (row_number() over (partition by section order by item) - 1) // 100 as block from r)
+        select section, block, count(item) as n_items, string_agg(item, ', ' order by item) as items, sum(amount) as amount
+        from f group by section, block""",
     "risk_bands": f"""
         select count(*) filter (where score > 80) as high_risk,
           count(*) filter (where score > 50 and score <= 80) as medium_risk,

@@ -613,7 +613,7 @@ def risk_report(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def risk_sentence(spark: SparkSession, folder: str) -> DataFrame:
     lines = written(risk.report_lines(_sessions(spark, folder)), "risk")
-    return risk.report_summary(lines)
+    return risk.report_sections(lines)
 
 
 @query
@@ -818,7 +818,6 @@ def audience_lookup(spark: SparkSession, folder: str) -> DataFrame:
     return knn.with_attributes(found.select("query_id", "neighbour_id", "rank"), members)
 
 
-TRIALS = 1000
 # A trial query finds itself, so more is asked of it than of others.
 TRIAL_RECALL = 0.98
 
@@ -826,14 +825,12 @@ TRIAL_RECALL = 0.98
 def _index_and_probes(spark: SparkSession, folder: str) -> tuple[knn.CellIndex, int]:
     """Cells of the corpus, and the probes that reach the trial recall against all rows.
 
-    Trial queries are the vectors with ids divisible by 20; of more than `TRIALS`, those with the
-    smallest hashes.
+    Trial queries are all vectors with ids divisible by 20.
     """
     corpus = table(spark, folder, "embeddings")
     index = knn.build_cells(corpus, None, DIM)
     trials = written(
         knn.usable(corpus, "embedding", DIM).filter("vec_id % 20 = 0")
-        .orderBy(F.xxhash64("vec_id"), "vec_id").limit(TRIALS)
         .select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query")),
         "trials",
     )
