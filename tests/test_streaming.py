@@ -8,7 +8,7 @@ from tidemill.operators.predicates import exclude_listed
 from tidemill.operators.rollup import Output
 from tidemill.streaming import topic
 from tidemill.streaming.change import changes_only
-from tidemill.streaming.route import RouteSink, UpsertSink, dead_letters, good_documents, parsed
+from tidemill.streaming.route import MappedSink, RouteSink, UpsertSink, dead_letters, good_documents, parsed
 from tidemill.streaming.windows import streaming_rollup, windowed_alerts
 
 RECORD = "topic string, partition int, offset bigint, key string, value string"
@@ -265,6 +265,22 @@ def test_failed_items_become_letters_and_the_others_stay(spark, folder):
     assert sorted(letters) == [1, 2] and letters[1] == "mapping"
 
 
+def test_documents_that_do_not_fit_their_fields_are_refused_alone(spark, folder):
+    sink = MappedSink(spark, folder, "x_", mapping={"n": "bigint", "at": "timestamp"})
+    ok, text = {"product_type": "w", "n": 1, "at": None}, {"product_type": "w", "n": "many"}
+    late = {"product_type": "w", "n": "7", "at": "not a time"}
+    bad = {"product_type": "in/valid", "n": 2}
+    values = [[ok, text], [late, text], ok, [bad, text], "not json", {"product_type": "w", "m": "any"}, []]
+    for _ in range(2):  # the batch is run again
+        sink(records(spark, values), 0)
+    assert sorted(r.offset for r in sink.documents().collect()) == [0, 2, 5]
+    letters = [(r.offset, json.loads(r.value)["error"]) for r in sink.letters().collect()]
+    assert sorted(letters) == [
+        (0, "field n is no bigint"), (1, "field at is no timestamp"),
+        (3, "invalid document type: in/valid"), (4, "value is not valid JSON"),
+    ]
+
+
 def test_a_continuous_run_is_stopped_when_it_has_caught_up(spark, folder):
     sink = RouteSink(spark, f"{folder}/out", "x_")
     records(spark, [{"n": 1}]).write.parquet(f"{folder}/in")

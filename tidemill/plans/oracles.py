@@ -354,6 +354,27 @@ ORACLES: dict[str, str] = {
           row_number() over (partition by event_id % 4 order by event_id) - 1 as "offset",
           cast(event_id as varchar) as key, event_type as value, true as five_batches
         from events""",
+    "item_failures": """
+        with r as (select *, user_id % 4 as part,
+          row_number() over (partition by user_id % 4 order by event_id) - 1 as pos from events),
+        good as (select * from r where event_id % 11 <> 0)
+        select 'prd_event' as alias, cast(part as integer) as "partition", pos as "offset",
+          concat('{"n":', event_id, ',"product_type":"event"}') as content from good
+        union all
+        select 'prd_user', cast(part as integer), pos, concat('{"n":', user_id, ',"product_type":"user"}')
+        from good where event_id % 13 <> 0 and event_id % 7 <> 0
+        union all
+        select 'dead letters', cast(part as integer), pos,
+          case when event_id % 11 = 0 then 'value is not valid JSON'
+            when event_id % 13 = 0 then 'invalid document type: in/valid' else 'field n is no bigint' end
+        from r where event_id % 11 = 0 or event_id % 13 = 0 or event_id % 7 = 0""",
+    "stream_keyed_state": """
+        with r as (select cast(user_id % 4 as integer) as "partition",
+          row_number() over (partition by user_id % 4 order by event_id) - 1 as "offset",
+          cast(user_id as varchar) as key, event_type as value from events),
+        c as (select *, lag(value) over w as p, row_number() over w as i from r
+          window w as (partition by key order by "offset"))
+        select "partition", "offset", key, value from c where i = 1 or value is distinct from p""",
     "topic_upsert": """
         with d as (select concat('prd_widget-', user_id % 3) as alias, cast(user_id as varchar) as doc_id,
           event_id as "offset", concat('{"n":', event_id // 3 % 2, ',"product_type":"widget-', user_id % 3, '"}') as body

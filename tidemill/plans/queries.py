@@ -35,8 +35,8 @@ from tidemill.sinks import files, keyed
 from tidemill.sinks.snapshot import SnapshotTable
 from tidemill.sources import delimited, tables, topic_folder
 from tidemill.streaming import topic, windows
-from tidemill.streaming.change import ChangeSink
-from tidemill.streaming.route import RouteSink, UpsertSink, dead_letters, good_documents, parsed
+from tidemill.streaming.change import ChangeSink, changes_only
+from tidemill.streaming.route import MappedSink, RouteSink, UpsertSink, dead_letters, good_documents, parsed
 
 QUERIES = {}
 
@@ -545,6 +545,45 @@ def topic_offsets(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("partition", "offset", "key", "value", (batches >= 5).alias("five_batches"))
 
 
+def _published(spark: SparkSession, base: str, records: DataFrame) -> DataFrame:
+    """Records (event_id, partition, key, value) as a topic, and its stream in some six batches."""
+    topic_folder.publish(records, f"{base}/topic", ["event_id"])
+    limit = max(1, -(-records.count() // 6))
+    return topic_folder.read_topic_folder(spark, f"{base}/topic", f"{base}/progress", records=limit, topic="events")
+
+
+@query
+def item_failures(spark: SparkSession, folder: str) -> DataFrame:
+    """All events through a sink that refuses single documents: what it wrote, and its dead letters."""
+    base = shared_folder(spark, "items")
+    stream = _published(spark, base, stand_in.mapped_records(table(spark, folder, "events")))
+    sink = MappedSink(spark, f"{base}/out", "prd_", mapping={"n": "bigint"})
+    topic_folder.run_batches(stream, f"{base}/progress", sink)
+    documents = sink.documents().select("alias", "partition", "offset", F.col("document").alias("content"))
+    error = F.get_json_object("value", "$.error")
+    letters = sink.letters().select(
+        F.lit("dead letters").alias("alias"), "partition", "offset", error.alias("content")
+    )
+    return documents.unionByName(letters)
+
+
+@query
+def stream_keyed_state(spark: SparkSession, folder: str) -> DataFrame:
+    """Events whose type differs from their user's last one, which the stream keeps as keyed state."""
+    base = shared_folder(spark, "state")
+    events = table(spark, folder, "events").selectExpr(
+        "event_id", "cast(user_id % 4 as int) as partition", "cast(user_id as string) as key", "event_type as value"
+    )
+    # A key stays in its partition, so that offsets order its records.
+    changed = changes_only(_published(spark, base, events), "key", "value", ["partition", "offset"])
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{base}/out/batch={batch_id}")
+
+    topic_folder.run_batches(changed, f"{base}/progress", write)
+    return spark.read.schema(changed.schema).parquet(f"{base}/out").select("partition", "offset", "key", "value")
+
+
 @query
 def topic_upsert(spark: SparkSession, folder: str) -> DataFrame:
     base = shared_folder(spark, "upsert")

@@ -101,6 +101,24 @@ def topic_records(events: DataFrame) -> DataFrame:
     )
 
 
+def mapped_records(events: DataFrame) -> DataFrame:
+    """Records of four partitions with two documents each, some of them text where a number belongs.
+
+    Every seventh event's second document has its type's name as ``n``, every eleventh record isn't
+    JSON, every thirteenth has a second document of no valid type.
+    """
+    return events.selectExpr(
+        "event_id",
+        "cast(user_id % 4 as int) as partition",
+        "cast(user_id as string) as key",
+        """case when event_id % 11 = 0 then concat('not json: ', event_type) else
+             concat('[{"product_type":"event","n":', event_id, '},{"product_type":"',
+               if(event_id % 13 = 0, 'in/valid', 'user'), '","n":',
+               if(event_id % 7 = 0, concat('"', event_type, '"'), cast(user_id as string)), '}]')
+           end as value""",
+    )
+
+
 def repeating_records(events: DataFrame) -> DataFrame:
     """Records whose documents repeat and return to earlier values: two per key."""
     return events.selectExpr(

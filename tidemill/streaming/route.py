@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,10 +77,14 @@ def failed_records(records: DataFrame, error: str) -> DataFrame:
 
 
 def item_letters(records: DataFrame, failed: DataFrame) -> DataFrame:
-    """Dead letters for records of which a document was not written, with the first error."""
+    """Dead letters for records of which a document was not written, with the first error.
+
+    Records that have a letter for an error of their own get no second one.
+    """
     place = ["topic", "partition", "offset"]
     errors = failed.groupBy(*place).agg(F.min("error").alias("item_error"))
-    return dead_letters(records.join(errors, place).withColumn("error", F.col("item_error")))
+    whole = records.where(F.col("error").isNull()).join(errors, place)
+    return dead_letters(whole.withColumn("error", F.col("item_error")))
 
 
 @dataclass
@@ -166,6 +170,37 @@ class RouteSink:
         return self.spark.read.schema(schema).parquet(f"{self.path}/{part}")
 
 
+@dataclass
+class MappedSink(RouteSink):
+    """As `RouteSink`, with the declared types of fields by name, such as ``{"n": "bigint"}``.
+
+    A document with a value that its field's type can't hold is refused alone: its record becomes
+    a dead letter that names the first such field, the record's other documents stay. Fields that
+    are absent or null fit every type, and so do fields without a declared one.
+    """
+
+    mapping: dict[str, str] = field(default_factory=dict)
+
+    def write_documents(self, documents: DataFrame, batch_id: int) -> DataFrame:
+        checked = computed_once(documents, "refused", self._misfit())
+        super().write_documents(checked.where("refused is null"), batch_id)
+        return checked.where("refused is not null").select(
+            "topic", "partition", "offset", F.col("refused").alias("error")
+        )
+
+    def _misfit(self) -> Column:
+        """The first declared field, in order, whose value doesn't fit; NULL if all do."""
+        document = F.try_parse_json("document")
+
+        def reason(name: str, kind: str) -> Column:
+            path = f"$['{name}']"
+            there = F.try_variant_get(document, path, "string").isNotNull()
+            wrong = there & F.try_variant_get(document, path, kind).isNull()
+            return F.when(wrong, F.lit(f"field {name} is no {kind}"))
+
+        return F.coalesce(F.lit(None).cast("string"), *[reason(*one) for one in self.mapping.items()])
+
+
 @dataclass
 class UpsertSink(RouteSink):
     """As `RouteSink`, but the record key is the document id and the last write wins.
