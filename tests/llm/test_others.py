@@ -222,6 +222,33 @@ def test_views_teach_each_other():
     assert accuracy(both) > accuracy(alone)
 
 
+def test_every_document_teaches_whatever_the_layout(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text", "lang", "source")
+    viewed = written(
+        docs.select("doc_id", cotraining.features(F.col("text"), F.col("lang"), F.col("source")).alias("features")), "v"
+    )
+    rng = np.random.default_rng(3)
+    models = [cotraining.Linear(rng.normal(0, 8, n).round(2), 0.0) for n in (cotraining.TEXT, cotraining.PAGE)]
+    known = [r.doc_id for r in docs.where("doc_id % 10 = 0").select("doc_id").distinct().collect()]
+    first, second = (cotraining._taught(viewed.repartition(n), models, known, 0.95) for n in (1, 7))
+    rows = [r for r in viewed.collect() if r.doc_id % 10]
+    assert first.pool == second.pool == len(rows) > 2000
+    xs = [np.array([x for x in view]) for view in zip(*(
+        (lambda t, p: (np.bincount(t.column, t.value, cotraining.TEXT), p[0]))(*cotraining.unpacked([r.features])) for r in rows
+    ))]
+    margins = [m.margin(x) for m, x in zip(models, xs)]
+    for view in (0, 1):
+        assert (first.count[view] == second.count[view]).all() and (first.sums[view] == second.sums[view]).all()
+        for label, sure in ((0, margins[1 - view] <= -np.log(19)), (1, margins[1 - view] >= np.log(19))):
+            half = slice(label * 64, label * 64 + 64)
+            assert first.count[view][half].sum() == sure.sum()
+            assert np.allclose(first.sums[view][half].sum(axis=0) / cotraining.UNIT, xs[view][sure].sum(axis=0))
+        means, label, weight = first.examples(view, 0.1, 100.0)
+        for kind, sure in ((0, margins[1 - view] <= -np.log(19)), (1, margins[1 - view] >= np.log(19))):
+            want = min(sure.sum(), 0.1 * len(rows)) / len(rows) * 100
+            assert abs(weight[label == kind].sum() - want) < 1e-6
+
+
 def test_classifier_on_odd_tables(spark):
     rows = [(i, None if i % 5 == 0 else "" if i % 5 == 1 else "x " * i, None, "s", "q") for i in range(40)]
     docs = spark.createDataFrame([*rows, (None, "x", "en", None, "q"), rows[7]],
