@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests import compare
 from tidemill.llm import chat, cotraining, licenses, mixing, quality_rules, queries
@@ -224,6 +225,8 @@ def test_views_teach_each_other():
 
 def test_every_document_teaches_whatever_the_layout(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text", "lang", "source")
+    more = docs.select((F.col("doc_id") + 1_000_000).alias("doc_id"), F.concat("text", F.lit(" more"), "doc_id"), "lang", "source")
+    docs = docs.union(more).union(more.withColumn("doc_id", F.col("doc_id") * 2 + 1)).toDF(*docs.columns)
     viewed = written(
         docs.select("doc_id", cotraining.features(F.col("text"), F.col("lang"), F.col("source")).alias("features")), "v"
     )
