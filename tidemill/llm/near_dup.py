@@ -5,7 +5,8 @@
 2. Sets that share a band are candidates. First every member of a band's bucket is compared
    with the bucket's smallest member only; links give components.
 3. Then members of a bucket in different components are compared with each other, in blocks
-   of bounded size inside a task, so that no pairs are emitted within a group.
+   of bounded size inside a task, so that no pairs are emitted within a group: by their signatures
+   first, and with their sets where a block has members that these don't part.
 4. Every comparison reads the signatures in batches and stops as soon as the posterior
    probability of the wanted similarity falls below the chosen miss probability. What survives
    is decided on the full sets.
@@ -181,11 +182,15 @@ def _verified(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield frame.select([0, 1]).take(pa.array(keep, pa.int64()))
 
 
+ALIVE = "key long, one int, two int, node long, component long, piece int"
+
+
 def _across(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Members of buckets in, sorted by bucket and block; links between other components out.
 
     Columns: key, one, two (the block's pieces), node, component, piece, signature, bands, set. A
-    pair is compared in the bucket of the first band it shares, and nowhere else.
+    pair is compared in the bucket of the first band it shares, and nowhere else. Without the sets,
+    what comes out are the members, as `ALIVE`, of pairs that the signatures don't prune.
     """
     table = least_matches()
 
@@ -214,11 +219,20 @@ def _across(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             here = bands[a, first] == key[a]
             a, b = a[here], b[here]
             keep = surviving(marks[a], marks[b], table)
+            if len(held[0]) == 8:
+                found += np.concatenate([a[keep], b[keep]]).tolist()
+                continue
             found += [
                 (min(node[x], node[y]), max(node[x], node[y])) for x, y in zip(a[keep], b[keep])
                 if node[x] != node[y]
                 and similar(np.frombuffer(held[x][8], np.uint64), np.frombuffer(held[y][8], np.uint64))
             ]
+        if len(held[0]) == 8:
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
+            names = [c.split(" ")[0] for c in ALIVE.split(", ")]
+            alive = sorted({held[x][:6] for x in found})
+            yield _batch({n: ([r[i] for r in alive], k) for i, (n, k) in enumerate(zip(names, kinds))})
+            return
         yield _batch({"a": ([a for a, _ in found], pa.int64()), "b": ([b for _, b in found], pa.int64())})
 
     rows, held, pairs, count, size = [], [], [], 0, 0
@@ -229,7 +243,7 @@ def _across(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs.append((a + len(held), b + len(held)))
         held.extend(rows)
         count += len(a)
-        size += sum(len(r[8]) for r in rows)
+        size += sum(len(r[-1]) for r in rows)
 
     for frame in frames:
         for row in zip(*(c.to_pylist() for c in frame.columns)):
@@ -334,22 +348,30 @@ def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
         "near-open",
     )
     unsettled = written(labelled.join(open_, "key"), "near-unsettled")
-    wanted = written(unsettled.select("node").distinct(), "near-unsettled-nodes")
-    sets = by_node.join(_few(wanted), "node", "left_semi").mapInArrow(_sets, "node long, set binary")
     piece = F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int")
     members = (
-        unsettled.join(written(sets.join(signed, "node"), "near-sets"), "node")
-        .withColumn("piece", piece)
+        unsettled.join(signed, "node").withColumn("piece", piece)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
         .select(
             "key", F.least("piece", "other").alias("one"), F.greatest("piece", "other").alias("two"),
-            "node", "component", "piece", "signature", "bands", "set",
+            "node", "component", "piece", "signature", "bands",
         )
     )
     block = ["key", "one", "two"]
-    second = written(
-        members.repartition(*block).sortWithinPartitions(*block).mapInArrow(_across, "a long, b long"),
-        "near-rest",
+
+    def compared(rows: DataFrame, schema: str, purpose: str) -> DataFrame:
+        dealt = rows.repartition(*block).sortWithinPartitions(*block)
+        return written(dealt.mapInArrow(_across, schema), purpose)
+
+    # A bucket goes through all pairs of its pieces with signatures; sets, which are large, are only
+    # joined to the members of those blocks in which a pair survives.
+    alive = compared(members, ALIVE, "near-alive")
+    wanted = written(alive.select("node").distinct(), "near-alive-nodes")
+    sets = by_node.join(_few(wanted), "node", "left_semi").mapInArrow(_sets, "node long, set binary")
+    whole = written(sets.join(signed, "node"), "near-sets")
+    second = compared(
+        alive.join(whole, "node").select(*block, "node", "component", "piece", "signature", "bands", "set"),
+        "a long, b long", "near-rest",
     )
     label = components(first.unionByName(second))
     alone = features.where("doc_id is null or n_shingles = 0").select(
