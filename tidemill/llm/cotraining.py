@@ -459,14 +459,12 @@ def kept(least: float = 0.35):
 def classify(docs: DataFrame, labels: DataFrame, carried: list[str], **names: str) -> DataFrame:
     """Train on the labels and score all documents: ``row``, ``score``, ``kept``.
 
-    The views of the table are made once and written beside the carried columns; rounds read the
-    views alone.
+    The views are made twice, for the rounds and for the scores: rows that wait for their scores in a
+    table of their own would cost executors more memory and disk than the second pass costs time.
     """
     own = {"doc_id": "doc_id", "text": "text", "lang": "lang", "source": "source"} | names
     both = features(*[F.col(own[c]) for c in ("text", "lang", "source")])
-    row = F.struct(*[F.col(f"`{c}`") for c in carried])
-    viewed = written(
-        docs.select(row.alias("row"), F.col(own["doc_id"]).cast("long").alias("doc_id"), both.alias("features")), "views"
-    )
+    viewed = written(docs.select(F.col(own["doc_id"]).cast("long").alias("doc_id"), both.alias("features")), "views")
     model = _trained(viewed, labels.select("doc_id", "quality"))
-    return viewed.select("row", _score(model, F.col("features")).alias("score")).withColumn("kept", kept())
+    names.pop("doc_id", None)
+    return scored(docs, model, carried, **names).withColumn("kept", kept())
