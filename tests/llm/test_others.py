@@ -259,6 +259,8 @@ def test_classifier_on_odd_tables(spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(3, 0), (None, 1), (5, None)], "doc_id long, quality int")
     got = cotraining.classify(docs, labels, ["doc_id", "score"])
     assert got.count() == 42 and got.where("score is null").count() == 0
+    beside = cotraining.classify(docs, labels, ["doc_id", "score"], beside=True)
+    assert sorted(map(str, beside.collect())) == sorted(map(str, got.collect()))
     none = cotraining.classify(docs, labels.limit(0), ["doc_id"])
     assert none.where("kept and score is null").count() == 42
     assert cotraining.classify(docs.limit(0), labels, ["doc_id"]).count() == 0

@@ -456,15 +456,23 @@ def kept(least: float = 0.35):
     return F.coalesce(F.col("score") >= least, F.lit(True))
 
 
-def classify(docs: DataFrame, labels: DataFrame, carried: list[str], **names: str) -> DataFrame:
+def classify(
+    docs: DataFrame, labels: DataFrame, carried: list[str], *, beside: bool = False, **names: str
+) -> DataFrame:
     """Train on the labels and score all documents: ``row``, ``score``, ``kept``.
 
-    The views are made twice, for the rounds and for the scores: rows that wait for their scores in a
-    table of their own would cost executors more memory and disk than the second pass costs time.
+    The views are written for the rounds and made again for the scores; with ``beside`` the carried
+    columns are written beside them, so that they are made once. That suits narrow columns: whole
+    texts would cost executors more memory than the second pass costs time.
     """
     own = {"doc_id": "doc_id", "text": "text", "lang": "lang", "source": "source"} | names
     both = features(*[F.col(own[c]) for c in ("text", "lang", "source")])
-    viewed = written(docs.select(F.col(own["doc_id"]).cast("long").alias("doc_id"), both.alias("features")), "views")
+    row = [F.struct(*[F.col(f"`{c}`") for c in carried]).alias("row")] if beside else []
+    viewed = written(docs.select(*row, F.col(own["doc_id"]).cast("long").alias("doc_id"), both.alias("features")), "views")
     model = _trained(viewed, labels.select("doc_id", "quality"))
-    names.pop("doc_id", None)
-    return scored(docs, model, carried, **names).withColumn("kept", kept())
+    if beside:
+        got = viewed.select("row", _score(model, F.col("features")).alias("score"))
+    else:
+        names.pop("doc_id", None)
+        got = scored(docs, model, carried, **names)
+    return got.withColumn("kept", kept())

@@ -137,7 +137,7 @@ def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
-    return cotraining.classify(docs, labels, ["doc_id"]).select("row.doc_id", "score", "kept")
+    return cotraining.classify(docs, labels, ["doc_id"], beside=True).select("row.doc_id", "score", "kept")
 
 
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
