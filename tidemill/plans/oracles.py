@@ -286,6 +286,21 @@ ORACLES: dict[str, str] = {
     "mac_numbers": """
         select c_custkey, case when c_nationkey = 0 then -1
           else cast(6699 as bigint) * 16777216 + c_custkey % 16777216 end as mac from customer""",
+    "sql_functions": """
+        select c_custkey, (c_custkey % 300) * 16777216 + c_nationkey * 65536 + c_custkey % 7 as ip,
+          cast(6699 as bigint) * 16777216 + c_nationkey as mac, true as is_hash, true as in_range,
+          abs(round(c_acctbal, 2)) as amount
+        from customer where c_custkey % 300 <= 255""",
+    "stored_quantiles": """
+        select date_trunc('month', ts) as month, event_type, rank, count(value) as n, true as within,
+          true as share_within
+        from events, (values (cast(0.5 as double)), (cast(0.9 as double)), (cast(0.99 as double))) r(rank)
+        group by 1, 2, 3""",
+    "stored_distinct": """
+        select date_trunc('month', ts) as month, event_type, count(distinct user_id) as users, true as within
+        from events group by 1, 2""",
+    "delimited_scan": """
+        select event_id, concat('"', event_type, '\\ "x') as text, value from events""",
     "hashed_user_facts": """
         select c_mktsegment, count(*) filter (where c_nationkey <> 0) as users,
           count(*) filter (where c_nationkey = 0) as blank, cast(0 as bigint) as out_of_range,

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.errors import StreamingQueryException
 
 from tidemill.functions import clean, json, keys, vector
+from tidemill.functions.sql import register_functions
 from tidemill.operators import (
     counters,
     dedupe,
@@ -20,6 +21,7 @@ from tidemill.operators import (
     risk,
     schema,
     search,
+    sketches,
     skew,
     slots,
     stats,
@@ -337,6 +339,22 @@ def hashed_user_facts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def sql_functions(spark: SparkSession, folder: str) -> DataFrame:
+    """The text functions, called by SQL text only."""
+    register_functions(spark)
+    return spark.sql(
+        """
+        select c_custkey, ipv4_to_long(address) as ip, mac_to_long(concat('00:1a:2b:00:00:', lpad(hex(c_nationkey), 2, '0'))) as mac,
+          hash64(c_name) = xxhash64(c_name) as is_hash, hashed_user_id(c_name) between 0 and 99999999 as in_range,
+          cast(money_to_decimal(concat('$', format_number(c_acctbal, 2))) as double) as amount
+        from (select *, concat_ws('.', c_custkey % 300, c_nationkey, 0, c_custkey % 7) as address from {customer})
+        where ipv4_to_long(address) is not null
+        """,
+        customer=table(spark, folder, "customer"),
+    )
+
+
 @query
 def money_amounts(spark: SparkSession, folder: str) -> DataFrame:
     text = F.when(F.col("c_nationkey") == 0, "n/a").otherwise(
@@ -397,6 +415,18 @@ def delimited_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return delimited.name_by_position(as_read, ["id", "name", "nation", "balance"])
 
 
+@query
+def delimited_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of text with quotes and backslashes in them, read as they are by a declared schema."""
+    lines = table(spark, folder, "events").select(
+        F.concat_ws("\t", "event_id", F.concat(F.lit('"'), "event_type", F.lit('\\ "x')), "value").alias("value")
+    )
+    path = shared_folder(spark, "lines")
+    lines.write.text(path)
+    kinds = T.StructType.fromDDL("event_id bigint, text string, value double")
+    return delimited.read_delimited(spark, path, kinds)
+
+
 @query
 def safe_export(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").withColumn("note", F.lit(None))
@@ -752,6 +782,53 @@ def latency_summary_sketched(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _monthly_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    """Sketches of events stored by day in two runs that share a day, united by month and type."""
+    path = shared_folder(spark, "sketches")
+    events = table(spark, folder, "events")
+    for window in ("ts < '2024-01-16'", "ts >= '2024-01-15'"):
+        days = sketches.window_sketches(events.where(window), "ts", ["event_type"], "value", "user_id")
+        sketches.store_days(days, path)
+    month = F.date_trunc("month", "day").cast("timestamp_ntz").alias("month")
+    return written(sketches.merged(sketches.stored(spark, path), [month, "event_type"]), "months")
+
+
+def _monthly_events(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "events").withColumn("month", F.date_trunc("month", "ts").cast("timestamp_ntz"))
+
+
+@query
+def stored_quantiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Ranks of the quantiles, and the share up to 50, from sketches by day, held against all rows."""
+    ranks, slack = (0.5, 0.9, 0.99), 0.01
+    months = _monthly_sketches(spark, folder).select(
+        "month", "event_type", sketches.count().alias("n"), sketches.share_up_to(50.0).alias("share"),
+        F.explode(F.array(*[F.struct(F.lit(r).alias("rank"), sketches.quantile(r).alias("at")) for r in ranks])).alias("q"),
+    ).select("*", "q.rank", "q.at").drop("q")
+    value = F.col("value")
+    held = _monthly_events(spark, folder).join(months, ["month", "event_type"]).groupBy("month", "event_type", "rank").agg(
+        F.max("n").alias("n"), F.avg((value <= F.col("at")).cast("int")).alias("upto"),
+        F.avg((value < F.col("at")).cast("int")).alias("below"), F.avg((value <= 50).cast("int")).alias("true_share"),
+        F.max("share").alias("share"),
+    )
+    within = (F.col("upto") >= F.col("rank") - slack) & (F.col("below") <= F.col("rank") + slack)
+    return held.select(
+        "month", "event_type", "rank", "n", within.alias("within"),
+        (F.abs(F.col("share") - F.col("true_share")) <= slack).alias("share_within"),
+    )
+
+
+@query
+def stored_distinct(spark: SparkSession, folder: str) -> DataFrame:
+    """Users a month and type from sketches by day, held against the exact number (four standard errors)."""
+    months = _monthly_sketches(spark, folder).select("month", "event_type", sketches.distinct().alias("about"))
+    exact = _monthly_events(spark, folder).groupBy("month", "event_type").agg(F.countDistinct("user_id").alias("users"))
+    off = F.abs(F.col("about") - F.col("users"))
+    return exact.join(months, ["month", "event_type"]).select(
+        "month", "event_type", "users", (off <= 0.033 * F.col("users") + 1).alias("within"),
+    )
+
+
 @query
 def slo_share(spark: SparkSession, folder: str) -> DataFrame:
     share = stats.share_under(F.col("value"), 50.0)
