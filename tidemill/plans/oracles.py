@@ -301,6 +301,9 @@ ORACLES: dict[str, str] = {
         from events group by 1, 2""",
     "delimited_scan": """
         select event_id, concat('"', event_type, '\\ "x') as text, value from events""",
+    "stream_batch_metrics": """
+        select count(*) as n, cast(sum(length(event_type)) as bigint) as chars, max(cast(user_id as varchar)) as last,
+          true as equal, true as five_batches from events""",
     "hashed_user_facts": """
         select c_mktsegment, count(*) filter (where c_nationkey <> 0) as users,
           count(*) filter (where c_nationkey = 0) as blank, cast(0 as bigint) as out_of_range,

@@ -38,6 +38,7 @@ from tidemill.sinks.snapshot import SnapshotTable
 from tidemill.sources import delimited, tables, topic_folder
 from tidemill.streaming import topic, windows
 from tidemill.streaming.change import ChangeSink, changes_only
+from tidemill.streaming.metrics import MeasuredSink
 from tidemill.streaming.route import MappedSink, RouteSink, UpsertSink, dead_letters, good_documents, parsed
 
 QUERIES = {}
@@ -582,6 +583,31 @@ def _published(spark: SparkSession, base: str, records: DataFrame) -> DataFrame:
     return topic_folder.read_topic_folder(spark, f"{base}/topic", f"{base}/progress", records=limit, topic="events")
 
 
+@query
+def stream_batch_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """Figures of the batches of all events, added up, and whether each is that of the rows written."""
+    base = shared_folder(spark, "metrics")
+    events = table(spark, folder, "events").selectExpr(
+        "event_id", "cast(event_id % 4 as int) as partition", "cast(user_id as string) as key", "event_type as value"
+    )
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{base}/out/batch={batch_id}")
+
+    figures = {"n": F.count(F.lit(1)), "chars": F.sum(F.length("value")), "last": F.max("key")}
+    sink = MeasuredSink(spark, write, f"{base}/figures", figures)
+    topic_folder.run_batches(_published(spark, base, events), f"{base}/progress", sink)
+    out = spark.read.parquet(f"{base}/out").withColumn("batch", F.col("batch").cast("long"))
+    true = out.groupBy("batch").agg(*[c.alias(f"true_{n}") for n, c in figures.items()])
+    equal = F.lit(True)
+    for n in figures:
+        equal &= F.col(n).eqNullSafe(F.col(f"true_{n}"))
+    return sink.rows().join(true, "batch", "full").agg(
+        F.sum("n").alias("n"), F.sum("chars").alias("chars"), F.max("last").alias("last"),
+        F.bool_and(equal).alias("equal"), (F.count(F.lit(1)) >= 5).alias("five_batches"),
+    )
+
+
 @query
 def item_failures(spark: SparkSession, folder: str) -> DataFrame:
     """All events through a sink that refuses single documents: what it wrote, and its dead letters."""
