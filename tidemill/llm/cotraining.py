@@ -26,6 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.llm import release_memory
 from tidemill.session import written
 
 TEXT, PAGE = 2048, 128  # features of the views
@@ -164,6 +165,7 @@ def _packed_views():
                 rows += [packed(*views(*r)) for r in zip(*(c.slice(start, 500).to_pylist() for c in columns))]
             yield pa.array(rows, pa.binary())
         _words.cache_clear()
+        release_memory()
 
     return features
 
@@ -370,6 +372,8 @@ def _taught(docs: DataFrame, models: list[Linear], known: list[int], confidence:
             for view in (0, 1) for cell in np.flatnonzero(taught.count[view])
         ]
         yield _cells([*rows, (2, 0, taught.pool, np.zeros(0))])
+        del taught, rows
+        release_memory()
 
     merged = docs.select("doc_id", "features").mapInArrow(sums, CELLS).repartition("view", "cell").mapInArrow(_merged, CELLS)
     whole = Taught(widths)

@@ -25,6 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.llm import release_memory
 from tidemill.llm.components import components
 from tidemill.session import written
 
@@ -152,6 +153,7 @@ def _features(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names = [c.split(" ")[0] for c in FEATURES.split(", ")]
             yield _batch({n: (list(c), k) for n, c, k in zip(names, zip(*rows), kinds)})
     _words.clear()
+    release_memory()
 
 
 def _pruned(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,6 +182,8 @@ def _verified(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if similar(left, shingles(frame.column(3)[i].as_py())):
                 keep.append(i)
         yield frame.select([0, 1]).take(pa.array(keep, pa.int64()))
+    _words.clear()
+    release_memory()
 
 
 ALIVE = "key long, one int, two int, node long, component long, piece int"
@@ -267,6 +271,8 @@ def _sets(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             some = frame.slice(i, 1000)
             sets = [shingles(t.as_py()).tobytes() for t in some.column(1)]
             yield pa.RecordBatch.from_arrays([some.column(0), pa.array(sets, pa.binary())], ["node", "set"])
+    _words.clear()
+    release_memory()
 
 
 def _few(ids: DataFrame) -> DataFrame:

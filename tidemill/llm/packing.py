@@ -24,6 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.llm import release_memory
 from tidemill.llm.tokens import batches, encoder, gathered
 
 PIECES = (
@@ -165,8 +166,11 @@ def pack_documents(
                     if tokens >= group_tokens:
                         yield from packed()
                         keys, held, tokens = [], [], 0
+            release_memory()
         if held:
             yield from packed()
+        keys, held = [], []
+        release_memory()
 
     return docs.select(
         F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")
