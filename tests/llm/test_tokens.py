@@ -256,3 +256,12 @@ def test_token_counts_of_odd_rows(spark):
     assert [(r.doc_id, r.n_words, r.n_unknown) for r in got][:3] == [(1, 0, 0), (2, 0, 0), (None, 3, 1)]
     assert got[3].n_words == 1 and got[3].n_pieces > 1000 and len(got) == 5
     assert count_pieces(docs.limit(0), public_tokenizers.path("piece_bpe_32k.model")).count() == 0
+
+
+def test_only_odd_chunks_are_looked_at_alone(monkeypatch):
+    looked, odd = [], ChunkEncoder._odd
+    monkeypatch.setattr(ChunkEncoder, "_odd", lambda self, m, f, i: (looked.append(m[i]), odd(self, m, f, i))[1])
+    text = " ".join(f"word{i}, x{i}" for i in range(100)) + " a  b"
+    encoder = ChunkEncoder(BYTE, "space")
+    assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == ids(BYTE, [text])[0]
+    assert looked == [""]

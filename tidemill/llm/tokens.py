@@ -29,6 +29,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+_WHITE = re.compile(r"\s")
 # Marks a chunk that no space precedes; with the rule "space", one precedes all others.
 _BARE = "\t"
 _FEED = _BARE + "\n"
@@ -102,24 +103,21 @@ class ChunkEncoder:
         data = ids.tobytes()
         return [data[a:b] for a, b in zip((4 * first).tolist(), (4 * last).tolist())]
 
-    def _parts(self, chunks: list[str]) -> list[tuple[str, str]]:
-        """For regular chunks two others, the second may be empty, that have their ids together."""
+    def _parts(self, chunks: list[str]) -> tuple[list[str], dict[int, str]]:
+        """For regular chunks others that have their ids together: one each, and a second for some by position."""
         bare = _BARE if self.rule == "space" else ""
-        # Letters of Latin-1 have no other composed form, in either case.
-        latin = self.rule == "white" and _BEYOND_LATIN.search(" ".join(chunks)) is None
-        parts = []
-        for chunk in chunks:
-            body = chunk.rstrip(_TAIL)
-            if len(body) == len(chunk):
-                tail = ""
-            elif body[-1:].isalpha():
-                tail = bare + chunk[len(body):]
-            else:
-                body, tail = chunk, ""
-            if latin or not bare and _BEYOND_LATIN.search(body) is None:
-                body = body.lower()
-            parts.append((body, tail))
-        return parts
+        bodies, tails = [c.rstrip(_TAIL) for c in chunks], {}
+        for i, (chunk, body) in enumerate(zip(chunks, bodies)):
+            if len(body) < len(chunk):
+                if body[-1:].isalpha():
+                    tails[i] = bare + chunk[len(body):]
+                else:
+                    bodies[i] = chunk
+        if not bare:
+            # Letters of Latin-1 have no other composed form, in either case.
+            latin = _BEYOND_LATIN.search(" ".join(chunks)) is None
+            bodies = [b.lower() if latin or _BEYOND_LATIN.search(b) is None else b for b in bodies]
+        return bodies, tails
 
     def _of_parts(self, parts: list[str]) -> dict[str, bytes]:
         """The ids of distinct chunks."""
@@ -167,19 +165,22 @@ class ChunkEncoder:
         if self.rule == "space":
             bodies = [c[1:] if c[:1] == _BARE else c for c in bodies]
         if " ".join(bodies).split() != bodies:  # some have white space inside, or are empty
-            new = [i for i in new if not self._odd(missing, found, i)]
+            plain = [bool(b) and _WHITE.search(b) is None for b in bodies]
+            new = [i for i, ok in zip(new, plain) if ok or not self._odd(missing, found, i)]
         chunks = [missing[i] for i in new]
-        parts = self._parts(chunks)
-        known, before = self.known.get, self.before.get
-        ids: dict[str, bytes | None] = {"": b""}
-        for pair in parts:
-            for part in pair:
-                if part not in ids:
-                    ids[part] = known(part) or before(part)
-        learnt = self._of_parts([part for part, x in ids.items() if x is None])
+        bodies, tails = self._parts(chunks)
+        parts = list(dict.fromkeys([*bodies, *tails.values()]))
+        ids: dict[str, bytes] = {}
+        for part, x, old in zip(parts, map(self.known.get, parts), map(self.before.get, parts)):
+            if x or old:
+                ids[part] = x or old
+        learnt = self._of_parts([p for p in parts if p not in ids] if ids else parts)
         ids |= learnt
-        for i, (body, tail) in zip(new, parts):
-            found[i] = ids[body] + ids[tail] if tail else ids[body]
+        whole = list(map(ids.__getitem__, bodies))
+        for i, tail in tails.items():
+            whole[i] += ids[tail]
+        for i, x in zip(new, whole):
+            found[i] = x
         self.chars += sum(map(len, learnt))
         self.known.update(learnt)
         self.known.update(zip(missing, found))
