@@ -1,4 +1,5 @@
 import hashlib
+import sys
 import zlib
 
 import numpy as np
@@ -265,3 +266,32 @@ def test_only_odd_chunks_are_looked_at_alone(monkeypatch):
     encoder = ChunkEncoder(BYTE, "space")
     assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == ids(BYTE, [text])[0]
     assert looked == [""]
+
+
+@pytest.mark.parametrize("path, rule", [(BYTE, "space"), (WORD, "white")])
+def test_chunks_cost_no_calls_of_their_own(path, rule):
+    words = [f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}{',' * (i % 3)}" for i in range(17_576)]
+    text, calls = " ".join(words), []
+    encoder = ChunkEncoder(path, rule)
+    sys.setprofile(lambda frame, event, arg: event in ("call", "c_call") and calls.append(event))
+    try:
+        got = encoder.encode([text])
+    finally:
+        sys.setprofile(None)
+    assert np.frombuffer(got[0], "<u4").tolist() == ids(path, [text])[0]
+    assert len(calls) < len(words) / 10
+
+
+def test_a_capital_whose_lower_case_ends_in_a_mark_stays_with_its_punctuation():
+    texts = ["aİ. İ, x", "İİ! a", "b İ-"]
+    for path, rule in ((BYTE, "space"), (WORD, "white")):
+        got = [np.frombuffer(x, "<u4").tolist() for x in ChunkEncoder(path, rule).encode(texts)]
+        assert got == ids(path, texts)
+
+
+def test_the_cache_drops_parts_that_are_no_longer_in_use():
+    encoder = ChunkEncoder(BYTE, "space", 500)
+    for i in range(40):
+        text = " ".join(f"stay{chr(97 + i % 26)} w{i}x{j}." for j in range(50))
+        assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == ids(BYTE, [text])[0]
+        assert len(encoder.parts) == len(encoder.ids) == len(encoder.odd) == len(encoder.used) < 300

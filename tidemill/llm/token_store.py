@@ -125,10 +125,10 @@ def write_tokens(
             ]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds)], names)
 
-        for frame in gathered(frames):
+        for frame in gathered(frames, 16 << 20):
             texts = frame.column(1)
             keys = frame.column(0).to_pylist()
-            for a, b in batches(texts):
+            for a, b in batches(texts, 32 << 20):
                 for key, x in zip(keys[a:b], encode(texts.slice(a, b - a))):
                     x += end
                     ids.append(key)

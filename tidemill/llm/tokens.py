@@ -1,8 +1,9 @@
 """Token ids of whole texts by a public tokenizer, through a bounded cache of text chunks.
 
-Prose repeats its words, so a task encodes each distinct chunk once. A chunk ends
-only where the tokenizer's own pre-tokenisation ends a piece, so the ids of the
-chunks, joined, are the ids of the whole text. The cut rules:
+Prose repeats its words, so a task encodes each distinct chunk once. Chunks, the cache and the ids
+gathered from it are Arrow arrays, so that no Python code runs per known chunk. A chunk ends only
+where the tokenizer's own pre-tokenisation ends a piece, so the ids of the chunks, joined, are the
+ids of the whole text. The cut rules:
 
 ``space``  byte-level BPE whose pieces are an optional space and what follows: a cut
            before every single space, and around every single line feed, between two
@@ -29,13 +30,44 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-_WHITE = re.compile(r"\s")
+# What Python takes for white space, and what Latin-1 and Latin's first extensions don't hold, for Arrow.
+_WHITE = r"[\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_BEYOND_LATIN = r"[^\x00-\xff]"
+_BEYOND_EXTENDED = r"[^\x00-\x{24f}]"
 # Marks a chunk that no space precedes; with the rule "space", one precedes all others.
 _BARE = "\t"
 _FEED = _BARE + "\n"
 _JOINED = 2_000
-_BEYOND_LATIN = re.compile("[^\\x00-\\xff]")
 _TAIL = string.punctuation.replace("'", "")
+_IDS = pa.large_binary()
+_NOTHING = pa.scalar(b"", _IDS)
+
+
+def _true(mask: pa.Array) -> np.ndarray:
+    return mask.to_numpy(zero_copy_only=False)
+
+
+def _matches(texts: pa.Array, pattern: str) -> np.ndarray:
+    return _true(pc.match_substring_regex(texts, pattern))
+
+
+def _sizes(values: pa.Array) -> np.ndarray:
+    return pc.binary_length(values).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _of_letters_alone(texts: pa.Array) -> np.ndarray:
+    """str.isalpha; Arrow's own may know letters of a later Unicode than Python's."""
+    alone = _true(pc.utf8_is_alpha(texts)).copy()
+    far = np.flatnonzero(alone & _matches(texts, _BEYOND_EXTENDED))
+    if len(far):
+        alone[far] = [t.isalpha() for t in texts.take(pa.array(far)).to_pylist()]
+    return alone
+
+
+def _in_place(values: list[pa.Array], at: list[np.ndarray]) -> pa.Array:
+    """One array of all values, each at its position."""
+    back = np.argsort(np.concatenate(at), kind="stable")
+    return pa.concat_arrays(values).take(pa.array(back))
 
 
 class ChunkEncoder:
@@ -47,10 +79,10 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.rule, self.cached_chars, self.chars = rule, cached_chars, 0
-        # Chunks in use, and those that were when the last generation ended. False: not regular.
-        self.known: dict[str, bytes | bool] = {}
-        self.before: dict[str, bytes | bool] = {}
+        self.rule, self.cached_chars = rule, cached_chars
+        # Known parts of chunks, their ids, whether they aren't regular, and whether this generation used them.
+        self.parts, self.ids = pa.array([], pa.string()), pa.array([], _IDS)
+        self.odd, self.used = np.zeros(0, dtype=bool), np.zeros(0, dtype=bool)
         if rule:
             # Byte-level tokens spell a character per byte.
             vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
@@ -79,61 +111,70 @@ class ChunkEncoder:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in encoded]
 
-    def _together(self, chunks: list[str], letters: bool) -> list[bytes] | None:
-        """The ids of chunks encoded as one text, parted by the bytes that the tokens spell."""
+    def _together(self, parts: pa.Array, letters: bool) -> pa.Array | None:
+        """The ids of parts encoded as one text, parted by the bytes that the tokens spell."""
         tokenizer = self.letters if letters else self.tokenizer
-        if self.rule == "white":
-            text = " ".join(chunks)
-            spelt = chunks if letters else self.tokenizer.normalizer.normalize_str(text).split(" ")
-            sizes = np.array([len(c.encode()) for c in spelt])
-            gaps = np.zeros(len(spelt), dtype=np.int64)
-        else:
-            parts = ["\n" + c[1:] if c[:1] == _BARE else " " + c for c in chunks]
-            text = "".join(parts)
-            gaps = np.array([c[:1] == _BARE for c in chunks], dtype=np.int64)
-            sizes = np.array([len(p.encode()) for p in parts]) - gaps
+        text = pc.binary_join(pa.array([parts.to_pylist()], pa.list_(pa.string())), " ")[0].as_py()
+        sizes, gaps = _sizes(parts), np.zeros(len(parts), dtype=np.int64)
+        if self.rule == "space":
+            text = f" {text}".replace(f" {_BARE}", "\n")
+            gaps = _true(pc.starts_with(parts, _BARE)).astype(np.int64)
+            sizes += 1 - 2 * gaps
+        elif not letters:
+            sizes = _sizes(pa.array(tokenizer.normalizer.normalize_str(text).split(" "), pa.string()))
         ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+        if len(sizes) != len(parts):
+            return None
         ends = np.cumsum(gaps + sizes)
         upto = np.concatenate([[0], np.cumsum(self.bytes[ids])])
-        if len(sizes) != len(chunks) or upto[-1] != ends[-1]:
+        if upto[-1] != ends[-1]:
             return None
         first, last = np.searchsorted(upto, ends - sizes), np.searchsorted(upto, ends)
         if (upto[first] != ends - sizes).any() or (upto[last] != ends).any():
             return None
-        data = ids.tobytes()
-        return [data[a:b] for a, b in zip((4 * first).tolist(), (4 * last).tolist())]
+        # A gap is a byte, so that it is one token.
+        ids = np.delete(ids, first[gaps > 0] - 1)
+        offsets = 4 * np.concatenate([[0], np.cumsum(last - first)])
+        return pa.Array.from_buffers(_IDS, len(parts), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
 
-    def _parts(self, chunks: list[str]) -> tuple[list[str], dict[int, str]]:
-        """For regular chunks others that have their ids together: one each, and a second for some by position."""
+    def _parts(self, chunks: pa.Array) -> tuple[pa.Array, pa.Array, np.ndarray]:
+        """For chunks the parts that have their ids together: one each, and a second for some, and for which."""
+        trimmed = pc.ascii_rtrim(chunks, characters=_TAIL)
+        short = np.flatnonzero(_sizes(trimmed) < _sizes(chunks))
+        last = pc.utf8_slice_codeunits(trimmed.take(pa.array(short)), -1)
+        # The one letter that in lower case ends in a mark, which isn't a letter.
+        short = short[_of_letters_alone(last) & ~_true(pc.equal(last, "\u0130"))]
+        whole = chunks.take(pa.array(short)).to_pylist()
+        kept = pc.utf8_length(trimmed.take(pa.array(short))).to_pylist()
         bare = _BARE if self.rule == "space" else ""
-        bodies, tails = [c.rstrip(_TAIL) for c in chunks], {}
-        for i, (chunk, body) in enumerate(zip(chunks, bodies)):
-            if len(body) < len(chunk):
-                if body[-1:].isalpha():
-                    tails[i] = bare + chunk[len(body):]
-                else:
-                    bodies[i] = chunk
+        tails = pa.array([bare + c[n:] for c, n in zip(whole, kept)], pa.string())
+        cut = np.zeros(len(chunks), dtype=bool)
+        cut[short] = True
+        bodies = pc.if_else(pa.array(cut), trimmed, chunks)
         if not bare:
             # Letters of Latin-1 have no other composed form, in either case.
-            latin = _BEYOND_LATIN.search(" ".join(chunks)) is None
-            bodies = [b.lower() if latin or _BEYOND_LATIN.search(b) is None else b for b in bodies]
-        return bodies, tails
-
-    def _of_parts(self, parts: list[str]) -> dict[str, bytes]:
-        """The ids of distinct chunks."""
-        found = {}
-        lists: tuple[list[str], list[str]] = ([], [])
-        for part in parts:
-            lists[part.isalpha() and (self.rule == "space" or _BEYOND_LATIN.search(part) is None)].append(part)
-        for letters, chosen in enumerate(lists):
-            for at in range(0, len(chosen), _JOINED):
-                chunks = chosen[at:at + _JOINED]
-                ids = self._together(chunks, bool(letters))
+            bodies = pc.if_else(pa.array(_matches(bodies, _BEYOND_LATIN)), bodies, pc.utf8_lower(bodies))
+        return bodies, tails, short
+
+    def _of_parts(self, parts: pa.Array) -> pa.Array:
+        """The ids of distinct regular parts."""
+        alone = _of_letters_alone(parts)
+        if self.rule != "space":
+            alone &= ~_matches(parts, _BEYOND_LATIN)
+        values, at = [pa.array([], _IDS)], [np.zeros(0, dtype=np.int64)]
+        for letters in (False, True):
+            where = np.flatnonzero(alone == letters)
+            chosen = parts.take(pa.array(where))
+            for start in range(0, len(chosen), _JOINED):
+                some = chosen.slice(start, _JOINED)
+                ids = self._together(some, letters)
                 if ids is None:
-                    ids = self._ids([c[1:] if c[:1] == _BARE else " " + c for c in chunks]
-                                    if self.rule == "space" else chunks)
-                found.update(zip(chunks, ids))
-        return found
+                    chunks = some.to_pylist()
+                    ids = pa.array(self._ids([c[1:] if c[:1] == _BARE else " " + c for c in chunks]
+                                             if self.rule == "space" else chunks), _IDS)
+                values.append(ids)
+            at.append(where)
+        return _in_place(values, at)
 
     def _cut(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """The chunks of all texts one after the other, and where each text's chunks start."""
@@ -154,40 +195,36 @@ class ChunkEncoder:
         body = chunk[1:] if chunk[:1] == _BARE else chunk
         return bool(body) and not body[0].isspace() and not body[-1].isspace()
 
-    def _learn(self, missing: list[str]) -> list[bytes | bool]:
-        """What is kept of distinct chunks that aren't known, in their order."""
-        if self.chars > self.cached_chars:
-            self.before, self.known, self.chars = self.known, {}, 0
-        self.chars += sum(map(len, missing))
-        found = list(map(self.before.get, missing))
-        new = [i for i, x in enumerate(found) if x is None]
-        bodies = [missing[i] for i in new]
+    def _learn(self, missing: pa.Array) -> None:
+        """Keep the ids of distinct parts that aren't known."""
+        bodies = missing
         if self.rule == "space":
-            bodies = [c[1:] if c[:1] == _BARE else c for c in bodies]
-        if " ".join(bodies).split() != bodies:  # some have white space inside, or are empty
-            plain = [bool(b) and _WHITE.search(b) is None for b in bodies]
-            new = [i for i, ok in zip(new, plain) if ok or not self._odd(missing, found, i)]
-        chunks = [missing[i] for i in new]
-        bodies, tails = self._parts(chunks)
-        parts = list(dict.fromkeys([*bodies, *tails.values()]))
-        ids: dict[str, bytes] = {}
-        for part, x, old in zip(parts, map(self.known.get, parts), map(self.before.get, parts)):
-            if x or old:
-                ids[part] = x or old
-        learnt = self._of_parts([p for p in parts if p not in ids] if ids else parts)
-        ids |= learnt
-        whole = list(map(ids.__getitem__, bodies))
-        for i, tail in tails.items():
-            whole[i] += ids[tail]
-        for i, x in zip(new, whole):
-            found[i] = x
-        self.chars += sum(map(len, learnt))
-        self.known.update(learnt)
-        self.known.update(zip(missing, found))
-        return found
+            bare = pc.starts_with(missing, _BARE)
+            bodies = pc.if_else(bare, pc.utf8_slice_codeunits(missing, 1), missing)
+        plain = (_sizes(bodies) > 0) & ~_matches(bodies, _WHITE)
+        # Those that have white space inside, or are empty.
+        rest = np.flatnonzero(~plain)
+        chunks, found = missing.take(pa.array(rest)).to_pylist(), [None] * len(rest)
+        plain[[k for i, k in enumerate(rest.tolist()) if not self._odd(chunks, found, i)]] = True
+        regular = np.flatnonzero(plain)
+        odd = {k: x for k, x in zip(rest.tolist(), found) if x is not None}
+        values = [self._of_parts(missing.take(pa.array(regular))), pa.array([x or b"" for x in odd.values()], _IDS)]
+        new = np.zeros(len(missing), dtype=bool)
+        new[[k for k, x in odd.items() if x is False]] = True
+        where = np.fromiter(odd, dtype=np.int64, count=len(odd))
+        self.ids = pa.concat_arrays([self.ids, _in_place(values, [regular, where])])
+        self.odd = np.concatenate([self.odd, new])
+        self.used = np.concatenate([self.used, np.zeros(len(missing), dtype=bool)])
+
+    def _turn(self) -> None:
+        """Once the parts in use are many, those that weren't in use since the last time are dropped."""
+        if _sizes(self.parts)[self.used].sum() > self.cached_chars:
+            keep = pa.array(self.used)
+            self.parts, self.ids, self.odd = self.parts.filter(keep), self.ids.filter(keep), self.odd[self.used]
+            self.used = np.zeros(len(self.odd), dtype=bool)
 
     def _odd(self, missing: list[str], found: list, i: int) -> bool:
-        """Whether chunk i isn't regular; if so, what is kept of it is put in its place."""
+        """Whether chunk i isn't regular; if so, its ids are put in its place, or False if its text is cut otherwise."""
         chunk = missing[i]
         if not chunk or chunk == _FEED:
             found[i] = self._ids(["\n"])[0] if chunk else self.rule == "white" and b""
@@ -201,27 +238,30 @@ class ChunkEncoder:
         """The ids of all texts one after the other, and where each text's ids end."""
         chunks, starts = self._cut(texts)
         coded = chunks.dictionary_encode()
-        distinct, at = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
-        found = list(map(self.known.get, distinct))
-        gaps = [i for i, x in enumerate(found) if x is None]
-        for i, x in zip(gaps, self._learn([distinct[i] for i in gaps])):
-            found[i] = x
-        odd = [i for i, x in enumerate(found) if x is False]
-        for i in odd:
-            found[i] = b""
+        self._turn()
+        bodies, tails, cut = self._parts(coded.dictionary)
+        # Known parts come first, so that an index below their number is one of theirs.
+        held, n = len(self.parts), len(bodies)
+        joined = pa.concat_arrays([self.parts, bodies, tails]).dictionary_encode()
+        at, self.parts = joined.indices.to_numpy()[held:], joined.dictionary
+        self._learn(self.parts.slice(held))
+        self.used[at] = True
+        tail = np.zeros(n, dtype=np.int64)
+        tail[cut] = at[n:]
+        no_tail = np.ones(n, dtype=bool)
+        no_tail[cut] = False
+        found = pc.binary_join_element_wise(
+            self.ids.take(pa.array(at[:n])), self.ids.take(pa.array(tail, mask=no_tail)), _NOTHING,
+            null_handling="skip",
+        )
         # The ids of the chunks, gathered from those of the distinct ones.
-        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
-        begin = np.cumsum(sizes) - sizes
-        size = sizes[at]
-        end = np.cumsum(size)
-        take = np.repeat(begin[at] - end + size, size)
-        take += np.arange(len(take))
-        ids = np.frombuffer(b"".join(found), dtype="<u4")[take]
-        ends = np.concatenate([[0], end])[starts]
-        if odd:  # white space that isn't single: cut at single spaces only
-            is_odd = np.zeros(len(found), dtype=np.int64)
-            is_odd[odd] = 1
-            count = np.concatenate([[0], np.cumsum(is_odd[at])])[starts]
+        flat = found.take(coded.indices)
+        _, offsets, data = flat.buffers()
+        upto = np.frombuffer(offsets, "<i8", len(flat) + 1) // 4
+        ids = np.frombuffer(data, "<u4", upto[-1]) if len(flat) and upto[-1] else np.zeros(0, dtype="<u4")
+        ends, is_odd = upto[starts], self.odd[at[:n]]
+        if is_odd.any():  # white space that isn't single: cut at single spaces only
+            count = np.concatenate([[0], np.cumsum(is_odd[coded.indices.to_numpy()])])[starts]
             parts = [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
             for i in np.flatnonzero(np.diff(count)).tolist():
                 first, *rest = _SINGLE_SPACE.split(texts[i].as_py())
